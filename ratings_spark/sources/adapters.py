@@ -115,7 +115,7 @@ def tag_lines(t: DataFrame) -> DataFrame:
                                 F.col("tag"), F.col("timestamp").cast("string")).alias("value"))
 
 
-def message_lines(msg: DataFrame) -> DataFrame:
+def message_lines(msg: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return msg.select(F.concat_ws("|", *[F.col(c).cast("string") for c in
                                          ["uid", "mid", "score", "timestamp", "msg_id"]])
-                      .alias("value"))
+                      .alias("value"), *(keep or []))
