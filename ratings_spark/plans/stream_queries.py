@@ -20,11 +20,11 @@ from ratings_spark.streaming import rerank_stream as RS
 _RUNS: dict[tuple[str, str], str] = {}
 
 
-def run_stream(spark: SparkSession, d: str, slices: int = 3) -> str:
+def run_stream(spark: SparkSession, d: str, slices: int = 3, fresh: bool = False) -> str:
     """Feed the log in ``slices`` arrivals through the job; return its output
-    folder. Cached per application and input folder."""
+    folder. Cached per application and input folder unless ``fresh``."""
     key = (spark.sparkContext.applicationId, d)
-    if key in _RUNS:
+    if key in _RUNS and not fresh:
         return _RUNS[key]
     base = shared_dir(spark, "stream")
     src, out, ckpt = f"{base}/src", f"{base}/out", f"{base}/checkpoint"
