@@ -28,3 +28,35 @@ def distinct_users(ratings: DataFrame) -> DataFrame:
 
 def distinct_pairs(ratings: DataFrame) -> DataFrame:
     return ratings.select("uid", "mid").distinct()
+
+
+# --- key-bucketed layout for per-batch lookups --------------------------------
+
+DEFAULT_BUCKETS = 256
+
+
+def bucket_of(col: str, buckets: int = DEFAULT_BUCKETS):
+    return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
+
+
+def with_bucket(df: DataFrame, key: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Add ``<key>_bucket`` so the table can be written ``partitionBy`` it."""
+    return df.withColumn(f"{key}_bucket", bucket_of(key, buckets))
+
+
+def restrict_to_keys(table: DataFrame, keys: DataFrame, key: str,
+                     buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Rows of ``table`` whose ``key`` bucket occurs among ``keys``.
+
+    When ``table`` carries ``<key>_bucket`` (a partition column of its
+    storage), the distinct bucket ids of ``keys`` are fetched -- at most
+    ``buckets`` small integers, a fixed bound independent of the data -- and
+    applied as a partition filter, so the scan reads only those buckets'
+    files. Without the column the table is returned unchanged (the exact key
+    joins that follow do the filtering).
+    """
+    bcol = f"{key}_bucket"
+    if bcol not in table.columns:
+        return table
+    ids = [r[0] for r in keys.select(bucket_of(key, buckets).alias(bcol)).distinct().collect()]
+    return table.where(F.col(bcol).isin(ids))

@@ -25,6 +25,7 @@ from ratings_spark.constants import SIM_THRESHOLD
 from ratings_spark.functions.vectors import dot, unit
 from ratings_spark.operators.blocks import block_count, block_of, replicate
 from ratings_spark.operators.topk import top_k
+from ratings_spark.session import ship_package
 
 EDGE_SCHEMA = "mid long, other_mid long, sim double"
 
@@ -68,6 +69,7 @@ def item_similarity(factors: DataFrame, threshold: float = SIM_THRESHOLD,
                     lsh_bucket_length: float | None = None, lsh_tables: int = 8,
                     seed: int = 7) -> DataFrame:
     """Directed similarity edges (mid, other_mid, sim) with sim > threshold."""
+    ship_package(factors.sparkSession)
     uv = unit_vectors(factors, id_col, vec_col)
     if method == "blocked":
         spark = factors.sparkSession

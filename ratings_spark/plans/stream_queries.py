@@ -28,6 +28,13 @@ def run_stream(spark: SparkSession, d: str, slices: int = 3, fresh: bool = False
         return _RUNS[key]
     base = shared_dir(spark, "stream")
     src, out, ckpt = f"{base}/src", f"{base}/out", f"{base}/checkpoint"
+    # What the offline and load jobs leave behind: the similarity table and
+    # the rated set, each stored partitioned by a hash bucket of its key.
+    sim_path, rated_path = f"{base}/item_recs", f"{base}/rated"
+    edges = similarity.item_similarity(A.factors(spark, d), RERANK_SIM)
+    history.with_bucket(edges, "mid").write.partitionBy("mid_bucket").parquet(sim_path)
+    rated_set = history.distinct_pairs(A.ratings(spark, d))
+    history.with_bucket(rated_set, "uid").write.partitionBy("uid_bucket").parquet(rated_path)
     msgs = A.messages(spark, d)
     cuts = msgs.approxQuantile("msg_id", [i / slices for i in range(1, slices)], 0.001)
     lines = A.message_lines(msgs, keep=["msg_id"])
@@ -42,8 +49,8 @@ def run_stream(spark: SparkSession, d: str, slices: int = 3, fresh: bool = False
         part.select("value").write.mode("append").text(src)
         stream = RS.message_stream(spark, "text", src)
         q = RS.start(stream, out, ckpt,
-                     sim_edges=lambda: similarity.item_similarity(A.factors(spark, d), RERANK_SIM),
-                     rated=lambda: history.distinct_pairs(A.ratings(spark, d)),
+                     sim_edges=lambda: spark.read.parquet(sim_path),
+                     rated=lambda: spark.read.parquet(rated_path),
                      trigger={"availableNow": True}, threshold=RERANK_SIM)
         q.awaitTermination()
         if q.exception() is not None:

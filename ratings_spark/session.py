@@ -75,3 +75,32 @@ def env_int(name: str, default: int) -> int:
         return int(os.environ.get(name, default))
     except ValueError:
         return default
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ratings_spark`` importable in Python workers on every executor.
+
+    Operators that run Python in tasks (grouped pandas functions, the
+    streaming state processor) pickle functions by module reference, so the
+    package must be on the workers' path. It is zipped once per application
+    and distributed with ``SparkContext.addPyFile`` (as ``--py-files`` would).
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    zpath = os.path.join(tempfile.mkdtemp(prefix="ratings-spark-pyfiles-"), "ratings_spark.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            if "__pycache__" in root:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)

@@ -18,12 +18,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ratings_spark.constants import CANDIDATES_N, RECENT_RATINGS_N, SIM_THRESHOLD
 from ratings_spark.functions.lists import encode_recs
-from ratings_spark.operators import rerank
+from ratings_spark.operators import history, rerank
+from ratings_spark.session import ship_package
 from ratings_spark.sources.text import message_fields
 from ratings_spark.streaming.recents import OUTPUT_SCHEMA, RecentRatings
 
@@ -51,7 +53,16 @@ def message_stream(spark: SparkSession, fmt: str = "text", path: str | None = No
 
 
 def with_recents(messages: DataFrame, n: int = RECENT_RATINGS_N) -> DataFrame:
+    """Attach per-user recents state (``RecentRatings``) to the message stream.
+
+    The processor is pickled by value: the driver-side runner that
+    initialises it does not see ``addPyFile`` includes."""
+    from pyspark import cloudpickle
+
+    from ratings_spark.streaming import recents as recents_module
+    cloudpickle.register_pickle_by_value(recents_module)
     spark = messages.sparkSession
+    ship_package(spark)
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return messages.groupBy("uid").transformWithStateInPandas(
@@ -61,20 +72,35 @@ def with_recents(messages: DataFrame, n: int = RECENT_RATINGS_N) -> DataFrame:
 
 def batch_writer(out_dir: str, sim_edges: Callable[[], DataFrame],
                  rated: Callable[[], DataFrame], n_candidates: int = CANDIDATES_N,
-                 threshold: float = SIM_THRESHOLD):
-    """The ``foreachBatch`` body: set-based re-rank of one micro-batch."""
+                 threshold: float = SIM_THRESHOLD, buckets: int = history.DEFAULT_BUCKETS):
+    """The ``foreachBatch`` body: set-based re-rank of one micro-batch.
+
+    The batch (the state operator's output) feeds two writes, so it is
+    persisted for the body's duration. The similarity table and the rated
+    set are narrowed to the batch's items and users before any shuffle
+    (partition pruning when stored by key bucket, see
+    ``history.restrict_to_keys``).
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        edges = sim_edges()
-        recents = batch.select("uid", "rank", "mid", "score")
-        triggers = batch.where(F.col("rank") == 1) \
-            .select("uid", F.col("trig_mid").alias("mid"))
-        cands = rerank.unseen_neighbours(triggers, edges, rated(), n_candidates, threshold)
-        nested = rerank.nested_recs(rerank.rerank_scores(cands, recents, edges, threshold))
-        recs = triggers.select("uid").join(nested, "uid", "left").select(
-            "uid", F.coalesce("recs", F.array().cast(EMPTY_RECS)).alias("recs"))
-        recs = recs.withColumn("recs_text", encode_recs("recs"))
-        recs.write.mode("overwrite").parquet(f"{out_dir}/recs/batch_id={batch_id}")
-        recents.write.mode("overwrite").parquet(f"{out_dir}/recents/batch_id={batch_id}")
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            edges = sim_edges()
+            recents = batch.select("uid", "rank", "mid", "score")
+            triggers = batch.where(F.col("rank") == 1) \
+                .select("uid", F.col("trig_mid").alias("mid"))
+            near = history.restrict_to_keys(edges, triggers, "mid", buckets)
+            seen = history.restrict_to_keys(rated(), triggers, "uid", buckets)
+            cands = rerank.unseen_neighbours(triggers, near, seen, n_candidates, threshold)
+            cand_edges = history.restrict_to_keys(edges, cands, "mid", buckets)
+            scores = rerank.rerank_scores(cands, recents, cand_edges, threshold)
+            nested = rerank.nested_recs(scores)
+            recs = triggers.select("uid").join(nested, "uid", "left").select(
+                "uid", F.coalesce("recs", F.array().cast(EMPTY_RECS)).alias("recs"))
+            recs = recs.withColumn("recs_text", encode_recs("recs"))
+            recs.write.mode("overwrite").parquet(f"{out_dir}/recs/batch_id={batch_id}")
+            recents.write.mode("overwrite").parquet(f"{out_dir}/recents/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
     return write
 
 
