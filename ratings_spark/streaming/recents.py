@@ -61,6 +61,32 @@ def _newest(df: pd.DataFrame, n: int) -> pd.DataFrame:
     return df.head(n)[_COLS]
 
 
+MESSAGE_SCHEMA = T.StructType([T.StructField("uid", T.LongType())] + list(STATE_SCHEMA.fields))
+
+
+def newest_per_partition(n: int = RECENT_RATINGS_N):
+    """``mapInPandas`` body: each user's ``n`` newest messages of one input
+    partition (a map-side combine before the shuffle by user; only the n
+    newest can ever enter the list, and the newest is the trigger)."""
+    cols = ["uid"] + _COLS
+
+    def fn(batches):
+        keep = pd.DataFrame({c: pd.Series(dtype=t) for c, t in
+                             {"uid": "int64", **_DTYPES}.items()})
+        for b in batches:
+            if b.empty:
+                continue
+            both = pd.concat([keep, b[cols].astype({"uid": "int64", **_DTYPES})],
+                             ignore_index=True)
+            tie = both["msg_id"].fillna(-1).astype("int64")
+            both = both.assign(_tie=tie).sort_values(
+                ["uid", "timestamp", "_tie"], ascending=[True, False, False], kind="mergesort")
+            keep = both.groupby("uid", sort=False).head(n)[cols]
+        if not keep.empty:
+            yield keep
+    return fn
+
+
 class RecentRatings(StatefulProcessor):
     def __init__(self, n: int = RECENT_RATINGS_N):
         self.n = n

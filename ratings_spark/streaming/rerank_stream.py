@@ -63,9 +63,11 @@ def with_recents(messages: DataFrame, n: int = RECENT_RATINGS_N) -> DataFrame:
     cloudpickle.register_pickle_by_value(recents_module)
     spark = messages.sparkSession
     ship_package(spark)
+    reduced = messages.select("uid", "mid", "score", "timestamp", "msg_id").mapInPandas(
+        recents_module.newest_per_partition(n), recents_module.MESSAGE_SCHEMA)
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return messages.groupBy("uid").transformWithStateInPandas(
+    return reduced.groupBy("uid").transformWithStateInPandas(
         statefulProcessor=RecentRatings(n), outputStructType=OUTPUT_SCHEMA,
         outputMode="Update", timeMode="None")
 
