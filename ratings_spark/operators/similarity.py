@@ -120,3 +120,12 @@ def neighbour_lists(edges: DataFrame, k: int | None = None) -> DataFrame:
     if k is None:
         return edges.select("mid", "other_mid", "sim").orderBy(F.asc("mid"), *order)
     return top_k(edges, ["mid"], order, k).select("mid", "rank", "other_mid", "sim")
+
+
+def edges_from_nested(nested: DataFrame, key: str = "mid", recs: str = "recs") -> DataFrame:
+    """(mid, other_mid, sim) edges from nested lists ``(mid, recs
+    array<struct<mid, r>>)``; a neighbour listed twice for one item keeps
+    one edge (the highest similarity)."""
+    x = nested.select(F.col(key).alias("mid"), F.explode(recs).alias("_x"))
+    e = x.select("mid", F.col("_x.mid").alias("other_mid"), F.col("_x.r").alias("sim"))
+    return e.groupBy("mid", "other_mid").agg(F.max("sim").alias("sim"))
