@@ -4,7 +4,9 @@ Rows are hashed into ``B`` blocks. A block pair is one group of a grouped
 ``applyInPandas``/``cogroup`` call, so one task holds at most two blocks
 (``block_rows`` vectors each) and computes their product with NumPy. Every
 row is replicated once per partner block (``B`` copies), which is the whole
-shuffle volume: O(n * B) rows, never O(n^2).
+shuffle volume: O(n * B) rows, never O(n^2). Larger blocks mean fewer
+copies; inside a task the product is taken ``CHUNK_ROWS`` rows at a time so
+memory stays bounded whatever the block size.
 """
 
 from __future__ import annotations
@@ -13,7 +15,10 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-DEFAULT_BLOCK_ROWS = 4096
+DEFAULT_BLOCK_ROWS = 8192
+# Rows of the left block multiplied at once inside a task: bounds the score
+# matrix held in memory to CHUNK_ROWS x block_rows doubles (64 MB at 8192).
+CHUNK_ROWS = 1024
 
 
 def block_count(spark: SparkSession, n_rows: int, block_rows: int | None,

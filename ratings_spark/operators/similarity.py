@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ratings_spark.constants import SIM_THRESHOLD
 from ratings_spark.functions.vectors import dot, unit
-from ratings_spark.operators.blocks import block_count, block_of, replicate
+from ratings_spark.operators.blocks import CHUNK_ROWS, block_count, block_of, replicate
 from ratings_spark.operators.topk import top_k
 from ratings_spark.session import ship_package
 
@@ -37,26 +37,30 @@ def unit_vectors(factors: DataFrame, id_col: str = "id", vec_col: str = "feature
 
 
 def _pair_block_fn(threshold: float):
+    def pairs_above(X, xid, Y, yid, upper: bool):
+        out_a, out_b, out_s = [], [], []
+        for lo in range(0, len(X), CHUNK_ROWS):
+            S = X[lo:lo + CHUNK_ROWS] @ Y.T
+            keep = S > threshold
+            if upper:   # same block: each unordered pair once, no self pairs
+                rows = np.arange(lo, lo + len(S))[:, None]
+                keep &= np.arange(len(Y))[None, :] > rows
+            i, j = np.nonzero(keep)
+            out_a.append(xid[lo + i]); out_b.append(yid[j]); out_s.append(S[i, j])
+        if not out_a:
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        return np.concatenate(out_a), np.concatenate(out_b), np.concatenate(out_s)
+
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         p, q = int(pdf["p"].iat[0]), int(pdf["q"].iat[0])
-        if p == q:
-            ids = pdf["id"].to_numpy(np.int64)
-            X = np.vstack(pdf["v"].to_numpy()) if len(pdf) else np.zeros((0, 0))
-            S = X @ X.T
-            i, j = np.nonzero(np.triu(S > threshold, k=1))
-            a, b, s = ids[i], ids[j], S[i, j]
-        else:
-            left = pdf[pdf["b"] == p]
-            right = pdf[pdf["b"] == q]
-            if left.empty or right.empty:
-                return pd.DataFrame({"mid": [], "other_mid": [], "sim": []})
-            X = np.vstack(left["v"].to_numpy())
-            Y = np.vstack(right["v"].to_numpy())
-            S = X @ Y.T
-            i, j = np.nonzero(S > threshold)
-            a = left["id"].to_numpy(np.int64)[i]
-            b = right["id"].to_numpy(np.int64)[j]
-            s = S[i, j]
+        left = pdf[pdf["b"] == p]
+        right = left if p == q else pdf[pdf["b"] == q]
+        if left.empty or right.empty:
+            return pd.DataFrame({"mid": [], "other_mid": [], "sim": []})
+        X = np.vstack(left["v"].to_numpy())
+        Y = X if p == q else np.vstack(right["v"].to_numpy())
+        a, b, s = pairs_above(X, left["id"].to_numpy(np.int64), Y,
+                              right["id"].to_numpy(np.int64), upper=(p == q))
         return pd.DataFrame({"mid": np.concatenate([a, b]),
                              "other_mid": np.concatenate([b, a]),
                              "sim": np.concatenate([s, s]).astype(np.float64)})

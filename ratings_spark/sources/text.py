@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ratings_spark.constants import MESSAGE_SEP, MOVIE_SEP, RATING_SEP
+from ratings_spark.constants import MESSAGE_SEP, MOVIE_SEP, RATING_SEP, TAG_SEP
 from ratings_spark.schemas import MOVIE_TEXT_COLUMNS
 
 
@@ -74,29 +74,25 @@ def parse_ratings(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
                         ts.alias("timestamp")])
 
 
-# uid , mid , <tag, may itself hold commas or be double-quoted> , timestamp
-_TAG_LINE = r"^\s*([^,]*?)\s*,\s*([^,]*?)\s*,(.*),\s*([^,]*?)\s*$"
-
-
 def parse_tags(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``uid,mid,tag,timestamp``; the tag is everything between the second
     and the last comma, so a tag holding commas survives. A tag wrapped in
     double quotes is unquoted (``""`` inside becomes ``"``)."""
-    v = F.col("value")
-    df = lines.select(
-        "value",
-        v.rlike(_TAG_LINE).alias("_ok"),
-        F.regexp_extract(v, _TAG_LINE, 1).try_cast("int").alias("_uid"),
-        F.regexp_extract(v, _TAG_LINE, 2).try_cast("int").alias("_mid"),
-        F.trim(F.regexp_extract(v, _TAG_LINE, 3)).alias("_raw"),
-        F.regexp_extract(v, _TAG_LINE, 4).try_cast("long").alias("_ts"),
-    )
+    p = _split(TAG_SEP)
+    df = lines.select("value", p.alias("_p"))
+    n = F.size("_p")
+    uid = _field(F.col("_p"), 0).try_cast("int")
+    mid = _field(F.col("_p"), 1).try_cast("int")
+    ts = F.trim(F.get(F.col("_p"), n - 1)).try_cast("long")
+    raw = F.trim(F.array_join(F.slice(F.col("_p"), F.lit(3), n - 3), TAG_SEP))
+    df = df.select("value", n.alias("_n"), uid.alias("_uid"), mid.alias("_mid"),
+                   ts.alias("_ts"), raw.alias("_raw"))
     raw = F.col("_raw")
     quoted = raw.startswith('"') & raw.endswith('"') & (F.length(raw) >= 2)
     inner = F.expr("substring(_raw, 2, length(_raw) - 2)")
     tag = F.when(quoted, F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(raw)
     df = df.withColumn("_reason", _reason(
-        (~F.col("_ok"), "fewer than 4 fields"),
+        (F.col("_n") < 4, "fewer than 4 fields"),
         (F.col("_uid").isNull(), "uid is not an integer"),
         (F.col("_mid").isNull(), "mid is not an integer"),
         (F.col("_ts").isNull(), "timestamp is not an integer"),

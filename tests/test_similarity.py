@@ -46,6 +46,17 @@ def test_blocked_matches_brute_force_any_block_size(spark):
     assert all(a != b for a, b in sims) and all(s > 0.3 for s in sims.values())
 
 
+def test_chunked_products_match(spark, monkeypatch):
+    from ratings_spark.operators import factors, similarity as sim
+    f = A.factors(spark, SF_SMALL)
+    want = set(rows(sim.item_similarity(f, 0.3), "mid", "other_mid"))
+    want_top = rows(factors.top_k_items(f, f, 3), "uid", "rank", "mid")
+    monkeypatch.setattr(sim, "CHUNK_ROWS", 5)
+    monkeypatch.setattr(factors, "CHUNK_ROWS", 5)
+    assert set(rows(sim.item_similarity(f, 0.3, block_rows=40), "mid", "other_mid")) == want
+    assert rows(factors.top_k_items(f, f, 3, block_rows=40), "uid", "rank", "mid") == want_top
+
+
 def test_lsh_subset_of_exact(spark):
     f = A.factors(spark, SF_SMALL)
     exact = set(rows(similarity.item_similarity(f, 0.3), "mid", "other_mid"))
