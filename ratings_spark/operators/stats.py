@@ -42,27 +42,35 @@ def genre_frame(spark: SparkSession, genres: Sequence[str] | None = None) -> Dat
     return spark.createDataFrame([(g,) for g in gl], "genre string")
 
 
+MAX_SUBSTRING_GENRES = 10_000
+
+
 def genre_matches(movies_scored: DataFrame, genres: DataFrame,
                   match: str = "substring") -> DataFrame:
     """Pairs (genre, movie) where the movie's ``genres`` text names the genre.
 
     ``substring`` (default, as originally specified): case-insensitive
-    substring, so ``War`` also matches ``Warfare``. The genre list is a
-    caller-given literal list, bounded by construction, so it is broadcast and
-    the big side streams through a nested-loop join with no shuffle.
+    substring, so ``War`` also matches ``Warfare``. A substring test has no
+    join key, so the genre list is broadcast and the big side streams through
+    a nested-loop join with no shuffle. The list's size is checked first
+    (at most ``MAX_SUBSTRING_GENRES`` names).
 
     ``token``: exact, case-insensitive match of one ``|``-separated entry,
-    planned as an equi-join (no nested loop at all).
+    an equi-join whose strategy Spark picks from the sizes.
     """
     g = genres.select(F.col("genre"), F.lower("genre").alias("_g"))
     if match == "substring":
+        n = g.count()
+        if n > MAX_SUBSTRING_GENRES:
+            raise ValueError(f"{n} genre names is too many to broadcast for substring "
+                             "matching; use match='token'")
         m = movies_scored.withColumn("_lg", F.lower("genres"))
         return m.join(F.broadcast(g), F.col("_lg").contains(F.col("_g"))).drop("_lg", "_g")
     if match == "token":
         m = movies_scored.withColumn("_g", F.explode(F.array_distinct(
             F.split(F.lower("genres"), "\\|"))))
         m = m.withColumn("_g", F.trim("_g"))
-        return m.join(F.broadcast(g), "_g").drop("_g")
+        return m.join(g, "_g").drop("_g")
     raise ValueError(f"unknown match mode {match!r}")
 
 
