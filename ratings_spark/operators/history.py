@@ -44,19 +44,17 @@ def with_bucket(df: DataFrame, key: str, buckets: int = DEFAULT_BUCKETS) -> Data
     return df.withColumn(f"{key}_bucket", bucket_of(key, buckets))
 
 
-def restrict_to_keys(table: DataFrame, keys: DataFrame, key: str,
-                     buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Rows of ``table`` whose ``key`` bucket occurs among ``keys``.
-
-    When ``table`` carries ``<key>_bucket`` (a partition column of its
-    storage), the distinct bucket ids of ``keys`` are fetched -- at most
-    ``buckets`` small integers, a fixed bound independent of the data -- and
-    applied as a partition filter, so the scan reads only those buckets'
-    files. Without the column the table is returned unchanged (the exact key
-    joins that follow do the filtering).
-    """
+def bucket_id_sets(df: DataFrame, keys: dict[str, str],
+                   buckets: int = DEFAULT_BUCKETS) -> dict[str, list[int]]:
+    """Distinct bucket ids of several key columns in one job: ``{name:
+    [ids]}`` for ``keys = {name: column}``. The result has at most
+    ``buckets`` ids per key, whatever the size of ``df``."""
+    row = df.agg(*[F.collect_set(bucket_of(c, buckets)).alias(n) for n, c in keys.items()]).first()
+    return {n: sorted(row[n]) for n in keys}
+
+
+def restrict_to_ids(table: DataFrame, key: str, ids: list[int]) -> DataFrame:
+    """Partition filter ``<key>_bucket IN ids`` when the table has the
+    column; the table unchanged otherwise."""
     bcol = f"{key}_bucket"
-    if bcol not in table.columns:
-        return table
-    ids = [r[0] for r in keys.select(bucket_of(key, buckets).alias(bcol)).distinct().collect()]
-    return table.where(F.col(bcol).isin(ids))
+    return table.where(F.col(bcol).isin(ids)) if bcol in table.columns else table

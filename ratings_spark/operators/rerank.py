@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ratings_spark.constants import CANDIDATES_N, POSITIVE_RATING, RECENT_RATINGS_N, SIM_THRESHOLD
-from ratings_spark.operators.topk import latest, nest_ranked, top_k
+from ratings_spark.operators.topk import latest, top_k
 
 def message_order():
     """Newest first; the message id orders messages of the same second."""
@@ -96,8 +96,15 @@ def ranked_recs(scores: DataFrame) -> DataFrame:
 
 
 def nested_recs(scores: DataFrame) -> DataFrame:
-    """(uid, recs array<struct<mid, r>>) per user, best first."""
-    return nest_ranked(ranked_recs(scores), ["uid"], "rank", {"mid": "mid", "r": "score"})
+    """(uid, recs array<struct<mid, r>>) per user, best first (ties by mid).
+
+    One aggregation: lists are bounded by the candidate count, and sorting
+    structs (-score, mid) orders them without a window."""
+    items = F.struct((-F.col("score")).alias("_k"), F.col("mid").alias("mid"),
+                     F.col("score").alias("r"))
+    g = scores.groupBy("uid").agg(F.array_sort(F.collect_list(items)).alias("_l"))
+    return g.select("uid", F.transform(
+        "_l", lambda x: F.struct(x["mid"].alias("mid"), x["r"].alias("r"))).alias("recs"))
 
 
 def latest_version(rows: DataFrame, key: str = "uid", version: str = "batch_id") -> DataFrame:

@@ -78,23 +78,28 @@ def batch_writer(out_dir: str, sim_edges: Callable[[], DataFrame],
     """The ``foreachBatch`` body: set-based re-rank of one micro-batch.
 
     The batch (the state operator's output) feeds two writes, so it is
-    persisted for the body's duration. The similarity table and the rated
-    set are narrowed to the batch's items and users before any shuffle
-    (partition pruning when stored by key bucket, see
-    ``history.restrict_to_keys``).
+    persisted for the body's duration. The similarity table (symmetric, as
+    ``item_similarity`` writes it) and the rated set are narrowed to the
+    batch's items and users before any shuffle: partition pruning when they
+    are stored by key bucket (``history.with_bucket``).
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            edges = sim_edges()
             recents = batch.select("uid", "rank", "mid", "score")
             triggers = batch.where(F.col("rank") == 1) \
                 .select("uid", F.col("trig_mid").alias("mid"))
-            near = history.restrict_to_keys(edges, triggers, "mid", buckets)
-            seen = history.restrict_to_keys(rated(), triggers, "uid", buckets)
-            cands = rerank.unseen_neighbours(triggers, near, seen, n_candidates, threshold)
-            cand_edges = history.restrict_to_keys(edges, cands, "mid", buckets)
-            scores = rerank.rerank_scores(cands, recents, cand_edges, threshold)
+            # One small job: the buckets of the batch's users and of every
+            # item in their recent lists (triggers included). The similarity
+            # table is symmetric, so edges keyed by those items serve both
+            # the candidate lookup and the scoring lookup.
+            ids = history.bucket_id_sets(recents, {"mid": "mid", "uid": "uid"}, buckets)
+            edges = history.restrict_to_ids(sim_edges(), "mid", ids["mid"])
+            seen = history.restrict_to_ids(rated(), "uid", ids["uid"])
+            cands = rerank.unseen_neighbours(triggers, edges, seen, n_candidates, threshold)
+            flipped = edges.select(F.col("other_mid").alias("mid"),
+                                   F.col("mid").alias("other_mid"), "sim")
+            scores = rerank.rerank_scores(cands, recents, flipped, threshold)
             nested = rerank.nested_recs(scores)
             recs = triggers.select("uid").join(nested, "uid", "left").select(
                 "uid", F.coalesce("recs", F.array().cast(EMPTY_RECS)).alias("recs"))
