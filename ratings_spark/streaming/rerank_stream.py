@@ -20,6 +20,7 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import StreamingQuery
 
 from ratings_spark.constants import CANDIDATES_N, RECENT_RATINGS_N, SIM_THRESHOLD
@@ -128,13 +129,45 @@ def start(messages: DataFrame, out_dir: str, checkpoint: str,
     return w.start()
 
 
+def _snapshot_root(out_dir: str, table: str) -> str:
+    return f"{out_dir}/{table}_snapshots"
+
+
+def _current(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
+    """Latest version per user: the newest snapshot (if any) plus only the
+    batch folders after it (partition-pruned), reduced by ``latest_version``.
+
+    Snapshots are found by partition discovery over ``through=<n>`` folders,
+    which lists committed files only."""
+    rows = spark.read.parquet(f"{out_dir}/{table}")
+    try:
+        snaps = spark.read.parquet(_snapshot_root(out_dir, table))
+    except AnalysisException:
+        snaps = None
+    if snaps is not None:
+        through = snaps.agg(F.max("through")).first()[0]
+        snap = snaps.where(F.col("through") == through).drop("through")
+        rows = snap.unionByName(rows.where(F.col("batch_id") > through))
+    return rerank.latest_version(rows, "uid", "batch_id")
+
+
+def compact(spark: SparkSession, out_dir: str, table: str = "recs") -> int:
+    """Write the current latest-per-user view of ``table`` as a snapshot
+    ``<table>_snapshots/through=<max batch_id>``; later reads start from it,
+    so read cost stops growing with the number of batches. Older folders are
+    left in place (removal is the operator's retention policy). Returns the
+    batch id the snapshot covers."""
+    cur = _current(spark, out_dir, table)
+    through = cur.agg(F.max("batch_id")).first()[0]
+    cur.write.mode("overwrite").parquet(f"{_snapshot_root(out_dir, table)}/through={through}")
+    return int(through)
+
+
 def latest_recs(spark: SparkSession, out_dir: str) -> DataFrame:
     """(uid, recs, recs_text, batch_id): each user's current list."""
-    rows = spark.read.parquet(f"{out_dir}/recs")
-    return rerank.latest_version(rows, "uid", "batch_id")
+    return _current(spark, out_dir, "recs")
 
 
 def latest_recents(spark: SparkSession, out_dir: str) -> DataFrame:
     """(uid, rank, mid, score): each user's recents after the latest batch."""
-    rows = spark.read.parquet(f"{out_dir}/recents")
-    return rerank.latest_version(rows, "uid", "batch_id").select("uid", "rank", "mid", "score")
+    return _current(spark, out_dir, "recents").select("uid", "rank", "mid", "score")

@@ -44,6 +44,17 @@ def test_stream_equals_batch_across_restarts(spark):
     assert batches.select("batch_id").distinct().count() >= 2
     assert batches.groupBy("uid", "batch_id").count().where("count > 1").count() == 0
 
+    # compaction: same current view before and after, from the snapshot on
+    before = rows(RS.latest_recs(spark, out), "uid", "recs_text", "batch_id")
+    through = RS.compact(spark, out, "recs")
+    RS.compact(spark, out, "recents")
+    assert rows(RS.latest_recs(spark, out), "uid", "recs_text", "batch_id") == before
+    assert rows(RS.latest_recents(spark, out)) == rows(want)
+    # a later arrival still supersedes the snapshot
+    lines.where(F.col("msg_id") == F.lit(cut)).select("value").write.mode("append").text(src)
+    run()
+    assert spark.read.parquet(f"{out}/recs").agg(F.max("batch_id")).first()[0] > through
+
 
 def test_stream_in_order_equals_batch_rerank(spark):
     from ratings_spark.plans import stream_queries
