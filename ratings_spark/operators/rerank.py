@@ -45,7 +45,10 @@ def recents_from_messages(messages: DataFrame, n: int = RECENT_RATINGS_N) -> Dat
 def unseen_neighbours(triggers: DataFrame, sim_edges: DataFrame, rated: DataFrame,
                       n: int = CANDIDATES_N, threshold: float = SIM_THRESHOLD) -> DataFrame:
     """(uid, rank, mid, sim): per trigger (uid, mid), the n most similar items
-    the user has not rated. An item without neighbours yields no rows."""
+    the user has not rated. An item without neighbours yields no rows.
+
+    ``rated`` may hold repeated (uid, mid) pairs: an anti join does not care,
+    so no de-duplication pass over the rating history is needed."""
     t = triggers.select("uid", F.col("mid").alias("src"))
     e = sim_edges.where(F.col("sim") > threshold) \
         .select(F.col("mid").alias("src"), F.col("other_mid").alias("mid"), "sim")
@@ -77,11 +80,18 @@ def rerank(messages: DataFrame, sim_edges: DataFrame, rated: DataFrame,
            threshold: float = SIM_THRESHOLD, recents: DataFrame | None = None) -> DataFrame:
     """Batch re-rank: (uid, mid, score) for every user's latest message.
 
-    ``recents`` defaults to the newest ratings among ``messages``; pass a
+    ``recents`` defaults to the newest ratings among ``messages`` -- one
+    ranking window gives both the recents and (rank 1) the trigger; pass a
     table (uid, mid, score) to use a different history.
     """
-    trig = latest_messages(messages)
-    rec = recents if recents is not None else recents_from_messages(messages, n_recent)
+    if recents is None:
+        if n_recent < 1:
+            raise ValueError("n_recent must be >= 1 (the incoming rating is a recent one)")
+        rec = recents_from_messages(messages, n_recent)
+        trig = rec.where(F.col("rank") == 1).select("uid", "mid")
+    else:
+        rec = recents
+        trig = latest_messages(messages)
     cands = unseen_neighbours(trig, sim_edges, rated, n_candidates, threshold)
     return rerank_scores(cands, rec, sim_edges, threshold)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ratings_spark.functions.lists import encode_recs
-from ratings_spark.operators import history, rerank, similarity
+from ratings_spark.operators import rerank, similarity
 from ratings_spark.plans.catalogue import (
     FACTORS_SQL, MESSAGE_ORDER_SQL, MESSAGES_SQL, RATINGS_SQL, query, r6, with_)
 from ratings_spark.sources import adapters as A
@@ -45,7 +45,7 @@ RERANK_ORACLE = _CTES + "SELECT uid, mid, round(score, 6) AS score FROM scores"
 def _inputs(spark: SparkSession, d: str):
     msgs = A.messages(spark, d)
     edges = similarity.item_similarity(A.factors(spark, d), RERANK_SIM)
-    rated = history.distinct_pairs(A.ratings(spark, d))
+    rated = A.ratings(spark, d).select("uid", "mid")
     return msgs, edges, rated
 
 
