@@ -11,6 +11,9 @@ Methods:
   exact cosine re-check. It can miss pairs; it never returns a false one.
 
 Output: directed edges (mid, other_mid, sim), no self pairs, sim > threshold.
+The planner sizes a pandas function's output by its input, which for edges
+can be a large underestimate; write the edges (``session.materialize`` or a
+job's table) before joining them elsewhere.
 """
 
 from __future__ import annotations

@@ -8,6 +8,7 @@ from ratings_spark.functions.lists import encode_recs
 from ratings_spark.operators import rerank, similarity
 from ratings_spark.plans.catalogue import (
     FACTORS_SQL, MESSAGE_ORDER_SQL, MESSAGES_SQL, RATINGS_SQL, query, r6, with_)
+from ratings_spark.session import materialize
 from ratings_spark.sources import adapters as A
 
 RERANK_SIM = 0.3   # used both for the similarity table and the score filter
@@ -44,7 +45,8 @@ RERANK_ORACLE = _CTES + "SELECT uid, mid, round(score, 6) AS score FROM scores"
 
 def _inputs(spark: SparkSession, d: str):
     msgs = A.messages(spark, d)
-    edges = similarity.item_similarity(A.factors(spark, d), RERANK_SIM)
+    # The similarity table is what the offline job stores; written once here.
+    edges = materialize(similarity.item_similarity(A.factors(spark, d), RERANK_SIM), "item_recs")
     rated = A.ratings(spark, d).select("uid", "mid")
     return msgs, edges, rated
 

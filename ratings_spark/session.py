@@ -104,3 +104,18 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc.addPyFile(zpath)
     _SHIPPED.add(sc.applicationId)
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet below the shared checkpoint folder and return
+    the re-read table.
+
+    Used for outputs of pandas functions whose size the planner can only
+    guess from their input (e.g. similarity edges): the re-read table has
+    real file statistics, so join strategies are chosen from measured sizes,
+    the lineage is cut, and the data is computed once for several consumers.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
