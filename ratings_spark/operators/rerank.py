@@ -77,18 +77,24 @@ def rerank_scores(candidates: DataFrame, recents: DataFrame, sim_edges: DataFram
 
 def rerank(messages: DataFrame, sim_edges: DataFrame, rated: DataFrame,
            n_recent: int = RECENT_RATINGS_N, n_candidates: int = CANDIDATES_N,
-           threshold: float = SIM_THRESHOLD, recents: DataFrame | None = None) -> DataFrame:
+           threshold: float = SIM_THRESHOLD, recents: DataFrame | None = None,
+           include_incoming: bool = True) -> DataFrame:
     """Batch re-rank: (uid, mid, score) for every user's latest message.
 
     ``recents`` defaults to the newest ratings among ``messages`` -- one
     ranking window gives both the recents and (rank 1) the trigger; pass a
     table (uid, mid, score) to use a different history.
+    ``include_incoming=False`` scores against the ``n_recent`` ratings before
+    the incoming one.
     """
     if recents is None:
         if n_recent < 1:
-            raise ValueError("n_recent must be >= 1 (the incoming rating is a recent one)")
-        rec = recents_from_messages(messages, n_recent)
+            raise ValueError("n_recent must be >= 1")
+        extra = 0 if include_incoming else 1
+        rec = recents_from_messages(messages, n_recent + extra)
         trig = rec.where(F.col("rank") == 1).select("uid", "mid")
+        if not include_incoming:
+            rec = rec.where(F.col("rank") > 1).withColumn("rank", F.col("rank") - 1)
     else:
         rec = recents
         trig = latest_messages(messages)

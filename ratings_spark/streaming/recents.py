@@ -38,6 +38,7 @@ OUTPUT_SCHEMA = T.StructType([
     T.StructField("rank", T.IntegerType()),
     T.StructField("mid", T.LongType()),
     T.StructField("score", T.DoubleType()),
+    T.StructField("msg_id", T.LongType()),
 ])
 
 _COLS = ["mid", "score", "timestamp", "msg_id"]
@@ -120,6 +121,7 @@ class RecentRatings(StatefulProcessor):
             "rank": list(range(1, k + 1)),
             "mid": merged["mid"].to_numpy(),
             "score": merged["score"].to_numpy(),
+            "msg_id": merged["msg_id"].to_numpy(),
         })
 
     def close(self) -> None:

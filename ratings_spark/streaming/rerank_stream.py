@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ratings_spark.constants import CANDIDATES_N, RECENT_RATINGS_N, SIM_THRESHOLD
 from ratings_spark.functions.lists import encode_recs
 from ratings_spark.operators import history, rerank
+from ratings_spark.operators.topk import top_k
 from ratings_spark.session import ship_package
 from ratings_spark.sources.text import message_fields
 from ratings_spark.streaming.recents import OUTPUT_SCHEMA, RecentRatings
@@ -75,7 +76,8 @@ def with_recents(messages: DataFrame, n: int = RECENT_RATINGS_N) -> DataFrame:
 
 def batch_writer(out_dir: str, sim_edges: Callable[[], DataFrame],
                  rated: Callable[[], DataFrame], n_candidates: int = CANDIDATES_N,
-                 threshold: float = SIM_THRESHOLD, buckets: int = history.DEFAULT_BUCKETS):
+                 threshold: float = SIM_THRESHOLD, buckets: int = history.DEFAULT_BUCKETS,
+                 n_recent: int = RECENT_RATINGS_N, include_incoming: bool = True):
     """The ``foreachBatch`` body: set-based re-rank of one micro-batch.
 
     The batch (the state operator's output) feeds two writes, so it is
@@ -87,7 +89,14 @@ def batch_writer(out_dir: str, sim_edges: Callable[[], DataFrame],
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            recents = batch.select("uid", "rank", "mid", "score")
+            kept = batch.select("uid", "rank", "mid", "score")
+            if include_incoming:
+                recents = kept
+            else:
+                older = batch.where(~F.col("msg_id").eqNullSafe(F.col("trig_msg_id")))
+                recents = top_k(older, ["uid"], [F.asc("rank")], n_recent) \
+                    .select("uid", "rank", "mid", "score")
+                kept = kept.where(F.col("rank") <= n_recent)
             triggers = batch.where(F.col("rank") == 1) \
                 .select("uid", F.col("trig_mid").alias("mid"))
             # One small job: the buckets of the batch's users and of every
@@ -106,7 +115,7 @@ def batch_writer(out_dir: str, sim_edges: Callable[[], DataFrame],
                 "uid", F.coalesce("recs", F.array().cast(EMPTY_RECS)).alias("recs"))
             recs = recs.withColumn("recs_text", encode_recs("recs"))
             recs.write.mode("overwrite").parquet(f"{out_dir}/recs/batch_id={batch_id}")
-            recents.write.mode("overwrite").parquet(f"{out_dir}/recents/batch_id={batch_id}")
+            kept.write.mode("overwrite").parquet(f"{out_dir}/recents/batch_id={batch_id}")
         finally:
             batch.unpersist()
     return write
@@ -116,11 +125,13 @@ def start(messages: DataFrame, out_dir: str, checkpoint: str,
           sim_edges: Callable[[], DataFrame], rated: Callable[[], DataFrame],
           trigger: dict | None = None, n_recent: int = RECENT_RATINGS_N,
           n_candidates: int = CANDIDATES_N, threshold: float = SIM_THRESHOLD,
-          query_name: str | None = None) -> StreamingQuery:
+          query_name: str | None = None, include_incoming: bool = True) -> StreamingQuery:
     """Start the job. ``trigger`` defaults to a 2-second micro-batch
     (``{'processingTime': '2 seconds'}``); tests use ``{'availableNow': True}``."""
-    w = with_recents(messages, n_recent).writeStream \
-        .foreachBatch(batch_writer(out_dir, sim_edges, rated, n_candidates, threshold)) \
+    kept_n = n_recent if include_incoming else n_recent + 1
+    w = with_recents(messages, kept_n).writeStream \
+        .foreachBatch(batch_writer(out_dir, sim_edges, rated, n_candidates, threshold,
+                                   n_recent=n_recent, include_incoming=include_incoming)) \
         .option("checkpointLocation", checkpoint) \
         .outputMode("update") \
         .trigger(**(trigger or {"processingTime": "2 seconds"}))
@@ -129,6 +140,26 @@ def start(messages: DataFrame, out_dir: str, checkpoint: str,
     return w.start()
 
 
+def ratings_sink(messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                 buckets: int = history.DEFAULT_BUCKETS) -> StreamingQuery:
+    """Append every parsed incoming rating to a parquet table partitioned by
+    user bucket (exactly-once file sink). ``streamed_rated`` reads it back so
+    the "already rated" set covers history and streamed ratings alike."""
+    rows = history.with_bucket(messages.select("uid", "mid", "score", "timestamp", "msg_id"),
+                               "uid", buckets)
+    return rows.writeStream.format("parquet").option("path", path) \
+        .option("checkpointLocation", checkpoint).partitionBy("uid_bucket") \
+        .outputMode("append").trigger(**(trigger or {"processingTime": "2 seconds"})).start()
+
+
+def streamed_rated(spark: SparkSession, history_rated: DataFrame, sink_path: str) -> DataFrame:
+    """(uid, mid, uid_bucket): rated pairs from history plus the ratings sink."""
+    streamed = spark.read.parquet(sink_path).select("uid", "mid", "uid_bucket")
+    hist = history_rated if "uid_bucket" in history_rated.columns \
+        else history.with_bucket(history_rated.select("uid", "mid"), "uid")
+    return hist.select("uid", "mid", "uid_bucket").unionByName(streamed)
+
+
 def _snapshot_root(out_dir: str, table: str) -> str:
     return f"{out_dir}/{table}_snapshots"
 

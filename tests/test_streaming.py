@@ -68,3 +68,36 @@ def test_stream_in_order_equals_batch_rerank(spark):
     want = rerank.rerank(msgs, edges, history.distinct_pairs(A.ratings(spark, d)),
                          threshold=RERANK_SIM).select("uid", "mid", F.round("score", 6).alias("score"))
     assert rows(got) == rows(want)
+
+
+def test_exclude_incoming_and_ratings_sink(spark):
+    d = SF_SMALL
+    base = shared_dir(spark, "test-stream-excl")
+    src = f"{base}/src"
+    msgs = A.messages(spark, d)
+    A.message_lines(msgs).write.text(src)
+    edges_path = f"{base}/edges"
+    history.with_bucket(similarity.item_similarity(A.factors(spark, d), 0.3), "mid") \
+        .write.partitionBy("mid_bucket").parquet(edges_path)
+    hist = history.distinct_pairs(A.ratings(spark, d))
+
+    # streamed ratings land in a user-bucketed table; rated = history + stream
+    s = RS.ratings_sink(RS.message_stream(spark, "text", src), f"{base}/sink", f"{base}/ck1",
+                        trigger={"availableNow": True})
+    s.awaitTermination()
+    assert spark.read.parquet(f"{base}/sink").count() == msgs.count()
+    rated_all = RS.streamed_rated(spark, hist, f"{base}/sink")
+    assert rated_all.count() == hist.count() + msgs.count()
+
+    q = RS.start(RS.message_stream(spark, "text", src), f"{base}/out", f"{base}/ck2",
+                 lambda: spark.read.parquet(edges_path), lambda: hist,
+                 trigger={"availableNow": True}, threshold=0.3, include_incoming=False)
+    q.awaitTermination()
+    assert q.exception() is None
+    got = RS.latest_recs(spark, f"{base}/out").select("uid", F.explode("recs").alias("x")) \
+        .select("uid", F.col("x.mid").alias("mid"), F.round("x.r", 6).alias("score"))
+    want = rerank.rerank(msgs, spark.read.parquet(edges_path), hist, threshold=0.3,
+                         include_incoming=False) \
+        .select("uid", "mid", F.round("score", 6).alias("score"))
+    assert rows(got) == rows(want)
+    assert rows(RS.latest_recents(spark, f"{base}/out")) == rows(rerank.recents_from_messages(msgs, 20))
