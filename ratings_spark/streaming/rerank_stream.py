@@ -153,11 +153,16 @@ def ratings_sink(messages: DataFrame, path: str, checkpoint: str, trigger: dict
 
 
 def streamed_rated(spark: SparkSession, history_rated: DataFrame, sink_path: str) -> DataFrame:
-    """(uid, mid, uid_bucket): rated pairs from history plus the ratings sink."""
-    streamed = spark.read.parquet(sink_path).select("uid", "mid", "uid_bucket")
+    """(uid, mid, uid_bucket): rated pairs from history plus the ratings sink
+    (history alone while the sink has not committed its first batch)."""
     hist = history_rated if "uid_bucket" in history_rated.columns \
         else history.with_bucket(history_rated.select("uid", "mid"), "uid")
-    return hist.select("uid", "mid", "uid_bucket").unionByName(streamed)
+    hist = hist.select("uid", "mid", "uid_bucket")
+    try:
+        streamed = spark.read.parquet(sink_path).select("uid", "mid", "uid_bucket")
+    except AnalysisException:
+        return hist
+    return hist.unionByName(streamed)
 
 
 def _snapshot_root(out_dir: str, table: str) -> str:
