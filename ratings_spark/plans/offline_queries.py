@@ -118,3 +118,16 @@ def q_als_grid(spark: SparkSession, d: str) -> DataFrame:
     the bench); training-set RMSE as originally, best row flagged."""
     return als.grid(A.ratings(spark, d), ranks=[10, 20], regs=[0.1, 0.01], max_iter=5,
                     mode="train", parallelism=2)
+
+
+@query("neighbour_lists_nested", with_(f=FACTORS_SQL, e=_SIM_EDGES_SQL.format(t=0.3)) + """
+, x AS (SELECT *, row_number() OVER (PARTITION BY mid ORDER BY sim DESC, other_mid) AS rn FROM e)
+SELECT mid, other_mid, round(sim, 6) AS sim FROM x WHERE rn <= 5""")
+def q_neighbour_lists_nested(spark: SparkSession, d: str) -> DataFrame:
+    """Top-5 neighbour lists nested per item (the stored list form), then
+    flattened back to lookup edges."""
+    from ratings_spark.operators.topk import nest_ranked
+    e = similarity.item_similarity(A.factors(spark, d), 0.3)
+    nested = nest_ranked(similarity.neighbour_lists(e, 5), ["mid"], "rank",
+                         {"mid": "other_mid", "r": "sim"})
+    return similarity.edges_from_nested(nested).select("mid", "other_mid", r6("sim").alias("sim"))

@@ -107,3 +107,13 @@ def q_latest_recs(spark: SparkSession, d: str) -> DataFrame:
     last = rerank.latest_version(allv, "uid", "batch_id")
     flat = last.select("uid", F.explode("recs").alias("x"))
     return flat.select("uid", F.col("x.mid").alias("mid"), r6("x.r").alias("score"))
+
+
+@query("message_recents", with_(msg=MESSAGES_SQL) + f"""
+, o AS (SELECT uid, mid, score,
+               row_number() OVER (PARTITION BY uid ORDER BY {MESSAGE_ORDER_SQL}) AS rn FROM msg)
+SELECT uid, CAST(rn AS INTEGER) AS rank, mid, score FROM o WHERE rn <= 20""")
+def q_message_recents(spark: SparkSession, d: str) -> DataFrame:
+    """Each user's 20 newest rated items in the message log (batch form of
+    the streaming state)."""
+    return rerank.recents_from_messages(A.messages(spark, d), 20)

@@ -147,3 +147,38 @@ def q_distinct_users(spark: SparkSession, d: str) -> DataFrame:
 SELECT uid, CAST(rn AS INTEGER) AS rank, mid, score FROM x WHERE rn <= 20""")
 def q_recent_ratings(spark: SparkSession, d: str) -> DataFrame:
     return history.recent_ratings(A.ratings(spark, d), 20, tiebreak=A.RATING_TIEBREAK)
+
+
+@query("genre_top10_nested", with_(r=RATINGS_SQL, m=MOVIES_SQL) + f"""
+, a AS (SELECT mid, avg(score) AS avg FROM r GROUP BY mid)
+, g(genre) AS (VALUES {_GENRE_VALUES})
+, j AS (
+  SELECT g.genre, m.mid, a.avg,
+         row_number() OVER (PARTITION BY g.genre ORDER BY a.avg DESC, m.mid) AS rn
+  FROM m JOIN a ON m.mid = a.mid
+  JOIN g ON contains(lower(m.genres), lower(g.genre)))
+SELECT genre AS genres, CAST(rn AS INTEGER) AS rank, mid, round(avg, 6) AS r FROM j WHERE rn <= 10""")
+def q_genre_top10_nested(spark: SparkSession, d: str) -> DataFrame:
+    """The nested per-genre table as the statistics job writes it, read back
+    flat with each element's list position."""
+    from ratings_spark.operators.topk import flatten_ranked
+    flat = stats.genre_top(A.movies(spark, d), A.ratings(spark, d),
+                           stats.genre_frame(spark, FIXTURE_GENRES), k=10)
+    nested = stats.genre_top_nested(flat)
+    return flatten_ranked(nested, ["genres"], "recs").select(
+        "genres", "rank", "mid", r6("r").alias("r"))
+
+
+@query("search_docs_roundtrip", with_(t=TAGS_SQL, m=MOVIES_SQL) + """
+, tm AS (SELECT mid, string_agg(DISTINCT tag, '|' ORDER BY tag) AS tags_text
+         FROM t WHERE tag IS NOT NULL GROUP BY mid)
+SELECT m.mid, m.name, coalesce(tm.tags_text, '') AS tags_text
+FROM m LEFT JOIN tm ON m.mid = tm.mid""")
+def q_search_docs_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Search documents written keyed by ``mid`` (one document per id) and
+    read back."""
+    path = shared_dir(spark, "search_docs")
+    doc = catalog.movie_with_tags(A.movies(spark, d), A.tags(spark, d)) \
+        .withColumn("tags_text", F.coalesce("tags_text", F.lit("")))
+    tables.write_table(doc, path, "parquet", unique_key="mid")
+    return tables.read_table(spark, path).select("mid", "name", "tags_text")
