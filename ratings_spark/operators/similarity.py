@@ -9,6 +9,10 @@ Methods:
 * ``lsh`` (approximate, opt-in): ``BucketedRandomProjectionLSH`` on unit
   vectors, where cos > t  <=>  euclidean distance < sqrt(2 - 2t), then an
   exact cosine re-check. It can miss pairs; it never returns a false one.
+  Its cost grows with the number of hash tables. On the 64-dimensional
+  embeddings at sf0.1, 4 tables found 98.5% of the pairs at t=0.4 and all
+  of them at t=0.6. It pays off only for high thresholds over very large
+  catalogues, where near and far pairs separate well.
 
 Output: directed edges (mid, other_mid, sim), no self pairs, sim > threshold.
 The planner sizes a pandas function's output by its input, which for edges
@@ -73,7 +77,7 @@ def _pair_block_fn(threshold: float):
 def item_similarity(factors: DataFrame, threshold: float = SIM_THRESHOLD,
                     method: str = "blocked", block_rows: int | None = None,
                     id_col: str = "id", vec_col: str = "features",
-                    lsh_bucket_length: float | None = None, lsh_tables: int = 8,
+                    lsh_bucket_length: float | None = None, lsh_tables: int = 4,
                     seed: int = 7) -> DataFrame:
     """Directed similarity edges (mid, other_mid, sim) with sim > threshold."""
     ship_package(factors.sparkSession)
