@@ -64,3 +64,17 @@ def test_tags_and_search_document(spark):
         "language string, genres string, actors string, directors string")
     doc = {r["mid"]: r["tags_text"] for r in catalog.movie_with_tags(movies, t).collect()}
     assert doc == {1: "a|b", 2: None}   # untagged kept; tag of unknown movie 5 dropped
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    from conftest import SF_SMALL
+    from ratings_spark.sources import adapters as A
+    base = rows(stats.monthly_counts(A.ratings(spark, SF_SMALL), ordered=False))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        assert rows(stats.monthly_counts(A.ratings(spark, SF_SMALL), ordered=False)) == base
+        ts = rows(A.messages(spark, SF_SMALL).select("timestamp"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert ts == rows(A.messages(spark, SF_SMALL).select("timestamp"))
