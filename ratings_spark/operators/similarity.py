@@ -58,14 +58,18 @@ def _pair_block_fn(threshold: float):
             return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
         return np.concatenate(out_a), np.concatenate(out_b), np.concatenate(out_s)
 
+    def unit_rows(vs) -> np.ndarray:
+        X = np.vstack(vs).astype(np.float64)
+        return X / np.sqrt(np.einsum("ij,ij->i", X, X))[:, None]
+
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         p, q = int(pdf["p"].iat[0]), int(pdf["q"].iat[0])
         left = pdf[pdf["b"] == p]
         right = left if p == q else pdf[pdf["b"] == q]
         if left.empty or right.empty:
             return pd.DataFrame({"mid": [], "other_mid": [], "sim": []})
-        X = np.vstack(left["v"].to_numpy())
-        Y = X if p == q else np.vstack(right["v"].to_numpy())
+        X = unit_rows(left["v"].to_numpy())
+        Y = X if p == q else unit_rows(right["v"].to_numpy())
         a, b, s = pairs_above(X, left["id"].to_numpy(np.int64), Y,
                               right["id"].to_numpy(np.int64), upper=(p == q))
         return pd.DataFrame({"mid": np.concatenate([a, b]),
@@ -81,9 +85,15 @@ def item_similarity(factors: DataFrame, threshold: float = SIM_THRESHOLD,
                     seed: int = 7) -> DataFrame:
     """Directed similarity edges (mid, other_mid, sim) with sim > threshold."""
     ship_package(factors.sparkSession)
-    uv = unit_vectors(factors, id_col, vec_col)
     if method == "blocked":
         spark = factors.sparkSession
+        # Vectors travel in their stored precision (float for ALS factors):
+        # every row is copied once per block, so this halves the shuffle.
+        # Zero, NULL and NaN-bearing vectors are dropped JVM-side; each task
+        # normalises its two blocks in double precision.
+        n2 = dot(vec_col, vec_col)
+        uv = factors.where(F.col(vec_col).isNotNull() & (n2 > 0) & ~F.isnan(n2)) \
+            .select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
         n = uv.count()
         B = block_count(spark, n, block_rows, symmetric=True)
         blocked = replicate(uv.withColumn("b", block_of("id", B)), B, "o")
@@ -91,6 +101,7 @@ def item_similarity(factors: DataFrame, threshold: float = SIM_THRESHOLD,
                                  "b", "id", "v")
         return blocked.groupBy("p", "q").applyInPandas(_pair_block_fn(threshold), EDGE_SCHEMA)
     if method == "lsh":
+        uv = unit_vectors(factors, id_col, vec_col)
         return _lsh_similarity(uv, threshold, lsh_bucket_length, lsh_tables, seed)
     raise ValueError(f"unknown method {method!r}")
 
