@@ -125,13 +125,15 @@ def start(messages: DataFrame, out_dir: str, checkpoint: str,
           sim_edges: Callable[[], DataFrame], rated: Callable[[], DataFrame],
           trigger: dict | None = None, n_recent: int = RECENT_RATINGS_N,
           n_candidates: int = CANDIDATES_N, threshold: float = SIM_THRESHOLD,
-          query_name: str | None = None, include_incoming: bool = True) -> StreamingQuery:
+          query_name: str | None = None, include_incoming: bool = True,
+          buckets: int = history.DEFAULT_BUCKETS) -> StreamingQuery:
     """Start the job. ``trigger`` defaults to a 2-second micro-batch
     (``{'processingTime': '2 seconds'}``); tests use ``{'availableNow': True}``."""
     kept_n = n_recent if include_incoming else n_recent + 1
     w = with_recents(messages, kept_n).writeStream \
         .foreachBatch(batch_writer(out_dir, sim_edges, rated, n_candidates, threshold,
-                                   n_recent=n_recent, include_incoming=include_incoming)) \
+                                   buckets=buckets, n_recent=n_recent,
+                                   include_incoming=include_incoming)) \
         .option("checkpointLocation", checkpoint) \
         .outputMode("update") \
         .trigger(**(trigger or {"processingTime": "2 seconds"}))
