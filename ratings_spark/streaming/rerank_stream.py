@@ -99,12 +99,15 @@ def batch_writer(out_dir: str, sim_edges: Callable[[], DataFrame],
                 kept = kept.where(F.col("rank") <= n_recent)
             triggers = batch.where(F.col("rank") == 1) \
                 .select("uid", F.col("trig_mid").alias("mid"))
-            # One small job: the buckets of the batch's users and of every
-            # item in their recent lists (triggers included). The similarity
+            # One small job: the buckets of the batch's users, of every item
+            # in their recent lists and of every trigger item (a late or
+            # excluded trigger need not be among the recents). The similarity
             # table is symmetric, so edges keyed by those items serve both
             # the candidate lookup and the scoring lookup.
-            ids = history.bucket_id_sets(recents, {"mid": "mid", "uid": "uid"}, buckets)
-            edges = history.restrict_to_ids(sim_edges(), "mid", ids["mid"])
+            ids = history.bucket_id_sets(
+                batch, {"mid": "mid", "trig": "trig_mid", "uid": "uid"}, buckets)
+            item_ids = sorted(set(ids["mid"]) | set(ids["trig"]))
+            edges = history.restrict_to_ids(sim_edges(), "mid", item_ids)
             seen = history.restrict_to_ids(rated(), "uid", ids["uid"])
             cands = rerank.unseen_neighbours(triggers, edges, seen, n_candidates, threshold)
             flipped = edges.select(F.col("other_mid").alias("mid"),

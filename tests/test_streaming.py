@@ -101,3 +101,35 @@ def test_exclude_incoming_and_ratings_sink(spark):
         .select("uid", "mid", F.round("score", 6).alias("score"))
     assert rows(got) == rows(want)
     assert rows(RS.latest_recents(spark, f"{base}/out")) == rows(rerank.recents_from_messages(msgs, 20))
+
+
+def test_bucket_pruning_keeps_trigger_items(spark):
+    """Exclude mode: the trigger item is in no recent row, yet its
+    neighbours must be found through bucket pruning."""
+    base = shared_dir(spark, "test-stream-trig")
+    pairs = [(1, 2, 0.9), (1, 3, 0.8), (2, 3, 0.7)]
+    edges = spark.createDataFrame(pairs + [(b, a, s) for a, b, s in pairs],
+                                  "mid long, other_mid long, sim double")
+    buckets = 64
+    ids = history.bucket_id_sets(spark.createDataFrame([(1,), (2,)], "mid long"),
+                                 {"m": "mid"}, buckets)["m"]
+    assert len(ids) == 2     # items 1 and 2 fall in different buckets
+    history.with_bucket(edges, "mid", buckets).write.partitionBy("mid_bucket") \
+        .parquet(f"{base}/e")
+    spark.createDataFrame(["7|2|4.0|10|1", "7|1|5.0|20|2"], "string").write.text(f"{base}/src")
+    rated = spark.createDataFrame([], "uid long, mid long")
+
+    def run(out, include):
+        q = RS.start(RS.message_stream(spark, "text", f"{base}/src"), f"{base}/{out}",
+                     f"{base}/ck-{out}", lambda: spark.read.parquet(f"{base}/e"), lambda: rated,
+                     trigger={"availableNow": True}, threshold=0.6,
+                     include_incoming=include, buckets=buckets)
+        q.awaitTermination()
+        return {r["mid"]: round(r["r"], 9)
+                for r in RS.latest_recs(spark, f"{base}/{out}").first()["recs"]}
+
+    # trigger 1; candidates 2 (0.9) and 3 (0.8)
+    # without the incoming rating, recents = {2: 4.0}: only 3 scores, 0.7 * 4
+    assert run("excl", False) == {3: 2.8}
+    # with it, recents = {1: 5.0, 2: 4.0}: 2 -> 0.9*5; 3 -> (0.8*5 + 0.7*4)/2 + log2(2)
+    assert run("incl", True) == {2: 4.5, 3: 4.4}
