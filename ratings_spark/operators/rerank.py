@@ -47,13 +47,16 @@ def unseen_neighbours(triggers: DataFrame, sim_edges: DataFrame, rated: DataFram
     """(uid, rank, mid, sim): per trigger (uid, mid), the n most similar items
     the user has not rated. An item without neighbours yields no rows.
 
-    ``rated`` may hold repeated (uid, mid) pairs: an anti join does not care,
-    so no de-duplication pass over the rating history is needed."""
+    ``rated`` may repeat (uid, mid) pairs. They are de-duplicated on the join
+    keys first: the partial aggregate collapses copies map-side, and its
+    hash partitioning on (uid, mid) is the one the anti join needs, so this
+    costs no extra shuffle, while a pair repeated a million times no longer
+    reaches one join task a million times."""
     t = triggers.select("uid", F.col("mid").alias("src"))
     e = sim_edges.where(F.col("sim") > threshold) \
         .select(F.col("mid").alias("src"), F.col("other_mid").alias("mid"), "sim")
     c = t.join(e, "src").drop("src")
-    c = c.join(rated.select("uid", "mid"), ["uid", "mid"], "left_anti")
+    c = c.join(rated.select("uid", "mid").distinct(), ["uid", "mid"], "left_anti")
     return top_k(c, ["uid"], [F.desc("sim"), F.asc("mid")], n).select("uid", "rank", "mid", "sim")
 
 
