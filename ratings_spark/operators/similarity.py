@@ -92,8 +92,11 @@ def item_similarity(factors: DataFrame, threshold: float = SIM_THRESHOLD,
         # Zero, NULL and NaN-bearing vectors are dropped JVM-side; each task
         # normalises its two blocks in double precision.
         n2 = dot(vec_col, vec_col)
+        # One vector per id: copies of an id would otherwise all land in
+        # the same hash block (and task).
         uv = factors.where(F.col(vec_col).isNotNull() & (n2 > 0) & ~F.isnan(n2)) \
-            .select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
+            .select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v")) \
+            .dropDuplicates(["id"])
         n = uv.count()
         B = block_count(spark, n, block_rows, symmetric=True)
         blocked = replicate(uv.withColumn("b", block_of("id", B)), B, "o")
