@@ -20,3 +20,9 @@ def test_cli_batch_jobs(spark):
     for t in ["movies", "ratings", "tags", "search_docs", "rated", "rating_counts",
               "monthly_counts", "average_scores", "genre_top", "user_recs", "item_recs"]:
         assert spark.read.parquet(f"{out}/{t}").count() > 0, t
+    msgs = A.messages(spark, SF_SMALL)
+    A.message_lines(msgs).write.text(f"{base}/in/msg")
+    main(["realtime", "--out", out, "--messages", f"{base}/in/msg", "--available-now"])
+    from ratings_spark.streaming import rerank_stream as RS
+    assert RS.latest_recs(spark, f"{out}/stream_recs").count() == \
+        msgs.select("uid").distinct().count()
