@@ -16,9 +16,16 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 DEFAULT_BLOCK_ROWS = 8192
-# Rows of the left block multiplied at once inside a task: bounds the score
-# matrix held in memory to CHUNK_ROWS x block_rows doubles (64 MB at 8192).
+# Rows of the left block multiplied at once inside a task (at most), and the
+# score-matrix size a chunk may reach: 8 M doubles = 64 MB, whatever the
+# block size.
 CHUNK_ROWS = 1024
+CHUNK_SCORES = 8 * 1024 * 1024
+
+
+def chunk_rows(n_right: int, max_rows: int = CHUNK_ROWS) -> int:
+    """Left rows per chunk so a chunk's scores stay within CHUNK_SCORES."""
+    return max(1, min(max_rows, CHUNK_SCORES // max(1, n_right)))
 
 
 def block_count(spark: SparkSession, n_rows: int, block_rows: int | None,

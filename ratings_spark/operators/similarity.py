@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ratings_spark.constants import SIM_THRESHOLD
 from ratings_spark.functions.vectors import dot, unit
-from ratings_spark.operators.blocks import CHUNK_ROWS, block_count, block_of, replicate
+from ratings_spark.operators.blocks import (
+    CHUNK_ROWS, block_count, block_of, chunk_rows, replicate)
 from ratings_spark.operators.topk import top_k
 from ratings_spark.session import ship_package
 
@@ -46,8 +47,9 @@ def unit_vectors(factors: DataFrame, id_col: str = "id", vec_col: str = "feature
 def _pair_block_fn(threshold: float):
     def pairs_above(X, xid, Y, yid, upper: bool):
         out_a, out_b, out_s = [], [], []
-        for lo in range(0, len(X), CHUNK_ROWS):
-            S = X[lo:lo + CHUNK_ROWS] @ Y.T
+        step = chunk_rows(len(Y), CHUNK_ROWS)
+        for lo in range(0, len(X), step):
+            S = X[lo:lo + step] @ Y.T
             keep = S > threshold
             if upper:   # same block: each unordered pair once, no self pairs
                 rows = np.arange(lo, lo + len(S))[:, None]
