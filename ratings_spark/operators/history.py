@@ -44,6 +44,34 @@ def with_bucket(df: DataFrame, key: str, buckets: int = DEFAULT_BUCKETS) -> Data
     return df.withColumn(f"{key}_bucket", bucket_of(key, buckets))
 
 
+def clustered_by_bucket(df: DataFrame, key: str, buckets: int = DEFAULT_BUCKETS,
+                        tasks_per_bucket: int = 1) -> DataFrame:
+    """``df`` with ``<key>_bucket``, shuffled so each bucket is held by at
+    most ``tasks_per_bucket`` tasks.
+
+    A ``partitionBy`` write straight from the input would have every input
+    task write a file into every bucket it meets (tasks x buckets files).
+    After this shuffle a bucket gets one file per holding task. A bucket's
+    rows are spread over ``tasks_per_bucket`` tasks by a second hash of the
+    key, so a bucket with a hot key still splits by key; raise it with the
+    table's size.
+    """
+    b = f"{key}_bucket"
+    df = with_bucket(df, key, buckets)
+    if tasks_per_bucket <= 1:
+        return df.repartition(buckets, b)
+    sub = F.pmod(F.xxhash64(F.col(key), F.lit(31)), F.lit(tasks_per_bucket))
+    return df.repartition(buckets * tasks_per_bucket, F.col(b), sub)
+
+
+def write_by_bucket(df: DataFrame, path: str, key: str, buckets: int = DEFAULT_BUCKETS,
+                    fmt: str = "parquet", options: dict | None = None,
+                    tasks_per_bucket: int = 1, mode: str = "overwrite") -> None:
+    """Write ``df`` partitioned by ``<key>_bucket`` with few files per bucket."""
+    clustered_by_bucket(df, key, buckets, tasks_per_bucket).write.format(fmt).mode(mode) \
+        .options(**(options or {})).partitionBy(f"{key}_bucket").save(path)
+
+
 def bucket_id_sets(df: DataFrame, keys: dict[str, str],
                    buckets: int = DEFAULT_BUCKETS) -> dict[str, list[int]]:
     """Distinct bucket ids of several key columns in one job: ``{name:

@@ -32,9 +32,8 @@ def run_stream(spark: SparkSession, d: str, slices: int = 3, fresh: bool = False
     # the rated set, each stored partitioned by a hash bucket of its key.
     sim_path, rated_path = f"{base}/item_recs", f"{base}/rated"
     edges = similarity.item_similarity(A.factors(spark, d), RERANK_SIM)
-    history.with_bucket(edges, "mid").write.partitionBy("mid_bucket").parquet(sim_path)
-    rated_set = history.distinct_pairs(A.ratings(spark, d))
-    history.with_bucket(rated_set, "uid").write.partitionBy("uid_bucket").parquet(rated_path)
+    history.write_by_bucket(edges, sim_path, "mid")
+    history.write_by_bucket(history.distinct_pairs(A.ratings(spark, d)), rated_path, "uid")
     msgs = A.messages(spark, d)
     cuts = msgs.approxQuantile("msg_id", [i / slices for i in range(1, slices)], 0.001)
     lines = A.message_lines(msgs, keep=["msg_id"])

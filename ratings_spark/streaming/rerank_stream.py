@@ -150,8 +150,8 @@ def ratings_sink(messages: DataFrame, path: str, checkpoint: str, trigger: dict
     """Append every parsed incoming rating to a parquet table partitioned by
     user bucket (exactly-once file sink). ``streamed_rated`` reads it back so
     the "already rated" set covers history and streamed ratings alike."""
-    rows = history.with_bucket(messages.select("uid", "mid", "score", "timestamp", "msg_id"),
-                               "uid", buckets)
+    rows = history.clustered_by_bucket(
+        messages.select("uid", "mid", "score", "timestamp", "msg_id"), "uid", buckets)
     return rows.writeStream.format("parquet").option("path", path) \
         .option("checkpointLocation", checkpoint).partitionBy("uid_bucket") \
         .outputMode("append").trigger(**(trigger or {"processingTime": "2 seconds"})).start()
