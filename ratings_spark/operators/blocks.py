@@ -5,8 +5,8 @@ Rows are hashed into ``B`` blocks. A block pair is one group of a grouped
 (``block_rows`` vectors each) and computes their product with NumPy. Every
 row is replicated once per partner block (``B`` copies), which is the whole
 shuffle volume: O(n * B) rows, never O(n^2). Larger blocks mean fewer
-copies; inside a task the product is taken ``CHUNK_ROWS`` rows at a time so
-memory stays bounded whatever the block size.
+copies; inside a task the product is taken in row chunks sized so that a
+chunk's scores stay within ``CHUNK_SCORES`` (64 MB), whatever the block size.
 """
 
 from __future__ import annotations

@@ -8,7 +8,6 @@ from ratings_spark.operators import catalog, history, stats
 from ratings_spark.plans.catalogue import (
     FIXTURE_GENRES, MESSAGES_SQL, MOVIES_SQL, RATING_ORDER_SQL, RATINGS_SQL, TAGS_SQL,
     query, r6, with_)
-from ratings_spark.schemas import MOVIE_TEXT_COLUMNS
 from ratings_spark.session import shared_dir
 from ratings_spark.sources import adapters as A
 from ratings_spark.sources import tables, text

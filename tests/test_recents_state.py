@@ -2,7 +2,6 @@
 
 import pandas as pd
 from conftest import rows
-from pyspark.sql import functions as F
 
 from ratings_spark.streaming import recents
 from ratings_spark.streaming import rerank_stream as RS

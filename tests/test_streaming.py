@@ -1,6 +1,5 @@
 """Stream = batch, restart from checkpoint, replayed input."""
 
-import tempfile
 
 from conftest import SF_SMALL, rows
 from pyspark.sql import functions as F
