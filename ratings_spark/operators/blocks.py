@@ -47,3 +47,16 @@ def block_of(id_col: str, n_blocks: int, salt: int = 0) -> Column:
 def replicate(df: DataFrame, n: int, name: str) -> DataFrame:
     """One copy of every row per partner block id 0..n-1."""
     return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+
+
+def spread_groups(df: DataFrame, n_groups: int, *cols: str) -> DataFrame:
+    """Hash-partition block-pair rows on the group columns into
+    ``min(n_groups, 4 x cores)`` partitions.
+
+    The grouped pandas call reuses this partitioning (no second shuffle),
+    and an explicit partition count is not coalesced by AQE. Without it, a
+    small shuffle feeding CPU-heavy block products would be merged into a
+    couple of tasks, leaving most cores idle.
+    """
+    cores = max(1, df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(max(1, min(n_groups, 4 * cores)), *cols)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from ratings_spark.constants import SIM_THRESHOLD
 from ratings_spark.functions.vectors import dot, unit
 from ratings_spark.operators.blocks import (
-    CHUNK_ROWS, block_count, block_of, chunk_rows, replicate)
+    CHUNK_ROWS, block_count, block_of, chunk_rows, replicate, spread_groups)
 from ratings_spark.operators.topk import top_k
 from ratings_spark.session import ship_package
 
@@ -104,6 +104,7 @@ def item_similarity(factors: DataFrame, threshold: float = SIM_THRESHOLD,
         blocked = replicate(uv.withColumn("b", block_of("id", B)), B, "o")
         blocked = blocked.select(F.least("b", "o").alias("p"), F.greatest("b", "o").alias("q"),
                                  "b", "id", "v")
+        blocked = spread_groups(blocked, B * (B + 1) // 2, "p", "q")
         return blocked.groupBy("p", "q").applyInPandas(_pair_block_fn(threshold), EDGE_SCHEMA)
     if method == "lsh":
         uv = unit_vectors(factors, id_col, vec_col)
