@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
 from ratings_spark.constants import RECENT_RATINGS_N
@@ -44,34 +45,68 @@ def with_bucket(df: DataFrame, key: str, buckets: int = DEFAULT_BUCKETS) -> Data
     return df.withColumn(f"{key}_bucket", bucket_of(key, buckets))
 
 
-def clustered_by_bucket(df: DataFrame, key: str, buckets: int = DEFAULT_BUCKETS,
-                        tasks_per_bucket: int = 1) -> DataFrame:
-    """``df`` with ``<key>_bucket``, shuffled so each bucket is held by at
-    most ``tasks_per_bucket`` tasks.
+def clustered_by_bucket(df: DataFrame, key: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """``df`` with ``<key>_bucket``, rebalanced by it before a partitioned
+    write.
 
     A ``partitionBy`` write straight from the input would have every input
     task write a file into every bucket it meets (tasks x buckets files).
-    After this shuffle a bucket gets one file per holding task. A bucket's
-    rows are spread over ``tasks_per_bucket`` tasks by a second hash of the
-    key, so a bucket with a hot key still splits by key; raise it with the
-    table's size.
+    ``REBALANCE`` clusters rows by bucket. AQE merges small partitions
+    (several whole buckets per task) and splits skewed ones, such as a
+    bucket holding a hot key, into advisory-size pieces. Each bucket thus
+    gets few, reasonably sized files.
     """
     b = f"{key}_bucket"
-    df = with_bucket(df, key, buckets)
-    if tasks_per_bucket <= 1:
-        return df.repartition(buckets, b)
-    sub = F.pmod(F.xxhash64(F.col(key), F.lit(31)), F.lit(tasks_per_bucket))
-    return df.repartition(buckets * tasks_per_bucket, F.col(b), sub)
+    return with_bucket(df, key, buckets).hint("rebalance", b)
 
 
 def write_by_bucket(df: DataFrame, path: str, key: str, buckets: int = DEFAULT_BUCKETS,
                     fmt: str = "parquet", options: dict | None = None,
-                    tasks_per_bucket: int = 1, mode: str = "overwrite") -> None:
+                    mode: str = "overwrite") -> None:
     """Write ``df`` partitioned by ``<key>_bucket`` with few files per bucket."""
-    clustered_by_bucket(df, key, buckets, tasks_per_bucket).write.format(fmt).mode(mode) \
+    clustered_by_bucket(df, key, buckets).write.format(fmt).mode(mode) \
         .options(**(options or {})).partitionBy(f"{key}_bucket").save(path)
 
 
+class BucketedTable:
+    """A table written by ``write_by_bucket``, read one set of buckets at a
+    time: only the named bucket folders are listed and scanned, so per-read
+    cost follows the buckets asked for, not the table. Callable with no
+    argument for the whole table.
+
+    The set of existing bucket folders is learnt once from the table's file
+    list (one entry per file, a few per bucket) and re-learnt if the table
+    was rewritten since.
+    """
+
+    def __init__(self, spark, path: str, key: str, fmt: str = "parquet"):
+        self.spark, self.path, self.key, self.fmt = spark, path.rstrip("/"), key, fmt
+        self._learn()
+
+    def _learn(self) -> None:
+        whole = self.spark.read.format(self.fmt).load(self.path)
+        self.schema = whole.schema
+        tag = f"/{self.key}_bucket="
+        self.present = {int(f.split(tag, 1)[1].split("/", 1)[0])
+                        for f in whole.inputFiles() if tag in f}
+
+    def __call__(self) -> DataFrame:
+        return self.spark.read.format(self.fmt).load(self.path)
+
+    def read(self, ids: list[int]) -> DataFrame:
+        for attempt in (0, 1):
+            paths = [f"{self.path}/{self.key}_bucket={i}" for i in sorted(set(ids) & self.present)]
+            if not paths:
+                return self.spark.createDataFrame([], self.schema)
+            try:
+                df = self.spark.read.format(self.fmt).option("basePath", self.path).load(paths)
+                return df.select(*self.schema.fieldNames())
+            except AnalysisException:   # rewritten underneath us: re-learn once
+                if attempt:
+                    raise
+                self._learn()
+
+
 def bucket_id_sets(df: DataFrame, keys: dict[str, str],
                    buckets: int = DEFAULT_BUCKETS) -> dict[str, list[int]]:
     """Distinct bucket ids of several key columns in one job: ``{name:
@@ -81,8 +116,12 @@ def bucket_id_sets(df: DataFrame, keys: dict[str, str],
     return {n: sorted(row[n]) for n in keys}
 
 
-def restrict_to_ids(table: DataFrame, key: str, ids: list[int]) -> DataFrame:
-    """Partition filter ``<key>_bucket IN ids`` when the table has the
-    column; the table unchanged otherwise."""
+def restrict_to_ids(table, key: str, ids: list[int]) -> DataFrame:
+    """Rows of the buckets ``ids`` of ``table``: a ``BucketedTable`` reads
+    only those folders; a DataFrame with ``<key>_bucket`` gets a partition
+    filter; any other DataFrame is returned unchanged (the exact joins that
+    follow do the filtering)."""
+    if isinstance(table, BucketedTable):
+        return table.read(ids)
     bcol = f"{key}_bucket"
     return table.where(F.col(bcol).isin(ids)) if bcol in table.columns else table

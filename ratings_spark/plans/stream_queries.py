@@ -48,8 +48,8 @@ def run_stream(spark: SparkSession, d: str, slices: int = 3, fresh: bool = False
         part.select("value").write.mode("append").text(src)
         stream = RS.message_stream(spark, "text", src)
         q = RS.start(stream, out, ckpt,
-                     sim_edges=lambda: spark.read.parquet(sim_path),
-                     rated=lambda: spark.read.parquet(rated_path),
+                     sim_edges=history.BucketedTable(spark, sim_path, "mid"),
+                     rated=history.BucketedTable(spark, rated_path, "uid"),
                      trigger={"availableNow": True}, threshold=RERANK_SIM)
         q.awaitTermination()
         if q.exception() is not None:

@@ -74,6 +74,12 @@ def with_recents(messages: DataFrame, n: int = RECENT_RATINGS_N) -> DataFrame:
         outputMode="Update", timeMode="None")
 
 
+def _source(src):
+    """A ``BucketedTable`` is used as is (it reads per bucket set); any
+    other callable is called for a fresh DataFrame each batch."""
+    return src if isinstance(src, history.BucketedTable) else src()
+
+
 def batch_writer(out_dir: str, sim_edges: Callable[[], DataFrame],
                  rated: Callable[[], DataFrame], n_candidates: int = CANDIDATES_N,
                  threshold: float = SIM_THRESHOLD, buckets: int = history.DEFAULT_BUCKETS,
@@ -107,8 +113,8 @@ def batch_writer(out_dir: str, sim_edges: Callable[[], DataFrame],
             ids = history.bucket_id_sets(
                 batch, {"mid": "mid", "trig": "trig_mid", "uid": "uid"}, buckets)
             item_ids = sorted(set(ids["mid"]) | set(ids["trig"]))
-            edges = history.restrict_to_ids(sim_edges(), "mid", item_ids)
-            seen = history.restrict_to_ids(rated(), "uid", ids["uid"])
+            edges = history.restrict_to_ids(_source(sim_edges), "mid", item_ids)
+            seen = history.restrict_to_ids(_source(rated), "uid", ids["uid"])
             cands = rerank.unseen_neighbours(triggers, edges, seen, n_candidates, threshold)
             flipped = edges.select(F.col("other_mid").alias("mid"),
                                    F.col("mid").alias("other_mid"), "sim")
