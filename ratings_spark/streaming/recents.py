@@ -106,8 +106,10 @@ class RecentRatings(StatefulProcessor):
             return
         trig = batch_top.iloc[0]
         merged = batch_top
-        if self.items.exists():
-            old = pd.DataFrame(list(self.items.get()), columns=_COLS).astype(_DTYPES)
+        # get() of absent state is empty: one round trip instead of two
+        stored = list(self.items.get())
+        if stored:
+            old = pd.DataFrame(stored, columns=_COLS).astype(_DTYPES)
             merged = _newest(pd.concat([old, batch_top], ignore_index=True), self.n)
         self.items.put([(int(r.mid), float(r.score), int(r.timestamp),
                          None if pd.isna(r.msg_id) else int(r.msg_id))
