@@ -129,3 +129,28 @@ def parse_messages(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
+
+
+def read_csv_table(spark: SparkSession, path: str, schema, sep: str = ",",
+                   quote: str = '"') -> tuple[DataFrame, DataFrame]:
+    """Spark's CSV reader in PERMISSIVE mode: ``(good, bad)`` like the line
+    parsers. A line that does not fit ``schema`` (wrong field count, bad
+    number) lands in ``bad`` with its text; quoted fields may hold the
+    separator. Values are trimmed by the reader."""
+    from pyspark.sql import types as T
+    corrupt = "_corrupt_record"
+    full = T.StructType(list(schema.fields) + [T.StructField(corrupt, T.StringType())])
+    df = (spark.read.schema(full).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", corrupt).option("sep", sep)
+          .option("quote", quote).option("escape", quote)
+          .option("ignoreLeadingWhiteSpace", "true").option("ignoreTrailingWhiteSpace", "true")
+          .csv(path))
+    good = df.where(F.col(corrupt).isNull()).drop(corrupt)
+    # The reason also reads the first field: Spark refuses queries that
+    # reference only the corrupt-record column of a raw CSV scan.
+    first = schema.fields[0].name
+    reason = F.when(F.col(first).isNull(), F.lit(f"{first} missing or invalid")) \
+        .otherwise(F.lit("does not match the schema"))
+    bad = df.where(F.col(corrupt).isNotNull()).select(F.col(corrupt).alias("value"),
+                                                        reason.alias("reason"))
+    return good, bad

@@ -53,3 +53,20 @@ def test_messages(spark):
         spark, "1|20|5.0|1564412038", "1|12|5.0|1564412037|7", "x|1|1|1", "1|2|3"))
     assert rows(good) == [(1, 12, 5.0, 1564412037, 7), (1, 20, 5.0, 1564412038, None)]
     assert len(bad.collect()) == 2
+
+
+def test_csv_reader_variant(spark):
+    from ratings_spark.schemas import RATING, TAG
+    from ratings_spark.session import shared_dir
+    base = shared_dir(spark, "test-csv-read")
+    spark.createDataFrame(["1,31,2.5,1260759144", " 2 , 5 , 4.0 , 99 ", "1,2,abc,3"], "string") \
+        .coalesce(1).write.text(f"{base}/r")
+    good, bad = text.read_csv_table(spark, f"{base}/r", RATING)
+    assert rows(good) == [(1, 31, 2.5, 1260759144), (2, 5, 4.0, 99)]
+    assert [r["value"] for r in bad.collect()] == ["1,2,abc,3"]
+    spark.createDataFrame(['15,340,"funny, but long",1138537771', '15,342,"say ""hi""",5'],
+                          "string").coalesce(1).write.text(f"{base}/t")
+    good, bad = text.read_csv_table(spark, f"{base}/t", TAG)
+    assert {r["mid"]: r["tag"] for r in good.collect()} == {340: "funny, but long",
+                                                            342: 'say "hi"'}
+    assert bad.count() == 0
