@@ -30,6 +30,15 @@ def q_parse_ratings(spark: SparkSession, d: str) -> DataFrame:
     return good
 
 
+@query("parse_ratings_csv", with_(r=RATINGS_SQL) + """
+SELECT CAST(uid AS INTEGER) AS uid, CAST(mid AS INTEGER) AS mid, score, timestamp FROM r""")
+def q_parse_ratings_csv(spark: SparkSession, d: str) -> DataFrame:
+    """The same lines through the CSV parser (``from_csv``, PERMISSIVE)."""
+    from ratings_spark.schemas import RATING
+    good, _bad = text.parse_csv(A.rating_lines(A.ratings(spark, d)), RATING)
+    return good
+
+
 @query("parse_tags", with_(t=TAGS_SQL) + """
 SELECT CAST(uid AS INTEGER) AS uid, CAST(mid AS INTEGER) AS mid, tag, timestamp FROM t""")
 def q_parse_tags(spark: SparkSession, d: str) -> DataFrame:

@@ -131,26 +131,30 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_csv_table(spark: SparkSession, path: str, schema, sep: str = ",",
-                   quote: str = '"') -> tuple[DataFrame, DataFrame]:
-    """Spark's CSV reader in PERMISSIVE mode: ``(good, bad)`` like the line
-    parsers. A line that does not fit ``schema`` (wrong field count, bad
-    number) lands in ``bad`` with its text; quoted fields may hold the
-    separator. Values are trimmed by the reader."""
-    from pyspark.sql import types as T
+def parse_csv(lines: DataFrame, schema, sep: str = ",",
+              quote: str = '"') -> tuple[DataFrame, DataFrame]:
+    """CSV parsing of a ``value`` column with ``from_csv`` in PERMISSIVE
+    mode: ``(good, bad)`` like the other parsers. A line that does not fit
+    ``schema`` (too few fields, a bad number) is quarantined with the first
+    invalid field named; quoted fields may hold the separator (``""`` is an
+    escaped quote). Values are trimmed."""
     corrupt = "_corrupt_record"
-    full = T.StructType(list(schema.fields) + [T.StructField(corrupt, T.StringType())])
-    df = (spark.read.schema(full).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", corrupt).option("sep", sep)
-          .option("quote", quote).option("escape", quote)
-          .option("ignoreLeadingWhiteSpace", "true").option("ignoreTrailingWhiteSpace", "true")
-          .csv(path))
-    good = df.where(F.col(corrupt).isNull()).drop(corrupt)
-    # The reason also reads the first field: Spark refuses queries that
-    # reference only the corrupt-record column of a raw CSV scan.
-    first = schema.fields[0].name
-    reason = F.when(F.col(first).isNull(), F.lit(f"{first} missing or invalid")) \
-        .otherwise(F.lit("does not match the schema"))
-    bad = df.where(F.col(corrupt).isNotNull()).select(F.col(corrupt).alias("value"),
-                                                        reason.alias("reason"))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt, "sep": sep,
+            "quote": quote, "escape": quote, "ignoreLeadingWhiteSpace": "true",
+            "ignoreTrailingWhiteSpace": "true"}
+    r = lines.select("value", F.from_csv("value", f"{ddl}, `{corrupt}` string", opts).alias("_r"))
+    bad_line = F.col(f"_r.{corrupt}").isNotNull()
+    good = r.where(~bad_line).select(*[F.col(f"_r.`{f.name}`").alias(f.name)
+                                       for f in schema.fields])
+    reason = F.coalesce(*[F.when(F.col(f"_r.`{f.name}`").isNull(),
+                                 F.lit(f"{f.name} missing or invalid")) for f in schema.fields],
+                        F.lit("does not match the schema"))
+    bad = r.where(bad_line).select("value", reason.alias("reason"))
     return good, bad
+
+
+def read_csv_table(spark: SparkSession, path: str, schema, sep: str = ",",
+                   quote: str = '"') -> tuple[DataFrame, DataFrame]:
+    """``parse_csv`` over the lines of text files."""
+    return parse_csv(spark.read.text(path), schema, sep, quote)
