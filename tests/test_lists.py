@@ -1,3 +1,5 @@
+"""Encoded recommendation lists and vector expressions."""
+
 from hypothesis import given, settings, strategies as st
 
 from ratings_spark.functions.lists import decode_recs, encode_recs

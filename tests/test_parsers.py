@@ -1,3 +1,5 @@
+"""Text parsers: trimming, typing, quarantine reasons, commas and quotes in tags."""
+
 from conftest import rows
 
 from ratings_spark.sources import text

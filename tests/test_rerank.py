@@ -1,3 +1,5 @@
+"""Re-rank score formula branches, anti join, limits, latest message and versions."""
+
 import math
 
 from conftest import rows

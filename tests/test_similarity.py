@@ -1,3 +1,5 @@
+"""Cosine similarity: thresholds, zero vectors, blocking/chunking exactness, LSH subset."""
+
 import numpy as np
 from conftest import SF_SMALL, rows
 

@@ -1,3 +1,5 @@
+"""Table reads and writes through Spark's data-source API."""
+
 from conftest import rows
 from pyspark.sql import types as T
 

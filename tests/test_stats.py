@@ -1,3 +1,5 @@
+"""Statistics: counts, months in UTC, averages, genre matching and ties, tag documents."""
+
 from conftest import rows
 
 from ratings_spark.functions.dates import year_month
