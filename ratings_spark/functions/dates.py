@@ -5,9 +5,18 @@ from pyspark.sql import Column, functions as F
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
-def epoch_seconds(col: str | Column) -> Column:
-    """Whole epoch seconds of a timestamp (NTZ read as UTC wall clock)."""
+def epoch_seconds(col: str | Column, kind: str = "ntz") -> Column:
+    """Whole epoch seconds of a timestamp, independent of the session zone.
+
+    ``kind="ntz"``: a ``timestamp_ntz`` wall clock read as UTC (the driver
+    tables). ``kind="ltz"``: a ``timestamp`` instant (e.g. a Kafka record
+    time), converted with ``unix_seconds``.
+    """
     c = F.col(col) if isinstance(col, str) else col
+    if kind == "ltz":
+        return F.unix_seconds(c)
+    if kind != "ntz":
+        raise ValueError(f"kind must be 'ntz' or 'ltz', not {kind!r}")
     return F.timestamp_diff("SECOND", F.expr(_EPOCH_NTZ), c.cast("timestamp_ntz"))
 
 

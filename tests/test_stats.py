@@ -80,3 +80,16 @@ def test_results_do_not_depend_on_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert ts == rows(A.messages(spark, SF_SMALL).select("timestamp"))
+
+
+def test_epoch_seconds_both_kinds(spark):
+    from ratings_spark.functions.dates import epoch_seconds
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        r = spark.sql("SELECT TIMESTAMP_NTZ'1970-01-02 00:00:00' AS n, "
+                      "TIMESTAMP'1970-01-02 09:00:00' AS l").select(
+            epoch_seconds("n").alias("n"), epoch_seconds("l", "ltz").alias("l")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["n"] == 86400 and r["l"] == 86400   # 09:00 in Tokyo is 00:00 UTC
