@@ -37,8 +37,9 @@ def average_scores(ratings: DataFrame) -> DataFrame:
 
 
 def genre_frame(spark: SparkSession, genres: Sequence[str] | None = None) -> DataFrame:
-    """The genre list as a one-column frame (a fixed, small literal list)."""
-    gl = list(DEFAULT_GENRES if genres is None else genres)
+    """The genre list as a one-column frame (a fixed, small literal list).
+    A name given twice is kept once (it would otherwise double its matches)."""
+    gl = list(dict.fromkeys(DEFAULT_GENRES if genres is None else genres))
     return spark.createDataFrame([(g,) for g in gl], "genre string")
 
 
