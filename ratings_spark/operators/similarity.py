@@ -23,6 +23,7 @@ job's table) before joining them elsewhere.
 from __future__ import annotations
 
 import math
+from typing import Any, Iterator, Tuple
 
 import numpy as np
 import pandas as pd
@@ -45,38 +46,40 @@ def unit_vectors(factors: DataFrame, id_col: str = "id", vec_col: str = "feature
 
 
 def _pair_block_fn(threshold: float):
-    def pairs_above(X, xid, Y, yid, upper: bool):
-        out_a, out_b, out_s = [], [], []
-        step = chunk_rows(len(Y), CHUNK_ROWS)
-        for lo in range(0, len(X), step):
-            S = X[lo:lo + step] @ Y.T
-            keep = S > threshold
-            if upper:   # same block: each unordered pair once, no self pairs
-                rows = np.arange(lo, lo + len(S))[:, None]
-                keep &= np.arange(len(Y))[None, :] > rows
-            i, j = np.nonzero(keep)
-            out_a.append(xid[lo + i]); out_b.append(yid[j]); out_s.append(S[i, j])
-        if not out_a:
-            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-        return np.concatenate(out_a), np.concatenate(out_b), np.concatenate(out_s)
+    """Grouped-map function (iterator form) for one block pair (p, q).
+
+    The group's input is two blocks (bounded by the block size); the output
+    is yielded one row chunk at a time, so even a low threshold that keeps
+    most pairs never holds more than one chunk's edges in memory."""
 
     def unit_rows(vs) -> np.ndarray:
         X = np.vstack(vs).astype(np.float64)
         return X / np.sqrt(np.einsum("ij,ij->i", X, X))[:, None]
 
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        p, q = int(pdf["p"].iat[0]), int(pdf["q"].iat[0])
+    def fn(key: Tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(batches), ignore_index=True)
+        p, q = int(key[0]), int(key[1])
         left = pdf[pdf["b"] == p]
         right = left if p == q else pdf[pdf["b"] == q]
         if left.empty or right.empty:
-            return pd.DataFrame({"mid": [], "other_mid": [], "sim": []})
+            return
         X = unit_rows(left["v"].to_numpy())
         Y = X if p == q else unit_rows(right["v"].to_numpy())
-        a, b, s = pairs_above(X, left["id"].to_numpy(np.int64), Y,
-                              right["id"].to_numpy(np.int64), upper=(p == q))
-        return pd.DataFrame({"mid": np.concatenate([a, b]),
-                             "other_mid": np.concatenate([b, a]),
-                             "sim": np.concatenate([s, s]).astype(np.float64)})
+        xid = left["id"].to_numpy(np.int64)
+        yid = right["id"].to_numpy(np.int64)
+        step = chunk_rows(len(Y), CHUNK_ROWS)
+        for lo in range(0, len(X), step):
+            S = X[lo:lo + step] @ Y.T
+            keep = S > threshold
+            if p == q:   # same block: each unordered pair once, no self pairs
+                keep &= np.arange(len(Y))[None, :] > np.arange(lo, lo + len(S))[:, None]
+            i, j = np.nonzero(keep)
+            if len(i) == 0:
+                continue
+            a, b, sim = xid[lo + i], yid[j], S[i, j].astype(np.float64)
+            yield pd.DataFrame({"mid": np.concatenate([a, b]),
+                                "other_mid": np.concatenate([b, a]),
+                                "sim": np.concatenate([sim, sim])})
     return fn
 
 
