@@ -102,7 +102,9 @@ def item_similarity(factors: DataFrame, threshold: float = SIM_THRESHOLD,
         uv = factors.where(F.col(vec_col).isNotNull() & (n2 > 0) & ~F.isnan(n2)) \
             .select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v")) \
             .dropDuplicates(["id"])
-        n = uv.count()
+        # Block sizing needs only an upper bound: the raw row count (read from
+        # file footers for parquet) avoids running the filter and de-dup twice.
+        n = factors.count()
         B = block_count(spark, n, block_rows, symmetric=True)
         blocked = replicate(uv.withColumn("b", block_of("id", B)), B, "o")
         blocked = blocked.select(F.least("b", "o").alias("p"), F.greatest("b", "o").alias("q"),
