@@ -50,7 +50,8 @@ def run_stream(spark: SparkSession, d: str, slices: int = 3, fresh: bool = False
         q = RS.start(stream, out, ckpt,
                      sim_edges=history.BucketedTable(spark, sim_path, "mid"),
                      rated=history.BucketedTable(spark, rated_path, "uid"),
-                     trigger={"availableNow": True}, threshold=RERANK_SIM)
+                     trigger={"availableNow": True}, threshold=RERANK_SIM,
+                     state_partitions=2 * spark.sparkContext.defaultParallelism)
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(f"stream failed: {q.exception()}")

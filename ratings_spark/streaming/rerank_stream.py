@@ -135,9 +135,17 @@ def start(messages: DataFrame, out_dir: str, checkpoint: str,
           trigger: dict | None = None, n_recent: int = RECENT_RATINGS_N,
           n_candidates: int = CANDIDATES_N, threshold: float = SIM_THRESHOLD,
           query_name: str | None = None, include_incoming: bool = True,
-          buckets: int = history.DEFAULT_BUCKETS) -> StreamingQuery:
+          buckets: int = history.DEFAULT_BUCKETS,
+          state_partitions: int | None = None) -> StreamingQuery:
     """Start the job. ``trigger`` defaults to a 2-second micro-batch
-    (``{'processingTime': '2 seconds'}``); tests use ``{'availableNow': True}``."""
+    (``{'processingTime': '2 seconds'}``); tests use ``{'availableNow': True}``.
+
+    ``state_partitions`` sets the shuffle partitions of this query only (the
+    state store's partition count, fixed by the checkpoint at first start,
+    and the per-batch joins, which run without AQE in a stateful query). The
+    query snapshots the session's configuration when it starts, so the
+    session's own setting is restored right after.
+    """
     kept_n = n_recent if include_incoming else n_recent + 1
     w = with_recents(messages, kept_n).writeStream \
         .foreachBatch(batch_writer(out_dir, sim_edges, rated, n_candidates, threshold,
@@ -148,7 +156,16 @@ def start(messages: DataFrame, out_dir: str, checkpoint: str,
         .trigger(**(trigger or {"processingTime": "2 seconds"}))
     if query_name:
         w = w.queryName(query_name)
-    return w.start()
+    if state_partitions is None:
+        return w.start()
+    spark = messages.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(key, old)
 
 
 def ratings_sink(messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
