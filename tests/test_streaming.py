@@ -59,7 +59,10 @@ def test_stream_in_order_equals_batch_rerank(spark):
     from ratings_spark.plans import stream_queries
     from ratings_spark.plans.realtime_queries import RERANK_SIM
     d = SF_SMALL
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     out = stream_queries.run_stream(spark, d, fresh=True)
+    # the query ran with its own state partitions; the session is unchanged
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
     got = RS.latest_recs(spark, out).select("uid", F.explode("recs").alias("x")) \
         .select("uid", F.col("x.mid").alias("mid"), F.round("x.r", 6).alias("score"))
     msgs = A.messages(spark, d)
