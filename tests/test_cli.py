@@ -24,5 +24,7 @@ def test_cli_batch_jobs(spark):
     A.message_lines(msgs).write.text(f"{base}/in/msg")
     main(["realtime", "--out", out, "--messages", f"{base}/in/msg", "--available-now"])
     from ratings_spark.streaming import rerank_stream as RS
-    assert RS.latest_recs(spark, f"{out}/stream_recs").count() == \
-        msgs.select("uid").distinct().count()
+    n_users = msgs.select("uid").distinct().count()
+    assert RS.latest_recs(spark, f"{out}/stream_recs").count() == n_users
+    main(["compact", "--out", out])
+    assert RS.latest_recs(spark, f"{out}/stream_recs").count() == n_users
