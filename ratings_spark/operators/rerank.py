@@ -43,7 +43,8 @@ def recents_from_messages(messages: DataFrame, n: int = RECENT_RATINGS_N) -> Dat
 
 
 def unseen_neighbours(triggers: DataFrame, sim_edges: DataFrame, rated: DataFrame,
-                      n: int = CANDIDATES_N, threshold: float = SIM_THRESHOLD) -> DataFrame:
+                      n: int = CANDIDATES_N, threshold: float = SIM_THRESHOLD,
+                      broadcast_limit: int | None = None) -> DataFrame:
     """(uid, rank, mid, sim): per trigger (uid, mid), the n most similar items
     the user has not rated. An item without neighbours yields no rows.
 
@@ -51,12 +52,24 @@ def unseen_neighbours(triggers: DataFrame, sim_edges: DataFrame, rated: DataFram
     keys first: the partial aggregate collapses copies map-side, and its
     hash partitioning on (uid, mid) is the one the anti join needs, so this
     costs no extra shuffle, while a pair repeated a million times no longer
-    reaches one join task a million times."""
+    reaches one join task a million times.
+
+    ``broadcast_limit`` (used per micro-batch): when the candidate pairs
+    number at most this many -- counted first, so the broadcast size is
+    checked -- they are broadcast and the rated rows are only scanned and
+    probed locally. The few rated candidates found are then removed with a
+    join between small sides, and the large rated table is never shuffled.
+    Beyond the limit, or without it, the shuffle anti join above is used."""
     t = triggers.select("uid", F.col("mid").alias("src"))
     e = sim_edges.where(F.col("sim") > threshold) \
         .select(F.col("mid").alias("src"), F.col("other_mid").alias("mid"), "sim")
     c = t.join(e, "src").drop("src")
-    c = c.join(rated.select("uid", "mid").distinct(), ["uid", "mid"], "left_anti")
+    if broadcast_limit is not None and c.count() <= broadcast_limit:
+        keys = c.select("uid", "mid").distinct()
+        hits = rated.select("uid", "mid").join(F.broadcast(keys), ["uid", "mid"], "left_semi")
+        c = c.join(hits.distinct(), ["uid", "mid"], "left_anti")
+    else:
+        c = c.join(rated.select("uid", "mid").distinct(), ["uid", "mid"], "left_anti")
     return top_k(c, ["uid"], [F.desc("sim"), F.asc("mid")], n).select("uid", "rank", "mid", "sim")
 
 

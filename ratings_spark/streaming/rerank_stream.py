@@ -33,6 +33,10 @@ from ratings_spark.streaming.recents import OUTPUT_SCHEMA, RecentRatings
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 EMPTY_RECS = "array<struct<mid:bigint,r:double>>"
+# Candidate (uid, mid) pairs of one micro-batch broadcast to probe the rated
+# index locally: 2 M pairs x 16 bytes = 32 MB at most; above that the
+# shuffle anti join is used.
+BROADCAST_CANDIDATES = 2_000_000
 
 
 def message_stream(spark: SparkSession, fmt: str = "text", path: str | None = None,
@@ -115,7 +119,8 @@ def batch_writer(out_dir: str, sim_edges: Callable[[], DataFrame],
             item_ids = sorted(set(ids["mid"]) | set(ids["trig"]))
             edges = history.restrict_to_ids(_source(sim_edges), "mid", item_ids)
             seen = history.restrict_to_ids(_source(rated), "uid", ids["uid"])
-            cands = rerank.unseen_neighbours(triggers, edges, seen, n_candidates, threshold)
+            cands = rerank.unseen_neighbours(triggers, edges, seen, n_candidates, threshold,
+                                             broadcast_limit=BROADCAST_CANDIDATES)
             flipped = edges.select(F.col("other_mid").alias("mid"),
                                    F.col("mid").alias("other_mid"), "sim")
             scores = rerank.rerank_scores(cands, recents, flipped, threshold)

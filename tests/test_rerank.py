@@ -74,3 +74,14 @@ def test_latest_version(spark):
     v = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (1, 2, "c"), (2, 1, "d")],
                               "uid long, batch_id int, x string")
     assert rows(rerank.latest_version(v), "uid", "x") == [(1, "b"), (1, "c"), (2, "d")]
+
+
+def test_broadcast_and_shuffle_anti_join_agree(spark):
+    e = edges(spark, [(1, i, 0.99 - i / 100) for i in range(2, 30)])
+    m = msgs(spark, [(7, 1, 4.0, 1, 1), (8, 1, 3.0, 2, 2)])
+    rated = spark.createDataFrame([(7, 2), (7, 3), (7, 3), (8, 4)], "uid long, mid long")
+    trig = rerank.latest_messages(m)
+    a = rows(rerank.unseen_neighbours(trig, e, rated, 20, 0.6))
+    b = rows(rerank.unseen_neighbours(trig, e, rated, 20, 0.6, broadcast_limit=1000))
+    c = rows(rerank.unseen_neighbours(trig, e, rated, 20, 0.6, broadcast_limit=10))  # over limit
+    assert a == b == c and len(a) == 40
