@@ -1,0 +1,65 @@
+"""Small tables shared by the tests."""
+
+from __future__ import annotations
+
+import os
+
+import duckdb
+from pyspark.sql import functions as F
+
+SF = os.environ.get("LLM_TEST_DIR", "/root/testdata/sf0.001")
+KIND = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+# Nulls, empties, ties, repeated rows, a long text, odd characters.
+ODD = [
+    (1, None, None, None, None),
+    (2, "", "en", "a", 0),
+    (3, " \t\n\u000b\u000c\r ", "en", "a", 7),
+    (None, "one two three four", "en", "b", 18),
+    (None, "one two three four", "en", "b", 18),
+    (4, "one two three four", None, None, None),
+    (5, "One TWO three four", "en", "b", 18),
+    (6, "word " * 30000, "en", "b", 150000),
+    (7, "éß \U0001f600 中文 café́   x\u001cy   z", "fr", "c", 20),
+    (8, "x" * 5000, "en", "c", 5000),
+    (9, "a b", "en", "a", 3),
+    (9, "a b", "en", "a", 3),
+    (9, "a c", "en", "a", 3),
+    (10, "<|endoftext|> <s> </s> <|startoftext|>", "en", "z", 30),
+    (11, "▁ ▁▁ a", "en", "z", 5),
+]
+
+
+def documents(spark):
+    """The documents of the smallest tables and the odd rows, which clash in no id."""
+    return spark.read.parquet(f"{SF}/documents.parquet").select(
+        (F.col("doc_id") + 1000).alias("doc_id"), "text", "lang", "source", "n_chars").union(
+        spark.createDataFrame(ODD, KIND)).repartition(4)
+
+
+def odd(spark, *extra):
+    """The odd rows, with extra columns of the given names."""
+    rows = spark.createDataFrame(ODD, KIND)
+    return rows.select("*", *[F.lit(k).alias(n) for k, n in enumerate(extra)])
+
+
+def nothing(spark):
+    return spark.createDataFrame([], KIND)
+
+
+def rows_of(df, *columns):
+    """Rows as sorted tuples, None first."""
+    return sorted((tuple(r) for r in df.select(*(columns or df.columns)).collect()),
+                  key=lambda r: tuple((x is not None, str(type(x)), x) for x in r))
+
+
+def texts(docs):
+    """(doc_id, text) of all rows, null as empty."""
+    return [(r["doc_id"], r["text"] or "") for r in docs.select("doc_id", "text").collect()]
+
+
+def duck(sf_dir=SF):
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return con

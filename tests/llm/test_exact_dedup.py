@@ -1,0 +1,86 @@
+import hashlib
+from collections import defaultdict
+
+import helpers as H
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from ratings_spark.llm import exact_dedup as D
+
+
+def brute(pairs):
+    groups = defaultdict(list)
+    for i, t in pairs:
+        groups[t].append(i)
+    out = []
+    for t, ids in groups.items():
+        known = [i for i in ids if i is not None]
+        keep = max(known) if known else None
+        first = True
+        for i in ids:
+            kept = i == keep and first
+            first = first and not kept
+            out.append((i, keep, len(ids), kept, hashlib.sha256(t.encode()).hexdigest()))
+    return sorted(out, key=lambda r: tuple((x is not None, str(type(x)), x) for x in r))
+
+
+def test_equals_brute_force(spark):
+    docs = H.documents(spark).cache()
+    columns = ("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    assert H.rows_of(D.duplicates(docs), *columns) == brute(H.texts(docs))
+
+
+def test_shared_hashes_are_told_apart(spark):
+    docs = H.documents(spark).cache()
+    columns = ("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    got = D.duplicates(docs, identity=lambda chunk: len(chunk) % 3)
+    assert H.rows_of(got, *columns) == brute(H.texts(docs))
+
+
+def test_keep_one_returns_whole_rows_and_clashing_columns(spark):
+    docs = H.odd(spark, "recipe", "chunk", "h", "kept", "doc", "tie").cache()
+    kept = D.keep_one(docs)
+    assert kept.columns == docs.columns
+    rows = kept.collect()
+    assert len(rows) == len({t for _, t in H.texts(docs)})
+    by = {r["text"] or "": r for r in rows}
+    assert by["one two three four"]["doc_id"] == 4 and by["a b"]["doc_id"] == 9
+
+
+def test_empty_table(spark):
+    assert D.duplicates(H.nothing(spark)).collect() == []
+    assert D.keep_one(H.nothing(spark)).collect() == []
+
+
+def _chunks(text: bytes):
+    offsets = np.array([0, len(text)])
+    ends = D.cut_points(np.frombuffer(text, np.uint8), offsets)[0]
+    return [text[a:b] for a, b in zip([0, *ends], ends)]
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.integers(0, 2**32), st.integers(0, 60000))
+def test_chunks_join_to_the_text_and_are_bounded(seed, n):
+    letters = np.frombuffer("abcdefg hé".encode()[:8], np.uint8)
+    text = letters[np.random.default_rng(seed).integers(0, 8, n)].tobytes()
+    chunks = _chunks(text)
+    assert b"".join(chunks) == text
+    assert all(len(c) <= D.MAX_CHUNK for c in chunks)
+    assert all(len(c) >= D.MIN_CHUNK for c in chunks[:-1])
+
+
+def test_cuts_follow_the_content_and_not_the_place():
+    text = np.random.default_rng(1).integers(97, 123, 100000).astype(np.uint8).tobytes()
+    a, b = set(_chunks(text)), set(_chunks(b"some words before " + text))
+    assert len(a & b) > 0.9 * len(a)
+
+
+def test_cuts_do_not_depend_on_neighbours_in_the_batch():
+    rng = np.random.default_rng(2)
+    parts = [rng.integers(97, 123, n).astype(np.uint8).tobytes() for n in (5000, 0, 300, 20000)]
+    joined, offsets = b"".join(parts), np.cumsum([0, *map(len, parts)])
+    together = D.cut_points(np.frombuffer(joined, np.uint8), offsets)
+    for part, at, ends in zip(parts, offsets, together):
+        alone = D.cut_points(np.frombuffer(part, np.uint8), np.array([0, len(part)]))[0]
+        assert [e - at for e in ends] == alone

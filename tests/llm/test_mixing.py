@@ -1,0 +1,85 @@
+import re
+
+import helpers as H
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ratings_spark.llm import mixing as M
+
+
+def fill(sizes, weights=(5, 2, 1), repeats=3):
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[k % 3] for k, s in enumerate(names)}
+    target, free, left = {}, set(names), float(sum(sizes.values()))
+    while free:
+        whole = sum(weight[s] for s in free)
+        over = [s for s in free if left * weight[s] / whole > repeats * sizes[s]]
+        if not over:
+            target.update({s: left * weight[s] / whole for s in free})
+            break
+        for s in over:
+            target[s] = float(repeats * sizes[s])
+            free.discard(s)
+        left -= sum(target[s] for s in over)
+    return target
+
+
+def count(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def test_sizes_targets_and_taken(spark):
+    docs = H.documents(spark).cache()
+    sizes, largest = {}, {}
+    for r in docs.collect():
+        n = count(r["text"])
+        sizes[r["source"]] = sizes.get(r["source"], 0) + n
+        largest[r["source"]] = max(largest.get(r["source"], 0), n)
+    want = fill(sizes)
+    rows = M.assign(docs, F.struct("source", "text")).collect()
+    assert len(rows) == docs.count()
+    took = dict.fromkeys(sizes, 0)
+    for r in rows:
+        s = r["row"]["source"]
+        assert r["size"] == count(r["row"]["text"]) and r["source_size"] == sizes[s]
+        assert r["target"] == pytest.approx(want[s])
+        assert 0 <= r["taken"] <= 3 * r["size"] and len(r["places"]) == r["copies"]
+        assert all(0 <= p <= 1 for p in r["places"])
+        took[s] += r["taken"]
+    for s in sizes:
+        assert abs(took[s] - want[s]) <= largest[s]
+
+
+def test_reruns_and_layout_agree(spark):
+    docs = H.documents(spark).cache()
+    assert H.rows_of(M.taken(docs)) == H.rows_of(M.taken(docs.repartition(7)))
+
+
+def test_positions_follow_the_schedule(spark):
+    """Words taken until a moment are the integral of the schedule up to it."""
+    docs = spark.range(4000).selectExpr("id as doc_id", "'a b c d' as text",
+                                        "if(id % 2 = 0, 'x', 'y') as source")
+    rows = M.assign(docs, docs["source"], weights=(1.0, 1.0),
+                    schedules=((3.0, 1.0, 0.0), (1.0, 1.0, 4.0))).collect()
+    for s, knots in (("x", (3, 1, 0)), ("y", (1, 1, 4))):
+        places = np.sort([p for r in rows if r["row"] == s for p in r["places"]])
+        t = np.linspace(0, 1, 2001)
+        rate = np.interp(t, np.linspace(0, 1, 3), knots)
+        done = np.concatenate(([0], np.cumsum((rate[1:] + rate[:-1]) / 2)))
+        done /= done[-1]
+        got = np.searchsorted(places, t) / len(places)
+        assert np.abs(got - done).max() < 0.002
+
+
+def test_mix_repeats_whole_rows_in_order(spark):
+    docs = H.odd(spark, "place", "places", "copies", "size", "key", "doc")
+    mixed = M.mix(docs)
+    assert mixed.columns == docs.columns
+    words = sum(count(r["text"]) for r in mixed.collect())
+    assert words == sum(r["taken"] for r in M.taken(docs).collect())
+
+
+def test_empty(spark):
+    assert M.taken(H.nothing(spark)).collect() == []
+    assert M.mix(H.nothing(spark)).collect() == []
