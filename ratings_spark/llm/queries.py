@@ -8,14 +8,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import classifier, exact_dedup, mixing, packing, simhash
+from . import (
+    classifier,
+    exact_dedup,
+    licenses,
+    mixing,
+    packing,
+    pii,
+    quality_rules,
+    simhash,
+    token_counts,
+    wavelet,
+)
 from .common import table
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf_dir, "documents"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
 
@@ -28,15 +47,31 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op4_exact_dedup, op5_packing, op6_quality, op8_simhash,
-                                   pipeline)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op2_mixing, op3_pii, op4_exact_dedup, op5_packing, op6_quality, op7_wavelet,
+    op8_simhash, op9_licenses, op10_token_counts, pipeline)}
+ORACLE = {
+    "op1_quality_rules": quality_rules.ORACLE,
+    "op9_licenses": licenses.oracle(),
+}

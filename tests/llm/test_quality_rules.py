@@ -1,0 +1,57 @@
+import re
+from collections import Counter
+
+import helpers as H
+
+from ratings_spark.llm import quality_rules as R
+
+COLUMNS = ("doc_id", *R.MEASURES, "failed", "base_failed", "kept")
+
+
+def plain(i, text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = [tuple(words[k:k + 5]) for k in range(len(words) - 4)]
+    seen = Counter(windows)
+    covered = {j for k, w in enumerate(windows) if seen[w] > 1 for j in range(k, k + 5)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    m = dict(n_words=len(words), word_chars=sum(map(len, words)),
+             n_symbols=sum(c in "#*$%&|<>" for c in text), n_dup_lines=len(lines) - len(set(lines)),
+             n_repeat_words=len(covered), n_lines=len(lines), n_capitals=sum("A" <= c <= "Z" for c in text),
+             n_same_next=sum(a == b for a, b in zip(words, words[1:])))
+    failed = sum(1 << k for k, r in enumerate(R.RULES) if eval(r.fails.replace("AND", "and").replace("OR", "or"), {}, m))
+    return (i, *m.values(), failed, bool(failed & 3), not failed & R.mask((*R.BASE, *R.POLICIES[R.CURRENT])))
+
+
+def test_equals_brute_force(spark):
+    docs = H.documents(spark).cache()
+    key = lambda r: tuple((x is not None, str(type(x)), x) for x in r)
+    assert H.rows_of(R.judged(docs), *COLUMNS) == sorted((plain(i, t) for i, t in H.texts(docs)), key=key)
+
+
+def test_equals_sql(spark):
+    want = H.duck().execute(R.ORACLE)
+    names = [d[0] for d in want.description]
+    got = R.judged(spark.read.parquet(f"{H.SF}/documents.parquet"))
+    assert sorted(names) == sorted(got.columns)
+    assert H.rows_of(got, *names) == sorted(want.fetchall())
+
+
+def test_clean_documents_are_kept_and_bad_ones_not(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rows = R.judged(docs).join(labels, "doc_id").where("NOT base_failed").groupBy("quality", "kept").count().collect()
+    n = {(r["quality"], r["kept"]): r["count"] for r in rows}
+    assert n.get((1, False), 0) < 0.005 * n[1, True]
+    assert n.get((0, True), 0) < 0.2 * n[0, False]
+
+
+def test_ablations(spark):
+    rows = spark.createDataFrame([(b,) for b in (0, 0, 1, 2, 3, 4, 5, 16)], "failed bigint")
+    got = {(r["policy"], r["rule"]): tuple(r)[2:] for r in R.ablations(rows).collect()}
+    assert got["base", "few_words"] == (8, 4, 3, 2) and got["base", "repeated_windows"] == (8, 4, 2, 1)
+    assert got["v1", "symbols"] == (8, 6, 2, 1)
+
+
+def test_empty_and_clashing_columns(spark):
+    assert R.judged(H.nothing(spark)).collect() == []
+    assert R.ablations(R.ledger(H.nothing(spark))).collect() == []
+    assert R.judged(H.odd(spark, "w", "lines", "failed", "n_words")).count() == len(H.ODD)
