@@ -2,8 +2,6 @@
 
 from pyspark.sql import Column, functions as F
 
-_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-
 
 def epoch_seconds(col: str | Column, kind: str = "ntz") -> Column:
     """Whole epoch seconds of a timestamp, independent of the session zone.
@@ -17,7 +15,11 @@ def epoch_seconds(col: str | Column, kind: str = "ntz") -> Column:
         return F.unix_seconds(c)
     if kind != "ntz":
         raise ValueError(f"kind must be 'ntz' or 'ltz', not {kind!r}")
-    return F.timestamp_diff("SECOND", F.expr(_EPOCH_NTZ), c.cast("timestamp_ntz"))
+    # From the date and time of day: a difference of timestamps would pass
+    # through the session zone, where some wall-clock times do not exist.
+    t = c.cast("timestamp_ntz")
+    return (F.unix_date(t.cast("date")).cast("long") * 86400 + F.hour(t) * 3600
+            + F.minute(t) * 60 + F.second(t)).cast("long")
 
 
 def utc_date(epoch_col: str | Column) -> Column:

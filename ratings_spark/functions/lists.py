@@ -5,12 +5,15 @@ from pyspark.sql import Column, functions as F
 from ratings_spark.constants import ITEM_SEP, LIST_SEP
 
 
-def encode_recs(recs: str | Column, digits: int = 6) -> Column:
-    """array<struct<mid, r>> -> 'mid:score|mid:score' (score fixed-point)."""
+def encode_recs(recs: str | Column, digits: int | None = None) -> Column:
+    """array<struct<mid, r>> -> 'mid:score|mid:score'. Scores are written in
+    full, so that decoding gives them back; ``digits`` writes fixed-point."""
     c = F.col(recs) if isinstance(recs, str) else recs
+
+    def score(r):
+        return r.cast("string") if digits is None else F.format_string(f"%.{digits}f", r)
     items = F.transform(
-        c, lambda x: F.concat(x["mid"].cast("string"), F.lit(ITEM_SEP),
-                              F.format_string(f"%.{digits}f", x["r"])))
+        c, lambda x: F.concat(x["mid"].cast("string"), F.lit(ITEM_SEP), score(x["r"])))
     return F.array_join(items, LIST_SEP)
 
 
@@ -21,13 +24,7 @@ def decode_recs(text: str | Column) -> Column:
     parts = F.when(F.trim(c) == "", F.array().cast("array<string>")).otherwise(
         F.split(c, "\\" + LIST_SEP, -1))
 
-    def one(item):
-        kv = F.split(item, ITEM_SEP, 2)
-        return F.struct(
-            F.trim(kv[0]).try_cast("long").alias("mid"),
-            F.trim(F.get(kv, 1)).try_cast("double").alias("r"),
-        )
-    return F.transform(F.coalesce(parts, F.array().cast("array<string>")), one)
+    return F.transform(F.coalesce(parts, F.array().cast("array<string>")), decode_item)
 
 
 def decode_item(text: str | Column) -> Column:

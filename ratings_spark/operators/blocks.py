@@ -49,9 +49,14 @@ def replicate(df: DataFrame, n: int, name: str) -> DataFrame:
     return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
 
 
-def spread_groups(df: DataFrame, n_groups: int, *cols: str) -> DataFrame:
-    """Hash-partition block-pair rows on the group columns into
-    ``min(n_groups, 4 x cores)`` partitions.
+# Rows a partition of block pairs holds at most: some 256 MB of 64-wide floats.
+PARTITION_ROWS = 1_000_000
+
+
+def spread_groups(df: DataFrame, n_groups: int, n_rows: int, *cols: str) -> DataFrame:
+    """Hash-partition the ``n_rows`` block-pair rows on the group columns, so
+    that a partition holds about ``PARTITION_ROWS`` of them, in at least four
+    partitions a core and at most one a group.
 
     The grouped pandas call reuses this partitioning (no second shuffle),
     and an explicit partition count is not coalesced by AQE. Without it, a
@@ -59,4 +64,5 @@ def spread_groups(df: DataFrame, n_groups: int, *cols: str) -> DataFrame:
     couple of tasks, leaving most cores idle.
     """
     cores = max(1, df.sparkSession.sparkContext.defaultParallelism)
-    return df.repartition(max(1, min(n_groups, 4 * cores)), *cols)
+    by_size = -(-n_rows // PARTITION_ROWS)
+    return df.repartition(max(1, min(n_groups, max(by_size, 4 * cores))), *cols)

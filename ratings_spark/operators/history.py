@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
 from ratings_spark.constants import RECENT_RATINGS_N
 from ratings_spark.operators.topk import top_k
+from ratings_spark.session import list_folder
 
 
 def recent_ratings(ratings: DataFrame, n: int = RECENT_RATINGS_N,
@@ -33,21 +33,30 @@ def distinct_pairs(ratings: DataFrame) -> DataFrame:
 
 # --- key-bucketed layout for per-batch lookups --------------------------------
 
-DEFAULT_BUCKETS = 256
+# Rows a bucket holds when the number of buckets is chosen from the data.
+BUCKET_ROWS = 2_000_000
+MIN_BUCKETS = 16
 
 
-def bucket_of(col: str, buckets: int = DEFAULT_BUCKETS):
-    return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
+def bucket_count(n_rows: int) -> int:
+    """Buckets for a table of ``n_rows``: about ``BUCKET_ROWS`` in each."""
+    return max(MIN_BUCKETS, -(-n_rows // BUCKET_ROWS))
 
 
-def with_bucket(df: DataFrame, key: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Add ``<key>_bucket`` so the table can be written ``partitionBy`` it."""
-    return df.withColumn(f"{key}_bucket", bucket_of(key, buckets))
+def bucket_of(col: str, buckets: int):
+    """Bucket of a key, the same for an int and a bigint."""
+    return F.pmod(F.xxhash64(F.col(col).cast("string")), F.lit(buckets)).cast("int")
 
 
-def clustered_by_bucket(df: DataFrame, key: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """``df`` with ``<key>_bucket``, rebalanced by it before a partitioned
-    write.
+def with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Add ``<key>_buckets`` (their number) and ``<key>_bucket``, in this order
+    the partition folders of a bucketed table: the number travels with it."""
+    return df.withColumns({f"{key}_buckets": F.lit(buckets),
+                           f"{key}_bucket": bucket_of(key, buckets)})
+
+
+def clustered_by_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """``with_bucket``, rebalanced by bucket before a partitioned write.
 
     A ``partitionBy`` write straight from the input would have every input
     task write a file into every bucket it meets (tasks x buckets files).
@@ -56,16 +65,20 @@ def clustered_by_bucket(df: DataFrame, key: str, buckets: int = DEFAULT_BUCKETS)
     bucket holding a hot key, into advisory-size pieces. Each bucket thus
     gets few, reasonably sized files.
     """
-    b = f"{key}_bucket"
-    return with_bucket(df, key, buckets).hint("rebalance", b)
+    return with_bucket(df, key, buckets).hint("rebalance", f"{key}_bucket")
 
 
-def write_by_bucket(df: DataFrame, path: str, key: str, buckets: int = DEFAULT_BUCKETS,
+def write_by_bucket(df: DataFrame, path: str, key: str, buckets: int | None = None,
                     fmt: str = "parquet", options: dict | None = None,
                     mode: str = "overwrite") -> None:
-    """Write ``df`` partitioned by ``<key>_bucket`` with few files per bucket."""
-    clustered_by_bucket(df, key, buckets).write.format(fmt).mode(mode) \
-        .options(**(options or {})).partitionBy(f"{key}_bucket").save(path)
+    """Write ``df`` below ``<key>_buckets=<n>/<key>_bucket=<i>``, with few files
+    per bucket and rows sorted by key within them (so that row groups can be
+    skipped). Without ``buckets`` their number follows the row count; count
+    a table that is costly to compute from its written form."""
+    n = buckets or bucket_count(df.count())
+    clustered_by_bucket(df, key, n).sortWithinPartitions(f"{key}_bucket", key) \
+        .write.format(fmt).mode(mode).options(**(options or {})) \
+        .partitionBy(f"{key}_buckets", f"{key}_bucket").save(path)
 
 
 class BucketedTable:
@@ -74,54 +87,84 @@ class BucketedTable:
     cost follows the buckets asked for, not the table. Callable with no
     argument for the whole table.
 
-    The set of existing bucket folders is learnt once from the table's file
-    list (one entry per file, a few per bucket) and re-learnt if the table
-    was rewritten since.
+    The number of buckets and the buckets there are come from the folder names
+    at every ``layout`` call, so a table that was rewritten, with more
+    buckets or another number of them, is read as it is now. A table that
+    does not exist yet has no rows.
     """
 
-    def __init__(self, spark, path: str, key: str, fmt: str = "parquet"):
+    def __init__(self, spark, path: str, key: str, fmt: str = "parquet",
+                 options: dict | None = None):
         self.spark, self.path, self.key, self.fmt = spark, path.rstrip("/"), key, fmt
-        self._learn()
-
-    def _learn(self) -> None:
-        whole = self.spark.read.format(self.fmt).load(self.path)
-        self.schema = whole.schema
-        tag = f"/{self.key}_bucket="
-        self.present = {int(f.split(tag, 1)[1].split("/", 1)[0])
-                        for f in whole.inputFiles() if tag in f}
+        self.options = options or {}
 
     def __call__(self) -> DataFrame:
-        return self.spark.read.format(self.fmt).load(self.path)
-
-    def read(self, ids: list[int]) -> DataFrame:
-        for attempt in (0, 1):
-            paths = [f"{self.path}/{self.key}_bucket={i}" for i in sorted(set(ids) & self.present)]
-            if not paths:
-                return self.spark.createDataFrame([], self.schema)
-            try:
-                df = self.spark.read.format(self.fmt).option("basePath", self.path).load(paths)
-                return df.select(*self.schema.fieldNames())
-            except AnalysisException:   # rewritten underneath us: re-learn once
-                if attempt:
-                    raise
-                self._learn()
-
-
-def bucket_id_sets(df: DataFrame, keys: dict[str, str],
-                   buckets: int = DEFAULT_BUCKETS) -> dict[str, list[int]]:
-    """Distinct bucket ids of several key columns in one job: ``{name:
-    [ids]}`` for ``keys = {name: column}``. The result has at most
-    ``buckets`` ids per key, whatever the size of ``df``."""
-    row = df.agg(*[F.collect_set(bucket_of(c, buckets)).alias(n) for n, c in keys.items()]).first()
-    return {n: sorted(row[n]) for n in keys}
-
-
-def restrict_to_ids(table, key: str, ids: list[int]) -> DataFrame:
-    """Rows of the buckets ``ids`` of ``table``: a ``BucketedTable`` reads
-    only those folders; a DataFrame with ``<key>_bucket`` gets a partition
-    filter; any other DataFrame is returned unchanged (the exact joins that
-    follow do the filtering)."""
-    if isinstance(table, BucketedTable):
-        return table.read(ids)
-    bcol = f"{key}_bucket"
-    return table.where(F.col(bcol).isin(ids)) if bcol in table.columns else table
+        return self.spark.read.format(self.fmt).options(**self.options).load(self.path)
+
+    def layout(self) -> tuple[int | None, set[int]]:
+        """(number of buckets, buckets that have a folder)."""
+        counts = self._numbers(self.path, f"{self.key}_buckets=")
+        if not counts:
+            return None, set()
+        if len(counts) > 1:
+            raise ValueError(f"{self.path} holds layouts of {sorted(counts)} buckets")
+        n = counts.pop()
+        return n, self._numbers(f"{self.path}/{self.key}_buckets={n}", f"{self.key}_bucket=")
+
+    def _numbers(self, folder: str, tag: str) -> set[int]:
+        names = list_folder(self.spark, folder)
+        return {int(x[len(tag):]) for x in names if x.startswith(tag)}
+
+    def read(self, layout: tuple[int | None, set[int]], ids: list[int]) -> DataFrame | None:
+        """Rows of the buckets ``ids`` of ``layout``; None if none has a folder."""
+        n, present = layout
+        folder = f"{self.path}/{self.key}_buckets={n}/{self.key}_bucket="
+        paths = [f"{folder}{i}" for i in sorted(set(ids) & present)]
+        if not paths:
+            return None
+        return self.spark.read.format(self.fmt).options(**self.options) \
+            .option("basePath", self.path).load(paths)
+
+
+def bucket_id_sets(df: DataFrame, keys: dict) -> dict:
+    """Distinct bucket ids of several key columns in one job: ``{name: [ids]}``
+    for ``keys = {name: (column, buckets)}``. A result has at most ``buckets``
+    ids, whatever the size of ``df``."""
+    if not keys:
+        return {}
+    row = df.agg(*[F.collect_set(bucket_of(c, n)).alias(str(k))
+                   for k, (c, n) in enumerate(keys.values())]).first()
+    return {name: sorted(row[k]) for k, name in enumerate(keys)}
+
+
+def lookup(df: DataFrame, wanted: Sequence[tuple]) -> list[DataFrame]:
+    """For each (tables, key columns of ``df``, columns to read): the rows of
+    the tables that can match, in one job over ``df``.
+
+    ``tables`` is a ``BucketedTable`` or a list of them (read together), of
+    which only the buckets of the keys in ``df`` are read, or a callable
+    giving a DataFrame, which is returned whole (the joins that follow
+    select from it)."""
+    plans = []
+    for tables, columns, select in wanted:
+        tables = tables if isinstance(tables, (list, tuple)) else [tables]
+        plans.append([(t, t.layout() if isinstance(t, BucketedTable) else None, columns, select)
+                      for t in tables])
+    asked = {(i, j, c): (c, layout[0])
+             for i, plan in enumerate(plans) for j, (_, layout, columns, _) in enumerate(plan)
+             if layout is not None and layout[0] is not None for c in columns}
+    ids = bucket_id_sets(df, asked)
+    out = []
+    for i, plan in enumerate(plans):
+        parts = []
+        for j, (table, layout, columns, select) in enumerate(plan):
+            rows = table() if layout is None else table.read(
+                layout, sorted({x for c in columns for x in ids.get((i, j, c), [])}))
+            if rows is not None:
+                parts.append(rows.select(*[F.col(c).cast(t).alias(c) for c, t in select]))
+        empty = df.sparkSession.createDataFrame([], ", ".join(f"{c} {t}" for c, t in plan[0][3]))
+        whole = parts[0] if parts else empty
+        for p in parts[1:]:
+            whole = whole.unionByName(p)
+        out.append(whole)
+    return out

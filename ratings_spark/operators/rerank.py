@@ -21,7 +21,7 @@ never processed row-by-row, and nothing is collected to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ratings_spark.constants import CANDIDATES_N, POSITIVE_RATING, RECENT_RATINGS_N, SIM_THRESHOLD
 from ratings_spark.operators.topk import latest, top_k
@@ -42,46 +42,71 @@ def recents_from_messages(messages: DataFrame, n: int = RECENT_RATINGS_N) -> Dat
     return top_k(messages, ["uid"], message_order(), n).select("uid", "rank", "mid", "score")
 
 
+def ranked_neighbours(sim_edges: DataFrame, threshold: float = SIM_THRESHOLD) -> DataFrame:
+    """(mid, other_mid, sim, rank): each item's neighbours above the threshold,
+    most similar first, ties by id. A table that has the rank keeps it."""
+    e = sim_edges.where(F.col("sim") > threshold)
+    if "rank" in e.columns:
+        return e.select("mid", "other_mid", "sim", "rank")
+    w = Window.partitionBy("mid").orderBy(F.desc("sim"), F.asc("other_mid"))
+    return e.select("mid", "other_mid", "sim", F.row_number().over(w).alias("rank"))
+
+
+def candidate_pairs(triggers: DataFrame, sim_edges: DataFrame, rated_pairs: DataFrame,
+                    n: int = CANDIDATES_N, threshold: float = SIM_THRESHOLD,
+                    salts: int = 1) -> DataFrame:
+    """(uid, mid, sim): of each trigger item's neighbours the first n + r, where
+    r is the number of items its user has rated. At most r of them fall to
+    the anti join, so the best n unseen ones are always among them, and a
+    popular item's whole neighbour list is never expanded for each user.
+
+    ``salts`` spreads a hot trigger item over that many join tasks by the
+    neighbour's rank, for plans that adaptive execution can't split."""
+    r = rated_pairs.join(triggers.select("uid").distinct(), "uid", "left_semi") \
+        .groupBy("uid").agg(F.count("*").alias("_r"))
+    t = triggers.select("uid", F.col("mid").alias("src")).join(r, "uid", "left") \
+        .select("uid", "src", (F.coalesce("_r", F.lit(0)) + n).alias("_upto"))
+    e = ranked_neighbours(sim_edges, threshold) \
+        .select(F.col("mid").alias("src"), F.col("other_mid").alias("mid"), "sim", "rank")
+    keys = ["src"]
+    if salts > 1:
+        keys = ["src", "_salt"]
+        t = t.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        e = e.withColumn("_salt", F.col("rank") % salts)
+    return t.join(e, keys).where(F.col("rank") <= F.col("_upto")).select("uid", "mid", "sim")
+
+
 def unseen_neighbours(triggers: DataFrame, sim_edges: DataFrame, rated: DataFrame,
                       n: int = CANDIDATES_N, threshold: float = SIM_THRESHOLD,
-                      broadcast_limit: int | None = None) -> DataFrame:
+                      salts: int = 1) -> DataFrame:
     """(uid, rank, mid, sim): per trigger (uid, mid), the n most similar items
     the user has not rated. An item without neighbours yields no rows.
 
-    ``rated`` may repeat (uid, mid) pairs. They are de-duplicated on the join
-    keys first: the partial aggregate collapses copies map-side, and its
-    hash partitioning on (uid, mid) is the one the anti join needs, so this
-    costs no extra shuffle, while a pair repeated a million times no longer
-    reaches one join task a million times.
-
-    ``broadcast_limit`` (used per micro-batch): when the candidate pairs
-    number at most this many -- counted first, so the broadcast size is
-    checked -- they are broadcast and the rated rows are only scanned and
-    probed locally. The few rated candidates found are then removed with a
-    join between small sides, and the large rated table is never shuffled.
-    Beyond the limit, or without it, the shuffle anti join above is used."""
-    t = triggers.select("uid", F.col("mid").alias("src"))
-    e = sim_edges.where(F.col("sim") > threshold) \
-        .select(F.col("mid").alias("src"), F.col("other_mid").alias("mid"), "sim")
-    c = t.join(e, "src").drop("src")
-    if broadcast_limit is not None and c.count() <= broadcast_limit:
-        keys = c.select("uid", "mid").distinct()
-        hits = rated.select("uid", "mid").join(F.broadcast(keys), ["uid", "mid"], "left_semi")
-        c = c.join(hits.distinct(), ["uid", "mid"], "left_anti")
-    else:
-        c = c.join(rated.select("uid", "mid").distinct(), ["uid", "mid"], "left_anti")
+    ``rated`` may repeat (uid, mid) pairs. They are de-duplicated first: the
+    partial aggregate collapses copies map-side, and its hash partitioning on
+    (uid, mid) is the one the anti join needs, while a pair repeated a
+    million times no longer reaches one join task a million times."""
+    pairs = rated.select("uid", "mid").distinct()
+    c = candidate_pairs(triggers, sim_edges, pairs, n, threshold, salts)
+    c = c.join(pairs, ["uid", "mid"], "left_anti")
     return top_k(c, ["uid"], [F.desc("sim"), F.asc("mid")], n).select("uid", "rank", "mid", "sim")
 
 
 def rerank_scores(candidates: DataFrame, recents: DataFrame, sim_edges: DataFrame,
                   threshold: float = SIM_THRESHOLD,
-                  positive: float = POSITIVE_RATING) -> DataFrame:
-    """(uid, mid, score) per candidate with at least one similar recent item."""
+                  positive: float = POSITIVE_RATING, salts: int = 1) -> DataFrame:
+    """(uid, mid, score) per candidate with at least one similar recent item.
+    ``salts`` spreads item pairs that many users share over that many tasks."""
     c = candidates.select("uid", F.col("mid").alias("cand"))
     r = recents.select("uid", F.col("mid").alias("rmid"), F.col("score").alias("rscore"))
     e = sim_edges.where(F.col("sim") > threshold) \
         .select(F.col("mid").alias("cand"), F.col("other_mid").alias("rmid"), "sim")
-    x = c.join(r, "uid").join(e, ["cand", "rmid"])
+    x, keys = c.join(r, "uid"), ["cand", "rmid"]
+    if salts > 1:
+        keys = keys + ["_salt"]
+        x = x.withColumn("_salt", F.pmod(F.xxhash64("uid"), F.lit(salts)).cast("int"))
+        e = e.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    x = x.join(e, keys)
     g = x.groupBy("uid", "cand").agg(
         F.avg(F.col("sim") * F.col("rscore")).alias("base"),
         F.count_if(F.col("rscore") > positive).alias("n_pos"),
@@ -118,15 +143,6 @@ def rerank(messages: DataFrame, sim_edges: DataFrame, rated: DataFrame,
     return rerank_scores(cands, rec, sim_edges, threshold)
 
 
-def ranked_recs(scores: DataFrame) -> DataFrame:
-    """(uid, rank, mid, score) ordered by score desc, mid asc per user.
-
-    Candidate lists are already bounded (<= n_candidates per user)."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("uid").orderBy(F.desc("score"), F.asc("mid"))
-    return scores.withColumn("rank", F.row_number().over(w)).select("uid", "rank", "mid", "score")
-
-
 def nested_recs(scores: DataFrame) -> DataFrame:
     """(uid, recs array<struct<mid, r>>) per user, best first (ties by mid).
 

@@ -1,18 +1,8 @@
-"""Item-item cosine similarity above a threshold.
-
-Methods:
-
-* ``blocked`` (default, exact): unit-normalise once, hash items into blocks,
-  one group per unordered block pair (p <= q); each task multiplies two
-  blocks with NumPy and emits only pairs strictly above the threshold, in
-  both directions. Each pair is computed once.
-* ``lsh`` (approximate, opt-in): ``BucketedRandomProjectionLSH`` on unit
-  vectors, where cos > t  <=>  euclidean distance < sqrt(2 - 2t), then an
-  exact cosine re-check. It can miss pairs; it never returns a false one.
-  Its cost grows with the number of hash tables. On the 64-dimensional
-  embeddings at sf0.1, 4 tables found 98.5% of the pairs at t=0.4 and all
-  of them at t=0.6. It pays off only for high thresholds over very large
-  catalogues, where near and far pairs separate well.
+"""Item-item cosine similarity above a threshold, exact.
+
+Unit-normalise once, hash items into blocks, one group per unordered block
+pair (p <= q); each task multiplies two blocks with NumPy and emits only pairs
+strictly above the threshold, in both directions. Each pair is computed once.
 
 Output: directed edges (mid, other_mid, sim), no self pairs, sim > threshold.
 The planner sizes a pandas function's output by its input, which for edges
@@ -22,7 +12,6 @@ job's table) before joining them elsewhere.
 
 from __future__ import annotations
 
-import math
 from typing import Any, Iterator, Tuple
 
 import numpy as np
@@ -30,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ratings_spark.constants import SIM_THRESHOLD
-from ratings_spark.functions.vectors import dot, unit
+from ratings_spark.functions.vectors import dot
 from ratings_spark.operators.blocks import (
     CHUNK_ROWS, block_count, block_of, chunk_rows, replicate, spread_groups)
 from ratings_spark.operators.topk import top_k
@@ -39,12 +28,6 @@ from ratings_spark.session import ship_package
 EDGE_SCHEMA = "mid long, other_mid long, sim double"
 
 
-def unit_vectors(factors: DataFrame, id_col: str = "id", vec_col: str = "features") -> DataFrame:
-    """(id, v): unit-length double vectors; zero/NaN vectors are dropped."""
-    return factors.select(F.col(id_col).cast("long").alias("id"), unit(vec_col).alias("v")) \
-        .where(F.col("v").isNotNull())
-
-
 def _pair_block_fn(threshold: float):
     """Grouped-map function (iterator form) for one block pair (p, q).
 
@@ -84,54 +67,29 @@ def _pair_block_fn(threshold: float):
 
 
 def item_similarity(factors: DataFrame, threshold: float = SIM_THRESHOLD,
-                    method: str = "blocked", block_rows: int | None = None,
-                    id_col: str = "id", vec_col: str = "features",
-                    lsh_bucket_length: float | None = None, lsh_tables: int = 4,
-                    seed: int = 7) -> DataFrame:
-    """Directed similarity edges (mid, other_mid, sim) with sim > threshold."""
-    ship_package(factors.sparkSession)
-    if method == "blocked":
-        spark = factors.sparkSession
-        # Vectors travel in their stored precision (float for ALS factors):
-        # every row is copied once per block, so this halves the shuffle.
-        # Zero, NULL and NaN-bearing vectors are dropped JVM-side; each task
-        # normalises its two blocks in double precision.
-        n2 = dot(vec_col, vec_col)
-        # One vector per id: copies of an id would otherwise all land in
-        # the same hash block (and task).
-        uv = factors.where(F.col(vec_col).isNotNull() & (n2 > 0) & ~F.isnan(n2)) \
-            .select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v")) \
-            .dropDuplicates(["id"])
-        # Block sizing needs only an upper bound: the raw row count (read from
-        # file footers for parquet) avoids running the filter and de-dup twice.
-        n = factors.count()
-        B = block_count(spark, n, block_rows, symmetric=True)
-        blocked = replicate(uv.withColumn("b", block_of("id", B)), B, "o")
-        blocked = blocked.select(F.least("b", "o").alias("p"), F.greatest("b", "o").alias("q"),
-                                 "b", "id", "v")
-        blocked = spread_groups(blocked, B * (B + 1) // 2, "p", "q")
-        return blocked.groupBy("p", "q").applyInPandas(_pair_block_fn(threshold), EDGE_SCHEMA)
-    if method == "lsh":
-        uv = unit_vectors(factors, id_col, vec_col)
-        return _lsh_similarity(uv, threshold, lsh_bucket_length, lsh_tables, seed)
-    raise ValueError(f"unknown method {method!r}")
-
-
-def _lsh_similarity(uv: DataFrame, threshold: float, bucket_length: float | None,
-                    tables: int, seed: int) -> DataFrame:
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-
-    radius = math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
-    vecs = uv.select("id", "v", array_to_vector("v").alias("vec"))
-    lsh = BucketedRandomProjectionLSH(inputCol="vec", outputCol="hashes",
-                                      bucketLength=bucket_length or max(radius, 1e-3),
-                                      numHashTables=tables, seed=seed)
-    model = lsh.fit(vecs)
-    pairs = model.approxSimilarityJoin(vecs, vecs, radius + 1e-9, distCol="dist")
-    exact = pairs.select(F.col("datasetA.id").alias("mid"), F.col("datasetB.id").alias("other_mid"),
-                         dot("datasetA.v", "datasetB.v").alias("sim"))
-    return exact.where((F.col("mid") != F.col("other_mid")) & (F.col("sim") > threshold))
+                    block_rows: int | None = None, id_col: str = "id",
+                    vec_col: str = "features") -> DataFrame:
+    """Directed similarity edges (mid, other_mid, sim) with sim > threshold.
+    Of several vectors of one id the greatest, in array order, stands."""
+    spark = factors.sparkSession
+    ship_package(spark)
+    # Vectors travel in their stored precision (float for ALS factors): every
+    # row is copied once per block, so this halves the shuffle. Zero, NULL and
+    # NaN-bearing vectors are dropped JVM-side; each task normalises its two
+    # blocks in double precision.
+    n2 = dot(vec_col, vec_col)
+    uv = factors.where(F.col(vec_col).isNotNull() & (n2 > 0) & ~F.isnan(n2)) \
+        .select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
+    uv = uv.groupBy("id").agg(F.max("v").alias("v"))
+    # Block sizing needs only an upper bound: the raw row count (read from
+    # file footers for parquet) avoids running the filter and de-dup twice.
+    n = factors.count()
+    B = block_count(spark, n, block_rows, symmetric=True)
+    blocked = replicate(uv.withColumn("b", block_of("id", B)), B, "o")
+    blocked = blocked.select(F.least("b", "o").alias("p"), F.greatest("b", "o").alias("q"),
+                             "b", "id", "v")
+    blocked = spread_groups(blocked, B * (B + 1) // 2, n * B, "p", "q")
+    return blocked.groupBy("p", "q").applyInPandas(_pair_block_fn(threshold), EDGE_SCHEMA)
 
 
 def neighbour_stats(edges: DataFrame) -> DataFrame:

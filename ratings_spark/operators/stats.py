@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratings_spark.constants import DEFAULT_GENRES, GENRE_TOP_K
@@ -38,12 +39,10 @@ def average_scores(ratings: DataFrame) -> DataFrame:
 
 def genre_frame(spark: SparkSession, genres: Sequence[str] | None = None) -> DataFrame:
     """The genre list as a one-column frame (a fixed, small literal list).
-    A name given twice is kept once (it would otherwise double its matches)."""
+    A name given twice is kept once (it would otherwise double its matches).
+    From an Arrow table it is a local relation, whose size the planner knows."""
     gl = list(dict.fromkeys(DEFAULT_GENRES if genres is None else genres))
-    return spark.createDataFrame([(g,) for g in gl], "genre string")
-
-
-MAX_SUBSTRING_GENRES = 10_000
+    return spark.createDataFrame(pa.table({"genre": pa.array(gl, pa.string())}))
 
 
 def genre_matches(movies_scored: DataFrame, genres: DataFrame,
@@ -52,21 +51,19 @@ def genre_matches(movies_scored: DataFrame, genres: DataFrame,
 
     ``substring`` (default, as originally specified): case-insensitive
     substring, so ``War`` also matches ``Warfare``. A substring test has no
-    join key, so the genre list is broadcast and the big side streams through
-    a nested-loop join with no shuffle. The list's size is checked first
-    (at most ``MAX_SUBSTRING_GENRES`` names).
+    join key, so each distinct text is tried against each name once (the
+    planner broadcasts the list if its size allows), and the names found
+    are joined back on the text.
 
     ``token``: exact, case-insensitive match of one ``|``-separated entry,
     an equi-join whose strategy Spark picks from the sizes.
     """
     g = genres.select(F.col("genre"), F.lower("genre").alias("_g"))
     if match == "substring":
-        n = g.count()
-        if n > MAX_SUBSTRING_GENRES:
-            raise ValueError(f"{n} genre names is too many to broadcast for substring "
-                             "matching; use match='token'")
         m = movies_scored.withColumn("_lg", F.lower("genres"))
-        return m.join(F.broadcast(g), F.col("_lg").contains(F.col("_g"))).drop("_lg", "_g")
+        texts = m.select("_lg").distinct()
+        found = texts.join(g, F.col("_lg").contains(F.col("_g"))).select("_lg", "genre")
+        return m.join(found, "_lg").drop("_lg")
     if match == "token":
         m = movies_scored.withColumn("_g", F.explode(F.array_distinct(
             F.split(F.lower("genres"), "\\|"))))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratings_spark.functions.lists import encode_recs
+from ratings_spark.functions.lists import decode_recs, encode_recs
 from ratings_spark.operators import rerank, similarity
 from ratings_spark.plans.catalogue import (
     FACTORS_SQL, MESSAGE_ORDER_SQL, MESSAGES_SQL, RATINGS_SQL, query, r6, with_)
@@ -13,7 +13,7 @@ from ratings_spark.sources import adapters as A
 
 RERANK_SIM = 0.3   # used both for the similarity table and the score filter
 
-_CTES = with_(
+_PARTS = dict(
     msg=MESSAGES_SQL, r=RATINGS_SQL, f=FACTORS_SQL,
     e=f"""
   SELECT a.id AS mid, b.id AS other_mid, list_cosine_similarity(a.features, b.features) AS sim
@@ -40,8 +40,20 @@ _CTES = with_(
   FROM x GROUP BY uid, cand""",
 )
 
+_CTES = with_(**_PARTS)
 RERANK_ORACLE = _CTES + "SELECT uid, mid, round(score, 6) AS score FROM scores"
 
+# Messages without ids: the log keeps one message of each user and second, and
+# the incoming one is not among the ratings it is scored against.
+RERANK_NOID_ORACLE = with_(**{
+    **_PARTS,
+    "msg": f"""
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY uid, timestamp ORDER BY msg_id DESC) AS one
+    FROM ({MESSAGES_SQL})) WHERE one = 1""",
+    "rec": "SELECT uid, mid, score FROM o WHERE rn BETWEEN 2 AND 21",
+}) + "SELECT uid, mid, round(score, 6) AS score FROM scores"
+
 
 def _inputs(spark: SparkSession, d: str):
     msgs = A.messages(spark, d)
@@ -72,10 +84,14 @@ SELECT uid, string_agg(CAST(mid AS VARCHAR) || ':' || printf('%.6f', score), '|'
        CAST(count(*) AS INTEGER) AS n_recs
 FROM scores GROUP BY uid""")
 def q_recs_encoded(spark: SparkSession, d: str) -> DataFrame:
+    """Lists as text with six decimals, and the number of items that decoding
+    the text in full gives back unchanged."""
     msgs, edges, rated = _inputs(spark, d)
     nested = rerank.nested_recs(rerank.rerank(msgs, edges, rated, 20, 20, RERANK_SIM))
-    return nested.select("uid", encode_recs("recs").alias("recs_text"),
-                         F.size("recs").cast("int").alias("n_recs"))
+    back = F.arrays_zip(F.col("recs").alias("a"), decode_recs(encode_recs("recs")).alias("b"))
+    same = F.filter(back, lambda x: x["a"] == x["b"])
+    return nested.select("uid", encode_recs("recs", 6).alias("recs_text"),
+                         F.size(same).cast("int").alias("n_recs"))
 
 
 @query("latest_recs", RERANK_ORACLE)

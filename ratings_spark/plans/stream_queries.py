@@ -11,32 +11,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratings_spark.operators import history, similarity
+from ratings_spark.operators.topk import latest
 from ratings_spark.plans.catalogue import MESSAGE_ORDER_SQL, MESSAGES_SQL, query, r6, with_
-from ratings_spark.plans.realtime_queries import RERANK_ORACLE, RERANK_SIM
-from ratings_spark.session import shared_dir
+from ratings_spark.plans.realtime_queries import RERANK_NOID_ORACLE, RERANK_ORACLE, RERANK_SIM
+from ratings_spark.session import materialize, shared_dir
 from ratings_spark.sources import adapters as A
 from ratings_spark.streaming import rerank_stream as RS
 
-_RUNS: dict[tuple[str, str], str] = {}
-
-
-def run_stream(spark: SparkSession, d: str, slices: int = 3, fresh: bool = False) -> str:
+def run_stream(spark: SparkSession, d: str, slices: int = 3, ids: bool = True,
+               include_incoming: bool = True) -> str:
     """Feed the log in ``slices`` arrivals through the job; return its output
-    folder. Cached per application and input folder unless ``fresh``."""
-    key = (spark.sparkContext.applicationId, d)
-    if key in _RUNS and not fresh:
-        return _RUNS[key]
+    folder. Without ``ids`` messages have four fields, and the log keeps one
+    message of each user and second (the one of the largest id)."""
     base = shared_dir(spark, "stream")
     src, out, ckpt = f"{base}/src", f"{base}/out", f"{base}/checkpoint"
     # What the offline and load jobs leave behind: the similarity table and
     # the rated set, each stored partitioned by a hash bucket of its key.
     sim_path, rated_path = f"{base}/item_recs", f"{base}/rated"
-    edges = similarity.item_similarity(A.factors(spark, d), RERANK_SIM)
+    edges = materialize(similarity.item_similarity(A.factors(spark, d), RERANK_SIM), "edges")
     history.write_by_bucket(edges, sim_path, "mid")
-    history.write_by_bucket(history.distinct_pairs(A.ratings(spark, d)), rated_path, "uid")
+    history.write_by_bucket(history.distinct_pairs(A.ratings(spark, d)), rated_path, "uid",
+                            history.MIN_BUCKETS)
     msgs = A.messages(spark, d)
+    if not ids:
+        msgs = latest(msgs, ["uid", "timestamp"], [F.desc("msg_id")])
     cuts = msgs.approxQuantile("msg_id", [i / slices for i in range(1, slices)], 0.001)
     lines = A.message_lines(msgs, keep=["msg_id"])
+    if not ids:
+        lines = lines.withColumn("value", F.substring_index("value", "|", 4))
     lo = None
     for i in range(slices):
         hi = cuts[i] if i < len(cuts) else None
@@ -51,20 +53,29 @@ def run_stream(spark: SparkSession, d: str, slices: int = 3, fresh: bool = False
                      sim_edges=history.BucketedTable(spark, sim_path, "mid"),
                      rated=history.BucketedTable(spark, rated_path, "uid"),
                      trigger={"availableNow": True}, threshold=RERANK_SIM,
+                     include_incoming=include_incoming,
                      state_partitions=2 * spark.sparkContext.defaultParallelism)
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(f"stream failed: {q.exception()}")
         lo = hi
-    _RUNS[key] = out
     return out
 
 
+def _flat(recs: DataFrame) -> DataFrame:
+    flat = recs.select("uid", F.explode("recs").alias("x"))
+    return flat.select("uid", F.col("x.mid").alias("mid"), r6("x.r").alias("score"))
+
+
 @query("stream_rerank", RERANK_ORACLE)
 def q_stream_rerank(spark: SparkSession, d: str) -> DataFrame:
-    out = run_stream(spark, d)
-    flat = RS.latest_recs(spark, out).select("uid", F.explode("recs").alias("x"))
-    return flat.select("uid", F.col("x.mid").alias("mid"), r6("x.r").alias("score"))
+    return _flat(RS.latest_recs(spark, run_stream(spark, d)))
+
+
+@query("stream_rerank_noid", RERANK_NOID_ORACLE)
+def q_stream_rerank_noid(spark: SparkSession, d: str) -> DataFrame:
+    """Four-field messages, scored against the ratings before the incoming one."""
+    return _flat(RS.latest_recs(spark, run_stream(spark, d, ids=False, include_incoming=False)))
 
 
 @query("stream_recent", with_(msg=MESSAGES_SQL) + f"""

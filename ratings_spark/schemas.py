@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# The columns of the input and output tables, in their order.
 MOVIE_TEXT_COLUMNS = ["name", "descri", "timelong", "issue", "shoot",
                       "language", "genres", "actors", "directors"]
 
@@ -24,25 +25,12 @@ TAG = T.StructType([
     T.StructField("timestamp", T.LongType(), False),
 ])
 
-MESSAGE = T.StructType([
-    T.StructField("uid", T.LongType(), True),
-    T.StructField("mid", T.LongType(), True),
-    T.StructField("score", T.DoubleType(), True),
-    T.StructField("timestamp", T.LongType(), True),   # epoch seconds
-    T.StructField("msg_id", T.LongType(), True),      # optional 5th field; tie-break
-])
-
 RECOMMENDATION = T.StructType([
     T.StructField("mid", T.LongType(), False),
     T.StructField("r", T.DoubleType(), False),
 ])
 RECS = T.ArrayType(RECOMMENDATION, containsNull=False)
 
-QUARANTINE = T.StructType([
-    T.StructField("value", T.StringType(), True),
-    T.StructField("reason", T.StringType(), False),
-])
-
 # (id, features) factor tables, as ALSModel.userFactors / itemFactors.
 FACTORS = T.StructType([
     T.StructField("id", T.LongType(), False),

@@ -7,6 +7,7 @@ Library functions never build a session themselves; they take the caller's.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -47,13 +48,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (a bare local test session) is a
-    private temporary folder created and registered as the checkpoint dir.
+    Only when a local session names none (bare tests) is a private temporary
+    folder created and registered as the checkpoint dir; on a cluster other
+    executors would not see it, so there the setting is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir is not set; with master {master} it must name "
+                             "a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ratings-spark-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -70,11 +76,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
 
 
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder (not of what lies below them) on any
+    file system Spark reaches; none if there is no such folder."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [f.getPath().getName() for f in fs.listStatus(p)]
 
 
 _SHIPPED: set[str] = set()

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratings_spark.functions.dates import epoch_seconds
+from ratings_spark.schemas import MOVIE_TEXT_COLUMNS
 
 # Columns that, after the timestamp, make the recency order of ratings total
 # (order dates have day resolution and (orderkey, linenumber) repeats).
@@ -99,8 +100,7 @@ def factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def movie_lines(m: DataFrame) -> DataFrame:
     """``^``-joined movie lines, each field padded with a space to exercise
     trimming."""
-    cols = ["mid", "name", "descri", "timelong", "issue", "shoot", "language",
-            "genres", "actors", "directors"]
+    cols = ["mid", *MOVIE_TEXT_COLUMNS]
     return m.select(F.concat_ws("^", *[F.concat(F.lit(" "), F.col(c).cast("string"), F.lit(" "))
                                        for c in cols]).alias("value"))
 

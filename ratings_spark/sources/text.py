@@ -9,6 +9,8 @@ Fields are split keeping trailing empty strings, trimmed and cast with
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ratings_spark.constants import MESSAGE_SEP, MOVIE_SEP, RATING_SEP, TAG_SEP
@@ -31,104 +33,113 @@ def _reason(*checks: tuple[Column, str]) -> Column:
     return expr
 
 
-def _finish(df: DataFrame, typed_cols: list[Column]) -> tuple[DataFrame, DataFrame]:
-    good = df.where(F.col("_reason").isNull()).select(*typed_cols)
-    bad = df.where(F.col("_reason").isNotNull()).select("value", F.col("_reason").alias("reason"))
+def number(text: Column) -> Column:
+    """The text as a finite double, else null: one NaN or infinity among the
+    scores would turn every mean it enters into itself."""
+    return _finite(text.try_cast("double"))
+
+
+def _finite(x: Column) -> Column:
+    return F.when(F.abs(x) <= sys.float_info.max, x)
+
+
+def _flag(lines: DataFrame, parts: Column, fields: list[Column], reason: Column,
+          *keep: str) -> DataFrame:
+    """value, the fields and reason. The line is split once, below a generator
+    that holds the fields: filters on them stay above it, where a plain
+    projection would be repeated in every filter."""
+    rows = lines.select("value", *keep, parts.alias("_p"))
+    row = F.struct(*fields, reason.alias("reason"))
+    return rows.select("value", *keep, F.inline(F.array(row)))
+
+
+def _finish(flagged: DataFrame, *skip: str) -> tuple[DataFrame, DataFrame]:
+    good = flagged.where(F.col("reason").isNull()).drop("value", "reason", *skip)
+    bad = flagged.where(F.col("reason").isNotNull()).select("value", "reason")
     return good, bad
 
 
+def flag_movies(lines: DataFrame) -> DataFrame:
+    p = F.col("_p")
+    mid = _field(p, 0).try_cast("int")
+    fields = [mid.alias("mid")] + [_field(p, i + 1).alias(c) for i, c in enumerate(MOVIE_TEXT_COLUMNS)]
+    return _flag(lines, _split(MOVIE_SEP), fields, _reason(
+        (F.size(p) < 10, "fewer than 10 fields"),
+        (mid.isNull(), "mid is not an integer"),
+    ))
+
+
 def parse_movies(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``mid^name^descri^timelong^issue^shoot^language^genres^actors^directors``.
 
     Extra trailing fields are ignored; fewer than 10 fields or a non-integer
     ``mid`` send the line to quarantine.
     """
-    p = _split(MOVIE_SEP)
-    df = lines.select("value", p.alias("_p"))
-    mid = _field(F.col("_p"), 0).try_cast("int")
-    df = df.withColumn("_reason", _reason(
-        (F.size("_p") < 10, "fewer than 10 fields"),
+    return _finish(flag_movies(lines))
+
+
+def flag_ratings(lines: DataFrame) -> DataFrame:
+    p = F.col("_p")
+    uid, mid = _field(p, 0).try_cast("int"), _field(p, 1).try_cast("int")
+    score, ts = number(_field(p, 2)), _field(p, 3).try_cast("long")
+    fields = [uid.alias("uid"), mid.alias("mid"), score.alias("score"), ts.alias("timestamp")]
+    return _flag(lines, _split(RATING_SEP), fields, _reason(
+        (F.size(p) < 4, "fewer than 4 fields"),
+        (uid.isNull(), "uid is not an integer"),
         (mid.isNull(), "mid is not an integer"),
+        (score.isNull(), "score is not a finite number"),
+        (ts.isNull(), "timestamp is not an integer"),
     ))
-    cols = [mid.alias("mid")] + [
-        _field(F.col("_p"), i + 1).alias(c) for i, c in enumerate(MOVIE_TEXT_COLUMNS)]
-    return _finish(df, cols)
 
 
 def parse_ratings(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``uid,mid,score,timestamp`` (epoch seconds)."""
-    p = _split(RATING_SEP)
-    df = lines.select("value", p.alias("_p"))
-    uid = _field(F.col("_p"), 0).try_cast("int")
-    mid = _field(F.col("_p"), 1).try_cast("int")
-    score = _field(F.col("_p"), 2).try_cast("double")
-    ts = _field(F.col("_p"), 3).try_cast("long")
-    df = df.withColumn("_reason", _reason(
-        (F.size("_p") < 4, "fewer than 4 fields"),
+    return _finish(flag_ratings(lines))
+
+
+def flag_tags(lines: DataFrame) -> DataFrame:
+    p = F.col("_p")
+    n = F.size(p)
+    uid, mid = _field(p, 0).try_cast("int"), _field(p, 1).try_cast("int")
+    ts = F.trim(F.get(p, n - 1)).try_cast("long")
+    raw = F.trim(F.array_join(F.slice(p, F.lit(3), F.greatest(n - 3, F.lit(0))), TAG_SEP))
+    quoted = raw.startswith('"') & raw.endswith('"') & (F.length(raw) >= 2)
+    inner = F.substring(raw, F.lit(2), F.length(raw) - 2)
+    tag = F.when(quoted, F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(raw)
+    fields = [uid.alias("uid"), mid.alias("mid"), tag.alias("tag"), ts.alias("timestamp")]
+    return _flag(lines, _split(TAG_SEP), fields, _reason(
+        (n < 4, "fewer than 4 fields"),
         (uid.isNull(), "uid is not an integer"),
         (mid.isNull(), "mid is not an integer"),
-        (score.isNull() | F.isnan(F.coalesce(score, F.lit(0.0))), "score is not a number"),
         (ts.isNull(), "timestamp is not an integer"),
     ))
-    return _finish(df, [uid.alias("uid"), mid.alias("mid"), score.alias("score"),
-                        ts.alias("timestamp")])
 
 
 def parse_tags(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``uid,mid,tag,timestamp``; the tag is everything between the second
     and the last comma, so a tag holding commas survives. A tag wrapped in
     double quotes is unquoted (``""`` inside becomes ``"``)."""
-    p = _split(TAG_SEP)
-    df = lines.select("value", p.alias("_p"))
-    n = F.size("_p")
-    uid = _field(F.col("_p"), 0).try_cast("int")
-    mid = _field(F.col("_p"), 1).try_cast("int")
-    ts = F.trim(F.get(F.col("_p"), n - 1)).try_cast("long")
-    raw = F.trim(F.array_join(F.slice(F.col("_p"), F.lit(3), n - 3), TAG_SEP))
-    df = df.select("value", n.alias("_n"), uid.alias("_uid"), mid.alias("_mid"),
-                   ts.alias("_ts"), raw.alias("_raw"))
-    raw = F.col("_raw")
-    quoted = raw.startswith('"') & raw.endswith('"') & (F.length(raw) >= 2)
-    inner = F.expr("substring(_raw, 2, length(_raw) - 2)")
-    tag = F.when(quoted, F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(raw)
-    df = df.withColumn("_reason", _reason(
-        (F.col("_n") < 4, "fewer than 4 fields"),
-        (F.col("_uid").isNull(), "uid is not an integer"),
-        (F.col("_mid").isNull(), "mid is not an integer"),
-        (F.col("_ts").isNull(), "timestamp is not an integer"),
-    ))
-    return _finish(df, [F.col("_uid").alias("uid"), F.col("_mid").alias("mid"),
-                        tag.alias("tag"), F.col("_ts").alias("timestamp")])
-
-
-def message_fields(value: Column) -> list[Column]:
-    """Typed fields of ``uid|mid|score|timestamp[|msg_id]``."""
-    p = F.split(value, "\\" + MESSAGE_SEP, -1)
-    return [
-        F.trim(F.get(p, 0)).try_cast("long").alias("uid"),
-        F.trim(F.get(p, 1)).try_cast("long").alias("mid"),
-        F.trim(F.get(p, 2)).try_cast("double").alias("score"),
-        F.trim(F.get(p, 3)).try_cast("long").alias("timestamp"),
-        F.trim(F.get(p, 4)).try_cast("long").alias("msg_id"),
-    ]
+    return _finish(flag_tags(lines))
+
+
+def flag_messages(lines: DataFrame, *keep: str) -> DataFrame:
+    p = F.col("_p")
+    uid, mid = _field(p, 0).try_cast("long"), _field(p, 1).try_cast("long")
+    score, ts = number(_field(p, 2)), _field(p, 3).try_cast("long")
+    fields = [uid.alias("uid"), mid.alias("mid"), score.alias("score"), ts.alias("timestamp"),
+              _field(p, 4).try_cast("long").alias("msg_id")]
+    return _flag(lines, _split(MESSAGE_SEP), fields, _reason(
+        (F.size(p) < 4, "fewer than 4 fields"),
+        (uid.isNull() | mid.isNull(), "uid or mid is not an integer"),
+        (score.isNull(), "score is not a finite number"),
+        (ts.isNull(), "timestamp is not an integer"),
+    ), *keep)
 
 
 def parse_messages(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rating messages ``uid|mid|score|timestamp`` with an optional fifth
     field, a message id used to order messages of the same second."""
-    df = lines.select("value", F.struct(*message_fields(F.col("value"))).alias("_m"))
-    m = F.col("_m")
-    df = df.withColumn("_reason", _reason(
-        (F.size(F.split(F.col("value"), "\\" + MESSAGE_SEP, -1)) < 4, "fewer than 4 fields"),
-        (m["uid"].isNull() | m["mid"].isNull(), "uid or mid is not an integer"),
-        (m["score"].isNull(), "score is not a number"),
-        (m["timestamp"].isNull(), "timestamp is not an integer"),
-    ))
-    return _finish(df, [m[c].alias(c) for c in ["uid", "mid", "score", "timestamp", "msg_id"]])
-
-
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path)
+    return _finish(flag_messages(lines))
 
 
 def parse_csv(lines: DataFrame, schema, sep: str = ",",
@@ -144,11 +155,16 @@ def parse_csv(lines: DataFrame, schema, sep: str = ",",
             "quote": quote, "escape": quote, "ignoreLeadingWhiteSpace": "true",
             "ignoreTrailingWhiteSpace": "true"}
     r = lines.select("value", F.from_csv("value", f"{ddl}, `{corrupt}` string", opts).alias("_r"))
+    wild = [F.col(f"_r.`{f.name}`").isNotNull() & _finite(F.col(f"_r.`{f.name}`")).isNull()
+            for f in schema.fields if f.dataType.simpleString() in ("float", "double")]
     bad_line = F.col(f"_r.{corrupt}").isNotNull()
+    for w in wild:
+        bad_line = bad_line | w
     good = r.where(~bad_line).select(*[F.col(f"_r.`{f.name}`").alias(f.name)
                                        for f in schema.fields])
     reason = F.coalesce(*[F.when(F.col(f"_r.`{f.name}`").isNull(),
                                  F.lit(f"{f.name} missing or invalid")) for f in schema.fields],
+                        *[F.when(w, F.lit("not a finite number")) for w in wild],
                         F.lit("does not match the schema"))
     bad = r.where(bad_line).select("value", reason.alias("reason"))
     return good, bad

@@ -1,6 +1,6 @@
 """Per-user recent-ratings state for the message stream.
 
-``RecentRatings`` is a ``transformWithStateInPandas`` processor keyed by
+``RecentRatings`` is a ``transformWithState`` processor (row form) keyed by
 user. It keeps the user's ``n`` newest ratings (mid, score, timestamp,
 msg_id) in list state and, for every user with messages in the micro-batch,
 emits the updated list together with the user's newest message of the batch
@@ -8,17 +8,15 @@ emits the updated list together with the user's newest message of the batch
 so a replayed or late file converges to the same list; a message id seen
 twice is kept once.
 
-Input rows of one user arrive as an iterator of pandas chunks; only a
-running top-n is held, so a very active user does not need memory
-proportional to their batch.
+Input rows of one user arrive as an iterator; only a running top-n is held, so
+a very active user does not need memory proportional to their batch.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import types as T
+from pyspark.sql import Row, types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ratings_spark.constants import RECENT_RATINGS_N
@@ -39,55 +37,49 @@ OUTPUT_SCHEMA = T.StructType([
     T.StructField("mid", T.LongType()),
     T.StructField("score", T.DoubleType()),
     T.StructField("msg_id", T.LongType()),
+    T.StructField("is_trigger", T.BooleanType()),
 ])
 
-_COLS = ["mid", "score", "timestamp", "msg_id"]
-
-
-_DTYPES = {"mid": "int64", "score": "float64", "timestamp": "int64", "msg_id": "Int64"}
-
-
-def _empty() -> pd.DataFrame:
-    return pd.DataFrame({c: pd.Series(dtype=t) for c, t in _DTYPES.items()})
-
-
-def _newest(df: pd.DataFrame, n: int) -> pd.DataFrame:
-    """The n newest rows by (timestamp, msg_id) desc; one row per message id.
-    Rows without an id sort after those with one in the same second."""
-    df = df.astype(_DTYPES)
-    has_id = df["msg_id"].notna()
-    df = pd.concat([df[has_id].drop_duplicates("msg_id"), df[~has_id]])
-    tie = df["msg_id"].fillna(-1).astype("int64")
-    df = df.assign(_tie=tie).sort_values(["timestamp", "_tie"], ascending=False, kind="mergesort")
-    return df.head(n)[_COLS]
-
-
 MESSAGE_SCHEMA = T.StructType([T.StructField("uid", T.LongType())] + list(STATE_SCHEMA.fields))
 
+_COLS = ["mid", "score", "timestamp", "msg_id"]
+
 
-def newest_per_partition(n: int = RECENT_RATINGS_N):
-    """``mapInPandas`` body: each user's ``n`` newest messages of one input
-    partition (a map-side combine before the shuffle by user; only the n
-    newest can ever enter the list, and the newest is the trigger)."""
+def newest_per_batch(n: int = RECENT_RATINGS_N):
+    """``mapInPandas`` body: each user's ``n`` newest messages of one Arrow
+    batch, a combine before the shuffle by user. Batches are reduced on their
+    own (the state merges what several leave), so memory and time follow the
+    batch size, not the number of users in the partition."""
     cols = ["uid"] + _COLS
 
     def fn(batches):
-        keep = pd.DataFrame({c: pd.Series(dtype=t) for c, t in
-                             {"uid": "int64", **_DTYPES}.items()})
         for b in batches:
-            if b.empty:
-                continue
-            both = pd.concat([keep, b[cols].astype({"uid": "int64", **_DTYPES})],
-                             ignore_index=True)
-            tie = both["msg_id"].fillna(-1).astype("int64")
-            both = both.assign(_tie=tie).sort_values(
+            b = b[cols].astype({"uid": "int64", "mid": "int64", "score": "float64",
+                                "timestamp": "int64", "msg_id": "Int64"})
+            b = b[b["msg_id"].isna() | ~b.duplicated(["uid", "msg_id"])]
+            tie = b["msg_id"].fillna(-1).astype("int64")
+            order = b.assign(_tie=tie).sort_values(
                 ["uid", "timestamp", "_tie"], ascending=[True, False, False], kind="mergesort")
-            keep = both.groupby("uid", sort=False).head(n)[cols]
-        if not keep.empty:
-            yield keep
+            yield order.groupby("uid", sort=False).head(n)[cols]
     return fn
 
 
+def newest(items, n: int) -> list:
+    """The n newest of (mid, score, timestamp, msg_id) tuples, newest first;
+    one item a message id. Items without an id come after those with one in
+    the same second, then in the order of item and score."""
+    seen, out = set(), []
+    for x in sorted(items, key=lambda x: (-x[2], -(-1 if x[3] is None else x[3]), x[0], x[1])):
+        if x[3] is not None:
+            if x[3] in seen:
+                continue
+            seen.add(x[3])
+        out.append(x)
+        if len(out) == n:
+            break
+    return out
+
+
 class RecentRatings(StatefulProcessor):
     def __init__(self, n: int = RECENT_RATINGS_N):
         self.n = n
@@ -95,36 +87,25 @@ class RecentRatings(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.items = handle.getListState("recent", STATE_SCHEMA)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        uid = key[0]
-        batch_top = _empty()
-        for chunk in rows:
-            if not chunk.empty:
-                batch_top = _newest(pd.concat([batch_top, chunk[_COLS].astype(_DTYPES)],
-                                              ignore_index=True), self.n)
-        if batch_top.empty:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        batch: list = []
+        for r in rows:
+            batch.append((r["mid"], r["score"], r["timestamp"], r["msg_id"]))
+            if len(batch) >= 8 * self.n:
+                batch = newest(batch, self.n)
+        if not batch:
             return
-        trig = batch_top.iloc[0]
-        merged = batch_top
-        # get() of absent state is empty: one round trip instead of two
-        stored = list(self.items.get())
-        if stored:
-            old = pd.DataFrame(stored, columns=_COLS).astype(_DTYPES)
-            merged = _newest(pd.concat([old, batch_top], ignore_index=True), self.n)
-        self.items.put([(int(r.mid), float(r.score), int(r.timestamp),
-                         None if pd.isna(r.msg_id) else int(r.msg_id))
-                        for r in merged.itertuples(index=False)])
-        k = len(merged)
-        yield pd.DataFrame({
-            "uid": [uid] * k,
-            "trig_mid": [int(trig["mid"])] * k,
-            "trig_timestamp": [int(trig["timestamp"])] * k,
-            "trig_msg_id": [None if pd.isna(trig["msg_id"]) else int(trig["msg_id"])] * k,
-            "rank": list(range(1, k + 1)),
-            "mid": merged["mid"].to_numpy(),
-            "score": merged["score"].to_numpy(),
-            "msg_id": merged["msg_id"].to_numpy(),
-        })
+        batch = newest(batch, self.n)
+        trigger = batch[0]
+        stored = [tuple(x) for x in self.items.get()]
+        merged = newest(batch + stored, self.n)
+        self.items.put(merged)
+        # The trigger is known by its place, as messages need not have ids.
+        at = merged.index(trigger) if trigger in merged else -1
+        for k, (mid, score, _, msg_id) in enumerate(merged):
+            yield Row(uid=key[0], trig_mid=trigger[0], trig_timestamp=trigger[2],
+                      trig_msg_id=trigger[3], rank=k + 1, mid=mid, score=score, msg_id=msg_id,
+                      is_trigger=k == at)
 
     def close(self) -> None:
         pass

@@ -10,52 +10,73 @@ failure replaces its own output instead of duplicating it. Every user with
 a message in the batch gets a row (an empty list when there is nothing to
 recommend), which supersedes the user's older rows: readers take the
 highest ``batch_id`` per user (``latest_recs``). The similarity table and
-the rated set are re-read every batch, so a refreshed offline run is
-picked up without restarting.
+the rated set are looked up anew every batch, their layout included, so a
+refreshed offline run is picked up without restarting. Messages that can't be
+parsed go to a reject table (``reject_sink``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import StreamingQuery
 
 from ratings_spark.constants import CANDIDATES_N, RECENT_RATINGS_N, SIM_THRESHOLD
 from ratings_spark.functions.lists import encode_recs
 from ratings_spark.operators import history, rerank
 from ratings_spark.operators.topk import top_k
-from ratings_spark.session import ship_package
-from ratings_spark.sources.text import message_fields
+from ratings_spark.session import list_folder, ship_package
+from ratings_spark.sources.text import flag_messages
 from ratings_spark.streaming.recents import OUTPUT_SCHEMA, RecentRatings
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 EMPTY_RECS = "array<struct<mid:bigint,r:double>>"
-# Candidate (uid, mid) pairs of one micro-batch broadcast to probe the rated
-# index locally: 2 M pairs x 16 bytes = 32 MB at most; above that the
-# shuffle anti join is used.
-BROADCAST_CANDIDATES = 2_000_000
+RATED = (("uid", "bigint"), ("mid", "bigint"))
+EDGES = (("mid", "bigint"), ("other_mid", "bigint"), ("sim", "double"))
+# Tasks a hot item's users are spread over: a stateful query runs its batches
+# without adaptive execution, which would split such a join task.
+SALTS = 8
 
 
-def message_stream(spark: SparkSession, fmt: str = "text", path: str | None = None,
-                   options: dict | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame of parsed messages (uid, mid, score, timestamp, msg_id).
+def flagged_messages(spark: SparkSession, fmt: str = "text", path: str | None = None,
+                     options: dict | None = None,
+                     max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming frame of all messages: value, the parsed fields and reason
+    (null for a good message).
 
     ``fmt='kafka'`` reads the record value (``options`` carry
     ``kafka.bootstrap.servers`` and ``subscribe``; the Kafka connector must
-    be on the classpath -- it is not in the test environment). ``fmt='text'``
-    reads new files under ``path``. Unparseable messages are dropped.
-    """
+    be on the classpath -- it is not in the test environment); a record's
+    partition and offset stand in for a missing message id, so messages of the
+    same second keep the order of their partition. ``fmt='text'`` reads new
+    files under ``path``."""
     r = spark.readStream.format(fmt).options(**(options or {}))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = r.load(path) if path else r.load()
-    value = F.col("value").cast("string")
-    m = raw.select(*message_fields(value))
-    return m.where(F.col("uid").isNotNull() & F.col("mid").isNotNull()
-                   & F.col("score").isNotNull() & F.col("timestamp").isNotNull())
+    value = F.col("value").cast("string").alias("value")
+    if fmt != "kafka":
+        return flag_messages(raw.select(value))
+    place = (F.shiftleft(F.col("partition").cast("long"), 44) + F.col("offset")).alias("place")
+    rows = flag_messages(raw.select(value, place), "place")
+    return rows.withColumn("msg_id", F.coalesce("msg_id", "place")).drop("place")
+
+
+def message_stream(spark: SparkSession, fmt: str = "text", path: str | None = None,
+                   options: dict | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The good messages (uid, mid, score, timestamp, msg_id) of
+    ``flagged_messages``; ``reject_sink`` keeps the others."""
+    rows = flagged_messages(spark, fmt, path, options, max_files_per_trigger)
+    return rows.where("reason IS NULL").select("uid", "mid", "score", "timestamp", "msg_id")
+
+
+def reject_sink(flagged: DataFrame, path: str, checkpoint: str,
+                trigger: dict | None = None) -> StreamingQuery:
+    """Append the messages of ``flagged_messages`` that can't be parsed, with
+    the reason, to a parquet table (exactly-once file sink)."""
+    return flagged.where("reason IS NOT NULL").select("value", "reason").writeStream \
+        .format("parquet").option("path", path).option("checkpointLocation", checkpoint) \
+        .outputMode("append").trigger(**(trigger or {"processingTime": "2 seconds"})).start()
 
 
 def with_recents(messages: DataFrame, n: int = RECENT_RATINGS_N) -> DataFrame:
@@ -70,31 +91,24 @@ def with_recents(messages: DataFrame, n: int = RECENT_RATINGS_N) -> DataFrame:
     spark = messages.sparkSession
     ship_package(spark)
     reduced = messages.select("uid", "mid", "score", "timestamp", "msg_id").mapInPandas(
-        recents_module.newest_per_partition(n), recents_module.MESSAGE_SCHEMA)
+        recents_module.newest_per_batch(n), recents_module.MESSAGE_SCHEMA)
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return reduced.groupBy("uid").transformWithStateInPandas(
+    return reduced.groupBy("uid").transformWithState(
         statefulProcessor=RecentRatings(n), outputStructType=OUTPUT_SCHEMA,
         outputMode="Update", timeMode="None")
 
 
-def _source(src):
-    """A ``BucketedTable`` is used as is (it reads per bucket set); any
-    other callable is called for a fresh DataFrame each batch."""
-    return src if isinstance(src, history.BucketedTable) else src()
-
-
-def batch_writer(out_dir: str, sim_edges: Callable[[], DataFrame],
-                 rated: Callable[[], DataFrame], n_candidates: int = CANDIDATES_N,
-                 threshold: float = SIM_THRESHOLD, buckets: int = history.DEFAULT_BUCKETS,
-                 n_recent: int = RECENT_RATINGS_N, include_incoming: bool = True):
+def batch_writer(out_dir: str, sim_edges, rated, n_candidates: int = CANDIDATES_N,
+                 threshold: float = SIM_THRESHOLD, n_recent: int = RECENT_RATINGS_N,
+                 include_incoming: bool = True):
     """The ``foreachBatch`` body: set-based re-rank of one micro-batch.
 
     The batch (the state operator's output) feeds two writes, so it is
     persisted for the body's duration. The similarity table (symmetric, as
-    ``item_similarity`` writes it) and the rated set are narrowed to the
-    batch's items and users before any shuffle: partition pruning when they
-    are stored by key bucket (``history.with_bucket``).
+    ``item_similarity`` writes it) and the rated set are a ``BucketedTable``
+    (the rated set also a list of them), of which only the batch's buckets
+    are read, or a callable giving a DataFrame.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -103,27 +117,21 @@ def batch_writer(out_dir: str, sim_edges: Callable[[], DataFrame],
             if include_incoming:
                 recents = kept
             else:
-                older = batch.where(~F.col("msg_id").eqNullSafe(F.col("trig_msg_id")))
+                older = batch.where(~F.col("is_trigger"))
                 recents = top_k(older, ["uid"], [F.asc("rank")], n_recent) \
                     .select("uid", "rank", "mid", "score")
                 kept = kept.where(F.col("rank") <= n_recent)
-            triggers = batch.where(F.col("rank") == 1) \
-                .select("uid", F.col("trig_mid").alias("mid"))
-            # One small job: the buckets of the batch's users, of every item
-            # in their recent lists and of every trigger item (a late or
-            # excluded trigger need not be among the recents). The similarity
-            # table is symmetric, so edges keyed by those items serve both
-            # the candidate lookup and the scoring lookup.
-            ids = history.bucket_id_sets(
-                batch, {"mid": "mid", "trig": "trig_mid", "uid": "uid"}, buckets)
-            item_ids = sorted(set(ids["mid"]) | set(ids["trig"]))
-            edges = history.restrict_to_ids(_source(sim_edges), "mid", item_ids)
-            seen = history.restrict_to_ids(_source(rated), "uid", ids["uid"])
-            cands = rerank.unseen_neighbours(triggers, edges, seen, n_candidates, threshold,
-                                             broadcast_limit=BROADCAST_CANDIDATES)
+            triggers = batch.select("uid", F.col("trig_mid").alias("mid")).distinct()
+            # Items of recent lists and trigger items (a late or excluded
+            # trigger need not be among the recents). The similarity table is
+            # symmetric, so edges keyed by those items serve both the
+            # candidate lookup and the scoring lookup.
+            edges, seen = history.lookup(batch, [
+                (sim_edges, ["mid", "trig_mid"], EDGES), (rated, ["uid"], RATED)])
+            cands = rerank.unseen_neighbours(triggers, edges, seen, n_candidates, threshold, SALTS)
             flipped = edges.select(F.col("other_mid").alias("mid"),
                                    F.col("mid").alias("other_mid"), "sim")
-            scores = rerank.rerank_scores(cands, recents, flipped, threshold)
+            scores = rerank.rerank_scores(cands, recents, flipped, threshold, salts=SALTS)
             nested = rerank.nested_recs(scores)
             recs = triggers.select("uid").join(nested, "uid", "left").select(
                 "uid", F.coalesce("recs", F.array().cast(EMPTY_RECS)).alias("recs"))
@@ -136,11 +144,9 @@ def batch_writer(out_dir: str, sim_edges: Callable[[], DataFrame],
 
 
 def start(messages: DataFrame, out_dir: str, checkpoint: str,
-          sim_edges: Callable[[], DataFrame], rated: Callable[[], DataFrame],
-          trigger: dict | None = None, n_recent: int = RECENT_RATINGS_N,
+          sim_edges, rated, trigger: dict | None = None, n_recent: int = RECENT_RATINGS_N,
           n_candidates: int = CANDIDATES_N, threshold: float = SIM_THRESHOLD,
           query_name: str | None = None, include_incoming: bool = True,
-          buckets: int = history.DEFAULT_BUCKETS,
           state_partitions: int | None = None) -> StreamingQuery:
     """Start the job. ``trigger`` defaults to a 2-second micro-batch
     (``{'processingTime': '2 seconds'}``); tests use ``{'availableNow': True}``.
@@ -154,8 +160,7 @@ def start(messages: DataFrame, out_dir: str, checkpoint: str,
     kept_n = n_recent if include_incoming else n_recent + 1
     w = with_recents(messages, kept_n).writeStream \
         .foreachBatch(batch_writer(out_dir, sim_edges, rated, n_candidates, threshold,
-                                   buckets=buckets, n_recent=n_recent,
-                                   include_incoming=include_incoming)) \
+                                   n_recent, include_incoming)) \
         .option("checkpointLocation", checkpoint) \
         .outputMode("update") \
         .trigger(**(trigger or {"processingTime": "2 seconds"}))
@@ -174,30 +179,18 @@ def start(messages: DataFrame, out_dir: str, checkpoint: str,
 
 
 def ratings_sink(messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-                 buckets: int = history.DEFAULT_BUCKETS) -> StreamingQuery:
-    """Append every parsed incoming rating to a parquet table partitioned by
-    user bucket (exactly-once file sink). ``streamed_rated`` reads it back so
-    the "already rated" set covers history and streamed ratings alike."""
+                 buckets: int = history.MIN_BUCKETS) -> StreamingQuery:
+    """Append every parsed incoming rating to a table bucketed by user
+    (exactly-once file sink), to be given to ``start`` beside the history's
+    rated table: ``rated=[history, sink]``. The two need not have the same
+    number of buckets."""
     rows = history.clustered_by_bucket(
         messages.select("uid", "mid", "score", "timestamp", "msg_id"), "uid", buckets)
     return rows.writeStream.format("parquet").option("path", path) \
-        .option("checkpointLocation", checkpoint).partitionBy("uid_bucket") \
+        .option("checkpointLocation", checkpoint).partitionBy("uid_buckets", "uid_bucket") \
         .outputMode("append").trigger(**(trigger or {"processingTime": "2 seconds"})).start()
 
 
-def streamed_rated(spark: SparkSession, history_rated: DataFrame, sink_path: str) -> DataFrame:
-    """(uid, mid, uid_bucket): rated pairs from history plus the ratings sink
-    (history alone while the sink has not committed its first batch)."""
-    hist = history_rated if "uid_bucket" in history_rated.columns \
-        else history.with_bucket(history_rated.select("uid", "mid"), "uid")
-    hist = hist.select("uid", "mid", "uid_bucket")
-    try:
-        streamed = spark.read.parquet(sink_path).select("uid", "mid", "uid_bucket")
-    except AnalysisException:
-        return hist
-    return hist.unionByName(streamed)
-
-
 def _snapshot_root(out_dir: str, table: str) -> str:
     return f"{out_dir}/{table}_snapshots"
 
@@ -209,11 +202,8 @@ def _current(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
     Snapshots are found by partition discovery over ``through=<n>`` folders,
     which lists committed files only."""
     rows = spark.read.parquet(f"{out_dir}/{table}")
-    try:
+    if any(x.startswith("through=") for x in list_folder(spark, _snapshot_root(out_dir, table))):
         snaps = spark.read.parquet(_snapshot_root(out_dir, table))
-    except AnalysisException:
-        snaps = None
-    if snaps is not None:
         through = snaps.agg(F.max("through")).first()[0]
         snap = snaps.where(F.col("through") == through).drop("through")
         rows = snap.unionByName(rows.where(F.col("batch_id") > through))

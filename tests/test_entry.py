@@ -7,10 +7,12 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
+from ratings_spark.plans import QUERIES
 
 TABLES = ["part", "orders", "lineitem", "events", "embeddings"]
-SLOW = {"als_user_recs", "als_item_recs", "als_rmse", "als_grid", "stream_rerank",
-        "stream_recent", "item_similarity_lsh"}
+SLOW = {"als_grid"}
+# The training-data queries have tests of their own, beside that part.
+OTHER = set(E.queries()) - set(QUERIES)
 
 
 def test_entry(spark):
@@ -39,7 +41,7 @@ def norm(cols, rs):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) - SLOW - OTHER))
 def test_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     res = con.execute(E.oracle_sql()[name])

@@ -31,7 +31,7 @@ def test_ratings(spark):
     good, bad = text.parse_ratings(lines(
         spark, "1,31,2.5,1260759144", " 2 , 5 , 4.0 , 99 ", "1,2,abc,3", "1,2,3", "9,9,1.0,99999999999"))
     assert rows(good) == [(1, 31, 2.5, 1260759144), (2, 5, 4.0, 99), (9, 9, 1.0, 99999999999)]
-    assert rows(bad, "reason") == [("fewer than 4 fields",), ("score is not a number",)]
+    assert rows(bad, "reason") == [("fewer than 4 fields",), ("score is not a finite number",)]
 
 
 def test_tags_with_commas_and_quotes(spark):

@@ -34,21 +34,6 @@ def test_scans_prune_columns(spark):
     assert "l_shipdate" not in p and "l_comment" not in p and "o_orderpriority" not in p
 
 
-def test_bucket_ids_prune_partitions(spark):
-    path = shared_dir(spark, "test-prune")
-    spark.range(0, 1000).select(F.col("id").alias("uid"), (F.col("id") % 7).alias("mid")) \
-        .transform(lambda d: history.with_bucket(d, "uid", 16)) \
-        .write.partitionBy("uid_bucket").parquet(path)
-    t = spark.read.parquet(path)
-    keys = spark.createDataFrame([(5,), (900,)], "uid long")
-    ids = history.bucket_id_sets(keys, {"uid": "uid"}, 16)["uid"]
-    r = history.restrict_to_ids(t, "uid", ids)
-    import re
-    scan = r._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[[^]]*uid_bucket#\d+ IN \(", scan)
-    assert len(ids) <= 2 and rows(r.join(keys, "uid"), "uid") == [(5,), (900,)]
-
-
 def test_hot_user_exact(spark):
     # one user holds a third of all messages
     data = [(0, i % 50, float(1 + i % 5), i, i) for i in range(600)] + \
@@ -63,18 +48,75 @@ def test_hot_user_exact(spark):
     assert got == sorted(want)
 
 
+def _looked_up(spark, table, uids):
+    keys = spark.createDataFrame([(u,) for u in uids], "uid long")
+    return history.lookup(keys, [(table, ["uid"], (("uid", "bigint"), ("mid", "bigint")))])[0]
+
+
 def test_bucketed_table_reads_only_named_buckets(spark):
     path = shared_dir(spark, "test-bucketed")
     base = spark.range(0, 200).select(F.col("id").alias("uid"), (F.col("id") * 2).alias("mid"))
-    history.write_by_bucket(base, path, "uid", 16)
     t = history.BucketedTable(spark, path, "uid")
+    assert t.layout() == (None, set()) and _looked_up(spark, t, [5]).count() == 0   # not there yet
+    history.write_by_bucket(base, path, "uid", 16)
     ids = history.bucket_id_sets(spark.createDataFrame([(5,), (77,)], "uid long"),
-                                 {"uid": "uid"}, 16)["uid"]
-    part = t.read(ids)
+                                 {"uid": ("uid", 16)})["uid"]
+    part = _looked_up(spark, t, [5, 77])
     files = part.inputFiles()
     assert files and all(any(f"uid_bucket={i}/" in f for i in ids) for f in files)
     assert {5, 77} <= {r["uid"] for r in part.collect()}
-    assert t.read([]).count() == 0 and t.read([999]).count() == 0
-    # rewritten with fewer buckets present: stale bucket folders are re-learnt
-    history.write_by_bucket(base.where("uid < 3"), path, "uid", 16)
-    assert rows(history.restrict_to_ids(t, "uid", list(range(16))), "uid") == [(0,), (1,), (2,)]
+    assert t.read(t.layout(), []) is None and t.read(t.layout(), [999]) is None
+
+
+def test_rewritten_table_is_read_as_it_is_now(spark):
+    """More rows in new buckets, then another number of buckets."""
+    path = shared_dir(spark, "test-rewritten")
+    base = spark.range(0, 200).select(F.col("id").alias("uid"), (F.col("id") * 2).alias("mid"))
+    t = history.BucketedTable(spark, path, "uid")
+    for rows_, buckets in ((base.where("uid < 3"), 16), (base, 16), (base, 1024), (base.where("uid < 50"), 4)):
+        history.write_by_bucket(rows_, path, "uid", buckets)
+        want = {r["uid"] for r in rows_.collect()}
+        got = {r["uid"] for r in _looked_up(spark, t, range(200)).collect()}
+        assert got == want and t.layout()[0] == buckets
+
+
+def test_tables_of_different_layouts_are_read_together(spark):
+    one, two = shared_dir(spark, "test-one"), shared_dir(spark, "test-two")
+    history.write_by_bucket(spark.createDataFrame([(1, 10)], "uid int, mid int"), one, "uid", 16)
+    history.write_by_bucket(spark.createDataFrame([(1, 11), (2, 12)], "uid long, mid long"), two, "uid", 64)
+    tables = [history.BucketedTable(spark, p, "uid") for p in (one, two)]
+    assert rows(_looked_up(spark, tables, [1, 2])) == [(1, 10), (1, 11), (2, 12)]
+
+
+def test_bucket_number_follows_the_data(spark, monkeypatch):
+    assert history.bucket_count(0) == 16 and history.bucket_count(10 ** 9) == 500
+    monkeypatch.setattr(history, "BUCKET_ROWS", 10)
+    path = shared_dir(spark, "test-count")
+    history.write_by_bucket(spark.range(500).withColumnRenamed("id", "uid"), path, "uid")
+    assert history.BucketedTable(spark, path, "uid").layout()[0] == 50
+
+
+def test_lines_are_split_once(spark):
+    from ratings_spark.sources import text
+    lines = spark.createDataFrame([("a",)], "value string").repartition(1)
+    for parse in (text.parse_movies, text.parse_ratings, text.parse_tags, text.parse_messages):
+        for frame in parse(lines):
+            assert frame._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
+def test_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from ratings_spark import session
+
+    def fake(master):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda *_: None),
+            sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None,
+                                         setCheckpointDir=lambda _: None))
+    assert session.checkpoint_root(fake("local[4]"))
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://host:7077"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.checkpoint_root(fake(master))

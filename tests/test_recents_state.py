@@ -9,29 +9,35 @@ from ratings_spark.session import shared_dir
 
 
 def test_newest_dedupes_and_orders():
-    df = pd.DataFrame({"mid": [1, 2, 3, 4, 5], "score": [1.0, 2.0, 3.0, 4.0, 5.0],
-                       "timestamp": [10, 30, 30, 20, 30], "msg_id": [1, 7, 9, 4, 7]})
-    out = recents._newest(df, 3)
-    assert out["mid"].tolist() == [3, 2, 4]      # (30, 9), (30, 7) once, then (20, 4)
+    items = [(1, 1.0, 10, 1), (2, 2.0, 30, 7), (3, 3.0, 30, 9), (4, 4.0, 20, 4), (5, 5.0, 30, 7)]
+    assert [x[0] for x in recents.newest(items, 3)] == [3, 2, 4]   # (30, 9), (30, 7) once, then (20, 4)
+    noid = [(1, 1.0, 10, None), (2, 2.0, 10, None), (3, 3.0, 10, 0)]
+    assert [x[0] for x in recents.newest(noid, 3)] == [3, 1, 2]
+    assert recents.newest(noid[::-1], 3) == recents.newest(noid, 3)
 
 
-def test_partition_reduction_keeps_hot_user_exact():
-    fn = recents.newest_per_partition(3)
+def test_batch_reduction_keeps_hot_user_exact():
+    fn = recents.newest_per_batch(3)
     hot = pd.DataFrame({"uid": [0] * 1000 + [1, 1], "mid": list(range(1000)) + [7, 8],
                         "score": [1.0] * 1002, "timestamp": list(range(1000)) + [5, 6],
                         "msg_id": list(range(1002))})
     chunks = [hot.iloc[i:i + 97] for i in range(0, len(hot), 97)]   # many Arrow batches
     out = pd.concat(list(fn(iter(chunks))))
-    assert sorted(out[out.uid == 0]["mid"].tolist()) == [997, 998, 999]
+    assert len(out) <= 3 * len(chunks) + 2
+    assert sorted(out[out.uid == 0]["mid"].tolist())[-3:] == [997, 998, 999]
     assert sorted(out[out.uid == 1]["mid"].tolist()) == [7, 8]
+    # a message repeated many times does not push others out of its batch
+    again = pd.DataFrame({"uid": [0] * 6, "mid": [1, 1, 1, 1, 2, 3], "score": [1.0] * 6,
+                          "timestamp": [9, 9, 9, 9, 8, 7], "msg_id": [5, 5, 5, 5, 4, 3]})
+    assert next(fn(iter([again])))["mid"].tolist() == [1, 2, 3]
 
 
 def test_replayed_batch_overwrites_itself(spark):
     base = shared_dir(spark, "test-replay")
     batch = spark.createDataFrame(
-        [(1, 5, 0, 1, 1, 5, 4.0, 1), (1, 5, 0, 1, 2, 6, 3.0, 0)],
+        [(1, 5, 0, 1, 1, 5, 4.0, 1, True), (1, 5, 0, 1, 2, 6, 3.0, 0, False)],
         "uid long, trig_mid long, trig_timestamp long, trig_msg_id long, rank int, mid long, "
-        "score double, msg_id long")
+        "score double, msg_id long, is_trigger boolean")
     edges = spark.createDataFrame([(5, 9, 0.9), (9, 5, 0.9), (6, 9, 0.8), (9, 6, 0.8)],
                                   "mid long, other_mid long, sim double")
     rated = spark.createDataFrame([], "uid long, mid long")

@@ -76,12 +76,30 @@ def test_latest_version(spark):
     assert rows(rerank.latest_version(v), "uid", "x") == [(1, "b"), (1, "c"), (2, "d")]
 
 
-def test_broadcast_and_shuffle_anti_join_agree(spark):
-    e = edges(spark, [(1, i, 0.99 - i / 100) for i in range(2, 30)])
-    m = msgs(spark, [(7, 1, 4.0, 1, 1), (8, 1, 3.0, 2, 2)])
-    rated = spark.createDataFrame([(7, 2), (7, 3), (7, 3), (8, 4)], "uid long, mid long")
-    trig = rerank.latest_messages(m)
-    a = rows(rerank.unseen_neighbours(trig, e, rated, 20, 0.6))
-    b = rows(rerank.unseen_neighbours(trig, e, rated, 20, 0.6, broadcast_limit=1000))
-    c = rows(rerank.unseen_neighbours(trig, e, rated, 20, 0.6, broadcast_limit=10))  # over limit
-    assert a == b == c and len(a) == 40
+def test_hot_item_is_not_expanded_beyond_what_can_matter(spark):
+    """2000 neighbours of one item, 50 users: a user with r rated items joins
+    20 + r of them, and the best 20 unseen ones are the same as without bound."""
+    sims = [(0, k, 1.0 - k / 10_000) for k in range(1, 2001)]
+    e = spark.createDataFrame(sims, "mid long, other_mid long, sim double")
+    trig = spark.createDataFrame([(u, 0) for u in range(50)], "uid long, mid long")
+    seen = [(u, k) for u in range(50) for k in range(1, u + 1)] + [(7, 1900), (7, 1)]
+    rated = spark.createDataFrame(seen, "uid long, mid long")
+    pairs = rated.distinct()
+    joined = rerank.candidate_pairs(trig, e, pairs, 20, 0.6).groupBy("uid").count()
+    assert {r["uid"]: r["count"] for r in joined.collect()} == {u: 20 + u + (u == 7) for u in range(50)}
+    want = [(u, k - u, k) for u in range(50) for k in range(u + 1, u + 21)]
+    for salts in (1, 8):
+        got = rerank.unseen_neighbours(trig, e, rated, 20, 0.6, salts)
+        assert rows(got, "uid", "rank", "mid") == sorted(want)
+
+
+def test_salted_scores_are_the_same(spark):
+    e = edges(spark, [(a, b, 0.6 + 0.01 * (a + b)) for a in range(8) for b in range(a + 1, 8)])
+    cands = spark.createDataFrame([(u, 1, m, 0.9) for u in range(9) for m in range(4)],
+                                  "uid long, rank int, mid long, sim double")
+    rec = spark.createDataFrame([(u, 1, m, float(m)) for u in range(9) for m in range(4, 8)],
+                                "uid long, rank int, mid long, score double")
+    one = rows(rerank.rerank_scores(cands, rec, e, 0.6), "uid", "mid", "score")
+    many = rows(rerank.rerank_scores(cands, rec, e, 0.6, salts=4), "uid", "mid", "score")
+    assert [x[:2] for x in one] == [x[:2] for x in many] and len(one) == 36
+    assert all(abs(a[2] - b[2]) < 1e-9 for a, b in zip(one, many))

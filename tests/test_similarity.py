@@ -1,4 +1,4 @@
-"""Cosine similarity: thresholds, zero vectors, blocking/chunking exactness, LSH subset."""
+"""Cosine similarity: thresholds, zero vectors, blocking/chunking exactness."""
 
 import numpy as np
 from conftest import SF_SMALL, rows
@@ -59,11 +59,18 @@ def test_chunked_products_match(spark, monkeypatch):
     assert rows(factors.top_k_items(f, f, 3, block_rows=40), "uid", "rank", "mid") == want_top
 
 
-def test_lsh_subset_of_exact(spark):
+def test_results_do_not_depend_on_partitions_or_repeated_ids(spark, monkeypatch):
+    from ratings_spark.operators import blocks, factors
     f = A.factors(spark, SF_SMALL)
-    exact = set(rows(similarity.item_similarity(f, 0.3), "mid", "other_mid"))
-    approx = set(rows(similarity.item_similarity(f, 0.3, method="lsh"), "mid", "other_mid"))
-    assert approx <= exact and len(approx) > 0.5 * len(exact)
+    twice = f.unionByName(f.selectExpr("id", "transform(features, x -> x - 10) AS features"))
+    want = rows(similarity.item_similarity(f, 0.3))
+    top = rows(factors.top_k_items(f, f, 3))
+    for n in (10, 10_000):
+        monkeypatch.setattr(blocks, "PARTITION_ROWS", n)
+        got = rows(similarity.item_similarity(twice.repartition(7), 0.3, block_rows=50))
+        assert [r[:2] for r in got] == [r[:2] for r in want]
+        assert all(abs(a[2] - b[2]) < 1e-9 for a, b in zip(got, want))
+        assert [r[:3] for r in rows(factors.top_k_items(f, f, 3, block_rows=50))] == [r[:3] for r in top]
 
 
 def test_neighbour_lists(spark):

@@ -1,5 +1,6 @@
 """Table reads and writes through Spark's data-source API."""
 
+import pytest
 from conftest import rows
 from pyspark.sql import types as T
 
@@ -32,4 +33,9 @@ def test_other_formats_and_options(spark):
                              schema=T.StructType([T.StructField("uid", T.LongType()),
                                                   T.StructField("tag", T.StringType())]))
     assert rows(back) == [(1, "x;y")]
-    assert tables.search_index_options("host:9200")["es.mapping.id"] == "mid"
+
+
+def test_different_rows_with_one_key_are_an_error(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "mid long, name string")
+    with pytest.raises(ValueError, match="1 values of mid"):
+        tables.write_table(df, shared_dir(spark, "test-key"), unique_key="mid")

@@ -1,6 +1,7 @@
 """Statistics: counts, months in UTC, averages, genre matching and ties, tag documents."""
 
 from conftest import rows
+from pyspark.sql import functions as F
 
 from ratings_spark.functions.dates import year_month
 from ratings_spark.operators import catalog, stats
@@ -93,3 +94,26 @@ def test_epoch_seconds_both_kinds(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert r["n"] == 86400 and r["l"] == 86400   # 09:00 in Tokyo is 00:00 UTC
+
+
+def test_wall_clock_times_that_a_zone_skips(spark):
+    """02:30 on the day clocks go forward does not exist in Los Angeles."""
+    from ratings_spark.functions.dates import epoch_seconds
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2024-03-10 02:30:00' AS t UNION ALL "
+                   "SELECT TIMESTAMP_NTZ'1969-12-31 23:59:59' UNION ALL SELECT NULL")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = {r[0] for r in df.select(epoch_seconds("t")).collect()}
+            assert got == {1710037800, -1, None}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_any_number_of_genre_names(spark):
+    movies = spark.createDataFrame([(1, "War|Drama"), (2, "Warfare"), (3, "war|drama"), (4, None)],
+                                   "mid long, genres string").withColumn("avg", F.lit(1.0))
+    names = ["War", "Drama"] + [f"name{k}" for k in range(12_000)]
+    got = stats.genre_matches(movies, stats.genre_frame(spark, names))
+    assert rows(got, "genre", "mid") == [("Drama", 1), ("Drama", 3), ("War", 1), ("War", 2), ("War", 3)]

@@ -60,7 +60,7 @@ def test_stream_in_order_equals_batch_rerank(spark):
     from ratings_spark.plans.realtime_queries import RERANK_SIM
     d = SF_SMALL
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    out = stream_queries.run_stream(spark, d, fresh=True)
+    out = stream_queries.run_stream(spark, d)
     # the query ran with its own state partitions; the session is unchanged
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     got = RS.latest_recs(spark, out).select("uid", F.explode("recs").alias("x")) \
@@ -79,17 +79,20 @@ def test_exclude_incoming_and_ratings_sink(spark):
     msgs = A.messages(spark, d)
     A.message_lines(msgs).write.text(src)
     edges_path = f"{base}/edges"
-    history.with_bucket(similarity.item_similarity(A.factors(spark, d), 0.3), "mid") \
-        .write.partitionBy("mid_bucket").parquet(edges_path)
+    history.write_by_bucket(similarity.item_similarity(A.factors(spark, d), 0.3), edges_path, "mid", 64)
     hist = history.distinct_pairs(A.ratings(spark, d))
+    history.write_by_bucket(hist, f"{base}/rated", "uid", 32)
 
     # streamed ratings land in a user-bucketed table; rated = history + stream
+    rated = [history.BucketedTable(spark, f"{base}/{t}", "uid") for t in ("rated", "sink")]
+    pairs = (("uid", "bigint"), ("mid", "bigint"))
+    assert history.lookup(msgs, [(rated, ["uid"], pairs)])[0].count() <= hist.count()   # no sink yet
     s = RS.ratings_sink(RS.message_stream(spark, "text", src), f"{base}/sink", f"{base}/ck1",
                         trigger={"availableNow": True})
     s.awaitTermination()
     assert spark.read.parquet(f"{base}/sink").count() == msgs.count()
-    rated_all = RS.streamed_rated(spark, hist, f"{base}/sink")
-    assert rated_all.count() == hist.count() + msgs.count()
+    both = history.lookup(hist.select("uid").unionByName(msgs.select("uid")), [(rated, ["uid"], pairs)])[0]
+    assert both.count() == hist.count() + msgs.count()
 
     q = RS.start(RS.message_stream(spark, "text", src), f"{base}/out", f"{base}/ck2",
                  lambda: spark.read.parquet(edges_path), lambda: hist,
@@ -105,6 +108,15 @@ def test_exclude_incoming_and_ratings_sink(spark):
     assert rows(RS.latest_recents(spark, f"{base}/out")) == rows(rerank.recents_from_messages(msgs, 20))
 
 
+def _recs(spark, base, out, edges, rated, include, **kw):
+    q = RS.start(RS.message_stream(spark, "text", f"{base}/src"), f"{base}/{out}", f"{base}/ck-{out}",
+                 edges, rated, trigger={"availableNow": True}, threshold=0.6,
+                 include_incoming=include, **kw)
+    q.awaitTermination()
+    assert q.exception() is None
+    return {r["mid"]: round(r["r"], 9) for r in RS.latest_recs(spark, f"{base}/{out}").first()["recs"]}
+
+
 def test_bucket_pruning_keeps_trigger_items(spark):
     """Exclude mode: the trigger item is in no recent row, yet its
     neighbours must be found through bucket pruning."""
@@ -112,26 +124,44 @@ def test_bucket_pruning_keeps_trigger_items(spark):
     pairs = [(1, 2, 0.9), (1, 3, 0.8), (2, 3, 0.7)]
     edges = spark.createDataFrame(pairs + [(b, a, s) for a, b, s in pairs],
                                   "mid long, other_mid long, sim double")
-    buckets = 64
-    ids = history.bucket_id_sets(spark.createDataFrame([(1,), (2,)], "mid long"),
-                                 {"m": "mid"}, buckets)["m"]
+    ids = history.bucket_id_sets(spark.createDataFrame([(1,), (2,)], "mid long"), {"m": ("mid", 64)})["m"]
     assert len(ids) == 2     # items 1 and 2 fall in different buckets
-    history.with_bucket(edges, "mid", buckets).write.partitionBy("mid_bucket") \
-        .parquet(f"{base}/e")
+    history.write_by_bucket(edges, f"{base}/e", "mid", 64)
+    table = history.BucketedTable(spark, f"{base}/e", "mid")
     spark.createDataFrame(["7|2|4.0|10|1", "7|1|5.0|20|2"], "string").write.text(f"{base}/src")
-    rated = spark.createDataFrame([], "uid long, mid long")
-
-    def run(out, include):
-        q = RS.start(RS.message_stream(spark, "text", f"{base}/src"), f"{base}/{out}",
-                     f"{base}/ck-{out}", lambda: spark.read.parquet(f"{base}/e"), lambda: rated,
-                     trigger={"availableNow": True}, threshold=0.6,
-                     include_incoming=include, buckets=buckets)
-        q.awaitTermination()
-        return {r["mid"]: round(r["r"], 9)
-                for r in RS.latest_recs(spark, f"{base}/{out}").first()["recs"]}
-
+    none = history.BucketedTable(spark, f"{base}/nothing-yet", "uid")
     # trigger 1; candidates 2 (0.9) and 3 (0.8)
     # without the incoming rating, recents = {2: 4.0}: only 3 scores, 0.7 * 4
-    assert run("excl", False) == {3: 2.8}
+    assert _recs(spark, base, "excl", table, none, False) == {3: 2.8}
     # with it, recents = {1: 5.0, 2: 4.0}: 2 -> 0.9*5; 3 -> (0.8*5 + 0.7*4)/2 + log2(2)
-    assert run("incl", True) == {2: 4.5, 3: 4.4}
+    assert _recs(spark, base, "incl", table, none, True) == {2: 4.5, 3: 4.4}
+
+
+def test_messages_without_ids_and_rejects(spark):
+    """Four-field messages: only the incoming one is left out."""
+    base = shared_dir(spark, "test-stream-noid")
+    pairs = [(1, 2, 0.9), (1, 3, 0.8), (2, 3, 0.7)]
+    edges = spark.createDataFrame(pairs + [(b, a, s) for a, b, s in pairs],
+                                  "mid long, other_mid long, sim double")
+    lines = ["7|2|4.0|10", "7|1|5.0|20", "7|1|NaN|30", "7|1|Infinity|31", "nonsense"]
+    spark.createDataFrame(lines, "string").write.text(f"{base}/src")
+    none = spark.createDataFrame([], "uid long, mid long")
+    assert _recs(spark, base, "excl", lambda: edges, lambda: none, False) == {3: 2.8}
+    assert _recs(spark, base, "incl", lambda: edges, lambda: none, True) == {2: 4.5, 3: 4.4}
+    q = RS.reject_sink(RS.flagged_messages(spark, "text", f"{base}/src"), f"{base}/bad", f"{base}/ck-bad",
+                       {"availableNow": True})
+    q.awaitTermination()
+    assert [r[0] for r in rows(spark.read.parquet(f"{base}/bad"))] == sorted(lines[2:])
+
+
+def test_a_wrong_table_is_an_error_and_not_an_empty_one(spark):
+    import pytest
+    from pyspark.errors import AnalysisException
+    base = shared_dir(spark, "test-stream-wrong")
+    spark.createDataFrame([(1, "x")], "user long, item string") \
+        .withColumn("uid", F.col("user")).transform(lambda x: history.with_bucket(x, "uid", 4)) \
+        .drop("uid").write.partitionBy("uid_buckets", "uid_bucket").parquet(f"{base}/t")
+    keys = spark.createDataFrame([(1,)], "uid long")
+    with pytest.raises(AnalysisException):
+        history.lookup(keys, [(history.BucketedTable(spark, f"{base}/t", "uid"), ["uid"],
+                               (("uid", "bigint"), ("mid", "bigint")))])[0].count()
