@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame, functions as F
 from ratings_spark.constants import SIM_THRESHOLD
 from ratings_spark.functions.vectors import dot
 from ratings_spark.operators.blocks import (
-    CHUNK_ROWS, block_count, block_of, chunk_rows, replicate, spread_groups)
+    CHUNK_ROWS, DEFAULT_BLOCK_ROWS, block_count, block_of, chunk_rows, replicate, spread_groups)
 from ratings_spark.operators.topk import top_k
-from ratings_spark.session import ship_package
+from ratings_spark.session import materialize, ship_package
 
 EDGE_SCHEMA = "mid long, other_mid long, sim double"
 
@@ -66,11 +66,72 @@ def _pair_block_fn(threshold: float):
     return fn
 
 
+def _nearest_pivot_fn(pivots: np.ndarray):
+    """Map function: each vector's nearest pivot and the angle to it."""
+    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if b.empty:
+                continue
+            X = np.vstack(b["v"].to_numpy()).astype(np.float64)
+            X /= np.sqrt(np.einsum("ij,ij->i", X, X))[:, None]
+            S = X @ pivots.T
+            cell = S.argmax(axis=1)
+            angle = np.arccos(np.clip(S[np.arange(len(S)), cell], -1, 1))
+            yield b.assign(cell=cell.astype("int32"), angle=angle)
+    return fn
+
+
+def near_cells(pivots: np.ndarray, radius: np.ndarray, threshold: float) -> np.ndarray:
+    """Which cells may hold a pair above the threshold: by the triangle
+    inequality the angle between two vectors is at least that between their
+    pivots less both cells' radii."""
+    between = np.arccos(np.clip(pivots @ pivots.T, -1, 1))
+    least = between - radius[:, None] - radius[None, :]
+    return least <= np.arccos(np.clip(threshold, -1, 1)) + 1e-6
+
+
+def _pivot_blocks(uv: DataFrame, threshold: float, block_rows: int | None,
+                  pivots: int) -> tuple[DataFrame, int, int]:
+    """Block copies (p, q, b, id, v) with blocks cut from the cells of
+    ``pivots`` vectors (chosen by hash), copied only to the blocks of cells
+    near their own; the number of groups and of copies."""
+    spark = uv.sparkSession
+    some = uv.orderBy(F.xxhash64("id"), "id").limit(pivots).select("v").collect()
+    if not some:
+        return uv.selectExpr("0 AS p", "0 AS q", "0 AS b", "id", "v"), 1, 1
+    P = np.array([r["v"] for r in some], np.float64)
+    P /= np.sqrt(np.einsum("ij,ij->i", P, P))[:, None]
+    kind = uv.schema["v"].dataType.simpleString()
+    cells = materialize(uv.mapInPandas(_nearest_pivot_fn(P), f"id long, v {kind}, cell int, angle double"),
+                        "cells")
+    n, radius = np.zeros(len(P), np.int64), np.zeros(len(P))
+    for r in cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("angle").alias("r")).collect():
+        n[r["cell"]], radius[r["cell"]] = r["n"], r["r"]
+    parts = -(-n // (block_rows or DEFAULT_BLOCK_ROWS))   # a large cell has several blocks
+    first = np.cumsum(parts) - parts
+    near = near_cells(P, radius, threshold) & (n > 0)[:, None] & (n > 0)[None, :]
+    table = spark.createDataFrame(
+        [(int(a), int(first[a]), int(parts[a]), int(first[b]), int(parts[b])) for a, b in zip(*np.nonzero(near))],
+        "cell int, first int, parts int, o_first int, o_parts int")
+    x = cells.join(table, "cell").select(
+        (F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).alias("b"), "id", "v",
+        F.explode(F.expr("sequence(o_first, o_first + o_parts - 1)")).alias("o"))
+    per_cell = near.astype(np.int64) @ parts
+    groups = int((near.astype(np.int64) * parts[:, None] * parts[None, :]).sum() + parts.sum()) // 2
+    return x.select(F.least("b", "o").alias("p"), F.greatest("b", "o").alias("q"), "b", "id", "v"), \
+        max(1, groups), int((n * per_cell).sum())
+
+
 def item_similarity(factors: DataFrame, threshold: float = SIM_THRESHOLD,
                     block_rows: int | None = None, id_col: str = "id",
-                    vec_col: str = "features") -> DataFrame:
+                    vec_col: str = "features", pivots: int = 0) -> DataFrame:
     """Directed similarity edges (mid, other_mid, sim) with sim > threshold.
-    Of several vectors of one id the greatest, in array order, stands."""
+    Of several vectors of one id the greatest, in array order, stands.
+
+    With ``pivots`` blocks are cut by nearest pivot instead of by hash, and
+    block pairs whose angle can't reach the threshold are skipped: the same
+    edges, for one more pass over the vectors. It pays where vectors cluster
+    (learnt factors) and there are many blocks."""
     spark = factors.sparkSession
     ship_package(spark)
     # Vectors travel in their stored precision (float for ALS factors): every
@@ -81,6 +142,10 @@ def item_similarity(factors: DataFrame, threshold: float = SIM_THRESHOLD,
     uv = factors.where(F.col(vec_col).isNotNull() & (n2 > 0) & ~F.isnan(n2)) \
         .select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
     uv = uv.groupBy("id").agg(F.max("v").alias("v"))
+    if pivots:
+        blocked, groups, copies = _pivot_blocks(uv, threshold, block_rows, pivots)
+        blocked = spread_groups(blocked, groups, copies, "p", "q")
+        return blocked.groupBy("p", "q").applyInPandas(_pair_block_fn(threshold), EDGE_SCHEMA)
     # Block sizing needs only an upper bound: the raw row count (read from
     # file footers for parquet) avoids running the filter and de-dup twice.
     n = factors.count()

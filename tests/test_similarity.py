@@ -59,6 +59,33 @@ def test_chunked_products_match(spark, monkeypatch):
     assert rows(factors.top_k_items(f, f, 3, block_rows=40), "uid", "rank", "mid") == want_top
 
 
+def test_clustered_vectors_skip_block_pairs(spark):
+    """Twenty tight clusters in far directions: the pivot form finds the same
+    edges and multiplies far fewer block pairs."""
+    rng = np.random.default_rng(4)
+    centres = np.linalg.qr(rng.normal(size=(24, 24)))[0][:20]
+    vecs = [(k, (centres[k % 20] + 0.01 * rng.normal(size=24)).tolist()) for k in range(600)]
+    f = spark.createDataFrame(vecs, "id long, features array<double>")
+    want = rows(similarity.item_similarity(f, 0.9), "mid", "other_mid")
+    assert len(want) == 600 * 29
+    got = similarity.item_similarity(f, 0.9, pivots=100, block_rows=50)
+    assert rows(got, "mid", "other_mid") == want
+    uv = f.selectExpr("id", "features AS v")
+    blocked, groups, copies = similarity._pivot_blocks(uv, 0.9, 50, 100)
+    pairs = blocked.select("p", "q").distinct().count()
+    blocks = blocked.select("b").distinct().count()
+    assert pairs <= groups and blocked.count() == copies
+    assert pairs < 0.2 * blocks * (blocks + 1) / 2
+
+
+def test_pivots_change_nothing_elsewhere(spark):
+    f = A.factors(spark, SF_SMALL)
+    want = rows(similarity.item_similarity(f, 0.3), "mid", "other_mid")
+    for pivots, rows_ in ((1, 64), (7, 16), (50, None)):
+        assert rows(similarity.item_similarity(f, 0.3, rows_, pivots=pivots), "mid", "other_mid") == want
+    assert similarity.item_similarity(f.limit(0), 0.3, pivots=5).count() == 0
+
+
 def test_results_do_not_depend_on_partitions_or_repeated_ids(spark, monkeypatch):
     from ratings_spark.operators import blocks, factors
     f = A.factors(spark, SF_SMALL)
