@@ -214,3 +214,11 @@ def keep_one(docs: DataFrame, identity=_identity) -> DataFrame:
     best = F.max_by("doc", F.struct(F.col("doc.doc_id").alias("id"),
                                     F.xxhash64("doc").alias("tie")))
     return rows.groupBy("recipe").agg(best.alias("doc")).select("doc.*")
+
+
+ORACLE = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+WINDOW same AS (PARTITION BY t)
+"""

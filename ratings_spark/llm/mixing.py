@@ -162,6 +162,45 @@ def taken(docs: DataFrame, **settings) -> DataFrame:
     """What the mix takes of each document: doc_id, size, source_size, target,
     taken, copies, first_place (null if not taken), in training order."""
     rows = assign(docs, **settings)
-    return (rows.withColumn("first_place", F.array_min("places")).drop("places")
+    return (rows.withColumn("first_place", F.round(F.array_min("places"), 9)).drop("places")
             .repartitionByRange(F.col("first_place").asc_nulls_last(), "doc_id")
             .sortWithinPartitions(F.col("first_place").asc_nulls_last(), "doc_id"))
+
+
+ORACLE = r"""
+WITH d AS (
+  SELECT doc_id, source, md5(concat_ws(chr(1), doc_id, source, t)) AS key,
+    len(list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS size
+  FROM (SELECT doc_id, source, coalesce(text, '') AS t FROM documents)),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS k
+  FROM d GROUP BY source),
+w AS (
+  SELECT *, ([5, 2, 1]::DOUBLE[])[k % 3 + 1] AS weight, 3.0::DOUBLE * source_size AS cap,
+    ([[1.5, 1, 0.5], [1, 1, 1], [0.5, 1, 1.5]]::DOUBLE[][])[k % 3 + 1] AS knots FROM s),
+l AS (
+  SELECT *, ((sum(source_size) OVER ())::DOUBLE - coalesce(sum(cap) OVER (
+      ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (
+      ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM w),
+t AS (
+  SELECT source, source_size, knots, least(cap, coalesce(weight * (
+    SELECT level FROM l WHERE level * weight <= cap ORDER BY cap / weight, source NULLS LAST LIMIT 1), cap)) AS target
+  FROM l),
+c AS (
+  SELECT doc_id, size, source_size, target, knots, sum(size) OVER (
+    PARTITION BY d.source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING)::BIGINT - size AS start
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+n AS (
+  SELECT *, CASE WHEN source_size > 0 THEN least(greatest(
+      floor((target - start - size / 2.0::DOUBLE) / source_size) + 1, 0), 3) ELSE 0 END::INTEGER AS copies,
+    (knots[1] + knots[2]) / 2 AS a1, (knots[1] + knots[2]) / 2 + (knots[2] + knots[3]) / 2 AS area,
+    least((start + size / 2.0::DOUBLE) / target, 1) * area AS need, (need >= a1)::INTEGER AS seg,
+    need - CASE WHEN seg = 1 THEN a1 ELSE 0 END AS rest, knots[seg + 1] AS a, knots[seg + 2] AS b,
+    sqrt(greatest(a * a + 2 * (b - a) * rest, 0)) AS root
+  FROM c)
+SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken, copies,
+  CASE WHEN copies > 0 THEN round((seg + least(greatest(2 * rest / (a + root), 0), 1)) / 2, 9) END AS first_place
+FROM n
+"""

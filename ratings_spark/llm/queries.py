@@ -36,7 +36,7 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
+    return exact_dedup.duplicates(table(spark, sf_dir, "documents")).drop("n_chunks")
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,5 +73,7 @@ QUERIES = {f.__name__: f for f in (
     op8_simhash, op9_licenses, op10_token_counts, pipeline)}
 ORACLE = {
     "op1_quality_rules": quality_rules.ORACLE,
+    "op2_mixing": mixing.ORACLE,
+    "op4_exact_dedup": exact_dedup.ORACLE,
     "op9_licenses": licenses.oracle(),
 }
