@@ -26,6 +26,7 @@ gives no pieces.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 
@@ -45,6 +46,10 @@ VOCABULARY, RANKS, END = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", 2
 # --- tokens -----------------------------------------------------------------
 
 _ENCODERS: dict = {}
+# tiktoken's pattern steps back through a run of white space on the stack, which
+# gives out near a million characters; such texts go through the library.
+_LONG_SPACE = 20_000
+_SPACES = re.compile(r"\s{%d}" % _LONG_SPACE)
 
 
 def _path(name: str) -> str:
@@ -59,11 +64,13 @@ def encoder(vocabulary: str = VOCABULARY, ranks: str | None = RANKS):
     the time; the special token's string is replaced as the library does it."""
     if (vocabulary, ranks) not in _ENCODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        tok = Tokenizer.from_file(_path(vocabulary))
+
+        def library(texts):
+            return [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
         if ranks is None:
-            from tokenizers import Tokenizer
-            tok = Tokenizer.from_file(_path(vocabulary))
-            _ENCODERS[vocabulary, ranks] = lambda texts: [
-                e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+            _ENCODERS[vocabulary, ranks] = library
         else:
             import base64
             import json
@@ -77,9 +84,14 @@ def encoder(vocabulary: str = VOCABULARY, ranks: str | None = RANKS):
             tk = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table,
                                    special_tokens=added)
 
+            def one(t):
+                if len(t) > _LONG_SPACE and _SPACES.search(t):
+                    return library([t])[0]
+                return tk.encode(t, allowed_special="all") if any(map(t.__contains__, added)) \
+                    else tk.encode_ordinary(t)
+
             def encode(texts):
-                return [tk.encode(t, allowed_special="all") if any(map(t.__contains__, added))
-                        else tk.encode_ordinary(t) for t in texts]
+                return list(map(one, texts))
             _ENCODERS[vocabulary, ranks] = encode
     return _ENCODERS[vocabulary, ranks]
 

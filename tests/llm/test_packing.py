@@ -91,3 +91,17 @@ def test_sweep_is_best_fit_decreasing(counts):
 
 def test_empty(spark):
     assert P.pack_documents(H.nothing(spark)).collect() == []
+
+
+def test_both_libraries_split_at_every_character_alike():
+    fast, library = P.encoder(), P.encoder(ranks=None)
+    for low in range(0, 0x20000, 4096):
+        chars = [chr(c) for c in range(low, low + 4096) if not 0xD800 <= c < 0xE000]
+        texts = [f"a{c}1 {c}b{c}{c}. {c}\n" for c in chars]
+        assert fast(texts) == library(texts)
+
+
+def test_long_runs_without_spaces():
+    for text in ("ab" * 50_000, "a" * 100_000, " " * 100_000, "\n" * 50_000, "é!" * 30_000):
+        assert P.encoder()([text]) == P.encoder(ranks=None)([text])
+    assert sum(map(len, P.encoder()([" " * 1_500_000 + "a", "\n \t" * 500_000]))) > 0
