@@ -27,7 +27,9 @@ no shards and no rows.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 
@@ -166,41 +168,81 @@ class WaveletMatrix:
 
 # --- tokens ---------------------------------------------------------------------
 
-_TOKENIZERS: dict = {}
-_KNOWN: dict[str, dict[str, tuple]] = {}
+# Characters whose class and lower case no Unicode version changes: printable
+# ASCII and the letters of Latin-1. Words of these only are split and merged
+# here; others go through the library.
+_PLAIN = "!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 _MEMO = 400_000
 
 
-def _tokenizer(vocabulary: str):
-    if vocabulary not in _TOKENIZERS:
+class _Words(dict):
+    """Ids of a word (characters between spaces) as little-endian uint32 bytes;
+    the first _MEMO words are kept, which the frequent ones are among.
+
+    A vocabulary with word ends is a byte-pair vocabulary over bytes and one
+    more symbol that ends a word: 0xFF, which no UTF-8 text holds. Merged first
+    with the byte before it, it makes the word-end form of that byte."""
+
+    def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
-        _TOKENIZERS[vocabulary] = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-    return _TOKENIZERS[vocabulary]
-
-
-def tokenise(texts: list[str], vocabulary: str = VOCABULARY) -> list[list[int]]:
-    """Ids of each text. This vocabulary drops white space and no token spans
-    it, so a text's ids are those of its parts between spaces; each distinct
-    part goes through the tokenizer once a worker."""
-    tok, known = _tokenizer(vocabulary), _KNOWN.setdefault(vocabulary, {})
-    if len(known) > _MEMO:
-        known.clear()
-    parts = [t.replace("\n", " ").split(" ") for t in texts]
-    new = [w for w in {w for p in parts for w in p} if w not in known]
-    for at in range(0, len(new), 1024):
-        some = new[at:at + 1024]
-        for w, e in zip(some, tok.encode_batch(some, add_special_tokens=False)):
-            known[w] = e.ids
-    look = known.__getitem__
-    out = []
-    for p in parts:
-        ids: list[int] = []
-        for w in map(look, p):
-            ids += w
-        out.append(ids)
-    return out
+        self.library = Tokenizer.from_file(public_tokenizers.path(vocabulary))
+        with open(public_tokenizers.path(vocabulary), encoding="utf-8") as f:
+            config = json.load(f)
+        # A word that may hold an added token (all begin alike) is left to the library.
+        added = "".join({re.escape(t["content"][0]) for t in config["added_tokens"]})
+        self.plain = re.compile(f"(?:(?![{added}])[{_PLAIN}])+" if added else f"[{_PLAIN}]+").fullmatch
+        model = config["model"]
+        end = model["end_of_word_suffix"]
+        letters = _byte_letters()
+        order = [bytes([b]) + b"\xff" for b in range(256)]  # ranks: these first, then the merges
+        names = [c + end for c in letters]
+        back = {c: bytes([b]) for b, c in enumerate(letters)}
+        for left, right in (m if isinstance(m, list) else m.split(" ") for m in model["merges"]):
+            name = left + right
+            body = name.removesuffix(end)
+            order.append(b"".join(map(back.__getitem__, body)) + b"\xff" * (body != name))
+            names.append(name)
+        order += [bytes([b]) for b in range(256)]
+        names += letters
+        merger = tiktoken.Encoding("words", pat_str=".", special_tokens={},
+                                   mergeable_ranks={w: k for k, w in enumerate(order)})
+        self.merge = merger._encode_single_piece
+        self.ids = [struct.pack("<I", model["vocab"][n]) for n in names]
+
+    def __missing__(self, word: str) -> bytes:
+        if self.plain(word):
+            merge, ids = self.merge, self.ids
+            ids = b"".join([ids[r] for part in _SPLIT.findall(word.lower())
+                            for r in merge(part.encode() + b"\xff")])
+        else:
+            ids = np.array(self.library.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(self) < _MEMO and len(word) <= 64:
+            self[word] = ids
+        return ids
+
+
+def _byte_letters() -> list[str]:
+    """The printable character that stands for each byte in byte-level
+    vocabularies: itself where printable, else the next free one from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    free = iter(range(256, 512))
+    return [chr(b if b in plain else next(free)) for b in range(256)]
+
+
+_WORDS: dict[str, _Words] = {}
+
+
+def tokenise(text: str, vocabulary: str = VOCABULARY) -> bytes:
+    """Ids of a text as the tokenizers library gives them, as little-endian
+    uint32. This kind of vocabulary (byte pairs with word ends) drops white
+    space and no token spans it, so they are those of its words."""
+    if vocabulary not in _WORDS:
+        _WORDS[vocabulary] = _Words(vocabulary)
+    return b"".join(map(_WORDS[vocabulary].__getitem__, text.replace("\n", " ").split(" ")))
 
 
 # --- shards ---------------------------------------------------------------------
@@ -210,10 +252,10 @@ def _write_shards(vocabulary: str, end: int, shard_tokens: int):
     def run(batches):
         part, number = TaskContext.get().partitionId(), 0
         docs, chunks, borders = [], [], [0]
-        kind = None
+        kind, last = None, struct.pack("<I", end)
 
         def shard():
-            ids = np.concatenate(chunks) if chunks else np.zeros(0, np.uint32)
+            ids = np.frombuffer(b"".join(chunks), "<u4")
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([number], pa.int32()),
                  pa.array([docs], pa.list_(kind)), pa.array([len(ids)], pa.int64()),
@@ -224,12 +266,11 @@ def _write_shards(vocabulary: str, end: int, shard_tokens: int):
             kind = batch.column(0).type
             for at in range(0, batch.num_rows, 500):
                 rows = batch.slice(at, 500)
-                ids_of = tokenise(rows.column(1).to_pylist(), vocabulary)
-                for doc, ids in zip(rows.column(0).to_pylist(), ids_of):
-                    ids.append(end)
+                for doc, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
+                    ids = tokenise(text, vocabulary) + last
                     docs.append(doc)
-                    chunks.append(np.array(ids, np.uint32))
-                    borders.append(borders[-1] + len(ids))
+                    chunks.append(ids)
+                    borders.append(borders[-1] + len(ids) // 4)
                     if borders[-1] >= shard_tokens:
                         yield shard()
                         number, docs, chunks, borders = number + 1, [], [], [0]

@@ -40,8 +40,22 @@ def test_large_matrix():
 @settings(max_examples=200, deadline=None)
 @example("don't\u001cit's  I'LL<|endoftext|>x <|startoftext|> é Σας\tΣ ")
 @given(st.text(max_size=50))
-def test_parts_give_the_ids_of_the_text(text):
-    assert W.tokenise([text]) == [TOK.encode(text, add_special_tokens=False).ids]
+def test_words_give_the_ids_of_the_text(text):
+    assert np.frombuffer(W.tokenise(text), "<u4").tolist() == TOK.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="abcdeorstTHEÀéßÿ×÷µº'<|>9.,!~ \n", max_size=60))
+def test_plain_words_are_merged_as_by_the_library(text):
+    assert np.frombuffer(W.tokenise(text), "<u4").tolist() == TOK.encode(text, add_special_tokens=False).ids
+
+
+def test_every_entry_of_the_vocabulary_as_a_word():
+    back = {c: b for b, c in enumerate(W._byte_letters())}
+    for token in TOK.get_vocab():
+        raw = bytes(back.get(c, 32) for c in token.removesuffix("</w>"))
+        word = raw.decode("utf-8", "ignore")
+        assert np.frombuffer(W.tokenise(word), "<u4").tolist() == TOK.encode(word, add_special_tokens=False).ids
 
 
 def test_round_trip(spark):
