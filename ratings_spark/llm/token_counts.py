@@ -32,7 +32,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import re
-from functools import lru_cache, reduce
+from functools import cache, lru_cache, reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,13 +44,28 @@ from .common import text_of
 MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
 CHUNK, FAN = 1 << 16, 256
-_MEMO = 400_000  # words remembered by a worker
+_MEMO = 400_000    # words remembered by a worker
+_STATES = 300_000  # states kept by a worker, some 250 MB
 
 # Parts between resets. Spaces are kept as they are; the model's own mark for
 # a space is turned into one beforehand, as the model does the reverse.
 _PARTS = re.compile(r" *[^ \n]+|\n| +")
 
 
+class _Known(dict):
+    """Counts of parts, made by ``run`` when first asked for; the first _MEMO
+    short ones are kept, which the frequent ones are among."""
+
+    def __init__(self, run):
+        self.run = run
+
+    def __missing__(self, part: str) -> int:
+        n = self.run(part)
+        if len(part) <= 64 and len(self) < _MEMO:
+            self[part] = n
+        return n
+
+
 class Transducer:
     """The machine of one vocabulary: ``pieces`` maps a piece to its merge rank
     (lower first); other characters are emitted as their UTF-8 bytes."""
@@ -60,7 +75,9 @@ class Transducer:
         self.stems = {p[:k] for p in pieces for k in range(1, len(p))}
         self.states: dict[tuple, dict] = {}
         self.initial = self._state("", ((None, 0),))
-        self.counts: dict[str, int] = {}
+        self.parts = _Known(self.run)
+        # Words that follow a single space, which the key leaves out.
+        self.words = _Known(lambda w: sum(map(self.run, _PARTS.findall(" " + w))))
 
     def _state(self, open_: str, history: tuple) -> dict:
         """The state's transitions (character to (state, emitted)), made empty.
@@ -75,24 +92,45 @@ class Transducer:
 
     @lru_cache(maxsize=1 << 18)  # noqa: B019  (one machine a worker and model)
     def stands(self, left: str | None, right: str) -> bool:
-        """Whether the tokens of the joined characters are just these two."""
-        if left is None:
-            return self.merge(right) == [right]
-        return self.merge(left + right) == [left, right]
-
-    def merge(self, text: str) -> list[str]:
-        """Byte-pair merging by its definition, for short strings."""
-        parts = list(text)
+        """Whether the tokens of the joined characters are just these two: the
+        merges that made them are undone at the border, the latest first, and
+        a merge across the border that comes before one of them (or ties with
+        it further left) disproves it."""
+        if self.halves(right) is None or left is None:
+            return self.halves(right) is not None
+        earlier = float("inf")
         while True:
+            across = self.pieces.get(left + right)
+            if across is not None and across < earlier:
+                return False
+            made_left = self.pieces[left] if len(left) > 1 else -1
+            made_right = self.pieces[right] if len(right) > 1 else -1
+            if made_left == made_right == -1:
+                return True
+            if made_left > made_right:
+                earlier, left = made_left, self.halves(left)[1]
+            else:
+                earlier, right = made_right + 0.5, self.halves(right)[0]
+
+    @cache  # noqa: B019
+    def halves(self, piece: str) -> tuple[str, str] | None:
+        """The two parts whose merge makes the piece (itself for a character);
+        None if its characters merge into something else."""
+        parts, before = list(piece), [piece, piece]
+        while len(parts) > 1:
             best = min(((self.pieces[a + b], k) for k, (a, b) in enumerate(zip(parts, parts[1:]))
                         if a + b in self.pieces), default=None)
             if best is None:
-                return parts
-            k = best[1]
+                return None
+            before, k = parts[:], best[1]
             parts[k:k + 2] = [parts[k] + parts[k + 1]]
+        return before[0], before[-1]
 
     def _compile(self, state: dict, char: str) -> tuple[dict, int]:
         open_, history = state[None]
+        if len(self.states) >= _STATES:  # compiled anew as needed; the caller's path goes on
+            self.states = {}
+            self.initial = self._state("", ((None, 0),))
         if char not in self.pieces:  # emitted as bytes, and spanned by no piece
             step = (self.initial, len(char.encode("utf-8", "surrogatepass")))
             state[char] = step
@@ -125,17 +163,11 @@ class Transducer:
 
     def count(self, text: str) -> int:
         """Tokens of characters that begin and end at resets."""
-        known, total = self.counts, 0
-        for part in _PARTS.findall(text):
-            n = known.get(part)
-            if n is None:
-                n = self.run(part)
-                if len(part) <= 64:
-                    if len(known) >= _MEMO:
-                        known.clear()
-                    known[part] = n
-            total += n
-        return total
+        if "  " in text:
+            return sum(map(self.parts.__getitem__, _PARTS.findall(text)))
+        head, space, rest = text.partition(" ")
+        total = sum(map(self.parts.__getitem__, _PARTS.findall(head)))
+        return total + sum(map(self.words.__getitem__, rest.split(" "))) if space else total
 
     def chunk(self, text: str) -> tuple[str, int, str, bool]:
         """The state map of a chunk: head, count, tail, whether it has a reset."""

@@ -1,3 +1,5 @@
+import random
+
 import helpers as H
 import public_tokenizers
 import pytest
@@ -51,6 +53,14 @@ def test_documents(spark, chunk, fan):
     assert H.rows_of(T.token_counts(docs, chunk=chunk, fan=fan)) == want
 
 
+def test_states_are_bounded(monkeypatch):
+    monkeypatch.setattr(T, "_STATES", 200)
+    letters = random.Random(1).choices("abcdefgh etnis", k=20000)
+    text = "".join(letters)
+    m = T.Transducer(T.machine().pieces)
+    assert m.count(" " + text) == len(SP.encode(text)) and len(m.states) <= 202
+
+
 def test_long_text_without_spaces():
     text = "abcdefghij" * 20000
     assert count(text) == len(SP.encode(text))
