@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import let, text_of
 
 # Spellings that mean the same in licences: fixed values, whole words after
@@ -191,8 +192,9 @@ def registry(spark: SparkSession, known=KNOWN) -> DataFrame:
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """One row per document: doc_id, text_digest, license_id (of the whole text),
     notices (sorted licences of single lines, comma-joined) and n_notices."""
-    spark = docs.sparkSession
-    known = registry(spark) if known is None else known
+    # Written out, so that the join is planned by the registry's real size: a
+    # small one is looked up where the digests are made.
+    known = materialize(registry(docs.sparkSession) if known is None else known, "licenses")
     plain = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id",
                         _plain(text_of(docs)).alias("plain"))
     # Units: the whole text (line 0) and its lines. Only digests travel.
