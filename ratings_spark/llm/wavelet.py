@@ -171,9 +171,9 @@ class WaveletMatrix:
 # Characters whose class and lower case no Unicode version changes: printable
 # ASCII and the letters of Latin-1. Words of these only are split and merged
 # here; others go through the library.
-_PLAIN = "!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_PLAIN = [chr(c) for c in (*range(0x21, 0x7F), *range(0xC0, 0x100)) if c not in (0xD7, 0xF7)]
 _SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
-_MEMO = 400_000
+_MEMO = 800_000
 
 
 class _Words(dict):
@@ -193,8 +193,8 @@ class _Words(dict):
         with open(public_tokenizers.path(vocabulary), encoding="utf-8") as f:
             config = json.load(f)
         # A word that may hold an added token (all begin alike) is left to the library.
-        added = "".join({re.escape(t["content"][0]) for t in config["added_tokens"]})
-        self.plain = re.compile(f"(?:(?![{added}])[{_PLAIN}])+" if added else f"[{_PLAIN}]+").fullmatch
+        added = {t["content"][0] for t in config["added_tokens"]}
+        self.plain = "".join(c for c in _PLAIN if c not in added)
         model = config["model"]
         end = model["end_of_word_suffix"]
         letters = _byte_letters()
@@ -210,11 +210,13 @@ class _Words(dict):
         names += letters
         merger = tiktoken.Encoding("words", pat_str=".", special_tokens={},
                                    mergeable_ranks={w: k for k, w in enumerate(order)})
-        self.merge = merger._encode_single_piece
+        self.merge = merger._core_bpe.encode_single_piece
         self.ids = [struct.pack("<I", model["vocab"][n]) for n in names]
 
     def __missing__(self, word: str) -> bytes:
-        if self.plain(word):
+        if word.isascii() and word.isalpha():  # one part
+            ids = b"".join(map(self.ids.__getitem__, self.merge(word.lower().encode() + b"\xff")))
+        elif not word.strip(self.plain):  # nothing else in it
             merge, ids = self.merge, self.ids
             ids = b"".join([ids[r] for part in _SPLIT.findall(word.lower())
                             for r in merge(part.encode() + b"\xff")])
