@@ -17,18 +17,6 @@ def l2_norm(a: str | Column) -> Column:
     return F.sqrt(dot(a, a))
 
 
-def unit(a: str | Column) -> Column:
-    """Array scaled to unit length; NULL for a zero, NULL or NaN-bearing vector.
-
-    Spark SQL orders NaN above every number, so a NaN similarity would pass a
-    ``> threshold`` filter; zero vectors are therefore mapped to NULL here and
-    drop out of every later join instead.
-    """
-    n = l2_norm(a)
-    ok = (n > 0) & ~F.isnan(n)
-    return F.when(ok, F.transform(_c(a), lambda x: x.cast("double") / n))
-
-
 def cosine(a: str | Column, b: str | Column) -> Column:
     """Cosine similarity; NULL when either norm is zero (never NaN)."""
     den = l2_norm(a) * l2_norm(b)

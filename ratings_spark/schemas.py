@@ -24,21 +24,3 @@ TAG = T.StructType([
     T.StructField("tag", T.StringType(), True),
     T.StructField("timestamp", T.LongType(), False),
 ])
-
-RECOMMENDATION = T.StructType([
-    T.StructField("mid", T.LongType(), False),
-    T.StructField("r", T.DoubleType(), False),
-])
-RECS = T.ArrayType(RECOMMENDATION, containsNull=False)
-
-# (id, features) factor tables, as ALSModel.userFactors / itemFactors.
-FACTORS = T.StructType([
-    T.StructField("id", T.LongType(), False),
-    T.StructField("features", T.ArrayType(T.FloatType()), False),
-])
-
-SIM_EDGES = T.StructType([
-    T.StructField("mid", T.LongType(), False),
-    T.StructField("other_mid", T.LongType(), False),
-    T.StructField("sim", T.DoubleType(), False),
-])
