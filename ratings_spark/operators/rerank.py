@@ -62,8 +62,10 @@ def candidate_pairs(triggers: DataFrame, sim_edges: DataFrame, rated_pairs: Data
 
     ``salts`` spreads a hot trigger item over that many join tasks by the
     neighbour's rank, for plans that adaptive execution can't split."""
-    r = rated_pairs.join(triggers.select("uid").distinct(), "uid", "left_semi") \
-        .groupBy("uid").agg(F.count("*").alias("_r"))
+    # Counted for all users of the table: a semi join with the triggers would be
+    # pushed below the caller's de-duplication, whose shuffle then serves only
+    # one of its two uses.
+    r = rated_pairs.groupBy("uid").agg(F.count("*").alias("_r"))
     t = triggers.select("uid", F.col("mid").alias("src")).join(r, "uid", "left") \
         .select("uid", "src", (F.coalesce("_r", F.lit(0)) + n).alias("_upto"))
     e = ranked_neighbours(sim_edges, threshold) \

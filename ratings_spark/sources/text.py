@@ -154,7 +154,9 @@ def parse_csv(lines: DataFrame, schema, sep: str = ",",
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt, "sep": sep,
             "quote": quote, "escape": quote, "ignoreLeadingWhiteSpace": "true",
             "ignoreTrailingWhiteSpace": "true"}
-    r = lines.select("value", F.from_csv("value", f"{ddl}, `{corrupt}` string", opts).alias("_r"))
+    # Below a generator, as in _flag, so that filters do not parse again.
+    row = F.from_csv("value", f"{ddl}, `{corrupt}` string", opts)
+    r = lines.select("value", F.explode(F.array(row)).alias("_r"))
     wild = [F.col(f"_r.`{f.name}`").isNotNull() & _finite(F.col(f"_r.`{f.name}`")).isNull()
             for f in schema.fields if f.dataType.simpleString() in ("float", "double")]
     bad_line = F.col(f"_r.{corrupt}").isNotNull()
