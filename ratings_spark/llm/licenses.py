@@ -1,7 +1,7 @@
 """License scan by canonical digest.
 
-Known texts (whole licences and the one-line notices that name them) and the
-texts at hand go through one normalisation: case, punctuation and spacing, lines
+Known texts (whole licences, their file headers, the one-line notices that name
+them and SPDX lines) and the texts at hand go through one normalisation: case, punctuation and spacing, lines
 that state a copyright, and spellings that mean the same. What is left is
 digested, and the digests are joined by hash: an entire text is compared with
 every known one at the cost of one lookup.
@@ -18,6 +18,9 @@ empty registry gives no matches. Extra columns are not looked at.
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,8 +116,205 @@ _BSD_3 = """
    this software without specific prior written permission.
 """
 
-# Known texts by licence: fixed values. A registry table (license_id, text)
-# of any size can take their place.
+
+
+def _short_texts():
+    """(license_id, text) of the usual editions of the MIT, ISC and BSD licences."""
+    mit = (_MIT, _MIT.replace("this permission notice shall", "this permission notice (including the next paragraph) shall"))
+    for text in mit:
+        for title in ("", "MIT License", "The MIT License", "(MIT)", "The MIT License (MIT)"):
+            yield "MIT", f"{title}\n\n{text}"
+    isc = _ISC.replace("modify, and/or distribute", "modify, and distribute")
+    for text in (_ISC, isc):
+        for title in ("", "ISC License", "The ISC License", "ISC License (ISC)"):
+            yield "ISC", f"{title}\n\n{text}"
+    ends = [_BSD_END]
+    ends.append(_BSD_END.replace("COPYRIGHT HOLDER OR", "COPYRIGHT OWNER OR"))
+    ends += [e.replace("BY THE COPYRIGHT HOLDERS AND", "BY THE COPYRIGHT OWNER AND") for e in ends[:2]]
+    for end in ends:
+        for name, conditions, titles in (
+                ("BSD-2-Clause", _BSD_2, ("", "BSD 2-Clause License", 'BSD 2-Clause "Simplified" License')),
+                ("BSD-3-Clause", _BSD_2 + _BSD_3, ("", "BSD 3-Clause License", "The 3-Clause BSD License",
+                                                  'BSD 3-Clause "New" or "Revised" License'))):
+            for title in titles:
+                for marks in (conditions, re.sub(r"(?m)^[123]\. ", "* ", conditions)):
+                    yield name, f"{title}\n\n{marks}\n{end}"
+
+
+# Whole texts and identifiers that come as files (id.txt; id~n.txt is the same
+# licence in another edition).
+FOLDER = Path(__file__).with_name("license_texts")
+
+
+def _whole_texts():
+    """(license_id, text) of the files, each also without the part on how to
+    apply it, without the copyright line to fill in, and without its title."""
+    for file in sorted(FOLDER.glob("*.txt")):
+        if file.name == "spdx_ids.txt":
+            continue
+        name = file.stem.split("~")[0]
+        text = file.read_text(encoding="utf-8")
+        ends = [text]
+        found = re.search(r"\n[^\n]*END OF TERMS AND CONDITIONS[^\n]*\n", text)
+        if found:
+            ends += [text[:found.start()], text[:found.end()]]
+        found = re.search(r"\n[^\n]*Exhibit A - Source Code Form License Notice", text)
+        if found:
+            ends += [text[:found.start()]]
+        for t in ends:
+            filled = re.sub(r"\n[^\n]*Copyright (?:\[|\{|<)?yyyy[^\n]*", "", t)
+            for u in {t: 0, filled: 0}:
+                yield name, u
+                if name in TITLES:
+                    yield name, TITLES[name] + "\n\n" + u
+
+
+# Titles that stand or do not stand above a text.
+TITLES = {"0BSD": "Zero-Clause BSD", "ISC": "The ISC License", "Unlicense": "The Unlicense", "Zlib": "zlib License",
+          "CC-BY-4.0": "Creative Commons", "CC-BY-SA-4.0": "Creative Commons", "CC0-1.0": "Creative Commons Legal Code"}
+
+_APACHE_HEADER = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
+compliance with the License. You may obtain a copy of the License at {url}
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed
+on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for
+the specific language governing permissions and limitations under the License."""
+
+_ASF_HEADER = """Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements. See the
+NOTICE file distributed with this work for additional information regarding copyright ownership. The ASF licenses
+this file to you under the Apache License, Version 2.0 (the "License"); you may not use this file except in
+compliance with the License. """
+
+_MPL_HEADER = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL
+was not distributed with this file, You can obtain one at {url}"""
+
+_MPL_SECONDARY = """
+This Source Code Form is "Incompatible With Secondary Licenses", as defined by the Mozilla Public License, v. 2.0."""
+
+_GNU_HEADER = """This {thing} is free software{mark} you can redistribute it and/or modify it under the terms of the
+{name} as published by the Free Software Foundation{version}
+
+This {thing} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {name} for more details."""
+
+# Ends of the GNU headers, after "a copy of the <name>".
+_GNU_ENDS = (
+    " along with this {thing}. If not, see <https://www.gnu.org/licenses/>.",
+    " along with this {thing}. If not, see <http://www.gnu.org/licenses/>.",
+    " along with this {thing}; if not, see <https://www.gnu.org/licenses/>.",
+    " along with this {thing}; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor,"
+    " Boston, MA 02110-1301 USA.",
+    " along with this {thing}; if not, write to the Free Software Foundation, Inc., 51 Franklin St, Fifth Floor,"
+    " Boston, MA 02110-1301 USA",
+    " along with this {thing}; if not, write to the Free Software Foundation, Inc., 59 Temple Place, Suite 330,"
+    " Boston, MA 02111-1307 USA",
+    " along with this {thing}; if not, write to the Free Software Foundation, Inc., 59 Temple Place - Suite 330,"
+    " Boston, MA 02111-1307, USA.",
+    " along with this {thing}; if not, write to the Free Software Foundation, Inc., 675 Mass Ave, Cambridge,"
+    " MA 02139, USA.",
+)
+
+# GNU licences: id, name, version, the things its headers speak of.
+_GNU = (
+    ("GPL-2.0", "GNU General Public License", "2", ("program", "library", "file", "software")),
+    ("GPL-3.0", "GNU General Public License", "3", ("program", "library", "file", "software")),
+    ("LGPL-2.0", "GNU Library General Public License", "2", ("program", "library", "file", "software")),
+    ("LGPL-2.1", "GNU Lesser General Public License", "2.1", ("program", "library", "file", "software")),
+    ("LGPL-3.0", "GNU Lesser General Public License", "3", ("program", "library", "file", "software")),
+    ("AGPL-3.0", "GNU Affero General Public License", "3", ("program", "library", "file", "software")),
+)
+
+
+def _beginnings(text, least):
+    """The beginnings of a header that hold its first ``least`` words: where a line
+    may end."""
+    words = text.split()
+    return [" ".join(words[:n]) for n in range(least, len(words) + 1)]
+
+
+def _headers():
+    """(license_id, text) of the usual file headers, and of the lines of them
+    that name the licence and its version."""
+    for scheme in ("http", "https"):
+        for end in ("", ".html", ".txt"):
+            body = _APACHE_HEADER.format(url=f"{scheme}://www.apache.org/licenses/LICENSE-2.0{end}")
+            yield "Apache-2.0", body
+            yield "Apache-2.0", _ASF_HEADER + body[body.index("You may obtain"):]
+        url = f"{scheme}://mozilla.org/MPL/2.0/."
+        for end in (url, url.replace("mozilla", "www.mozilla")):
+            yield "MPL-2.0", _MPL_HEADER.format(url=end)
+            yield "MPL-2.0-no-copyleft-exception", _MPL_HEADER.format(url=end) + "\n" + _MPL_SECONDARY
+    for line in _beginnings(_APACHE_HEADER.split(". You may obtain")[0], 9):
+        yield "Apache-2.0", line
+    for line in _beginnings(_MPL_HEADER.split(", You can")[0], 16):
+        yield "MPL-2.0", line
+    yield "MPL-2.0", "License, v. 2.0. If a copy of the MPL was not distributed with this"
+    for base, name, number, things in _GNU:
+        only = (f"; version {number} of the License.", f", version {number}.", f"; version {number}.")
+        later = (f", either version {number} of the License, or (at your option) any later version.",)
+        for suffix, versions in (("-only", only), ("-or-later", later)):
+            for version in versions:
+                for thing in things:
+                    for receive in (f"You should have received a copy of the {name}",
+                                    f"You should have received a copy of the {name} v{number}"):
+                        body = _GNU_HEADER.format(thing=thing, mark=":", name=name, version=version)
+                        yield base + suffix, body
+                        for end in _GNU_ENDS:
+                            yield base + suffix, body + "\n\n" + receive + end.format(thing=thing)
+
+
+# Creative Commons licences: id, letters, words.
+_CC = (
+    ("CC-BY", "BY", "Attribution"),
+    ("CC-BY-SA", "BY-SA", "Attribution-ShareAlike"),
+    ("CC-BY-NC", "BY-NC", "Attribution-NonCommercial"),
+    ("CC-BY-ND", "BY-ND", "Attribution-NoDerivatives"),
+    ("CC-BY-NC-SA", "BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+    ("CC-BY-NC-ND", "BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+)
+
+
+def _notices():
+    """(license_id, text) of one-line notices."""
+    named = [("Apache-2.0", "Apache License, Version 2.0"), ("Apache-2.0", "Apache License 2.0"),
+             ("MIT", "MIT License"), ("ISC", "ISC License"), ("MPL-2.0", "Mozilla Public License, Version 2.0"),
+             ("MPL-2.0", "Mozilla Public License 2.0"), ("BSD-2-Clause", "BSD 2-Clause License"),
+             ("BSD-3-Clause", "BSD 3-Clause License"), ("CC0-1.0", "CC0 1.0"), ("Unlicense", "Unlicense")]
+    for base, name, number, _ in _GNU:
+        named += [(base, f"{name}, version {number}"), (base, f"{name} version {number}"), (base, f"{name} v{number}")]
+    for i, letters, words in _CC:
+        for version, area in (("4.0", "International"), ("3.0", "Unported")):
+            named += [(f"{i}-{version}", f"CC {letters} {version}"),
+                      (f"{i}-{version}", f"Creative Commons {words} {version} {area} License"),
+                      (f"{i}-{version}", f"Creative Commons {words} {version} {area}")]
+    for i, name in named:
+        for how in ("Licensed under", "Released under", "Distributed under", "This work is licensed under",
+                    "This project is licensed under", "This software is licensed under"):
+            for article in ("", "the ", "a "):
+                yield i, f"{how} {article}{name}."
+
+
+# Licences of which pairs are looked up in SPDX lines, and pairs with an exception.
+_PAIRED = ("0BSD", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC0-1.0", "GPL-2.0", "GPL-2.0-only",
+           "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.1-only", "LGPL-2.1-or-later",
+           "MIT", "MPL-2.0", "Unlicense", "Zlib")
+_EXCEPTED = ("Apache-2.0 WITH LLVM-exception", "GPL-2.0 WITH Linux-syscall-note",
+             "GPL-2.0-only WITH Linux-syscall-note", "GPL-2.0-or-later WITH Linux-syscall-note",
+             "GPL-2.0-only WITH Classpath-exception-2.0", "GPL-2.0-or-later WITH Classpath-exception-2.0",
+             "GPL-3.0-or-later WITH GCC-exception-3.1", "LGPL-2.1-or-later WITH Linux-syscall-note")
+
+
+def _spdx():
+    """(license_id, text) of SPDX lines: every identifier of the SPDX list, and
+    expressions of two of the commonest."""
+    ids = (FOLDER / "spdx_ids.txt").read_text(encoding="utf-8").split()
+    pairs = [f"{a} {op} {b}" for a in _PAIRED for b in _PAIRED if a != b for op in ("AND", "OR")]
+    for name in (*ids, *pairs, *_EXCEPTED):
+        yield name, f"SPDX-License-Identifier: {name}"
+
+
+# Known texts by licence: fixed values and the files. A registry table
+# (license_id, text) of any size can take their place.
 KNOWN = (
     ("MIT", _MIT),
     ("MIT", "MIT License\n\n" + _MIT),
@@ -135,6 +335,11 @@ KNOWN = (
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("MPL-2.0", "Licensed under the Mozilla Public License, Version 2.0."),
+    *_short_texts(),
+    *_whole_texts(),
+    *_headers(),
+    *_notices(),
+    *_spdx(),
 )
 
 # Steps on lower-case text, in order, each as (pattern, replacement); line feeds
