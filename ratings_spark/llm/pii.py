@@ -9,7 +9,10 @@ bootstrap over all documents:
 * its lexical patterns are the word on its left and the word on its right;
 * a pattern's confidence in a kind is the mean certainty, over all its distinct
   values, that they are of this kind; it counts if at least ``MIN_SUPPORT``
-  distinct seeds or accepted values speak for it and it reaches ``MIN_CONFIDENCE``;
+  distinct seeds or accepted values speak for it and it reaches ``MIN_CONFIDENCE``.
+  Values of other kinds count as 0. A value still to be judged counts by what the
+  pattern tells (1 - the odds of the kind outside the pattern over those within),
+  less as far as one of its patterns has fewer of the kind than its size lets expect;
 * a value's certainty is 1 - product of (1 - confidence) over its patterns, and
   values from ``MIN_CERTAINTY`` on are accepted into the next of ``ROUNDS`` rounds.
 
@@ -122,20 +125,52 @@ def discover(found: DataFrame) -> DataFrame:
     links = (found.select("kind", "value", sides.alias("pattern"))
              .where(F.length("pattern") > 2).distinct())
     links = materialize(links.select("pattern", "value", "kind"), "pii-links")
+    values = links.select("value", "kind").distinct()
+    seeds = links.where("kind <> 'other'").withColumn("certainty", F.lit(1.0))
+    total = values.select("value").distinct().agg(F.count("*").alias("total"))
+    size = links.select("pattern", "value").distinct().groupBy("pattern").agg(F.count("*").alias("n"))
+    others = links.where("kind = 'other'").drop("kind")
     known = None
     for _ in range(ROUNDS):
-        sure = links.where("kind <> 'other'").select("pattern", "value", "kind", F.lit(1.0).alias("certainty"))
+        sure, unjudged = seeds, others
+        of_kind = values.where("kind <> 'other'").select("value", "kind", F.lit(1.0).alias("certainty"))
         if known is not None:
-            sure = sure.union(links.where("kind = 'other'").drop("kind").join(known, "value")
-                              .select("pattern", "value", "kind", "certainty"))
-        size = links.select("pattern", "value").distinct().groupBy("pattern").agg(F.count("*").alias("n"))
-        patterns = (sure.groupBy("pattern", "kind")
-                    .agg(F.sum("certainty").alias("mass"), F.count("*").alias("support"))
-                    .where(F.col("support") >= MIN_SUPPORT).join(size, "pattern")
-                    .withColumn("confidence", F.col("mass") / F.col("n"))
+            sure = sure.unionByName(others.join(known, "value"))
+            unjudged = others.join(known, "value", "left_anti")
+            of_kind = of_kind.unionByName(known.select("value", "kind", "certainty"))
+        judged = of_kind.groupBy("kind").agg(F.sum("certainty").alias("judged"))
+        # A pattern tells as far as its share of the kind is not what chance gives
+        # at the share of the kind outside it.
+        outside = F.greatest((F.col("judged") - F.col("mass")) / F.greatest(F.col("total") - F.col("n"), F.lit(1)),
+                             F.lit(0.0))
+        chance = (outside * (F.col("n") - F.col("mass"))) / F.greatest((1 - outside) * F.col("mass"), F.lit(1e-9))
+        seen = (sure.groupBy("pattern", "kind")
+                .agg(F.sum("certainty").alias("mass"), F.count("*").alias("support"))
+                .join(size, "pattern").join(F.broadcast(judged), "kind").crossJoin(F.broadcast(total))
+                .withColumn("telling", F.when(F.col("support") >= MIN_SUPPORT, 1 - F.least(chance, F.lit(1.0)))
+                            .otherwise(F.lit(0.0))))
+        seen = materialize(seen, "pii-patterns")
+        # Unjudged values at their current certainty: the most that a pattern tells,
+        # less what the pattern tells that has the fewest of the kind for its size.
+        now = materialize(
+            unjudged.join(seen.where("telling > 0").select("pattern", "kind", "telling"), "pattern")
+            .groupBy("value", "kind").agg(F.max("telling").alias("telling")), "pii-now")
+        mass = (unjudged.join(now, "value").groupBy("pattern", "kind").agg(F.sum("telling").alias("more")))
+        held = (now.select("value", "kind").join(unjudged, "value")
+                .join(size, "pattern").join(seen.select("pattern", "kind", "mass"), ["pattern", "kind"], "left")
+                .join(mass, ["pattern", "kind"], "left")
+                .join(F.broadcast(judged), "kind").crossJoin(F.broadcast(total)))
+        expected = F.col("n") * F.col("judged") / F.col("total")
+        held = (held.withColumn("ratio", (F.coalesce("mass", F.lit(0.0)) + F.coalesce("more", F.lit(0.0)) + 1)
+                                / (expected + 1))
+                .groupBy("value", "kind").agg(F.least(F.min("ratio"), F.lit(1.0)).alias("left_over")))
+        weight = (unjudged.join(held, "value").groupBy("pattern", "kind").agg(F.sum("left_over").alias("open")))
+        patterns = (seen.where(F.col("support") >= MIN_SUPPORT).join(weight, ["pattern", "kind"], "left")
+                    .withColumn("confidence", (F.col("mass") + F.col("telling") * F.coalesce("open", F.lit(0.0)))
+                                / F.col("n"))
                     .where(F.col("confidence") >= MIN_CONFIDENCE))
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))))
-        scored = (links.where("kind = 'other'").drop("kind").join(patterns, "pattern")
+        scored = (others.join(patterns.select("pattern", "kind", "confidence"), "pattern")
                   .groupBy("value", "kind").agg((1 - doubt).alias("certainty"))
                   .where(F.col("certainty") >= MIN_CERTAINTY))
         best = F.max(F.struct("certainty", "kind")).alias("b")

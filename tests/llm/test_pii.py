@@ -70,6 +70,29 @@ def test_contexts_lead_to_unseen_identifiers(spark):
     assert got[102]["spans"] == "" and got[103]["spans"] == "" and got[200]["spans"] == ""
 
 
+@pytest.mark.parametrize("unseen", [8, 15, 30])
+def test_many_unseen_values_in_a_telling_context(spark, unseen):
+    rows = [(k, f"name tel: +1 555 010 {1000 + k} {'abcdef'[k % 6]}nd") for k in range(30)]
+    rows += [(100 + k, f"please tel: 555/{2000 + k}-22 {'qrstu'[k % 5]}end") for k in range(unseen)]
+    rows += [(200 + k, f"page {3000 + k} {'abcdef'[k % 6]}nd of") for k in range(60)]
+    rows += [(300 + k, f"code {k}x{k}@ zz") for k in range(10)]
+    # Seeds stand here as often as anywhere: nothing is told.
+    rows += [(400 + k, f"w{k} +1 555 777 {1000 + k} often") for k in range(5)]
+    rows += [(500 + k, f"v{k} {5000 + k} often") for k in range(60)]
+    got = {r["doc_id"]: r for r in P.personal_data(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert [got[100 + k]["spans"] for k in range(unseen)] == ["phone:12:23"] * unseen
+    assert {got[i]["n_found"] for i in got if i < 100 or i >= 200} == {0}
+
+
+def test_values_of_other_kinds_speak_against_a_pattern(spark):
+    rows = [(k, f"a{k} id: +1 555 010 {1000 + k} b{k}") for k in range(10)]
+    rows += [(100 + k, f"c{k} id: m{k}@mail.example.com d{k}") for k in range(10)]
+    rows += [(200 + k, f"e{k} id: {4000 + k} f{k}") for k in range(10)]
+    got = P.personal_data(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert got.where("n_found > 0").count() == 0
+
+
 def test_candidates_do_not_overlap_base_matches(spark):
     docs = H.documents(spark)
     rows = P.occurrences(docs).where("kind IS NOT NULL").collect()
