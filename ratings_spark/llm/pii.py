@@ -4,9 +4,12 @@ Base matches (e-mail, IP, card, phone) are found by regular expressions and
 checked (IP parts, Luhn, number of digits). They are also the seeds of a
 bootstrap over all documents:
 
-* an occurrence is a base match, or another word with an ``@`` or at least
-  ``MIN_DIGITS`` digits that no base match touches (a candidate);
-* its lexical patterns are the word on its left and the word on its right;
+* an occurrence is a base match, or a candidate: a written-out address (``jane at
+  example dot com``), a maximal run of two or more groups of digits (spaces, dots,
+  brackets, hyphens and slashes in and between them), or a word, the last two with
+  at least ``MIN_DIGITS`` digits (or the word with an ``@``). No base match touches
+  a candidate, and of candidates that touch, the first of these kinds stands;
+* its lexical patterns are the whole word on its left and that on its right;
 * a pattern's confidence in a kind is the mean certainty, over all its distinct
   values, that they are of this kind; it counts if at least ``MIN_SUPPORT``
   distinct seeds or accepted values speak for it and it reaches ``MIN_CONFIDENCE``.
@@ -46,11 +49,16 @@ PATTERNS = {
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "written": (r"(?i)(?<![A-Z0-9._%+-])[A-Z0-9._%+-]++(?:_DOT_[A-Z0-9._%+-]++){0,3}_AT_[A-Z0-9-]++"
+                r"(?:_DOT_[A-Z0-9-]++)++").replace("_AT_", r"\x20++[(\[]?at[)\]]?\x20++")
+               .replace("_DOT_", r"\x20++[(\[]?dot[)\]]?\x20++"),
+    "run": r"(?<![\p{L}0-9@.+(\[/-])_G_(?:[\x20\x09]++(?:[-/.][\x20\x09]++)?_G_)++(?![\p{L}0-9@])".replace(
+        "_G_", r"[+(\[]*+[0-9](?:[().\[\]/-]*+[0-9])*+[)\]]?+"),
     "other": r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+",
 }
+LONG = ("written", "run")  # candidates of several words; the first goes before the second
 MIN_DIGITS = 4
 MIN_SUPPORT, MIN_CONFIDENCE, MIN_CERTAINTY, ROUNDS = 3, 0.8, 0.9, 3
-CONTEXT = 64  # code points looked at on either side for the neighbouring word
 
 
 def _valid(kind: Column, value: Column) -> Column:
@@ -59,16 +67,20 @@ def _valid(kind: Column, value: Column) -> Column:
     card = F.length(digits).between(16, 19) & F.expr("luhn_check(regexp_replace(value, '[^0-9]', ''))")
     phone = F.length(digits).between(8, 15)
     return (F.when(kind == "email", F.lit(True)).when(kind == "ip", ip).when(kind == "card", card)
-            .when(kind == "phone", phone)
+            .when(kind == "phone", phone).when(kind == "written", F.lit(True))
             .otherwise(value.contains("@") | (F.length(digits) >= MIN_DIGITS)))
 
 
 def _found(text: Column, kind: str) -> Column:
     """Array of (kind, k, gap, value, left, right), one for each match: the length
-    of the gap before it and the context on both sides."""
+    of the gap before it and the whole words on both sides."""
     pattern = PATTERNS[kind]
     sign = {"email": "@", "phone": "+"}.get(kind)
-    maybe = text.contains(sign) if sign else F.regexp_like(text, F.lit("[0-9@]"))
+    some = r"(?i)[\x20(\[]dot[\x20)\]]" if kind == "written" else "[0-9@]"
+    maybe = text.contains(sign) if sign else F.regexp_like(text, F.lit(some))
+
+    def plain(gap):
+        return F.translate(gap, "\t\n\v\f\r", " " * 5)
 
     def rows(text):
         def zipped(values):
@@ -76,8 +88,8 @@ def _found(text: Column, kind: str) -> Column:
                 return F.transform(values, lambda v, k: F.struct(
                     F.lit(kind).alias("kind"), k.alias("k"),
                     F.length(F.get(gaps, k)).alias("gap"), v.alias("value"),
-                    F.right(F.get(gaps, k), F.lit(CONTEXT)).alias("left"),
-                    F.left(F.get(gaps, k + 1), F.lit(CONTEXT)).alias("right")))
+                    F.substring_index(F.rtrim(plain(F.get(gaps, k))), " ", -1).alias("left"),
+                    F.substring_index(F.ltrim(plain(F.get(gaps, k + 1))), " ", 1).alias("right")))
             return F.transform(F.array(F.split(text, pattern, -1)), with_gaps)[0]
         return F.transform(F.array(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))), zipped)[0]
     empty = F.array().cast("array<struct<kind:string,k:int,gap:int,value:string,left:string,right:string>>")
@@ -101,21 +113,24 @@ def occurrences(docs: DataFrame) -> DataFrame:
             .withColumn("start", F.col("end") - n))
     good = rows.withColumn("kind", F.when(_valid(F.col("kind"), F.col("value")), F.col("kind")))
     base = F.col("kind").isin(*KINDS)
-    # A candidate that a base match touches is not one: compare it with the
-    # furthest end before it and the nearest start after it.
-    by_start = Window.partitionBy("rid").orderBy("start", "end")
-    by_end = Window.partitionBy("rid").orderBy(F.col("end").desc(), F.col("start").desc())
-    past = F.max(F.when(base, F.col("end"))).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
-    next_ = F.min(F.when(base, F.col("start"))).over(by_end.rowsBetween(Window.unboundedPreceding, -1))
-    good = good.withColumns({"past": past, "next": next_})
-    free = ((F.coalesce(F.col("past"), F.lit(0)) <= F.col("start"))
-            & (F.coalesce(F.col("next"), F.col("end")) >= F.col("end")))
-    good = good.withColumn("kind", F.when(base | free, F.col("kind")))
-    word = r"[^\x20\x09-\x0D]"
+    # A candidate that a base match touches is not one, nor one that a longer
+    # candidate touches: compare it with the furthest end before it and the nearest
+    # start after it.
+    rank = F.when(base, 0).when(F.col("kind") == LONG[0], 1).when(F.col("kind") == LONG[1], 2).otherwise(3)
+    good = good.withColumn("rank", rank)
+    by_start = Window.partitionBy("rid").orderBy("start", "end", "rank")
+    by_end = Window.partitionBy("rid").orderBy(F.col("end").desc(), F.col("start").desc(), "rank")
+    for level in (1, 2, 3):
+        above = F.col("kind").isNotNull() & (F.col("rank") < level)
+        past = F.max(F.when(above, F.col("end"))).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+        next_ = F.min(F.when(above, F.col("start"))).over(by_end.rowsBetween(Window.unboundedPreceding, -1))
+        good = good.withColumns({"past": past, "next": next_})
+        free = ((F.coalesce(F.col("past"), F.lit(0)) <= F.col("start"))
+                & (F.coalesce(F.col("next"), F.col("end")) >= F.col("end")))
+        good = good.withColumn("kind", F.when((F.col("rank") != level) | free, F.col("kind")))
     return materialize(good.select(
-        "rid", "doc_id", "kind", "start", "end", "value",
-        F.lower(F.regexp_extract("left", f"({word}+)[\\x20\\x09-\\x0D]*$", 1)).alias("left"),
-        F.lower(F.regexp_extract("right", f"^[\\x20\\x09-\\x0D]*({word}+)", 1)).alias("right")), "pii-found")
+        "rid", "doc_id", F.when(F.col("kind").isin(*LONG), "other").otherwise(F.col("kind")).alias("kind"),
+        "start", "end", "value", F.lower("left").alias("left"), F.lower("right").alias("right")), "pii-found")
 
 
 def discover(found: DataFrame) -> DataFrame:

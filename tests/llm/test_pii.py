@@ -93,6 +93,28 @@ def test_values_of_other_kinds_speak_against_a_pattern(spark):
     assert got.where("n_found > 0").count() == 0
 
 
+def test_identifiers_of_several_words_are_found_whole(spark):
+    long = "w" * 100
+    rows = [(k, f"n{k} tel: +1 555 010 {1000 + k} a{k}x") for k in range(10)]
+    rows += [(20 + k, f"n{k} mail: m{k}@mail.example.com b{k}x") for k in range(10)]
+    rows += [(40 + k, f"n{k} card: 4111 1111 1111 1111 c{k}x") for k in range(3)]
+    rows += [(50 + k, f"n{k} card: {c} c{k}x") for k, c in enumerate(("5500 0000 0000 0004", "4012-8888-8888-1881"))]
+    rows += [(60 + k, f"n{k} {long}: +1 555 010 {2000 + k} d{k}x") for k in range(10)]
+    unseen = {100: ("please tel: ", "020 7946 0958", " phone"), 101: ("see tel: ", "(020) 7946 / 0958", ", phone"),
+              102: ("my tel:", "020 - 7946 - 0959", ". phone"), 103: ("old card: ", "4111 1111 1111 1112", " card"),
+              104: ("ask mail: ", "jane at example dot com", " email"),
+              105: ("ask mail: ", "jane dot doe99 [at] mail [dot] example [dot] org", " email"),
+              106: (f"a {long}:" + " " * 70, "555/0199-22", " phone")}
+    rows += [(i, a + b + c) for i, (a, b, c) in unseen.items()]
+    rows += [(200, "meet joan at sample dot net"), (201, "in 1984 1985 1986 the"), (202, "x +1 555 010 9999 1234 y")]
+    got = {r["doc_id"]: r["spans"] for r in P.personal_data(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for i, (before, value, after) in unseen.items():
+        kind = after.strip(" ,.")
+        assert got[i] == f"{kind}:{len(before)}:{len(before) + len(value)}", (i, got[i])
+    assert got[200] == got[201] == "" and got[202].startswith("phone:2:")
+
+
 def test_candidates_do_not_overlap_base_matches(spark):
     docs = H.documents(spark)
     rows = P.occurrences(docs).where("kind IS NOT NULL").collect()
