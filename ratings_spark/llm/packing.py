@@ -1,4 +1,4 @@
-"""Bulk-synchronous best-fit packing of token sequences.
+"""Best-fit packing of token sequences, matched on a histogram of lengths.
 
 Documents are tokenised and cut into pieces of at most ``SEQUENCE`` tokens (a
 long document's first piece takes the odd length), then packed best-fit
@@ -13,7 +13,9 @@ next shorter length follows. Three steps:
 1. pieces are range-sorted by length and get their rank within their length
    (counted by range partition, so a length that holds most pieces is spread
    over many tasks);
-2. ``sweep`` runs the supersteps over the run table. Its state is bounded by
+2. ``sweep`` runs the supersteps over the run table, one after the other on the
+   driver, not as distributed sweeps: pieces of one length and bins of one gap are
+   interchangeable, so the histogram gives the same packing. Its state is bounded by
    SEQUENCE, not by the input: at most SEQUENCE piece runs, and a gap run is
    split at most twice in a superstep;
 3. every piece finds its run of assignments by (length, rank) in parallel.
