@@ -12,6 +12,7 @@ from . import (
     classifier,
     exact_dedup,
     licenses,
+    merkle,
     mixing,
     packing,
     pii,
@@ -63,6 +64,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -70,10 +75,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_mixing, op3_pii, op4_exact_dedup, op5_packing, op6_quality, op7_wavelet,
-    op8_simhash, op9_licenses, op10_token_counts, pipeline)}
+    op8_simhash, op9_licenses, op10_token_counts, op12_merkle, pipeline)}
 ORACLE = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op2_mixing": mixing.ORACLE,
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op9_licenses": licenses.oracle(),
+    "op12_merkle": merkle.ORACLE,
 }

@@ -1,0 +1,109 @@
+"""Merkle manifest against plain recursion over the rows."""
+
+import zlib
+from collections import defaultdict
+from hashlib import sha256
+
+import helpers as H
+import pytest
+from pyspark.sql import functions as F
+
+from ratings_spark.llm import merkle
+
+
+def h(s):
+    return sha256(s.encode()).hexdigest()
+
+
+def plain_leaf(*fields):
+    return h("".join("-" if f is None else f"{len(str(f).encode())}:{f}" for f in fields))
+
+
+def climb(nodes):
+    """Root and, for each node, its (left, right) siblings level by level."""
+    paths, level = [[] for _ in nodes], list(nodes)
+    step = 1
+    while len(level) > 1:
+        for k in range(len(nodes)):
+            at = k // step
+            run = at - at % 3
+            paths[k].append(("".join(level[run:at]), "".join(level[at + 1:run + 3])))
+        level = [h("".join(level[i:i + 3])) for i in range(0, len(level), 3)]
+        step *= 3
+    return level[0], paths
+
+
+def brute(rows):
+    by = defaultdict(list)
+    for doc_id, text, lang, source, n in rows:
+        leaf = plain_leaf(doc_id, source, lang, n, text)
+        bad = leaf
+        if doc_id is not None and text is not None and zlib.crc32(str(doc_id).encode()) % 2 == 0:
+            bad = plain_leaf(doc_id, source, lang, n, text.replace("\n", ""))
+        by[source].append((doc_id, leaf, bad))
+    order = sorted(by, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for s in order:
+        by[s].sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+        trees[s] = climb([x[1] for x in by[s]])
+    root, tops = climb([trees[s][0] for s in order]) if order else (None, [])
+    out = []
+    for s, top in zip(order, tops):
+        for (doc_id, leaf, bad), path in zip(by[s], trees[s][1]):
+            now = bad
+            for left, right in path + top:
+                now = h(left + now + right)
+            out.append((doc_id, leaf, trees[s][0], root, h("".join(a + b for a, b in path + top)), now, now == root))
+    return sorted(out, key=lambda r: tuple((x is not None, str(type(x)), x) for x in r))
+
+
+COLUMNS = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+
+
+def check(docs):
+    want = brute([tuple(r) for r in docs.select("doc_id", "text", "lang", "source", "n_chars").collect()])
+    got = merkle.manifest(docs)
+    assert got.columns == COLUMNS
+    assert H.rows_of(got) == want
+    return want
+
+
+def test_against_brute_force(spark):
+    want = check(H.documents(spark))
+    assert {r[-1] for r in want} == {True, False}
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 9, 10, 27, 28, 81, 82, 100])
+def test_every_size_of_a_source(spark, n, monkeypatch):
+    """Blocks of nine nodes, so that a source takes up to three rounds of them."""
+    monkeypatch.setattr(merkle, "HEIGHT", 2)
+    docs = spark.range(n).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("a\n"), "id").alias("text"), F.lit("en").alias("lang"),
+        F.when(F.col("id") == 5, "b").when(F.col("id") == 7, None).otherwise("a").alias("source"),
+        F.col("id").alias("n_chars"))
+    check(docs)
+
+
+def test_many_sources(spark, monkeypatch):
+    monkeypatch.setattr(merkle, "HEIGHT", 1)
+    docs = spark.range(60).selectExpr("id AS doc_id", "'x' AS text", "'en' AS lang",
+                                      "concat('é', id % 17) AS source", "1L AS n_chars")
+    check(docs)
+
+
+def test_odd_rows_and_clashing_columns(spark):
+    check(H.odd(spark, "tree", "digest", "item", "at", "total", "path", "_part", "_row"))
+
+
+def test_repeated_rows_and_nulls(spark):
+    rows = [(1, "t", "en", "s", 1)] * 7 + [(None, None, None, None, None)] * 4 + [(1, "u\n", "en", "s", 1)] * 2
+    check(spark.createDataFrame(rows, H.KIND))
+
+
+def test_long_text(spark):
+    rows = [(k, "line\n" * 400_000, "en", "s", 2_000_000) for k in range(3)]
+    check(spark.createDataFrame(rows, H.KIND))
+
+
+def test_empty_table(spark):
+    assert merkle.manifest(H.nothing(spark)).collect() == []
