@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import (
     classifier,
     exact_dedup,
+    language_id,
     licenses,
     merkle,
     mixing,
@@ -68,6 +69,10 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -75,7 +80,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_mixing, op3_pii, op4_exact_dedup, op5_packing, op6_quality, op7_wavelet,
-    op8_simhash, op9_licenses, op10_token_counts, op12_merkle, pipeline)}
+    op8_simhash, op9_licenses, op10_token_counts, op12_merkle,
+    op13_language_id, pipeline)}
 ORACLE = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op2_mixing": mixing.ORACLE,
