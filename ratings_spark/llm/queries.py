@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     classifier,
+    collocations,
     exact_dedup,
     language_id,
     licenses,
@@ -65,6 +66,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
@@ -80,12 +85,13 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_mixing, op3_pii, op4_exact_dedup, op5_packing, op6_quality, op7_wavelet,
-    op8_simhash, op9_licenses, op10_token_counts, op12_merkle,
+    op8_simhash, op9_licenses, op10_token_counts, op11_collocations, op12_merkle,
     op13_language_id, pipeline)}
 ORACLE = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op2_mixing": mixing.ORACLE,
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op9_licenses": licenses.oracle(),
+    "op11_collocations": collocations.ORACLE,
     "op12_merkle": merkle.ORACLE,
 }

@@ -1,0 +1,128 @@
+"""Collocations against counting by dictionaries."""
+
+import re
+from collections import Counter, defaultdict
+
+import helpers as H
+import pytest
+import xxhash
+
+from ratings_spark.llm import collocations as C
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(rows, min_count, top=C.TOP, cover=C.COVER):
+    f, n = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", (text or "").translate(LOWER)):
+            ws = [w for w in re.split("[ \t]+", piece) if w]
+            n[lang] += len(ws)
+            for i in range(len(ws)):
+                for k in range(1, min(4, len(ws) - i) + 1):
+                    f[lang][tuple(ws[i:i + k])] += 1
+    out = []
+    for lang, c in f.items():
+        often = {p: a for p, a in c.items() if len(p) > 1 and a >= min_count}
+        rest = []
+        for p, a in often.items():
+            if any(len(q) > len(p) and 100 * b >= cover * a and any(q[i:i + len(p)] == p for i in range(len(q)))
+                   for q, b in often.items()):
+                continue
+            score, k = min((2000000 * a // (c[p[:k]] + c[p[k:]]), k) for k in range(1, len(p)))
+            rest.append((-score, -a, " ".join(p).encode(), c[p[:k]], c[p[k:]]))
+        for rank, (s, a, p, left, right) in enumerate(sorted(rest)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, left, right, n[lang], -s))
+    return sorted(out)
+
+
+def check(docs, min_count=3, **limits):
+    want = brute([tuple(r) for r in docs.select("lang", "text").collect()], min_count, limits.get("top", C.TOP))
+    got = C.collocations(docs, min_count=min_count, **limits)
+    assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    assert sorted(tuple(r) for r in got.collect()) == want
+    return want
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return H.documents(spark).limit(120).cache()
+
+
+def test_against_brute_force(docs):
+    assert len(check(docs, 5)) > 50
+
+
+def test_lengthened_prefixes_small_chunks_and_groups(docs, monkeypatch):
+    """Budgets that split every frequent prefix, down to single paths by chunk."""
+    monkeypatch.setattr(C, "_SLICE", 300)
+    monkeypatch.setattr(C, "_FLUSH", 500)
+    check(docs.repartition(5), 5, budget=3, chunk=500, top=40)
+
+
+def test_full_bit_table_costs_only_space(docs):
+    check(docs, 4, bits=6)
+
+
+def test_words_with_one_hash(docs):
+    def weak(word, seed):
+        """Few values at first, so that words share them."""
+        h = xxhash.xxh64_intdigest(word, seed)
+        return h % 97 if seed < 2 else h
+    check(docs.limit(30), 4, digest=weak)
+
+
+def test_partition_keeps_to_the_budget(spark, docs):
+    rows = docs.selectExpr("coalesce(lang, 'und') AS lang", "text")
+    words, taboo = C.vocabulary(rows, 2)
+    chunks = C.suffix_chunks(rows, words, taboo)
+    for budget in (50, 500):
+        hot, borders = C.partition(chunks, budget)
+        assert len(hot) >= 1 and len(borders) > 3
+        sizes = Counter()
+        parts = chunks.mapInArrow(C._emit_groups(hot, borders), "lang string, grp int, codes binary, counts binary, "
+                                                                "lengths binary, ids binary")
+        for r in parts.select("grp", "counts").collect():
+            sizes[r["grp"]] += len(r["counts"]) // 4
+        assert max(sizes.values()) <= budget
+
+
+def test_slices_are_the_text(monkeypatch):
+    text = ("aa b, c  dd\te\n" * 50 + "x" * 400 + " y . z " * 30).encode()
+    whole, own = next(iter(C.slices(text)))
+    assert own == len(whole)
+    for size in (1, 7, 64):
+        monkeypatch.setattr(C, "_SLICE", size)
+        parts = list(C.slices(text))
+        assert [t for tokens, n in parts for t in tokens[:n]] == whole
+        at = 0
+        for tokens, n in parts:
+            assert tokens == whole[at:at + len(tokens)] and len(tokens) >= min(n + C.DEPTH - 1, len(whole) - at)
+            at += n
+
+
+def test_ties_cover_and_null_language(spark):
+    rows = [(1, "a b. A B. a b; c d! c d? c d", None, "s", 1), (2, "a b", "und", "s", 1),
+            (3, "p q r s. p q r s. p q r s. p q r. q r", "x", "s", 1), (4, "é ß é ß é ß", "y", None, None),
+            (5, None, "x", None, None), (6, "", None, None, None)]
+    want = check(spark.createDataFrame(rows, H.KIND).withColumnRenamed("n_chars", "path"), 3)
+    assert ("und", 1, "a b", 4, 4, 4, 14, 1000000) in want
+
+
+def test_numbers_beyond_64_bits(spark):
+    big = 9 * 10 ** 17
+    counts = spark.createDataFrame([("x", [1], big), ("x", [2], big + 1), ("x", [1, 2], big - 1)],
+                                   "lang string, path array<bigint>, f bigint")
+    assert C.scored(counts).first()["score"] == 2000000 * (big - 1) // (2 * big + 1)
+
+
+def test_long_and_repeated_texts(spark):
+    rows = [(k, "one two three four five " * 60_000, "en", "s", 1) for k in range(3)]
+    rows += [(9, "b c " * 100, "en", "s", 1)] * 5
+    check(spark.createDataFrame(rows, H.KIND), 30, budget=2)
+
+
+def test_odd_rows_and_empty_table(spark):
+    check(H.odd(spark, "path", "f", "id", "word", "l", "r"), 2)
+    assert C.collocations(H.nothing(spark)).collect() == []

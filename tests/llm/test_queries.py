@@ -18,7 +18,7 @@ def test_sql(spark, name):
 
 
 def test_every_operator_has_its_query():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 14)] + ["pipeline"]
 
 
 def _brute(docs, labels):
