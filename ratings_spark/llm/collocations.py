@@ -43,6 +43,7 @@ rows grow towards 60 bytes a path.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import islice
 from typing import Any
 
 import numpy as np
@@ -56,12 +57,13 @@ from ..session import materialize, ship_package
 
 DEPTH = 4  # words of a path; a path is one 64-bit number of 16-bit codes
 MIN_COUNT, COVER, TOP = 30, 80, 2000
-BUDGET = 1_000_000  # paths of a group of prefixes
-CHUNK = 2_000_000   # words of a chunk
+BUDGET = 500_000  # paths of a group of prefixes
+CHUNK = 250_000   # words of a chunk
 FILTER_BITS = 27
 _SLICE = 1 << 17    # bytes of a text looked at together: fewer than 65,535 distinct words
 _CODES = 65_535
-_FLUSH = 500_000    # distinct words counted before they leave a task
+_FLUSH = 200_000    # distinct words counted before they leave a task
+_ROWS = 20_000      # rows of them sent together
 _BINS = 1 << 16
 _PIECE_END = b"\n"
 _BYTES = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
@@ -116,13 +118,19 @@ def _texts(batch):
 
 
 def _emit_words(taboo, digest):
-    def table(counts, totals):
-        rows = [(lang, word_id(w, taboo, digest), w, n) for lang, c in counts.items() for w, n in c.items()]
-        rows += [(lang, 0, None, n) for lang, n in totals.items()]
-        lang, ids, words, n = zip(*rows) if rows else ([], [], [], [])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.string()), pa.array(ids, pa.int64()), pa.array(words, pa.binary()).view(pa.string()),
-             pa.array(n, pa.int64())], names=["lang", "id", "word", "n"])
+    def tables(counts, totals):
+        def rows():
+            for lang, c in counts.items():
+                for w, n in c.items():
+                    yield lang, word_id(w, taboo, digest), w, n
+            for lang, n in totals.items():
+                yield lang, 0, None, n
+        rows = rows()
+        while part := list(islice(rows, _ROWS)):
+            lang, ids, words, n = zip(*part)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lang, pa.string()), pa.array(ids, pa.int64()), pa.array(words, pa.binary()).view(pa.string()),
+                 pa.array(n, pa.int64())], names=["lang", "id", "word", "n"])
 
     def run(batches):
         counts, totals = {}, Counter()
@@ -133,9 +141,9 @@ def _emit_words(taboo, digest):
                     c.update(tokens[:own])
                     totals[lang] += own - c.pop(_PIECE_END, 0)
                     if sum(map(len, counts.values())) > _FLUSH:
-                        yield table(counts, {})
+                        yield from tables(counts, {})
                         counts = {}
-        yield table(counts, totals)
+        yield from tables(counts, totals)
     return run
 
 
@@ -246,7 +254,7 @@ def _emit_chunks(known, bits, taboo, digest, chunk):
             if len(keys):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang], pa.string()), pa.array([keys.tobytes()], pa.binary()),
-                     pa.array([counts.astype(np.int64).tobytes()], pa.binary()),
+                     pa.array([counts.astype(np.uint32).tobytes()], pa.binary()),
                      pa.array([np.array(coders[lang].ids, np.int64).tobytes()], pa.binary())],
                     names=["lang", "paths", "counts", "ids"])
 
@@ -282,7 +290,7 @@ def _read(batch):
     """(lang, paths, counts, ids) of the chunks of a batch."""
     for k in range(batch.num_rows):
         yield (batch.column(0)[k].as_py(), *[np.frombuffer(batch.column(j)[k].as_py(), t)
-                                             for j, t in ((1, np.uint64), (2, np.int64), (3, np.int64))])
+                                             for j, t in ((1, np.uint64), (2, np.uint32), (3, np.int64))])
 
 
 def prefixes(lang: str, paths: np.ndarray, ids: np.ndarray, hot) -> tuple[np.ndarray, np.ndarray]:
@@ -358,7 +366,7 @@ def _emit_groups(hot, borders):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lang], pa.string()), pa.array([int(group[part[0]])], pa.int32()),
                          pa.array([local.tobytes()], pa.binary()),
-                         pa.array([counts[part].astype(np.uint32).tobytes()], pa.binary()),
+                         pa.array([counts[part].tobytes()], pa.binary()),
                          pa.array([length[part].astype(np.uint8).tobytes()], pa.binary()),
                          pa.array([ids[used.astype(np.int64)].tobytes()], pa.binary())],
                         names=["lang", "grp", "codes", "counts", "lengths", "ids"])
