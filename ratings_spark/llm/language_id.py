@@ -13,7 +13,7 @@ of the landmarks' n-grams only: a batch of texts is a matrix of presences, multi
 with that of the landmarks, block by block of n-grams, and then with the weights.
 
 Bounded samples: landmarks, and at most ``FIT_ROWS`` training texts, as many of each
-language, for the regression, both drawn by a hash of doc_id. Landmarks have at most
+language, for the regression, both drawn by a hash of doc_id and text. Landmarks have at most
 ``LANDMARK_CHARS`` characters (those of fewer than 200 are drawn last). Everything
 else covers all rows and whole texts; long texts are worked through in pieces that
 overlap by the longest n-gram, so memory follows the distinct n-grams of a text.
@@ -179,10 +179,25 @@ def _rows(docs: DataFrame) -> DataFrame:
                        F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("told"))
 
 
-def _draw(rows: DataFrame, tag: str, each: int, first=()) -> DataFrame:
-    """Up to ``each`` rows a language, by hash; cut in every task before the shuffle."""
-    w = Window.partitionBy("lang").orderBy(*first, F.xxhash64(F.lit(tag), "doc_id"), "doc_id", F.xxhash64("text"))
-    return rows.withColumn("_place", F.row_number().over(w)).where(F.col("_place") <= each).drop("_place")
+def _draw(rows: DataFrame, tag: str, each: int, kinds: tuple[str, ...] = ()) -> DataFrame:
+    """Up to ``each`` texts a language, those of least hash, first of the first
+    ``kinds`` (true before false). Languages and kinds are counted first, and a hash
+    below twice the share that is wanted lets a text on; so only few rows travel.
+    Copies have one hash and are drawn once."""
+    rows = rows.withColumn("draw", F.xxhash64(F.lit(tag), "doc_id", "text"))
+    group = ["lang", *kinds]
+    # One row a language and kind, as the model has a column a language.
+    sizes = rows.groupBy(*group).agg(F.approx_count_distinct("draw", 0.05).alias("n")).collect()
+    if not sizes:
+        return rows.select("lang", "text")
+    span = 2 ** 64
+    cuts = [(*[r[g] for g in group], min(span // 2 - 1, -span // 2 + span * 2 * (each + 8) // r["n"])) for r in sizes]
+    schema = ", ".join(f"{g} {rows.schema[g].dataType.simpleString()}" for g in group)
+    cuts = F.broadcast(rows.sparkSession.createDataFrame(cuts, f"{schema}, cut bigint"))
+    found = (rows.join(cuts, group).where(F.col("draw") <= F.col("cut"))
+             .groupBy(*group, "draw").agg(F.min("text").alias("text")))
+    w = Window.partitionBy("lang").orderBy(*[F.desc(k) for k in kinds], "draw")
+    return found.withColumn("place", F.row_number().over(w)).where(F.col("place") <= each).select("lang", "text")
 
 
 def _emit_spectra(batches):
@@ -209,7 +224,8 @@ def train(docs: DataFrame, landmarks: int = LANDMARKS, fit_rows: int = FIT_ROWS)
     if not langs:
         return None
     size = F.length("text")
-    marks = _draw(rows.where(size <= LANDMARK_CHARS), "landmark", max(1, landmarks // langs), [size < 200])
+    marks = _draw(rows.where(size <= LANDMARK_CHARS).withColumn("full", size >= 200), "landmark",
+                  max(1, landmarks // langs), ("full",))
     marks = marks.select("text").mapInArrow(_emit_spectra, "spectrum array<binary>").toLocalIterator()
     spectra = [[np.frombuffer(x, np.uint64) for x in s]  # sorted: the same rows, the same model
                for s in sorted([bytes(x) for x in r["spectrum"]] for r in marks)]
