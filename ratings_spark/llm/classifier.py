@@ -205,21 +205,21 @@ def quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Dat
     return score(measured, train(measured, labels, fit_rows))
 
 
-def _append_verdict(model: Model | None):
-    def run(batches):
-        for batch in batches:
-            x = np.array([measure(t.as_py() or b"") for t in batch.column(0).cast(pa.large_binary())],
-                         np.float32).reshape(batch.num_rows, len(FEATURES))
-            good = model.score(x) >= 0.5 if model is not None else np.ones(len(x), bool)
-            yield batch.drop_columns(batch.schema.names[:1]).filter(pa.array(good, pa.bool_()))
-    return run
+def _verdict(model: Model | None):
+    """Column function: whether a text is predicted good."""
+    @F.arrow_udf("boolean")
+    def good(texts: pa.Array) -> pa.Array:
+        if model is None:
+            return pa.array(np.ones(len(texts), bool))
+        x = np.array([measure(t.as_py() or b"") for t in texts.cast(pa.large_binary())],
+                     np.float32).reshape(len(texts), len(FEATURES))
+        return pa.array(model.score(x) >= 0.5)
+    return good
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """The rows of ``docs`` predicted good, with all their columns. Texts are
-    read and measured twice rather than shuffled to their scores."""
+    read and measured twice rather than shuffled to their scores, and only they
+    go through Python."""
     measured = materialize(features(docs), "quality-features")
-    model = train(measured, labels, fit_rows)
-    rows = docs.select(text_of(docs).alias("text"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"))
-    kind = rows.schema["doc"].dataType.simpleString()
-    return rows.mapInArrow(_append_verdict(model), f"doc {kind}").select("doc.*")
+    return docs.where(_verdict(train(measured, labels, fit_rows))(text_of(docs)))

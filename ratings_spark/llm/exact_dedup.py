@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -104,40 +105,46 @@ def _identity(chunk: bytes) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def _slices(batches, rows: int = 2000):
-    """Bounded pieces of Arrow batches: the chunker's arrays take some ten
-    times the bytes of the texts."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+SLICE_BYTES = 4 << 20
+
+
+def _slices(texts: pa.Array, size: int = SLICE_BYTES):
+    """Parts of an array of texts of at most ``size`` bytes, or one text: the
+    chunker's arrays take some ten times the bytes of the texts."""
+    at, held = 0, 0
+    for k, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if held and held + n > size:
+            yield texts.slice(at, k - at)
+            at, held = k, 0
+        held += n
+    yield texts.slice(at)
 
 
 def _emit_chunks(identity):
     def run(batches):
-        for batch in _slices(batches):
-            seen: dict[bytes, int] = {}
-            for _, chunks in _chunked(batch.column(0)):
-                for c in chunks:
-                    if c not in seen:
-                        seen[c] = identity(c)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(seen.values(), pa.int64()), pa.array(seen.keys(), pa.binary())],
-                names=["h", "chunk"])
+        for batch in batches:
+            for texts in _slices(batch.column(0)):
+                seen: dict[bytes, int] = {}
+                for _, chunks in _chunked(texts):
+                    for c in chunks:
+                        if c not in seen:
+                            seen[c] = identity(c)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(seen.values(), pa.int64()), pa.array(seen.keys(), pa.binary())],
+                    names=["h", "chunk"])
     return run
 
 
-def _emit_recipes(identity, with_chunks: bool):
-    """Appends the recipe to the columns after the first (the text). With
-    ``with_chunks`` it lists (hash, chunk) pairs instead of hashes."""
-    def run(batches):
-        for batch in _slices(batches):
-            lists = [[(identity(c), c) if with_chunks else identity(c) for c in chunks]
-                     for _, chunks in _chunked(batch.column(0))]
-            kind = pa.struct([("h", pa.int64()), ("chunk", pa.binary())]) if with_chunks else pa.int64()
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(lists, pa.list_(kind))],
-                names=[*batch.schema.names[1:], "recipe"])
-    return run
+def _recipe_column(identity, with_chunks: bool):
+    """Column function: the recipe of a text. With ``with_chunks`` it lists
+    (hash, chunk) pairs instead of hashes."""
+    @F.arrow_udf("array<struct<h: bigint, chunk: binary>>" if with_chunks else "array<bigint>")
+    def recipe(texts: pa.Array) -> pa.Array:
+        kind = pa.struct([("h", pa.int64()), ("chunk", pa.binary())]) if with_chunks else pa.int64()
+        parts = [pa.array([[(identity(c), c) if with_chunks else identity(c) for c in chunks]
+                           for _, chunks in _chunked(part)], pa.list_(kind)) for part in _slices(texts)]
+        return pa.concat_arrays(parts)
+    return recipe
 
 
 def dictionary(docs: DataFrame, identity=_identity) -> DataFrame:
@@ -166,18 +173,16 @@ def recipes(docs: DataFrame, carried: dict, identity=_identity) -> DataFrame:
     identifiers of its chunks, equal exactly for equal texts."""
     ship_package(docs.sparkSession)
     other = ambiguous(docs, identity)
-    rows = docs.select(text_of(docs).alias("text"), *[c.alias(n) for n, c in carried.items()])
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
-    if other.isEmpty():
-        return rows.mapInArrow(_emit_recipes(identity, False), f"{kinds}, recipe array<bigint>")
+    if other.isEmpty():  # only texts go through Python
+        return docs.select(*[c.alias(n) for n, c in carried.items()],
+                           _recipe_column(identity, False)(text_of(docs)).alias("recipe"))
     # Some hash is shared: chunks take (hash, number) instead, looked up by
     # their bytes. Texts travel as chunks here; with 64-bit hashes this comes
     # up once in some ten billion distinct chunks.
-    rows = rows.withColumn("row", F.struct(*carried)).select("text", "row", F.expr("uuid()").alias("id"))
+    rows = docs.select(text_of(docs).alias("text"), F.struct(*[c.alias(n) for n, c in carried.items()]).alias("row"),
+                       F.expr("uuid()").alias("id"))
     rows = materialize(rows, "dedup-rows")
-    cut = rows.mapInArrow(_emit_recipes(identity, True),
-                          f"row {rows.schema['row'].dataType.simpleString()}, id string, "
-                          "recipe array<struct<h: bigint, chunk: binary>>")
+    cut = rows.select("id", _recipe_column(identity, True)(F.col("text")).alias("recipe"))
     parts = cut.select("id", F.posexplode("recipe").alias("pos", "c")).select("id", "pos", "c.*")
     lists = (parts.join(other, ["h", "chunk"], "left")
              .groupBy("id")
