@@ -22,6 +22,8 @@ null doc_id takes part, but names no component unless all ids of it are null.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -33,48 +35,76 @@ from .common import text_of
 from .components import components
 
 SHINGLE, DISTANCE, SEED = 3, 2, 42
+BALL_ROWS = 2_000_000  # variants made by a task
+
+
+_SLICE = 1 << 20  # bytes of a text whose words are held at once
+_SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
+
+
+def _words(text: bytes):
+    """Lists of the words of bounded parts of a text, cut at white space."""
+    at = 0
+    while at < len(text):
+        end = _SPACE.search(text, at + _SLICE)
+        stop = end.start() if end else len(text)
+        yield text[at:stop].split()
+        at = stop
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """Unsigned 64-bit SimHash of UTF-8 text."""
-    parts = text.lower().split()  # both ASCII only, as the definition asks
-    if not parts:
-        return 0
-    joined = b" ".join(parts)
-    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
-    n = max(1, len(parts) - shingle + 1)
-    begins = np.concatenate(([0], ends[:-1]))[:n].tolist()
-    stops = (ends[-n:] - 1).tolist()
+    """Unsigned 64-bit SimHash of UTF-8 text. Votes of its parts add up; the last
+    words of a part begin the first shingles of the next."""
     digest = xxhash.xxh64_intdigest
-    h = np.array([digest(joined[a:b], SEED) for a, b in zip(begins, stops)], np.uint64)
+    votes, n, parts = np.zeros(64, np.int64), 0, []
+    for more in _words(text.lower()):  # ASCII only, as the definition asks
+        parts += more
+        if len(parts) < shingle:
+            continue
+        joined = b" ".join(parts)
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
+        found = len(parts) - shingle + 1
+        begins = np.concatenate(([0], ends[:-1]))[:found].tolist()
+        stops = (ends[-found:] - 1).tolist()
+        h = np.array([digest(joined[a:b], SEED) for a, b in zip(begins, stops)], "<u8")
+        votes += _votes(h)
+        n += found
+        parts = parts[found:]
+    if not n:
+        if not parts:
+            return 0
+        votes, n = _votes(np.array([digest(b" ".join(parts), SEED)], "<u8")), 1
+    return int(sum(1 << k for k in np.flatnonzero(2 * votes > n).tolist()))
+
+
+def _votes(h: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit."""
     votes = np.zeros(64, np.int64)
-    for at in range(0, n, 65536):
-        part = h[at:at + 65536]
-        votes += np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1,
+    for at in range(0, len(h), 65536):
+        votes += np.unpackbits(h[at:at + 65536].view(np.uint8).reshape(-1, 8), axis=1,
                                bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(sum(1 << k for k in np.flatnonzero(2 * votes > n).tolist()))
+    return votes
 
 
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def _append_fingerprint(shingle: int):
-    def run(batches):
-        for batch in batches:
-            texts = batch.column(0).cast(pa.large_binary())
-            fps = [_signed(fingerprint(t.as_py() or b"", shingle)) for t in texts]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(fps, pa.int64())],
-                                             names=[*batch.schema.names[1:], "fp"])
-    return run
+def _fingerprint_column(shingle: int):
+    """Column function: the signed fingerprint of a text."""
+    @F.arrow_udf("bigint")
+    def signed(texts: pa.Array) -> pa.Array:
+        return pa.array([_signed(fingerprint(t.as_py() or b"", shingle)) for t in texts.cast(pa.large_binary())],
+                        pa.int64())
+    return signed
 
 
 def fingerprints(docs: DataFrame, carried: dict, shingle: int = SHINGLE) -> DataFrame:
-    """The ``carried`` columns of each row with ``fp``, the signed fingerprint."""
+    """The ``carried`` columns of each row with ``fp``, the signed fingerprint.
+    Only texts go through Python."""
     ship_package(docs.sparkSession)
-    rows = docs.select(text_of(docs).alias("text"), *[c.alias(n) for n, c in carried.items()])
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
-    return rows.mapInArrow(_append_fingerprint(shingle), f"{kinds}, fp bigint")
+    return docs.select(*[c.alias(n) for n, c in carried.items()],
+                       _fingerprint_column(shingle)(text_of(docs)).alias("fp"))
 
 
 def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
@@ -82,7 +112,9 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     within ``distance`` bits (1 or 2, as the radius of a ball is 1)."""
     if distance not in (1, 2):
         raise ValueError("ball hashing here has radius 1: distance 1 or 2")
-    ball = (fps.select("fp").distinct()
+    # Dealt by the rows they become, which adaptive execution can't foresee.
+    tasks = max(fps.sparkSession.sparkContext.defaultParallelism, -(-65 * fps.count() // BALL_ROWS))
+    ball = (fps.select("fp").distinct().repartition(tasks)
             .select("fp", F.explode(F.sequence(F.lit(0), F.lit(64))).alias("bit"))
             .selectExpr("CASE WHEN bit = 64 THEN fp ELSE fp ^ shiftleft(1L, bit) END AS variant",
                         "CASE WHEN bit = 64 THEN 0L ELSE shiftleft(1L, bit) END AS flip",

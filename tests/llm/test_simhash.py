@@ -91,3 +91,11 @@ def test_empty_and_clashing_columns(spark):
     assert S.keep_one(H.nothing(spark)).collect() == []
     docs = H.odd(spark, "fp", "doc", "root", "fingerprint")
     assert S.keep_one(docs).columns == docs.columns
+
+
+def test_parts_of_a_text_change_nothing(monkeypatch):
+    texts = [" ".join(f"w{k % 7}x" for k in range(n)) for n in (0, 1, 2, 3, 50)] + ["  lead\t\ttail\n", "x" * 99]
+    want = [plain(t) for t in texts]
+    for size in (1, 5, 40):
+        monkeypatch.setattr(S, "_SLICE", size)
+        assert [S.fingerprint(t.encode()) for t in texts] == want
