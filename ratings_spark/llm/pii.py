@@ -17,7 +17,8 @@ bootstrap over all documents:
   pattern tells (1 - the odds of the kind outside the pattern over those within),
   less as far as one of its patterns has fewer of the kind than its size lets expect;
 * a value's certainty is 1 - product of (1 - confidence) over its patterns, and
-  values from ``MIN_CERTAINTY`` on are accepted into the next of ``ROUNDS`` rounds.
+  values from ``MIN_CERTAINTY`` on are accepted into the next round, until one accepts
+  nothing that no round before it did.
 
 Candidates accepted in the end are added as spans of the kind found. The graph is
 held as the distinct (pattern, value) links, so neither a frequent word nor a
@@ -49,16 +50,17 @@ PATTERNS = {
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "written": (r"(?i)(?<![A-Z0-9._%+-])[A-Z0-9._%+-]++(?:_DOT_[A-Z0-9._%+-]++){0,3}_AT_[A-Z0-9-]++"
-                r"(?:_DOT_[A-Z0-9-]++)++").replace("_AT_", r"\x20++[(\[]?at[)\]]?\x20++")
-               .replace("_DOT_", r"\x20++[(\[]?dot[)\]]?\x20++"),
-    "run": r"(?<![\p{L}0-9@.+(\[/-])_G_(?:[\x20\x09]++(?:[-/.][\x20\x09]++)?_G_)++(?![\p{L}0-9@])".replace(
-        "_G_", r"[+(\[]*+[0-9](?:[().\[\]/-]*+[0-9])*+[)\]]?+"),
+    "written": (r"(?i)(?<![A-Z0-9._%+-])(?<!dot[)\]]?\x20{1,8})[A-Z0-9._%+-]++(?:_DOT_[A-Z0-9._%+-]++)*+"
+                r"_AT_[A-Z0-9-]++(?:_DOT_[A-Z0-9-]++)++").replace("_AT_", r"\x20{1,8}+[(\[]?at[)\]]?\x20{1,8}+")
+               .replace("_DOT_", r"\x20{1,8}+[(\[]?dot[)\]]?\x20{1,8}+"),
+    # A group that touches a letter ends the run before it, rather than undo it.
+    "run": r"(?<![\p{L}0-9@.+(\[/-])_G_(?:[\x20\x09]++(?:[-/.][\x20\x09]++)?_G_)++".replace(
+        "_G_", r"[+(\[]*+[0-9](?:[().\[\]/-]*+[0-9])*+[)\]]?+(?![\p{L}0-9@])"),
     "other": r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+",
 }
 LONG = ("written", "run")  # candidates of several words; the first goes before the second
 MIN_DIGITS = 4
-MIN_SUPPORT, MIN_CONFIDENCE, MIN_CERTAINTY, ROUNDS = 3, 0.8, 0.9, 3
+MIN_SUPPORT, MIN_CONFIDENCE, MIN_CERTAINTY = 3, 0.8, 0.9
 
 
 def _valid(kind: Column, value: Column) -> Column:
@@ -145,8 +147,8 @@ def discover(found: DataFrame) -> DataFrame:
     total = values.select("value").distinct().agg(F.count("*").alias("total"))
     size = links.select("pattern", "value").distinct().groupBy("pattern").agg(F.count("*").alias("n"))
     others = links.where("kind = 'other'").drop("kind")
-    known = None
-    for _ in range(ROUNDS):
+    known = ever = None
+    while True:
         sure, unjudged = seeds, others
         of_kind = values.where("kind <> 'other'").select("value", "kind", F.lit(1.0).alias("certainty"))
         if known is not None:
@@ -191,7 +193,12 @@ def discover(found: DataFrame) -> DataFrame:
         best = F.max(F.struct("certainty", "kind")).alias("b")
         known = materialize(scored.groupBy("value").agg(best).select("value", "b.kind", "b.certainty"),
                             "pii-known")
-    return known.select("value", "kind")
+        fresh = known.select("value", "kind")
+        if ever is not None:
+            fresh = fresh.join(ever, ["value", "kind"], "left_anti")
+        if fresh.isEmpty():
+            return known.select("value", "kind")
+        ever = fresh if ever is None else materialize(ever.unionByName(fresh), "pii-ever")
 
 
 def spans(docs: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ import re
 
 import helpers as H
 import pytest
+from pyspark.sql import functions as F
 
 from ratings_spark.llm import pii as P
 
@@ -131,3 +132,26 @@ def test_candidates_do_not_overlap_base_matches(spark):
 def test_empty_and_clashing_columns(spark, extra):
     assert P.personal_data(H.nothing(spark)).collect() == []
     assert P.personal_data(H.odd(spark, *extra)).count() == len(H.ODD)
+
+
+def test_patterns_take_linear_time(spark):
+    """Long runs of what a pattern repeats, with an end that spoils the match."""
+    import time
+    parts = {"run": "12 " * 200_000 + "34kg", "written": "a dot " * 200_000 + "b", "email": "a." * 200_000 + "@",
+             "ip": "1." * 200_000, "card": "1 " * 200_000 + "x", "phone": "+1 (" * 200_000, "other": "1@" * 200_000}
+    assert set(parts) == set(P.PATTERNS)
+    for name, text in parts.items():
+        df = spark.createDataFrame([(text,)], "t string")
+        begin = time.time()
+        df.select(F.size(F.regexp_extract_all("t", F.lit(P.PATTERNS[name]), F.lit(0)))).collect()
+        assert time.time() - begin < 5, name
+
+
+def test_ends_of_runs_and_long_written_addresses(spark):
+    def first(kind, text):
+        got = spark.createDataFrame([(text,)], "t string").select(
+            F.regexp_extract_all("t", F.lit(P.PATTERNS[kind]), F.lit(0))).first()[0]
+        return got[0] if got else None
+    assert first("run", "tel 12 34 56kg") == "12 34"
+    assert first("run", "tel 12 34kg") is None
+    assert first("written", "x a dot b dot c dot d dot e at x dot com y") == "a dot b dot c dot d dot e at x dot com"
