@@ -114,7 +114,7 @@ SELECT CAST(rank AS INTEGER) AS rank, reg_param, (SELECT count(*) FROM r) AS n,
 def q_als_grid(spark: SparkSession, d: str) -> DataFrame:
     """The whole rank x lambda search by training-set RMSE: each point with the
     ratings it scored, the number of best points and whether the best is least."""
-    g = als.grid(A.ratings(spark, d), mode="train", parallelism=2)
+    g = als.grid(A.ratings(spark, d), mode="train", parallelism=4)
     best = g.agg(F.count_if("best").alias("n_best"),
                  (F.min("rmse") == F.min(F.when(F.col("best"), F.col("rmse")))).alias("best_is_least"))
     return g.join(best).select("rank", "reg_param", "n", "n_best", "best_is_least")
