@@ -12,7 +12,9 @@ chunk's scores stay within ``CHUNK_SCORES`` (64 MB), whatever the block size.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 DEFAULT_BLOCK_ROWS = 8192
@@ -66,3 +68,42 @@ def spread_groups(df: DataFrame, n_groups: int, n_rows: int, *cols: str) -> Data
     cores = max(1, df.sparkSession.sparkContext.defaultParallelism)
     by_size = -(-n_rows // PARTITION_ROWS)
     return df.repartition(max(1, min(n_groups, max(by_size, 4 * cores))), *cols)
+
+
+@dataclass(frozen=True)
+class RangeBlock:
+    """A block of rows whose keys lie between ``low`` and ``high``."""
+
+    n: int
+    low: float
+    high: float
+
+
+def range_blocks(df: DataFrame, key: str, n_rows: int, blocks: int,
+                 id_col: str = "id") -> tuple[DataFrame, list[RangeBlock]]:
+    """``df`` with its block ``b``, blocks being numbered by rising ``key`` (double),
+    and the blocks. Borders are approximate quantiles; rows that share a key, of
+    which a range can have any number, are dealt over several blocks of it by hash.
+    ``df`` is read several times: give a written table."""
+    probs = [k / blocks for k in range(1, blocks)]
+    cuts = sorted(set(df.approxQuantile(key, probs, 0.2 / blocks))) if probs and n_rows else []
+    if cuts:
+        df = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol=key, outputCol="_range").transform(df)
+    else:
+        df = df.withColumn("_range", F.lit(0.0))
+    # One row a range: at most ``blocks``.
+    found = {int(r["_range"]): r for r in df.groupBy("_range").agg(
+        F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high")).collect()}
+    size, first, out = max(1, -(-n_rows // blocks)), [], []
+    for k in range(len(cuts) + 1):
+        first.append(len(out))
+        if k in found:
+            r = found[k]
+            parts = max(1, round(r["n"] / size))
+            out += [RangeBlock(-(-r["n"] // parts), r["low"], r["high"])] * parts
+    first.append(len(out))
+    table = df.sparkSession.createDataFrame(
+        [(float(k), first[k], first[k + 1] - first[k]) for k in range(len(cuts) + 1)],
+        "_range double, _first int, _parts int")
+    part = F.pmod(F.xxhash64(id_col, F.lit(3)), F.col("_parts")).cast("int")
+    return df.join(table, "_range").withColumn("b", F.col("_first") + part).drop("_range", "_first", "_parts"), out
