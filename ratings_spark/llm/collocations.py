@@ -43,6 +43,7 @@ rows grow towards 60 bytes a path.
 from __future__ import annotations
 
 from collections import Counter
+from contextlib import contextmanager
 from itertools import islice
 from typing import Any
 
@@ -53,13 +54,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize, ship_package
+from ..session import materialize, shared_dir, ship_package
 
 DEPTH = 4  # words of a path; a path is one 64-bit number of 16-bit codes
 MIN_COUNT, COVER, TOP = 30, 80, 2000
 BUDGET = 500_000  # paths of a group of prefixes
 CHUNK = 250_000   # words of a chunk
 FILTER_BITS = 27
+BATCH_BYTES = 8 << 20  # of rows sent to Python together
 _SLICE = 1 << 17    # bytes of a text looked at together: fewer than 65,535 distinct words
 _CODES = 65_535
 _FLUSH = 200_000    # distinct words counted before they leave a task
@@ -282,8 +284,18 @@ def suffix_chunks(rows: DataFrame, words: DataFrame, taboo, bits: int = FILTER_B
     """(lang, paths, counts, ids): distinct paths of suffixes, in codes that stand for
     ``ids``, with the number of each."""
     emit = _emit_chunks(word_filter(words, bits), bits, taboo, digest, chunk)
-    return materialize(rows.mapInArrow(emit, "lang string, paths binary, counts binary, ids binary"),
-                       "collocation-suffixes")
+    return _write(rows.mapInArrow(emit, "lang string, paths binary, counts binary, ids binary"),
+                  "collocation-suffixes")
+
+
+def _write(df: DataFrame, name: str) -> DataFrame:
+    """``materialize`` for large rows: sizes are looked at after every row, where by
+    default a page, which readers hold whole, has 100 rows at least."""
+    path = shared_dir(df.sparkSession, name)
+    sizes = {"parquet.block.size": BATCH_BYTES, "parquet.page.size": 1 << 20}
+    checks = {f"parquet.{k}.size.row.check.{m}": 1 for k in ("page", "block") for m in ("min", "max")}
+    df.write.options(**sizes, **checks).parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def _read(batch):
@@ -431,6 +443,19 @@ def subtree_counts(chunks: DataFrame, min_count: int, budget: int = BUDGET) -> D
     return nodes.groupBy("lang", "path").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)
 
 
+@contextmanager
+def _small_batches(spark):
+    """Rows of chunks are large: Spark's 64 MB of them in an Arrow batch, twice in a
+    buffer that grows, is most of a small executor's memory."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, budget: int = BUDGET, bits: int = FILTER_BITS,
                   chunk: int = CHUNK, digest=xxhash.xxh64_intdigest) -> tuple[DataFrame, DataFrame]:
     """(lang, path, f) of all phrases of up to DEPTH words with ``min_count``
@@ -438,10 +463,11 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, budget: int = BUD
     ship_package(docs.sparkSession)
     rows = docs.select(F.coalesce(docs["lang"].cast("string"), F.lit("und")).alias("lang"),
                        docs["text"].cast("string").alias("text"))
-    words, taboo = vocabulary(rows, min_count, digest)
-    chunks = suffix_chunks(rows, words, taboo, bits, chunk, digest)
-    single = words.where("id <> 0").select("lang", F.array("id").alias("path"), "f")
-    return materialize(single.union(subtree_counts(chunks, min_count, budget)), "collocation-counts"), words
+    with _small_batches(docs.sparkSession):
+        words, taboo = vocabulary(rows, min_count, digest)
+        chunks = suffix_chunks(rows, words, taboo, bits, chunk, digest)
+        single = words.where("id <> 0").select("lang", F.array("id").alias("path"), "f")
+        return materialize(single.union(subtree_counts(chunks, min_count, budget)), "collocation-counts"), words
 
 
 def _exact(c: str) -> Column:
