@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratings_spark.operators import catalog, history, stats
+from ratings_spark.operators import catalog, history, maintained, stats
 from ratings_spark.plans.catalogue import (
     FIXTURE_GENRES, MESSAGES_SQL, MOVIES_SQL, RATING_ORDER_SQL, RATINGS_SQL, TAGS_SQL,
     query, r6, with_)
@@ -119,6 +119,27 @@ def q_genre_top10_token(spark: SparkSession, d: str) -> DataFrame:
     return out.select("genre", "rank", "mid", r6("avg").alias("avg"))
 
 
+@query("maintained_statistics", with_(r=RATINGS_SQL) + """
+, a AS (SELECT mid, count(*) AS item_count, round(avg(score), 6) AS avg FROM r GROUP BY mid)
+, m AS (SELECT mid, count(*) AS count,
+               CAST(strftime(DATE '1970-01-01' + CAST(floor(timestamp / 86400) AS INTEGER), '%Y%m')
+                    AS BIGINT) AS yearmonth FROM r GROUP BY ALL)
+SELECT m.mid, m.yearmonth, m.count, a.item_count, a.avg FROM m JOIN a ON m.mid = a.mid""")
+def q_maintained_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """Counts and averages from stored batches: out of order, one of them twice
+    (once after it was folded into a snapshot)."""
+    path = shared_dir(spark, "maintained")
+    r = A.ratings(spark, d).withColumn("batch", F.pmod(F.xxhash64("uid", "mid", "timestamp"), F.lit(4)))
+    for b in (2, 0, 3, 2, 1):
+        maintained.write_batch(r.where(F.col("batch") == b), path, b)
+        if b == 3:
+            maintained.fold(spark, path)
+    state = maintained.current(spark, path)
+    items = maintained.rating_counts(state).withColumnRenamed("count", "item_count") \
+        .join(maintained.average_scores(state).select("mid", r6("avg").alias("avg")), "mid")
+    return maintained.monthly_counts(state).join(items, "mid").select("mid", "yearmonth", "count", "item_count", "avg")
+
+
 # --- catalogue documents -------------------------------------------------------
 
 @query("tags_by_movie", with_(t=TAGS_SQL) + """
