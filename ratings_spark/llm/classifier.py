@@ -8,8 +8,9 @@ fitted to the non-negative unbiased risk
     prior * R_P(+) + max(0, R_U(-) - prior * R_P(-))
 
 Bad labels are never used, nor are language, source or doc_id as inputs.
-Measurements are taken from whole texts of all documents; only the fit uses a
-bounded sample, at most ``FIT_ROWS`` rows a side, drawn by the hash of doc_id.
+Measurements are taken from whole texts of all documents. Their mean and scale and
+the prior's shares cover all unlabelled rows, by aggregation; only the descent
+uses a bounded sample, at most ``FIT_ROWS`` rows a side, drawn by the hash of doc_id.
 
 Defined results: null counts as empty, an empty text is scored as its (zero)
 measurements say; a doc_id with several label rows counts as positive only if
@@ -23,6 +24,7 @@ from __future__ import annotations
 import math
 import operator
 import string
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -101,30 +103,47 @@ class Model:
     weights: np.ndarray  # the last is the intercept
     prior: float
 
+    def margin(self, x: np.ndarray) -> np.ndarray:
+        return _basis(x, self.mean, self.scale) @ self.weights
+
     def score(self, x: np.ndarray) -> np.ndarray:
-        return _sigmoid(_basis(x, self.mean, self.scale) @ self.weights)
+        return _sigmoid(self.margin(x))
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
+# Deviations count up to this many scales: beyond, squares would carry the few rows
+# far out. Chosen among 2, 3, 4 and 6 on labels of the training folds.
+_REACH = 2
+
+
 def _basis(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    z = np.clip((np.asarray(x, np.float64) - mean) / scale, -6, 6)
+    z = np.clip((np.asarray(x, np.float64) - mean) / scale, -_REACH, _REACH)
     return np.hstack([z, z * z, np.ones((len(z), 1))])
 
 
-def estimate_prior(p: np.ndarray, u: np.ndarray, sure: float = 0.995) -> float:
-    """Share of positives among the unlabelled, from scores that tell positives
-    from unlabelled: above any threshold the unlabelled share can't be less than
-    prior times the positives' share, so the least ratio bounds the prior. Only
-    thresholds that keep 95 % to ``sure`` of the positives count: the
-    ratio also falls where trusted positives crowd more than others do further up,
-    and rests on a few stray positives further down."""
-    t = np.quantile(p, np.linspace(1 - sure, 0.05, 50))
-    above_p = 1 - np.searchsorted(np.sort(p), t) / len(p)
-    above_u = 1 - np.searchsorted(np.sort(u), t) / len(u)
-    return float(np.clip((above_u / np.maximum(above_p, 1e-9)).min(), 0.05, 0.99))
+# Of the prior's confidence terms, as published with the estimator: how often
+# they may fail, and the slack that makes the choice of a threshold stable.
+_FAIL, _SLACK = 0.1, 0.01
+
+
+def thresholds(p: np.ndarray, n: int = 200) -> np.ndarray:
+    """Scores above which shares of ``p`` from all down to 1 / n lie, ascending."""
+    return np.quantile(p, np.arange(n) / n)
+
+
+def best_bin(above_p: np.ndarray, above_u: np.ndarray, n_p: int, n_u: int) -> float:
+    """Share of positives among the unlabelled, from the shares of both above some
+    thresholds. The unlabelled share is at least prior times the positives' share
+    everywhere, so each ratio bounds the prior from above; the ratio is taken where
+    it is least with its confidence terms, which weigh more the fewer positives a
+    threshold keeps. No range of thresholds is set beforehand."""
+    noise = math.sqrt(math.log(4 / _FAIL) / (2 * n_u)) + math.sqrt(math.log(4 / _FAIL) / (2 * n_p))
+    kept = np.maximum(above_p, 1e-9)
+    at = int(np.argmin(above_u / kept + (1 + _SLACK) * noise / kept))
+    return float(np.clip(above_u[at] / kept[at], 0.05, 0.99))
 
 
 def _descend(gradient, width: int, steps: int = 400, rate: float = 0.1) -> np.ndarray:
@@ -137,29 +156,113 @@ def _descend(gradient, width: int, steps: int = 400, rate: float = 0.1) -> np.nd
     return w
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
-    """The model of least non-negative unbiased risk."""
-    both = np.vstack([positive, unlabelled]).astype(np.float64)
-    mean, scale = both.mean(axis=0), both.std(axis=0) + 1e-6
+def risk_parts(w: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float) -> tuple[float, float]:
+    """prior * R_P(+), and R_U(-) - prior * R_P(-), of logistic loss."""
+    zp, zu = p @ w, u @ w
+    return (float(prior * np.logaddexp(0, -zp).mean()),
+            float(np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()))
+
+
+def risk_slope(w: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float) -> np.ndarray:
+    """Slope to descend: of both parts together, or, where the second is below
+    zero (overfitted), of its negative, so that it climbs back."""
+    zp, zu = p @ w, u @ w
+    down = u.T @ _sigmoid(zu) / len(u) - prior * (p.T @ _sigmoid(zp) / len(p))
+    if risk_parts(w, p, u, prior)[1] < 0:
+        return -down
+    return down - prior * (p.T @ _sigmoid(-zp) / len(p))
+
+
+class Sample:
+    """Statistics of unlabelled rows held in an array."""
+
+    def __init__(self, x: np.ndarray):
+        self.x = np.asarray(x, np.float64)
+
+    def moments(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.x.mean(axis=0), self.x.std(axis=0)
+
+    def above(self, models: list[Model], t: np.ndarray) -> tuple[int, np.ndarray]:
+        return len(self.x), _count_above(models, self.x, t)
+
+
+class Corpus:
+    """The same statistics of all rows of a table of measurements, aggregated in Spark."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+
+    def moments(self) -> tuple[np.ndarray, np.ndarray]:
+        each = [F.col("x")[i].cast("double") for i in range(len(FEATURES))]
+        row = self.rows.agg(*map(F.avg, each), *map(F.stddev_pop, each)).first()
+        # Single precision: sums of partitions may come in any order.
+        both = np.array(row, np.float32).astype(np.float64)
+        return both[:len(each)], both[len(each):]
+
+    def above(self, models: list[Model], t: np.ndarray) -> tuple[int, np.ndarray]:
+        def count(batches):
+            n, above = 0, np.zeros(t.shape[1], np.int64)
+            for batch in batches:
+                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
+                n += len(x)
+                above += _count_above(models, x, t)
+            yield pa.RecordBatch.from_pydict({"n": pa.array([n]), "above": pa.array([above.tolist()])})
+
+        ship_package(self.rows.sparkSession)
+        counts = self.rows.select("x").mapInArrow(count, "n long, above array<long>")
+        row = counts.agg(F.sum("n"), *[F.sum(F.col("above")[i]) for i in range(t.shape[1])]).first()
+        return row[0], np.array(row[1:], np.int64)
+
+
+def half_of(x: np.ndarray) -> np.ndarray:
+    """0 or 1 by the bytes of a row's measurements: equal rows share a half."""
+    return np.array([zlib.crc32(r.tobytes()) & 1 for r in np.asarray(x, np.float32)], np.int64)
+
+
+def _count_above(models: list[Model], x: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """How many rows' margins reach each column of ``t``; the model and the row of
+    ``t`` are those of the row's half."""
+    half, out = half_of(x), np.zeros(t.shape[1], np.int64)
+    for j, model in enumerate(models):
+        margin = np.sort(model.margin(x[half == j]))
+        out += len(margin) - np.searchsorted(margin, t[j])
+    return out
+
+
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, mean: np.ndarray, scale: np.ndarray,
+                   corpus: Sample | Corpus) -> float:
+    """Class prior, read from margins between positives and unlabelled. Each half
+    of the rows is judged by a model fitted to drawn rows of the other half, so that
+    no row's own part in a fit moves the shares."""
+    halves = half_of(positive), half_of(unlabelled)
+    if min(len(set(h.tolist())) for h in halves) < 2:  # too few rows to keep any back
+        halves = tuple(np.full(len(h), -1) for h in halves)
+    models, t, reached = [], [], 0
+    for j in (0, 1):
+        p, u = (_basis(x[h != j], mean, scale) for x, h in zip((positive, unlabelled), halves))
+
+        def apart(w, p=p, u=u):
+            return (-p.T @ _sigmoid(-(p @ w)) / len(p) + u.T @ _sigmoid(u @ w) / len(u)) / 2
+
+        models.append(Model(mean, scale, _descend(apart, p.shape[1]), 0.0))
+        own = halves[0] == j
+        margin = models[j].margin(positive[own] if own.any() else positive)
+        t.append(thresholds(margin))
+        reached = reached + (margin[:, None] >= t[j][None, :]).sum(axis=0)
+    n, above = corpus.above(models, np.array(t))
+    return best_bin(reached / reached[0], above / n, int(reached[0]), n)
+
+
+def fit(positive: np.ndarray, unlabelled: np.ndarray, corpus: Sample | Corpus | None = None) -> Model:
+    """The model of least non-negative unbiased risk. ``unlabelled`` is what the
+    descent sees; mean, scale and prior are those of ``corpus`` (as default the
+    same rows)."""
+    corpus = corpus or Sample(unlabelled)
+    mean, scale = corpus.moments()
+    scale = scale + 1e-6
+    prior = estimate_prior(positive, unlabelled, mean, scale, corpus)
     p, u = _basis(positive, mean, scale), _basis(unlabelled, mean, scale)
-
-    def apart(w):  # positives against unlabelled, for the prior
-        return (-p.T @ _sigmoid(-(p @ w)) / len(p) + u.T @ _sigmoid(u @ w) / len(u)) / 2
-
-    first = _descend(apart, p.shape[1])
-    prior = estimate_prior(p @ first, u @ first)
-
-    def risk(w):
-        zp, zu = p @ w, u @ w
-        up = -p.T @ _sigmoid(-zp) / len(p)       # slope of R_P(+)
-        down_p = p.T @ _sigmoid(zp) / len(p)     # slope of R_P(-)
-        down_u = u.T @ _sigmoid(zu) / len(u)     # slope of R_U(-)
-        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        if negative < 0:  # overfitted: climb back, as the non-negative risk asks
-            return prior * down_p - down_u
-        return prior * up + down_u - prior * down_p
-
-    return Model(mean, scale, _descend(risk, p.shape[1]), prior)
+    return Model(mean, scale, _descend(lambda w: risk_slope(w, p, u, prior), p.shape[1]), prior)
 
 
 def train(measured: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model | None:
@@ -177,7 +280,7 @@ def train(measured: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> M
         drawn[side] = np.array([x["x"] for x in low.toLocalIterator()], np.float32).reshape(-1, len(FEATURES))
     if not all(map(len, drawn.values())):
         return None
-    return fit(drawn["P"], drawn["U"])
+    return fit(drawn["P"], drawn["U"], Corpus(sides["U"]))
 
 
 def _append_score(model: Model | None):

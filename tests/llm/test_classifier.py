@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import helpers as H
@@ -61,3 +62,57 @@ def test_keep_good_agrees_with_the_scores(spark):
     docs, labels = (spark.read.parquet(f"{H.SF}/{t}.parquet") for t in ("documents", "labels"))
     want = H.rows_of(C.quality(docs, labels).where("predicted = 1"), "doc_id")
     assert H.rows_of(C.keep_good(docs, labels), "doc_id") == want
+
+
+def test_risk_and_its_slope_against_brute_force():
+    rng = np.random.default_rng(7)
+    p, u = rng.normal(1, 1, (40, 5)), rng.normal(0, 1, (60, 5))
+
+    def loss(z):
+        return math.log1p(math.exp(-z))
+
+    clipped = 0
+    for size in (0.1, 1, 6):
+        for prior in (0.2, 0.6, 0.95):
+            w = size * rng.normal(1, 1, 5)
+            plus = prior * sum(loss(float(r @ w)) for r in p) / len(p)
+            minus = (sum(loss(-float(r @ w)) for r in u) / len(u)
+                     - prior * sum(loss(-float(r @ w)) for r in p) / len(p))
+            np.testing.assert_allclose(C.risk_parts(w, p, u, prior), (plus, minus), rtol=1e-9)
+            clipped += minus < 0
+
+            def followed(v):
+                a, b = C.risk_parts(v, p, u, prior)
+                return -b if minus < 0 else a + b
+
+            step = 1e-6 * np.eye(5)
+            slope = [(followed(w + e) - followed(w - e)) / 2e-6 for e in step]
+            np.testing.assert_allclose(C.risk_slope(w, p, u, prior), slope, atol=1e-6)
+    assert 0 < clipped < 9
+
+
+def test_statistics_cover_all_unlabelled_rows(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(0, 1, (5000, len(C.FEATURES))).astype(np.float32)
+    rows = spark.createDataFrame([(r.tolist(),) for r in x], "x array<float>").repartition(7)
+    whole, here = C.Corpus(rows), C.Sample(x)
+    for a, b in zip(whole.moments(), here.moments()):
+        np.testing.assert_allclose(a, b, rtol=1e-5, atol=1e-6)
+    width = 2 * len(C.FEATURES) + 1
+    models = [C.Model(np.zeros(len(C.FEATURES)), np.ones(len(C.FEATURES)), rng.normal(0, 1, width), 0.5)
+              for _ in range(2)]
+    t = np.array([np.linspace(-5, 5, 20), np.linspace(-2, 2, 20)])
+    n, above = whole.above(models, t)
+    half = C.half_of(x)
+    assert n == 5000 and set(half.tolist()) == {0, 1}
+    assert above.tolist() == [sum(models[h].margin(r[None])[0] >= t[h, i] for r, h in zip(x, half))
+                              for i in range(20)]
+
+
+def test_prior_rows_beyond_the_drawn_ones_count():
+    """Drawn rows are half good, the corpus 0.8: the prior is the corpus's."""
+    rng = np.random.default_rng(3)
+    good, bad = rng.normal(2, 1, (9000, len(C.FEATURES))), rng.normal(-2, 1, (3000, len(C.FEATURES)))
+    corpus = C.Sample(np.vstack([good[1000:], bad[:2000]]))
+    model = C.fit(good[:1000], np.vstack([good[1000:2000], bad[:1000]]), corpus)
+    assert abs(model.prior - 0.8) < 0.05
