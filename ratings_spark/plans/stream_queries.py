@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratings_spark.operators import history, similarity
+from ratings_spark.operators import history, rerank, similarity
 from ratings_spark.operators.topk import latest
 from ratings_spark.plans.catalogue import MESSAGE_ORDER_SQL, MESSAGES_SQL, query, r6, with_
 from ratings_spark.plans.realtime_queries import RERANK_NOID_ORACLE, RERANK_ORACLE, RERANK_SIM
@@ -78,9 +78,30 @@ def q_stream_rerank_noid(spark: SparkSession, d: str) -> DataFrame:
     return _flat(RS.latest_recs(spark, run_stream(spark, d, ids=False, include_incoming=False)))
 
 
-@query("stream_recent", with_(msg=MESSAGES_SQL) + f"""
+RECENT_ORACLE = with_(msg=MESSAGES_SQL) + f"""
 , o AS (SELECT uid, mid, score,
                row_number() OVER (PARTITION BY uid ORDER BY {MESSAGE_ORDER_SQL}) AS rn FROM msg)
-SELECT uid, CAST(rn AS INTEGER) AS rank, mid, score FROM o WHERE rn <= 20""")
+SELECT uid, CAST(rn AS INTEGER) AS rank, mid, score FROM o WHERE rn <= 20"""
+
+
+@query("stream_recent", RECENT_ORACLE)
 def q_stream_recent(spark: SparkSession, d: str) -> DataFrame:
     return RS.latest_recents(spark, run_stream(spark, d))
+
+
+@query("compacted_recents", RECENT_ORACLE)
+def q_compacted_recents(spark: SparkSession, d: str) -> DataFrame:
+    """Four batches of recents as the stream writes them (a row set for each user
+    with a message in it), the first two folded into a first snapshot, the third
+    into the buckets it touches, and the fourth read beside it."""
+    out = shared_dir(spark, "compacted")
+    msgs = A.messages(spark, d)
+    cuts = msgs.approxQuantile("msg_id", [0.25, 0.5, 0.75], 0.001)
+    for batch, (lo, hi) in enumerate(zip([None, *cuts], [*cuts, None])):
+        upto = msgs if hi is None else msgs.where(F.col("msg_id") <= hi)
+        users = upto if lo is None else upto.where(F.col("msg_id") > lo)
+        rerank.recents_from_messages(upto).join(history.distinct_users(users), "uid", "left_semi") \
+            .write.mode("overwrite").parquet(f"{out}/recents/batch_id={batch}")
+        if batch in (1, 2):
+            RS.compact(spark, out, "recents", buckets=history.MIN_BUCKETS)
+    return RS.latest_recents(spark, out)

@@ -25,8 +25,9 @@ from ratings_spark.constants import CANDIDATES_N, RECENT_RATINGS_N, SIM_THRESHOL
 from ratings_spark.functions.lists import encode_recs
 from ratings_spark.operators import history, rerank
 from ratings_spark.operators.topk import top_k
-from ratings_spark.session import list_folder, ship_package
+from ratings_spark.session import ship_package
 from ratings_spark.sources.text import flag_messages
+from ratings_spark.streaming import versions
 from ratings_spark.streaming.recents import OUTPUT_SCHEMA, RecentRatings
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -191,42 +192,18 @@ def ratings_sink(messages: DataFrame, path: str, checkpoint: str, trigger: dict
         .outputMode("append").trigger(**(trigger or {"processingTime": "2 seconds"})).start()
 
 
-def _snapshot_root(out_dir: str, table: str) -> str:
-    return f"{out_dir}/{table}_snapshots"
-
-
-def _current(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
-    """Latest version per user: the newest snapshot (if any) plus only the
-    batch folders after it (partition-pruned), reduced by ``latest_version``.
-
-    Snapshots are found by partition discovery over ``through=<n>`` folders,
-    which lists committed files only."""
-    rows = spark.read.parquet(f"{out_dir}/{table}")
-    if any(x.startswith("through=") for x in list_folder(spark, _snapshot_root(out_dir, table))):
-        snaps = spark.read.parquet(_snapshot_root(out_dir, table))
-        through = snaps.agg(F.max("through")).first()[0]
-        snap = snaps.where(F.col("through") == through).drop("through")
-        rows = snap.unionByName(rows.where(F.col("batch_id") > through))
-    return rerank.latest_version(rows, "uid", "batch_id")
-
-
-def compact(spark: SparkSession, out_dir: str, table: str = "recs") -> int:
-    """Write the current latest-per-user view of ``table`` as a snapshot
-    ``<table>_snapshots/through=<max batch_id>``; later reads start from it,
-    so read cost stops growing with the number of batches. Older folders are
-    left in place (removal is the operator's retention policy). Returns the
-    batch id the snapshot covers."""
-    cur = _current(spark, out_dir, table)
-    through = cur.agg(F.max("batch_id")).first()[0]
-    cur.write.mode("overwrite").parquet(f"{_snapshot_root(out_dir, table)}/through={through}")
-    return int(through)
+def compact(spark: SparkSession, out_dir: str, table: str = "recs", buckets: int | None = None) -> int:
+    """Fold the batches of ``table`` since the last compaction into a snapshot by
+    user bucket, of which only the buckets they touch are rewritten
+    (``versions.compact``). Returns the last batch id covered."""
+    return versions.compact(spark, f"{out_dir}/{table}", buckets)
 
 
 def latest_recs(spark: SparkSession, out_dir: str) -> DataFrame:
     """(uid, recs, recs_text, batch_id): each user's current list."""
-    return _current(spark, out_dir, "recs")
+    return versions.current(spark, f"{out_dir}/recs")
 
 
 def latest_recents(spark: SparkSession, out_dir: str) -> DataFrame:
     """(uid, rank, mid, score): each user's recents after the latest batch."""
-    return _current(spark, out_dir, "recents").select("uid", "rank", "mid", "score")
+    return versions.current(spark, f"{out_dir}/recents").select("uid", "rank", "mid", "score")

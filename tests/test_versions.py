@@ -1,0 +1,78 @@
+"""Replace-per-key tables: compaction by touched buckets."""
+
+import random
+
+from conftest import rows
+
+from ratings_spark.operators import history
+from ratings_spark.session import list_folder, shared_dir
+from ratings_spark.streaming import versions as V
+
+SCHEMA = "uid bigint, rank int, mid bigint"
+
+
+def _batch(spark, root, n, users, seed):
+    rng = random.Random(seed)
+    made = {u: [(u, k + 1, rng.randrange(1000)) for k in range(rng.randrange(1, 4))] for u in users}
+    spark.createDataFrame([r for x in made.values() for r in x], SCHEMA) \
+        .write.mode("overwrite").parquet(f"{root}/batch_id={n}")
+    return made
+
+
+def _view(spark, root):
+    return rows(V.current(spark, root), "uid", "rank", "mid")
+
+
+def _want(truth):
+    return sorted(r for x in truth.values() for r in x)
+
+
+def test_only_touched_buckets_are_rewritten(spark):
+    root = shared_dir(spark, "test-versions") + "/recents"
+    truth = _batch(spark, root, 0, range(1000), 1)
+    assert _view(spark, root) == _want(truth)
+    assert V.compact(spark, root, buckets=128) == 0
+    assert len(list_folder(spark, f"{root}_snapshots/data/through=0")) > 120
+    assert _view(spark, root) == _want(truth)
+
+    changed = range(40, 50)  # 1 % of the users
+    truth.update(_batch(spark, root, 3, changed, 2))
+    assert _view(spark, root) == _want(truth)
+    assert V.compact(spark, root) == 3
+    ids = history.bucket_id_sets(spark.createDataFrame([(u,) for u in changed], "uid bigint"),
+                                 {"u": ("uid", 128)})["u"]
+    folders = {x for x in list_folder(spark, f"{root}_snapshots/data/through=3") if "=" in x}
+    assert folders == {f"uid_bucket={b}" for b in ids} and len(ids) <= 10
+    assert _view(spark, root) == _want(truth)
+    # nothing new: nothing written
+    assert V.compact(spark, root) == 3
+    assert _view(spark, root) == _want(truth)
+    # batches after the snapshot, new users among them, and other buckets
+    truth.update(_batch(spark, root, 4, [45, 5000], 3))
+    assert _view(spark, root) == _want(truth)
+    assert V.compact(spark, root, buckets=16) == 4
+    assert len([x for x in list_folder(spark, f"{root}_snapshots/data/through=4") if "=" in x]) == 16
+    assert _view(spark, root) == _want(truth)
+
+
+def test_a_compaction_that_died_changes_nothing(spark):
+    root = shared_dir(spark, "test-versions") + "/recs"
+    truth = _batch(spark, root, 0, range(30), 4)
+    V.compact(spark, root, buckets=4)
+    truth.update(_batch(spark, root, 1, range(5), 5))
+    # data without a manifest: another run's leftovers
+    spark.createDataFrame([(1, 1, 1, 0, 1)], SCHEMA + ", uid_bucket int, batch_id int") \
+        .write.partitionBy("uid_bucket").parquet(f"{root}_snapshots/data/through=1")
+    assert _view(spark, root) == _want(truth)
+    assert V.compact(spark, root) == 1
+    assert _view(spark, root) == _want(truth)
+
+
+def test_batches_without_rows(spark):
+    root = shared_dir(spark, "test-versions") + "/recs"
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{root}/batch_id=0")
+    assert V.compact(spark, root) == -1 and _view(spark, root) == []
+    truth = _batch(spark, root, 1, [1, 2], 6)
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{root}/batch_id=2")
+    assert V.compact(spark, root) == 1
+    assert _view(spark, root) == _want(truth)
