@@ -2,7 +2,11 @@
 
 Unit-normalise once, hash items into blocks, one group per unordered block
 pair (p <= q); each task multiplies two blocks with NumPy and emits only pairs
-strictly above the threshold, in both directions. Each pair is computed once.
+strictly above the threshold, in both directions. Each pair is computed once,
+and most end after a few coordinates: both blocks are turned to their common
+principal axes, which leaves every product as it is, and a pair whose product
+over the first axes plus the product of the remaining norms can't pass the
+threshold is not multiplied further (``first_axes``).
 
 Output: directed edges (mid, other_mid, sim), no self pairs, sim > threshold.
 The planner sizes a pandas function's output by its input, which for edges
@@ -28,16 +32,86 @@ from ratings_spark.session import materialize, ship_package
 EDGE_SCHEMA = "mid long, other_mid long, sim double"
 
 
+# Axes tried first, and half as many more each time, until at most this share of a block
+# pair's products is still open; pairs finished at once.
+LEAST_AXES = 4
+OPEN_SHARE = 1 / 128
+OPEN_PAIRS = 65_536
+
+
+def _unit_rows(vs) -> np.ndarray:
+    X = np.vstack(vs).astype(np.float64)
+    return X / np.sqrt(np.einsum("ij,ij->i", X, X))[:, None]
+
+
+def principal_axes(X: np.ndarray, Y: np.ndarray) -> np.ndarray:
+    """Orthogonal axes (columns) of the two blocks together, greatest second moment first."""
+    return np.linalg.eigh(X.T @ X + Y.T @ Y)[1][:, ::-1]
+
+
+def bounded_rows(X: np.ndarray, axes: np.ndarray, m: int) -> np.ndarray:
+    """Coordinates on the first ``m`` axes, then the norm of what they leave out, in
+    single precision. The product of two such rows is at least that of the vectors
+    (Cauchy-Schwarz), but for ``slack``."""
+    head = X @ axes[:, :m]
+    rest = np.einsum("ij,ij->i", X, X) - np.einsum("ij,ij->i", head, head)
+    return np.column_stack([head, np.sqrt(np.maximum(rest, 0.0))]).astype(np.float32)
+
+
+def slack(d: int) -> float:
+    """More than single precision can be off in a product of unit vectors of ``d`` coordinates."""
+    return (d + 8) * 1.2e-7
+
+
+def first_axes(X: np.ndarray, Y: np.ndarray, axes: np.ndarray, threshold: float) -> int:
+    """How many axes leave at most ``OPEN_SHARE`` of the products open, judged by evenly
+    spaced rows of both blocks; 0 if all axes leave more, so that products are best taken
+    whole. The edges are the same whatever it says."""
+    d = X.shape[1]
+    xs, ys = X[::max(1, len(X) // 256)], Y[::max(1, len(Y) // 256)]
+    m = min(LEAST_AXES, d)
+    while True:
+        bound = bounded_rows(xs, axes, m) @ bounded_rows(ys, axes, m).T
+        if (bound > threshold - slack(d)).mean() <= OPEN_SHARE:
+            return m
+        if m == d:
+            return 0
+        m += max(LEAST_AXES, m // 2)
+        m = m if m <= 3 * d // 4 else d
+
+
+def _above(X: np.ndarray, Y: np.ndarray, threshold: float, same: bool):
+    """(i, j, product) of the pairs above the threshold, in bounded pieces; with
+    ``same`` each unordered pair once, no self pairs."""
+    axes = principal_axes(X, Y)
+    m = first_axes(X, Y, axes, threshold)
+    A, B = (bounded_rows(X, axes, m), bounded_rows(Y, axes, m)) if m else (X, Y)
+    least = np.float32(threshold - slack(X.shape[1])) if m else threshold
+    step = chunk_rows(len(Y), CHUNK_ROWS)
+    for lo in range(0, len(X), step):
+        S = A[lo:lo + step] @ B.T
+        keep = S > least
+        if same:
+            keep &= np.arange(len(Y))[None, :] > np.arange(lo, lo + len(S))[:, None]
+        at = np.flatnonzero(keep)
+        if not m:
+            if len(at):
+                yield lo + at // len(Y), at % len(Y), S.ravel()[at]
+            continue
+        for k in range(0, len(at), OPEN_PAIRS):
+            a, b = lo + at[k:k + OPEN_PAIRS] // len(Y), at[k:k + OPEN_PAIRS] % len(Y)
+            sim = np.einsum("ij,ij->i", X[a], Y[b])
+            sure = sim > threshold
+            if sure.any():
+                yield a[sure], b[sure], sim[sure]
+
+
 def _pair_block_fn(threshold: float):
     """Grouped-map function (iterator form) for one block pair (p, q).
 
     The group's input is two blocks (bounded by the block size); the output
-    is yielded one row chunk at a time, so even a low threshold that keeps
-    most pairs never holds more than one chunk's edges in memory."""
-
-    def unit_rows(vs) -> np.ndarray:
-        X = np.vstack(vs).astype(np.float64)
-        return X / np.sqrt(np.einsum("ij,ij->i", X, X))[:, None]
+    is yielded one piece at a time, so even a low threshold that keeps
+    most pairs never holds more than one row chunk's edges in memory."""
 
     def fn(key: Tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(batches), ignore_index=True)
@@ -46,22 +120,13 @@ def _pair_block_fn(threshold: float):
         right = left if p == q else pdf[pdf["b"] == q]
         if left.empty or right.empty:
             return
-        X = unit_rows(left["v"].to_numpy())
-        Y = X if p == q else unit_rows(right["v"].to_numpy())
+        X = _unit_rows(left["v"].to_numpy())
+        Y = X if p == q else _unit_rows(right["v"].to_numpy())
         xid = left["id"].to_numpy(np.int64)
         yid = right["id"].to_numpy(np.int64)
-        step = chunk_rows(len(Y), CHUNK_ROWS)
-        for lo in range(0, len(X), step):
-            S = X[lo:lo + step] @ Y.T
-            keep = S > threshold
-            if p == q:   # same block: each unordered pair once, no self pairs
-                keep &= np.arange(len(Y))[None, :] > np.arange(lo, lo + len(S))[:, None]
-            i, j = np.nonzero(keep)
-            if len(i) == 0:
-                continue
-            a, b, sim = xid[lo + i], yid[j], S[i, j].astype(np.float64)
-            yield pd.DataFrame({"mid": np.concatenate([a, b]),
-                                "other_mid": np.concatenate([b, a]),
+        for i, j, sim in _above(X, Y, threshold, p == q):
+            yield pd.DataFrame({"mid": np.concatenate([xid[i], yid[j]]),
+                                "other_mid": np.concatenate([yid[j], xid[i]]),
                                 "sim": np.concatenate([sim, sim])})
     return fn
 

@@ -111,3 +111,46 @@ def test_neighbour_lists(spark):
         lst.sort()
         assert len(lst) <= 3 and [s for _, s in lst] == sorted((s for _, s in lst), reverse=True)
     assert similarity.neighbour_lists(e).count() == e.count()
+
+
+def unit(X):
+    return X / np.linalg.norm(X, axis=1)[:, None]
+
+
+def test_most_products_end_after_the_first_axes():
+    """Vectors without clusters, of even and of falling spectrum, in turned
+    coordinates: few axes leave few products open, and the pairs are those of the
+    whole products."""
+    rng = np.random.default_rng(7)
+    for d, fall, most_axes in ((128, 0.0, 96), (128, 0.5, 96), (64, 0.0, 48)):
+        turn = np.linalg.qr(rng.normal(size=(d, d)))[0]
+        X = unit(rng.normal(size=(900, d)) * np.arange(1, d + 1) ** -fall @ turn)
+        Y = unit(rng.normal(size=(700, d)) * np.arange(1, d + 1) ** -fall @ turn)
+        axes = similarity.principal_axes(X, Y)
+        m = similarity.first_axes(X, Y, axes, 0.6)
+        assert 0 < m <= most_axes
+        bound = similarity.bounded_rows(X, axes, m) @ similarity.bounded_rows(Y, axes, m).T
+        full = bound > 0.6 - similarity.slack(d)
+        assert full.mean() < 0.02                       # share multiplied in full
+        assert not ((X @ Y.T > 0.6) & ~full).any()
+        assert (bound + similarity.slack(d) >= X @ Y.T).all()
+
+
+def test_pairs_are_the_same_whatever_axes_are_tried(monkeypatch):
+    rng = np.random.default_rng(8)
+    for d in (1, 2, 3, 8, 33):
+        X = unit(rng.normal(size=(120, d)))
+        X[7], X[8] = X[3], -X[3]
+        for t in (-0.2, 0.5, 0.97):
+            S = X @ X.T
+            want = {(i, j) for i in range(120) for j in range(i + 1, 120) if S[i, j] > t + 1e-12}
+            edge = {(i, j) for i in range(120) for j in range(i + 1, 120) if abs(S[i, j] - t) <= 1e-12}
+            for m in (0, 1, d // 2, d):
+                monkeypatch.setattr(similarity, "first_axes", lambda *a, m=m: m)
+                monkeypatch.setattr(similarity, "CHUNK_ROWS", 17)
+                monkeypatch.setattr(similarity, "OPEN_PAIRS", 11)
+                parts = list(similarity._above(X, X, t, True))
+                got = [(int(a), int(b)) for i, j, _ in parts for a, b in zip(i, j)]
+                assert len(got) == len(set(got)) and set(got) | edge == want | edge
+                assert all(abs(S[i, j] - s) < 1e-12 for i, j, s in parts for i, j, s in zip(i, j, s))
+            monkeypatch.undo()
