@@ -55,6 +55,16 @@ RERANK_NOID_ORACLE = with_(**{
 }) + "SELECT uid, mid, round(score, 6) AS score FROM scores"
 
 
+# Items of the user's own messages count as rated too.
+RERANK_RATED_ORACLE = with_(**{
+    **_PARTS,
+    "cand0": """
+  SELECT t.uid, e.other_mid AS mid, e.sim FROM trig t JOIN e ON e.mid = t.mid
+  WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.uid = t.uid AND r.mid = e.other_mid)
+    AND NOT EXISTS (SELECT 1 FROM msg WHERE msg.uid = t.uid AND msg.mid = e.other_mid)""",
+}) + "SELECT uid, mid, round(score, 6) AS score FROM scores"
+
+
 def _inputs(spark: SparkSession, d: str):
     msgs = A.messages(spark, d)
     # The similarity table is what the offline job stores; written once here.

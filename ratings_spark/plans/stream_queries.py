@@ -13,16 +13,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ratings_spark.operators import history, rerank, similarity
 from ratings_spark.operators.topk import latest
 from ratings_spark.plans.catalogue import MESSAGE_ORDER_SQL, MESSAGES_SQL, query, r6, with_
-from ratings_spark.plans.realtime_queries import RERANK_NOID_ORACLE, RERANK_ORACLE, RERANK_SIM
+from ratings_spark.plans.realtime_queries import (
+    RERANK_NOID_ORACLE, RERANK_ORACLE, RERANK_RATED_ORACLE, RERANK_SIM)
 from ratings_spark.session import materialize, shared_dir
 from ratings_spark.sources import adapters as A
 from ratings_spark.streaming import rerank_stream as RS
 
 def run_stream(spark: SparkSession, d: str, slices: int = 3, ids: bool = True,
-               include_incoming: bool = True) -> str:
+               include_incoming: bool = True, rated_in_state: bool = False) -> str:
     """Feed the log in ``slices`` arrivals through the job; return its output
     folder. Without ``ids`` messages have four fields, and the log keeps one
-    message of each user and second (the one of the largest id)."""
+    message of each user and second (the one of the largest id). With
+    ``rated_in_state`` the rating history is given to the first start alone."""
     base = shared_dir(spark, "stream")
     src, out, ckpt = f"{base}/src", f"{base}/out", f"{base}/checkpoint"
     # What the offline and load jobs leave behind: the similarity table and
@@ -30,8 +32,9 @@ def run_stream(spark: SparkSession, d: str, slices: int = 3, ids: bool = True,
     sim_path, rated_path = f"{base}/item_recs", f"{base}/rated"
     edges = materialize(similarity.item_similarity(A.factors(spark, d), RERANK_SIM), "edges")
     history.write_by_bucket(edges, sim_path, "mid")
-    history.write_by_bucket(history.distinct_pairs(A.ratings(spark, d)), rated_path, "uid",
-                            history.MIN_BUCKETS)
+    if not rated_in_state:
+        history.write_by_bucket(history.distinct_pairs(A.ratings(spark, d)), rated_path, "uid",
+                                history.MIN_BUCKETS)
     msgs = A.messages(spark, d)
     if not ids:
         msgs = latest(msgs, ["uid", "timestamp"], [F.desc("msg_id")])
@@ -49,10 +52,13 @@ def run_stream(spark: SparkSession, d: str, slices: int = 3, ids: bool = True,
             part = part.where(F.col("msg_id") <= hi)
         part.select("value").write.mode("append").text(src)
         stream = RS.message_stream(spark, "text", src)
+        if rated_in_state:
+            rated = RS.RatedInState(A.ratings(spark, d) if i == 0 else None)
+        else:
+            rated = history.BucketedTable(spark, rated_path, "uid")
         q = RS.start(stream, out, ckpt,
                      sim_edges=history.BucketedTable(spark, sim_path, "mid"),
-                     rated=history.BucketedTable(spark, rated_path, "uid"),
-                     trigger={"availableNow": True}, threshold=RERANK_SIM,
+                     rated=rated, trigger={"availableNow": True}, threshold=RERANK_SIM,
                      include_incoming=include_incoming,
                      state_partitions=2 * spark.sparkContext.defaultParallelism)
         q.awaitTermination()
@@ -78,6 +84,13 @@ def q_stream_rerank_noid(spark: SparkSession, d: str) -> DataFrame:
     return _flat(RS.latest_recs(spark, run_stream(spark, d, ids=False, include_incoming=False)))
 
 
+@query("stream_rerank_rated", RERANK_RATED_ORACLE)
+def q_stream_rerank_rated(spark: SparkSession, d: str) -> DataFrame:
+    """Rated items in the stream's state: filled once from the history, then by each
+    message, over two restarts."""
+    return _flat(RS.latest_recs(spark, run_stream(spark, d, rated_in_state=True)))
+
+
 RECENT_ORACLE = with_(msg=MESSAGES_SQL) + f"""
 , o AS (SELECT uid, mid, score,
                row_number() OVER (PARTITION BY uid ORDER BY {MESSAGE_ORDER_SQL}) AS rn FROM msg)

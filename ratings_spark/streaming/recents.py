@@ -10,6 +10,12 @@ twice is kept once.
 
 Input rows of one user arrive as an iterator; only a running top-n is held, so
 a very active user does not need memory proportional to their batch.
+
+``RecentAndRated`` also keeps the items each user has rated, in map state: a chunk
+holds the rated ids that agree but for their last ``CHUNK_BITS`` bits, so at most
+4096, whoever the user. It is filled once from the history (initial state) and
+then by each message, and the chunks of the batch's users are emitted with their
+recents: no table of rated items is read per batch.
 """
 
 from __future__ import annotations
@@ -40,14 +46,24 @@ OUTPUT_SCHEMA = T.StructType([
     T.StructField("is_trigger", T.BooleanType()),
 ])
 
+# With the rated items: such rows have no rank, the others no ``rated``.
+RATED_OUTPUT_SCHEMA = T.StructType(
+    OUTPUT_SCHEMA.fields + [T.StructField("rated", T.ArrayType(T.LongType()))])
+
+CHUNK_BITS = 12
+CHUNK_KEY = T.StructType([T.StructField("chunk", T.LongType())])
+CHUNK_VALUE = T.StructType([T.StructField("mids", T.ArrayType(T.LongType()))])
+# Ids of one user held at once before they go into the state.
+HELD_IDS = 65_536
+
 MESSAGE_SCHEMA = T.StructType([T.StructField("uid", T.LongType())] + list(STATE_SCHEMA.fields))
 
 _COLS = ["mid", "score", "timestamp", "msg_id"]
 
 
-def newest_per_batch(n: int = RECENT_RATINGS_N):
+def newest_per_batch(n: int = RECENT_RATINGS_N, every_item: bool = False):
     """``mapInPandas`` body: each user's ``n`` newest messages of one Arrow
-    batch, a combine before the shuffle by user. Batches are reduced on their
+    batch (with ``every_item`` also one message of each other item), a combine before the shuffle by user. Batches are reduced on their
     own (the state merges what several leave), so memory and time follow the
     batch size, not the number of users in the partition."""
     cols = ["uid"] + _COLS
@@ -60,7 +76,10 @@ def newest_per_batch(n: int = RECENT_RATINGS_N):
             tie = b["msg_id"].fillna(-1).astype("int64")
             order = b.assign(_tie=tie).sort_values(
                 ["uid", "timestamp", "_tie"], ascending=[True, False, False], kind="mergesort")
-            yield order.groupby("uid", sort=False).head(n)[cols]
+            keep = order.groupby("uid", sort=False).cumcount() < n
+            if every_item:
+                keep |= ~order.duplicated(["uid", "mid"])
+            yield order.loc[keep, cols]
     return fn
 
 
@@ -109,3 +128,47 @@ class RecentRatings(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class RecentAndRated(RecentRatings):
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.rated = handle.getMapState("rated", CHUNK_KEY, CHUNK_VALUE)
+
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        self._add(initialState["chunk"], initialState["mids"])
+
+    def _add(self, chunk: int, mids) -> None:
+        stored = self.rated.getValue((chunk,)) if self.rated.containsKey((chunk,)) else None
+        before = set(stored[0]) if stored is not None else set()
+        if not before.issuperset(mids):
+            self.rated.updateValue((chunk,), (sorted(before.union(mids)),))
+
+    def _add_all(self, held: set) -> None:
+        chunks: dict = {}
+        for mid in held:
+            chunks.setdefault(mid >> CHUNK_BITS, []).append(mid)
+        for chunk, mids in chunks.items():
+            self._add(chunk, mids)
+        held.clear()
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        held: set = set()
+
+        def noted():
+            for r in rows:
+                held.add(r["mid"])
+                if len(held) >= HELD_IDS:
+                    self._add_all(held)
+                yield r
+
+        trigger = None
+        for r in super().handleInputRows(key, noted(), timerValues):
+            trigger = r
+            yield Row(**r.asDict(), rated=None)
+        if trigger is None:
+            return
+        self._add_all(held)
+        for mids, in self.rated.values():
+            yield Row(uid=key[0], trig_mid=None, trig_timestamp=None, trig_msg_id=None, rank=None,
+                      mid=None, score=None, msg_id=None, is_trigger=None, rated=list(mids))

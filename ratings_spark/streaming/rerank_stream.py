@@ -17,6 +17,8 @@ parsed go to a reject table (``reject_sink``).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -28,7 +30,8 @@ from ratings_spark.operators.topk import top_k
 from ratings_spark.session import ship_package
 from ratings_spark.sources.text import flag_messages
 from ratings_spark.streaming import versions
-from ratings_spark.streaming.recents import OUTPUT_SCHEMA, RecentRatings
+from ratings_spark.streaming.recents import (
+    CHUNK_BITS, OUTPUT_SCHEMA, RATED_OUTPUT_SCHEMA, RecentAndRated, RecentRatings)
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 EMPTY_RECS = "array<struct<mid:bigint,r:double>>"
@@ -39,6 +42,24 @@ EDGES = (("mid", "bigint"), ("other_mid", "bigint"), ("sim", "double"))
 SALTS = 8
 
 
+@dataclass(frozen=True)
+class RatedInState:
+    """Keep the rated items of each user in the stream's own state, instead of
+    looking them up in a table every batch. ``history`` (uid, mid) fills the state
+    in the query's first batch and is not read afterwards; each message adds its
+    item. Rows with a null in either column are left out."""
+
+    history: DataFrame | None = None
+
+    def chunks(self) -> DataFrame | None:
+        """(uid, chunk, mids): the history in rows of bounded length."""
+        if self.history is None:
+            return None
+        pairs = self.history.select(F.col("uid").cast("long").alias("uid"), F.col("mid").cast("long").alias("mid"))
+        return pairs.dropna().groupBy("uid", F.shiftright("mid", CHUNK_BITS).alias("chunk")) \
+            .agg(F.collect_set("mid").alias("mids"))
+
+
 def flagged_messages(spark: SparkSession, fmt: str = "text", path: str | None = None,
                      options: dict | None = None,
                      max_files_per_trigger: int | None = None) -> DataFrame:
@@ -80,8 +101,10 @@ def reject_sink(flagged: DataFrame, path: str, checkpoint: str,
         .outputMode("append").trigger(**(trigger or {"processingTime": "2 seconds"})).start()
 
 
-def with_recents(messages: DataFrame, n: int = RECENT_RATINGS_N) -> DataFrame:
-    """Attach per-user recents state (``RecentRatings``) to the message stream.
+def with_recents(messages: DataFrame, n: int = RECENT_RATINGS_N,
+                 rated: RatedInState | None = None) -> DataFrame:
+    """Attach per-user recents state (``RecentRatings``, with ``rated``
+    ``RecentAndRated``) to the message stream.
 
     The processor is pickled by value: the driver-side runner that
     initialises it does not see ``addPyFile`` includes."""
@@ -92,12 +115,19 @@ def with_recents(messages: DataFrame, n: int = RECENT_RATINGS_N) -> DataFrame:
     spark = messages.sparkSession
     ship_package(spark)
     reduced = messages.select("uid", "mid", "score", "timestamp", "msg_id").mapInPandas(
-        recents_module.newest_per_batch(n), recents_module.MESSAGE_SCHEMA)
+        recents_module.newest_per_batch(n, every_item=rated is not None), recents_module.MESSAGE_SCHEMA)
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return reduced.groupBy("uid").transformWithState(
-        statefulProcessor=RecentRatings(n), outputStructType=OUTPUT_SCHEMA,
-        outputMode="Update", timeMode="None")
+    by_user = reduced.groupBy("uid")
+    if rated is None:
+        return by_user.transformWithState(
+            statefulProcessor=RecentRatings(n), outputStructType=OUTPUT_SCHEMA,
+            outputMode="Update", timeMode="None")
+    first = rated.chunks()
+    return by_user.transformWithState(
+        statefulProcessor=RecentAndRated(n), outputStructType=RATED_OUTPUT_SCHEMA,
+        outputMode="Update", timeMode="None",
+        initialState=None if first is None else first.groupBy("uid"))
 
 
 def batch_writer(out_dir: str, sim_edges, rated, n_candidates: int = CANDIDATES_N,
@@ -109,11 +139,19 @@ def batch_writer(out_dir: str, sim_edges, rated, n_candidates: int = CANDIDATES_
     persisted for the body's duration. The similarity table (symmetric, as
     ``item_similarity`` writes it) and the rated set are a ``BucketedTable``
     (the rated set also a list of them), of which only the batch's buckets
-    are read, or a callable giving a DataFrame.
+    are read, or a callable giving a DataFrame. With ``RatedInState`` the rated
+    set comes with the batch.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        whole = batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            in_state = isinstance(rated, RatedInState)
+            wanted = [(sim_edges, ["mid", "trig_mid"], EDGES)]
+            if in_state:
+                seen = batch.where("rated IS NOT NULL").select("uid", F.explode("rated").alias("mid"))
+                batch = batch.where("rated IS NULL").drop("rated")
+            else:
+                wanted.append((rated, ["uid"], RATED))
             kept = batch.select("uid", "rank", "mid", "score")
             if include_incoming:
                 recents = kept
@@ -127,8 +165,9 @@ def batch_writer(out_dir: str, sim_edges, rated, n_candidates: int = CANDIDATES_
             # trigger need not be among the recents). The similarity table is
             # symmetric, so edges keyed by those items serve both the
             # candidate lookup and the scoring lookup.
-            edges, seen = history.lookup(batch, [
-                (sim_edges, ["mid", "trig_mid"], EDGES), (rated, ["uid"], RATED)])
+            edges, *found = history.lookup(batch, wanted)
+            if not in_state:
+                seen, = found
             cands = rerank.unseen_neighbours(triggers, edges, seen, n_candidates, threshold, SALTS)
             flipped = edges.select(F.col("other_mid").alias("mid"),
                                    F.col("mid").alias("other_mid"), "sim")
@@ -140,7 +179,7 @@ def batch_writer(out_dir: str, sim_edges, rated, n_candidates: int = CANDIDATES_
             recs.write.mode("overwrite").parquet(f"{out_dir}/recs/batch_id={batch_id}")
             kept.write.mode("overwrite").parquet(f"{out_dir}/recents/batch_id={batch_id}")
         finally:
-            batch.unpersist()
+            whole.unpersist()
     return write
 
 
@@ -159,7 +198,8 @@ def start(messages: DataFrame, out_dir: str, checkpoint: str,
     session's own setting is restored right after.
     """
     kept_n = n_recent if include_incoming else n_recent + 1
-    w = with_recents(messages, kept_n).writeStream \
+    in_state = rated if isinstance(rated, RatedInState) else None
+    w = with_recents(messages, kept_n, in_state).writeStream \
         .foreachBatch(batch_writer(out_dir, sim_edges, rated, n_candidates, threshold,
                                    n_recent, include_incoming)) \
         .option("checkpointLocation", checkpoint) \

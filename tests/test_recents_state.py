@@ -2,6 +2,7 @@
 
 import pandas as pd
 from conftest import rows
+from pyspark.sql import Row
 
 from ratings_spark.streaming import recents
 from ratings_spark.streaming import rerank_stream as RS
@@ -32,6 +33,74 @@ def test_batch_reduction_keeps_hot_user_exact():
     assert next(fn(iter([again])))["mid"].tolist() == [1, 2, 3]
 
 
+def test_batch_reduction_keeps_every_item_when_asked():
+    fn = recents.newest_per_batch(2, every_item=True)
+    b = pd.DataFrame({"uid": [0] * 6, "mid": [1, 1, 1, 2, 3, 3], "score": [1.0] * 6,
+                      "timestamp": [9, 8, 7, 6, 5, 4], "msg_id": [6, 5, 4, 3, 2, 1]})
+    out = next(fn(iter([b])))
+    assert list(zip(out["mid"], out["timestamp"])) == [(1, 9), (1, 8), (2, 6), (3, 5)]
+
+
+class Store:
+    """A state variable as the processor uses it."""
+
+    def __init__(self):
+        self.d, self.written = {}, 0
+
+    def get(self):
+        return self.d.get("list", [])
+
+    def put(self, items):
+        self.d["list"] = items
+
+    def containsKey(self, k):
+        return k in self.d
+
+    def getValue(self, k):
+        return self.d[k]
+
+    def updateValue(self, k, v):
+        self.d[k], self.written = v, self.written + 1
+
+    def values(self):
+        return iter(list(self.d.values()))
+
+
+class Handle:
+    def getListState(self, *_):
+        return Store()
+
+    def getMapState(self, *_):
+        return Store()
+
+
+def test_rated_chunks_are_bounded_and_written_only_when_changed(monkeypatch):
+    monkeypatch.setattr(recents, "HELD_IDS", 7)
+    p = recents.RecentAndRated(3)
+    p.init(Handle())
+    p.handleInitialState((5,), Row(uid=5, chunk=0, mids=[1, 2]), None)
+    p.handleInitialState((5,), Row(uid=5, chunk=-1, mids=[-4096, -1]), None)
+    msg = [Row(uid=5, mid=m, score=1.0, timestamp=k, msg_id=k) for k, m in enumerate([2, -1, *range(0, 9000, 3)])]
+    out = list(p.handleInputRows((5,), iter(msg), None))
+    recent = [r["mid"] for r in out if r["rank"]]
+    chunks = [r["rated"] for r in out if r["rated"] is not None]
+    assert recent == [8997, 8994, 8991] and all(r["rated"] is None for r in out if r["rank"])
+    assert sorted(m for c in chunks for m in c) == sorted({1, 2, -4096, -1, *range(0, 9000, 3)})
+    assert all(len(c) <= 2 ** recents.CHUNK_BITS and len({m >> recents.CHUNK_BITS for m in c}) == 1 for c in chunks)
+    before = p.rated.written
+    again = list(p.handleInputRows((5,), iter(msg[:50]), None))
+    assert p.rated.written == before and [r for r in again if r["rated"]] == [r for r in out if r["rated"]]
+    assert list(p.handleInputRows((5,), iter([]), None)) == []
+
+
+def test_history_chunks(spark):
+    h = spark.createDataFrame([(1, 5), (1, 5), (1, 4096), (1, -1), (2, 5), (None, 5), (2, None)],
+                              "uid int, mid int")
+    got = [(r["uid"], r["chunk"], sorted(r["mids"])) for r in RS.RatedInState(h).chunks().collect()]
+    assert sorted(got) == [(1, -1, [-1]), (1, 0, [5]), (1, 1, [4096]), (2, 0, [5])]
+    assert RS.RatedInState().chunks() is None and RS.RatedInState(h.limit(0)).chunks().count() == 0
+
+
 def test_replayed_batch_overwrites_itself(spark):
     base = shared_dir(spark, "test-replay")
     batch = spark.createDataFrame(

@@ -165,3 +165,38 @@ def test_a_wrong_table_is_an_error_and_not_an_empty_one(spark):
     with pytest.raises(AnalysisException):
         history.lookup(keys, [(history.BucketedTable(spark, f"{base}/t", "uid"), ["uid"],
                                (("uid", "bigint"), ("mid", "bigint")))])[0].count()
+
+
+def test_rated_items_in_state_over_restarts(spark):
+    """A history given at every start counts once, in the first batch, and each message
+    adds its item: the lists are those of a batch re-rank with history and messages
+    as rated items. A user of the history alone gets no row."""
+    d = SF_SMALL
+    base = shared_dir(spark, "test-stream-rated")
+    src, out = f"{base}/src", f"{base}/out"
+    msgs = A.messages(spark, d)
+    users = [r["uid"] for r in history.distinct_users(msgs).orderBy("uid").limit(40).collect()]
+    msgs = msgs.where(F.col("uid").isin(users))
+    edges = lambda: similarity.item_similarity(A.factors(spark, d), 0.3)
+    first = history.distinct_pairs(A.ratings(spark, d))
+    # Each user has rated three of the nearest items already.
+    near = rerank.unseen_neighbours(rerank.latest_messages(msgs), edges(), first, 3, 0.3)
+    first = first.unionByName(near.select("uid", "mid"))
+    ignored = edges().select(F.explode(F.array(*[F.lit(u) for u in users])).alias("uid"), "mid").distinct()
+    lines = A.message_lines(msgs, keep=["msg_id"])
+    cut = msgs.approxQuantile("msg_id", [0.5], 0.0)[0]
+    for part, hist in ((F.col("msg_id") <= cut, first), (F.col("msg_id") > cut, ignored)):
+        lines.where(part).select("value").write.mode("append").text(src)
+        q = RS.start(RS.message_stream(spark, "text", src), out, f"{base}/ckpt", edges,
+                     RS.RatedInState(hist), trigger={"availableNow": True}, threshold=0.3,
+                     state_partitions=4)
+        q.awaitTermination()
+        assert q.exception() is None
+    got = RS.latest_recs(spark, out).select("uid", F.explode("recs").alias("x")) \
+        .select("uid", F.col("x.mid").alias("mid"), F.round("x.r", 6).alias("score"))
+    rated = first.unionByName(msgs.select("uid", "mid"))
+    want = rerank.rerank(msgs, edges(), rated, threshold=0.3) \
+        .select("uid", "mid", F.round("score", 6).alias("score"))
+    assert rows(got) == rows(want) and got.count() > 0
+    assert sorted(r["uid"] for r in RS.latest_recs(spark, out).select("uid").collect()) == users
+    assert rows(RS.latest_recents(spark, out)) == rows(rerank.recents_from_messages(msgs, 20))
