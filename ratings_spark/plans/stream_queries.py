@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratings_spark.operators import history, rerank, similarity
 from ratings_spark.operators.topk import latest
-from ratings_spark.plans.catalogue import MESSAGE_ORDER_SQL, MESSAGES_SQL, query, r6, with_
+from ratings_spark.plans.catalogue import MESSAGE_ORDER_SQL, MESSAGES_SQL, RATINGS_SQL, query, r6, with_
 from ratings_spark.plans.realtime_queries import (
     RERANK_NOID_ORACLE, RERANK_ORACLE, RERANK_RATED_ORACLE, RERANK_SIM)
 from ratings_spark.session import materialize, shared_dir
@@ -68,6 +68,11 @@ def run_stream(spark: SparkSession, d: str, slices: int = 3, ids: bool = True,
     return out
 
 
+def checkpoint_of(out: str) -> str:
+    """The checkpoint of the job whose output folder ``run_stream`` returned."""
+    return out.removesuffix("/out") + "/checkpoint"
+
+
 def _flat(recs: DataFrame) -> DataFrame:
     flat = recs.select("uid", F.explode("recs").alias("x"))
     return flat.select("uid", F.col("x.mid").alias("mid"), r6("x.r").alias("score"))
@@ -102,6 +107,19 @@ def q_stream_recent(spark: SparkSession, d: str) -> DataFrame:
     return RS.latest_recents(spark, run_stream(spark, d))
 
 
+@query("state_recents", RECENT_ORACLE)
+def q_state_recents(spark: SparkSession, d: str) -> DataFrame:
+    """The recents read from the state store, not from the stream's output."""
+    return RS.state_recents(spark, checkpoint_of(run_stream(spark, d)))
+
+
+@query("state_rated", with_(msg=MESSAGES_SQL, r=RATINGS_SQL) + """
+SELECT uid, mid FROM r UNION SELECT uid, mid FROM msg""")
+def q_state_rated(spark: SparkSession, d: str) -> DataFrame:
+    """Rated items of every user, of the history and of all messages, from the state store."""
+    return RS.state_rated(spark, checkpoint_of(run_stream(spark, d, rated_in_state=True)))
+
+
 @query("compacted_recents", RECENT_ORACLE)
 def q_compacted_recents(spark: SparkSession, d: str) -> DataFrame:
     """Four batches of recents as the stream writes them (a row set for each user

@@ -247,3 +247,27 @@ def latest_recs(spark: SparkSession, out_dir: str) -> DataFrame:
 def latest_recents(spark: SparkSession, out_dir: str) -> DataFrame:
     """(uid, rank, mid, score): each user's recents after the latest batch."""
     return versions.current(spark, f"{out_dir}/recents").select("uid", "rank", "mid", "score")
+
+
+def _state(spark: SparkSession, checkpoint: str, variable: str, batch_id: int | None) -> DataFrame:
+    """Rows of a state variable, read from the store below the query's checkpoint."""
+    r = spark.read.format("statestore").option("stateVarName", variable)
+    if batch_id is not None:
+        r = r.option("batchId", str(batch_id))
+    return r.load(checkpoint)
+
+
+def state_recents(spark: SparkSession, checkpoint: str, n: int = RECENT_RATINGS_N,
+                  batch_id: int | None = None) -> DataFrame:
+    """(uid, rank, mid, score): each user's ``n`` newest ratings as the stream's state
+    holds them after the last committed batch, or after ``batch_id`` while its state is
+    retained. No table of recents is needed; lists are short, as the state is."""
+    rows = _state(spark, checkpoint, "recent", batch_id).select("key.uid", "list_element.*")
+    order = [F.desc("timestamp"), F.desc(F.coalesce("msg_id", F.lit(-1))), F.asc("mid"), F.asc("score")]
+    return top_k(rows, ["uid"], order, n).select("uid", "rank", "mid", "score")
+
+
+def state_rated(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """(uid, mid): the rated items in the state of a stream started with ``RatedInState``."""
+    return _state(spark, checkpoint, "rated", batch_id) \
+        .select("key.uid", F.explode("user_map_value.mids").alias("mid"))

@@ -200,3 +200,12 @@ def test_rated_items_in_state_over_restarts(spark):
     assert rows(got) == rows(want) and got.count() > 0
     assert sorted(r["uid"] for r in RS.latest_recs(spark, out).select("uid").collect()) == users
     assert rows(RS.latest_recents(spark, out)) == rows(rerank.recents_from_messages(msgs, 20))
+    # The same from the state store, and as it was after the first batch.
+    ckpt = f"{base}/ckpt"
+    assert rows(RS.state_recents(spark, ckpt)) == rows(rerank.recents_from_messages(msgs, 20))
+    assert rows(RS.state_recents(spark, ckpt, 3)) == rows(rerank.recents_from_messages(msgs, 3))
+    assert rows(RS.state_rated(spark, ckpt)) == rows(rated.distinct())
+    older = msgs.where(F.col("msg_id") <= cut)
+    assert rows(RS.state_recents(spark, ckpt, batch_id=0)) == rows(rerank.recents_from_messages(older, 20))
+    assert rows(RS.state_rated(spark, ckpt, batch_id=0)) == \
+        rows(first.unionByName(older.select("uid", "mid")).distinct())
