@@ -10,7 +10,10 @@ never built whole:
    words by a bit table of fixed size, ``FILTER_BITS``; a word let through by chance
    costs space, not exactness.
 2. Tasks write their suffixes as chunks: distinct paths with their number, in local
-   16-bit word codes (``suffix_chunks``).
+   16-bit word codes (``suffix_chunks``). A pair of words, then three, of fewer than
+   ``min_count`` occurrences is in no phrase asked for either: paths are cut before
+   its last word, again by a bit table, and what is left is joined to fuller chunks
+   (``pruned``).
 3. Vertical partitioning: a prefix of words with more than ``budget`` distinct paths is
    lengthened by a word (at last by the chunk), until every prefix fits; prefixes are
    then grouped up to the budget (``partition``).
@@ -183,13 +186,11 @@ def _slots(lang: str, ids: np.ndarray, bits: int) -> np.ndarray:
 _PAGE = 1 << 18  # bits of the table that are sent together
 
 
-def _emit_pages(bits: int):
-    """Pages of the bit table that have a frequent word of these rows."""
+def _emit_pages(slots_of):
+    """Pages of the bit table that have a slot of these rows."""
     def run(batches):
         for batch in batches:
-            langs = np.array(batch.column(0).to_pylist(), object)
-            ids = batch.column(1).to_numpy()
-            slots = np.concatenate([_slots(x, ids[langs == x], bits) for x in set(langs)] or [np.zeros(0, np.uint64)])
+            slots = slots_of(batch)
             yield pa.RecordBatch.from_arrays(
                 [pa.array((slots // _PAGE).astype(np.int32)), pa.array((slots % _PAGE).astype(np.int32))],
                 names=["page", "bit"])
@@ -198,11 +199,19 @@ def _emit_pages(bits: int):
 
 def word_filter(words: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     """Bit table of the frequent words (packed): of fixed size, whatever their number."""
+    def slots_of(batch):
+        langs = np.array(batch.column(0).to_pylist(), object)
+        ids = batch.column(1).to_numpy()
+        return np.concatenate([_slots(x, ids[langs == x], bits) for x in set(langs)] or [np.zeros(0, np.uint64)])
+    return _bit_table(words.where("id <> 0").select("lang", "id"), slots_of, bits)
+
+
+def _bit_table(rows: DataFrame, slots_of, bits: int) -> np.ndarray:
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         on = np.zeros(_PAGE, bool)
         on[pdf["bit"].to_numpy()] = True
         return pd.DataFrame({"page": pdf["page"].iloc[:1], "bits": [np.packbits(on).tobytes()]})
-    pages = (words.where("id <> 0").select("lang", "id").mapInArrow(_emit_pages(bits), "page int, bit int").distinct()
+    pages = (rows.mapInArrow(_emit_pages(slots_of), "page int, bit int").distinct()
              .groupBy("page").applyInPandas(pack, "page int, bits binary"))
     out = np.zeros(max(1, 1 << bits >> 3), np.uint8)
     for r in pages.toLocalIterator():
@@ -211,6 +220,10 @@ def word_filter(words: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     return out
 
 
+def _in_table(table: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return ((table[(slots >> np.uint64(3)).astype(np.int64)] >> (7 - (slots & np.uint64(7))).astype(np.uint8)) & 1).astype(bool)
+
+
 class _Codes(dict):
     """Codes of a language's words in a chunk: 0 ends a suffix, -1 is no word."""
 
@@ -226,7 +239,7 @@ def _learn(codes: _Codes, tokens) -> None:
         return
     ids = np.array([codes.identity(w) for w in new], np.int64)
     slot = _slots(codes.lang, ids, codes.bits)
-    frequent = (codes.known[(slot >> np.uint64(3)).astype(np.int64)] >> (7 - (slot & np.uint64(7))).astype(np.uint8)) & 1
+    frequent = _in_table(codes.known, slot)
     for w, i, f in zip(new, ids.tolist(), frequent.tolist()):
         codes[w] = len(codes.ids) if f else 0
         if f:
@@ -305,6 +318,121 @@ def _read(batch):
                                              for j, t in ((1, np.uint64), (2, np.uint32), (3, np.int64))])
 
 
+def _code(paths: np.ndarray, at: int) -> np.ndarray:
+    """Codes of the words at a place of the paths."""
+    return ((paths >> np.uint64(16 * (DEPTH - 1 - at))) & np.uint64(0xFFFF)).astype(np.int64)
+
+
+def _grams(lang: str, paths: np.ndarray, ids: np.ndarray, at: int, k: int) -> np.ndarray:
+    """Hashes of the ``k`` words of each path from a place on."""
+    known = ids.view(np.uint64)
+    h = _mix(known[_code(paths, at)] ^ _tag(lang))
+    for j in range(1, k):
+        h = _mix(h ^ _mix(known[_code(paths, at + j)] + np.uint64(j)))
+    return h
+
+
+def _summed(paths: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct paths, ascending, and the sums of their counts."""
+    order = np.argsort(paths, kind="stable")
+    paths, counts = paths[order], counts[order].astype(np.int64)
+    starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(paths)), bool), paths[1:] != paths[:-1])))
+    return paths[starts], np.add.reduceat(counts, starts) if len(starts) else counts
+
+
+def _emit_grams(k: int):
+    """(h, n): the first ``k`` words of the paths that have as many."""
+    def run(batches):
+        for batch in batches:
+            for lang, paths, counts, ids in _read(batch):
+                first, n = _summed(paths & ~np.uint64((1 << 16 * (DEPTH - k)) - 1), counts)
+                whole = _code(first, k - 1) != 0
+                h = _grams(lang, first[whole], ids, 0, k)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n[whole])], names=["h", "n"])
+    return run
+
+
+def cut_paths(lang: str, paths: np.ndarray, ids: np.ndarray, k: int, table: np.ndarray, bits: int) -> np.ndarray:
+    """Paths that end before the last word of the first ``k`` words not in the table."""
+    paths = paths.copy()
+    for at in range(DEPTH - k + 1):
+        rows = np.flatnonzero(_code(paths, at + k - 1))
+        h = _grams(lang, paths[rows], ids, at, k)
+        rare = rows[~_in_table(table, h >> np.uint64(64 - bits))]
+        paths[rare] &= ~np.uint64((1 << 16 * (DEPTH - at - k + 1)) - 1)
+    return paths
+
+
+def _joined(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One chunk (paths, counts, ids) of several, with the ids that its paths use."""
+    used = []
+    for paths, _, ids in parts:
+        seen = np.zeros(len(ids), bool)
+        for k in range(DEPTH):
+            seen[_code(paths, k)] = True
+        seen[0] = False
+        used.append(ids[seen])
+    known = np.unique(np.concatenate(used))
+    out = []
+    for paths, _, ids in parts:
+        codes = np.searchsorted(known, ids).astype(np.uint64) + np.uint64(1)
+        codes[0] = 0
+        key = np.zeros(len(paths), np.uint64)
+        for k in range(DEPTH):
+            key = (key << np.uint64(16)) | codes[_code(paths, k)]
+        out.append(key)
+    paths, counts = _summed(np.concatenate(out), np.concatenate([c for _, c, _ in parts]))
+    return paths, counts, np.concatenate((np.zeros(1, np.int64), known))
+
+
+def _emit_pruned(k: int, table: np.ndarray, bits: int, chunk: int):
+    def rows(lang, held):
+        paths, counts, ids = held
+        # Counts are 32-bit in a chunk: a greater one is dealt over several rows.
+        while len(paths):
+            now = np.minimum(counts, 0xFFFFFFFF)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang], pa.string()), pa.array([paths.tobytes()], pa.binary()),
+                 pa.array([now.astype(np.uint32).tobytes()], pa.binary()), pa.array([ids.tobytes()], pa.binary())],
+                names=["lang", "paths", "counts", "ids"])
+            more = counts > now
+            paths, counts = paths[more], (counts - now)[more]
+
+    def run(batches):
+        held: dict = {}
+        for batch in batches:
+            for lang, paths, counts, ids in _read(batch):
+                paths = cut_paths(lang, paths, ids, k, table, bits)
+                kept = _code(paths, 1) != 0
+                if not kept.any():
+                    continue
+                part, parts = _joined([(paths[kept], counts[kept], ids)]), held.get(lang, [])
+                if parts and (sum(len(x[2]) for x in parts) + len(part[2]) > _CODES
+                              or sum(len(x[0]) for x in parts) > chunk):
+                    whole = _joined(parts)
+                    parts = [whole]
+                    if len(whole[0]) > chunk // 2 or len(whole[2]) + len(part[2]) > _CODES:
+                        yield from rows(lang, whole)
+                        parts = []
+                held[lang] = parts + [part]
+        for lang, parts in held.items():
+            yield from rows(lang, _joined(parts))
+    return run
+
+
+def pruned(chunks: DataFrame, k: int, min_count: int, bits: int = FILTER_BITS, chunk: int = CHUNK) -> DataFrame:
+    """Chunks whose paths hold no ``k`` words in a row of fewer than ``min_count``
+    occurrences, but for those the bit table lets through."""
+    grams = chunks.mapInArrow(_emit_grams(k), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    table = _bit_table(grams.where(F.col("n") >= min_count).select("h"), _hash_slots(bits), bits)
+    return _write(chunks.mapInArrow(_emit_pruned(k, table, bits, chunk),
+                                    "lang string, paths binary, counts binary, ids binary"), "collocation-pruned")
+
+
+def _hash_slots(bits: int):
+    return lambda batch: batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - bits)
+
+
 def prefixes(lang: str, paths: np.ndarray, ids: np.ndarray, hot) -> tuple[np.ndarray, np.ndarray]:
     """Hash and length of the prefix each path is partitioned by: one word, and one
     more for each of the ``hot`` sets (by length) it is in; the last is the chunk."""
@@ -466,6 +594,8 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, budget: int = BUD
     with _small_batches(docs.sparkSession):
         words, taboo = vocabulary(rows, min_count, digest)
         chunks = suffix_chunks(rows, words, taboo, bits, chunk, digest)
+        for k in range(2, DEPTH):
+            chunks = pruned(chunks, k, min_count, bits, chunk)
         single = words.where("id <> 0").select("lang", F.array("id").alias("path"), "f")
         return materialize(single.union(subtree_counts(chunks, min_count, budget)), "collocation-counts"), words
 

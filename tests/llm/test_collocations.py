@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import helpers as H
+import numpy as np
 import pytest
 import xxhash
 
@@ -88,6 +89,34 @@ def test_partition_keeps_to_the_budget(spark, docs):
         assert max(sizes.values()) <= budget
 
 
+def test_paths_end_before_rare_pairs_and_triples(docs, monkeypatch):
+    """What is sent on holds only pairs and triples that reach the count."""
+    sent, count = [], C.subtree_counts
+    monkeypatch.setattr(C, "subtree_counts", lambda chunks, *a: sent.append(chunks) or count(chunks, *a))
+    assert len(check(docs.repartition(5), 5)) > 50
+    grams = {2: Counter(), 3: Counter()}
+    for r in docs.select("lang", "text").collect():
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", (r["text"] or "").translate(LOWER)):
+            ws = [C.word_id(w.encode()) for w in re.split("[ \t]+", piece) if w]
+            for k in grams:
+                grams[k].update((r["lang"] or "und", *ws[i:i + k]) for i in range(len(ws) - k + 1))
+    seen = 0
+    for r in sent[0].collect():
+        ids = np.frombuffer(r["ids"], np.int64)
+        for path in np.frombuffer(r["paths"], np.uint64).tolist():
+            ws = [int(ids[c]) for c in (path >> 48, path >> 32 & 65535, path >> 16 & 65535, path & 65535) if c]
+            seen += 1
+            for k in grams:
+                assert all(grams[k][(r["lang"], *ws[i:i + k])] >= 5 for i in range(len(ws) - k + 1))
+    assert seen
+
+
+def test_pruned_chunks_are_joined_within_their_codes(docs, monkeypatch):
+    monkeypatch.setattr(C, "_CODES", 300)
+    monkeypatch.setattr(C, "_SLICE", 300)
+    check(docs.repartition(2), 4, chunk=400)
+
+
 def test_slices_are_the_text(monkeypatch):
     text = ("aa b, c  dd\te\n" * 50 + "x" * 400 + " y . z " * 30).encode()
     whole, own = next(iter(C.slices(text)))
