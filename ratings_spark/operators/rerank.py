@@ -52,6 +52,12 @@ def ranked_neighbours(sim_edges: DataFrame, threshold: float = SIM_THRESHOLD) ->
     return e.select("mid", "other_mid", "sim", F.row_number().over(w).alias("rank"))
 
 
+def flipped(sim_edges: DataFrame) -> DataFrame:
+    """The edges in the other direction: of a symmetric table that was cut to the
+    items of recent lists and triggers, those that scoring looks up."""
+    return sim_edges.select(F.col("other_mid").alias("mid"), F.col("mid").alias("other_mid"), "sim")
+
+
 def candidate_pairs(triggers: DataFrame, sim_edges: DataFrame, rated_pairs: DataFrame,
                     n: int = CANDIDATES_N, threshold: float = SIM_THRESHOLD,
                     salts: int = 1) -> DataFrame:
@@ -121,14 +127,14 @@ def rerank_scores(candidates: DataFrame, recents: DataFrame, sim_edges: DataFram
 def rerank(messages: DataFrame, sim_edges: DataFrame, rated: DataFrame,
            n_recent: int = RECENT_RATINGS_N, n_candidates: int = CANDIDATES_N,
            threshold: float = SIM_THRESHOLD, recents: DataFrame | None = None,
-           include_incoming: bool = True) -> DataFrame:
+           include_incoming: bool = True, score_edges: DataFrame | None = None) -> DataFrame:
     """Batch re-rank: (uid, mid, score) for every user's latest message.
 
     ``recents`` defaults to the newest ratings among ``messages`` -- one
     ranking window gives both the recents and (rank 1) the trigger; pass a
     table (uid, mid, score) to use a different history.
     ``include_incoming=False`` scores against the ``n_recent`` ratings before
-    the incoming one.
+    the incoming one. ``score_edges`` are looked up for the scores instead of ``sim_edges``.
     """
     if recents is None:
         if n_recent < 1:
@@ -142,7 +148,7 @@ def rerank(messages: DataFrame, sim_edges: DataFrame, rated: DataFrame,
         rec = recents
         trig = latest_messages(messages)
     cands = unseen_neighbours(trig, sim_edges, rated, n_candidates, threshold)
-    return rerank_scores(cands, rec, sim_edges, threshold)
+    return rerank_scores(cands, rec, sim_edges if score_edges is None else score_edges, threshold)
 
 
 def nested_recs(scores: DataFrame) -> DataFrame:

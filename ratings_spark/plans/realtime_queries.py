@@ -67,12 +67,19 @@ RERANK_RATED_ORACLE = with_(**{
 
 def _inputs(spark: SparkSession, d: str):
     msgs = A.messages(spark, d)
-    # The similarity table is what the offline job stores; written once here.
-    edges = materialize(similarity.item_similarity(A.factors(spark, d), RERANK_SIM), "item_recs")
+    # The similarity table is what the offline job stores; written once here, for the
+    # items that have a message: edges grow with the square of the items, and both
+    # look-ups are by such an item.
+    edges = similarity.item_similarity(A.factors(spark, d), RERANK_SIM)
+    edges = materialize(edges.join(msgs.select("mid").distinct(), "mid", "left_semi"), "item_recs")
     rated = A.ratings(spark, d).select("uid", "mid")
     return msgs, edges, rated
 
 
+def _rerank(msgs: DataFrame, edges: DataFrame, rated: DataFrame) -> DataFrame:
+    return rerank.rerank(msgs, edges, rated, 20, 20, RERANK_SIM, score_edges=rerank.flipped(edges))
+
+
 @query("unseen_neighbours", _CTES + """
 SELECT uid, CAST(rk AS INTEGER) AS rank, mid, round(sim, 6) AS sim FROM cand WHERE rk <= 20""")
 def q_unseen_neighbours(spark: SparkSession, d: str) -> DataFrame:
@@ -84,7 +91,7 @@ def q_unseen_neighbours(spark: SparkSession, d: str) -> DataFrame:
 @query("rerank_scores", RERANK_ORACLE)
 def q_rerank_scores(spark: SparkSession, d: str) -> DataFrame:
     msgs, edges, rated = _inputs(spark, d)
-    s = rerank.rerank(msgs, edges, rated, 20, 20, RERANK_SIM)
+    s = _rerank(msgs, edges, rated)
     return s.select("uid", "mid", r6("score").alias("score"))
 
 
@@ -97,7 +104,7 @@ def q_recs_encoded(spark: SparkSession, d: str) -> DataFrame:
     """Lists as text with six decimals, and the number of items that decoding
     the text in full gives back unchanged."""
     msgs, edges, rated = _inputs(spark, d)
-    nested = rerank.nested_recs(rerank.rerank(msgs, edges, rated, 20, 20, RERANK_SIM))
+    nested = rerank.nested_recs(_rerank(msgs, edges, rated))
     back = F.arrays_zip(F.col("recs").alias("a"), decode_recs(encode_recs("recs")).alias("b"))
     same = F.filter(back, lambda x: x["a"] == x["b"])
     return nested.select("uid", encode_recs("recs", 6).alias("recs_text"),
@@ -124,7 +131,7 @@ def q_latest_recs(spark: SparkSession, d: str) -> DataFrame:
         trig = rerank.latest_messages(in_batch)
         rec = rerank.recents_from_messages(upto, 20)
         cands = rerank.unseen_neighbours(trig, edges, rated, 20, RERANK_SIM)
-        nested = rerank.nested_recs(rerank.rerank_scores(cands, rec, edges, RERANK_SIM))
+        nested = rerank.nested_recs(rerank.rerank_scores(cands, rec, rerank.flipped(edges), RERANK_SIM))
         users = trig.select("uid").join(nested, "uid", "left") \
             .select("uid", F.coalesce("recs", F.array().cast("array<struct<mid:bigint,r:double>>"))
                     .alias("recs"), F.lit(b).alias("batch_id"))

@@ -103,3 +103,26 @@ def test_salted_scores_are_the_same(spark):
     many = rows(rerank.rerank_scores(cands, rec, e, 0.6, salts=4), "uid", "mid", "score")
     assert [x[:2] for x in one] == [x[:2] for x in many] and len(one) == 36
     assert all(abs(a[2] - b[2]) < 1e-9 for a, b in zip(one, many))
+
+
+def test_edges_are_written_for_items_with_messages_only(spark, monkeypatch):
+    """Of all edges those of message items, and with them the scores of the whole table."""
+    from ratings_spark.operators import similarity
+    from ratings_spark.plans import realtime_queries as Q
+    f = spark.createDataFrame([(k, [1.0, 0.1 * k, 0.02 * (k % 7)]) for k in range(1, 31)], "id bigint, features array<float>")
+    msgs = spark.createDataFrame([(u, m, s, t, 10 * u + t) for u, m, s, t in [
+        (1, 3, 4.0, 1), (1, 5, 2.0, 2), (2, 3, 5.0, 1), (2, 40, 1.0, 2), (3, None, 3.0, 1), (4, 12, 3.5, 3)]],
+        "uid bigint, mid bigint, score double, timestamp bigint, msg_id bigint")
+    rated = spark.createDataFrame([(1, 6), (1, 6), (4, 11), (9, 1)], "uid bigint, mid bigint")
+    for name, table in (("factors", f), ("messages", msgs), ("ratings", rated)):
+        monkeypatch.setattr(Q.A, name, lambda spark, d, table=table: table)
+    written, write = [], Q.materialize
+    monkeypatch.setattr(Q, "materialize", lambda df, name: written.append(write(df, name)) or written[-1])
+    got = {r["uid"]: 0 for r in Q.q_rerank_scores(spark, "").collect()}
+    assert {r["mid"] for r in written[0].select("mid").distinct().collect()} == {3, 5, 12}
+    whole = similarity.item_similarity(f, Q.RERANK_SIM)
+    want = rerank.rerank(msgs, whole, rated, 20, 20, Q.RERANK_SIM)
+    assert set(got) == {r["uid"] for r in want.select("uid").collect()} and got
+    for query in (Q.q_rerank_scores, Q.q_latest_recs):
+        rows = {(r["uid"], r["mid"]): r["score"] for r in query(spark, "").collect()}
+        assert rows == {(r["uid"], r["mid"]): round(r["score"], 6) for r in want.collect()}
