@@ -196,6 +196,12 @@ def start(messages: DataFrame, out_dir: str, checkpoint: str,
     and the per-batch joins, which run without AQE in a stateful query). The
     query snapshots the session's configuration when it starts, so the
     session's own setting is restored right after.
+
+    No join of this query is a broadcast unless a hint asks for one: without
+    adaptive execution the choice would rest on the compressed size of files and
+    cached batches, while the rows (the similarity table for every salt, the rated
+    items, the orders of a history) grow with the input and would be collected on
+    the driver.
     """
     kept_n = n_recent if include_incoming else n_recent + 1
     in_state = rated if isinstance(rated, RatedInState) else None
@@ -207,16 +213,18 @@ def start(messages: DataFrame, out_dir: str, checkpoint: str,
         .trigger(**(trigger or {"processingTime": "2 seconds"}))
     if query_name:
         w = w.queryName(query_name)
-    if state_partitions is None:
-        return w.start()
+    own = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+    if state_partitions is not None:
+        own["spark.sql.shuffle.partitions"] = str(state_partitions)
     spark = messages.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
+    old = {key: spark.conf.get(key) for key in own}
     try:
+        for key, value in own.items():
+            spark.conf.set(key, value)
         return w.start()
     finally:
-        spark.conf.set(key, old)
+        for key, value in old.items():
+            spark.conf.set(key, value)
 
 
 def ratings_sink(messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,

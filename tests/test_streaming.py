@@ -209,3 +209,38 @@ def test_rated_items_in_state_over_restarts(spark):
     assert rows(RS.state_recents(spark, ckpt, batch_id=0)) == rows(rerank.recents_from_messages(older, 20))
     assert rows(RS.state_rated(spark, ckpt, batch_id=0)) == \
         rows(first.unionByName(older.select("uid", "mid")).distinct())
+
+
+def test_batches_collect_no_join_side_on_the_driver(spark, monkeypatch):
+    """Written tables look small by their compressed files; neither the re-rank of a
+    batch nor the joins that fill the state may broadcast them for that."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    base = shared_dir(spark, "no-broadcast")
+    msgs = spark.createDataFrame([(u, 7 + u, 4.0, 100 + u, u) for u in range(6)],
+                                 "uid long, mid long, score double, timestamp long, msg_id long")
+    A.message_lines(msgs).write.text(f"{base}/src")
+    pairs = [(a, b, 0.5 + 0.01 * a) for a in range(7, 13) for b in range(7, 13) if a != b]
+    history.write_by_bucket(spark.createDataFrame(pairs, "mid long, other_mid long, sim double"),
+                            f"{base}/edges", "mid")
+    # The history is a join of two small tables, as that of the adapters.
+    spark.createDataFrame([(u, u) for u in range(6)], "o long, uid long").write.parquet(f"{base}/orders")
+    spark.createDataFrame([(u, 8 + u) for u in range(6)], "o long, mid long").write.parquet(f"{base}/lines")
+    rated = spark.read.parquet(f"{base}/lines").join(spark.read.parquet(f"{base}/orders"), "o").select("uid", "mid")
+    history.write_by_bucket(rated, f"{base}/rated", "uid")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    plans, nested = [], rerank.nested_recs
+    monkeypatch.setattr(rerank, "nested_recs", lambda scores: plans.append(plan(scores)) or nested(scores))
+    for name, given in (("table", history.BucketedTable(spark, f"{base}/rated", "uid")),
+                        ("state", RS.RatedInState(rated))):
+        q = RS.start(RS.message_stream(spark, "text", f"{base}/src"), f"{base}/{name}", f"{base}/{name}-ckpt",
+                     history.BucketedTable(spark, f"{base}/edges", "mid"), given,
+                     trigger={"availableNow": True}, threshold=0.3)
+        assert spark.conf.get(key) == before
+        q.awaitTermination()
+        assert q.exception() is None
+        plans.append(q._jsq.explainInternal(False))
+        assert RS.latest_recs(spark, f"{base}/{name}").where("size(recs) > 0").count() == 6
+    assert len(plans) == 4 and all("TransformWithState" in x for x in plans[1::2])
+    assert plans[0].count("SortMergeJoin") >= 4 and plans[3].count("SortMergeJoin") >= 1
+    assert not any("Broadcast" in x for x in plans)
