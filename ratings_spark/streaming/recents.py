@@ -11,11 +11,14 @@ twice is kept once.
 Input rows of one user arrive as an iterator; only a running top-n is held, so
 a very active user does not need memory proportional to their batch.
 
-``RecentAndRated`` also keeps the items each user has rated, in map state: a chunk
-holds the rated ids that agree but for their last ``CHUNK_BITS`` bits, so at most
-4096, whoever the user. It is filled once from the history (initial state) and
-then by each message, and the chunks of the batch's users are emitted with their
-recents: no table of rated items is read per batch.
+``RecentAndRated`` also keeps the items each user has rated, in map state: the first
+``LIST_IDS`` of them in one list (``LIST_KEY``), so that most users have a single
+entry however far apart their ids are, and further ones in chunks; a chunk holds the
+rated ids that agree but for their last ``CHUNK_BITS`` bits, so at most 4096, whoever
+the user. It is filled once from the history (initial state) and then by each message,
+and the entries of the batch's users are emitted with their recents: no table of rated
+items is read per batch. A user whose state has chunks and no list (a state of the
+former layout) goes on with chunks.
 """
 
 from __future__ import annotations
@@ -51,6 +54,9 @@ RATED_OUTPUT_SCHEMA = T.StructType(
     OUTPUT_SCHEMA.fields + [T.StructField("rated", T.ArrayType(T.LongType()))])
 
 CHUNK_BITS = 12
+# Ids of a user's list, and its key: no chunk's number, as these have CHUNK_BITS bits less.
+LIST_IDS = 4096
+LIST_KEY = -(1 << 62)
 CHUNK_KEY = T.StructType([T.StructField("chunk", T.LongType())])
 CHUNK_VALUE = T.StructType([T.StructField("mids", T.ArrayType(T.LongType()))])
 # Ids of one user held at once before they go into the state.
@@ -136,7 +142,8 @@ class RecentAndRated(RecentRatings):
         self.rated = handle.getMapState("rated", CHUNK_KEY, CHUNK_VALUE)
 
     def handleInitialState(self, key, initialState: Row, timerValues) -> None:
-        self._add(initialState["chunk"], initialState["mids"])
+        # A user's rows have an entry each: nothing is there to look up.
+        self.rated.updateValue((initialState["chunk"],), (sorted(initialState["mids"]),))
 
     def _add(self, chunk: int, mids) -> None:
         stored = self.rated.getValue((chunk,)) if self.rated.containsKey((chunk,)) else None
@@ -145,6 +152,17 @@ class RecentAndRated(RecentRatings):
             self.rated.updateValue((chunk,), (sorted(before.union(mids)),))
 
     def _add_all(self, held: set) -> None:
+        if self.rated.containsKey((LIST_KEY,)):
+            stored = self.rated.getValue((LIST_KEY,))[0]
+        else:
+            stored = None if next(iter(self.rated.values()), None) is not None else []
+        if stored is not None:
+            held.difference_update(stored)
+            # Chunks are begun when the list is full, so none of them has an id of the list.
+            put = sorted(held)[:max(0, LIST_IDS - len(stored))]
+            if put:
+                self.rated.updateValue((LIST_KEY,), (sorted([*stored, *put]),))
+                held.difference_update(put)
         chunks: dict = {}
         for mid in held:
             chunks.setdefault(mid >> CHUNK_BITS, []).append(mid)

@@ -20,7 +20,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ratings_spark.constants import CANDIDATES_N, RECENT_RATINGS_N, SIM_THRESHOLD
@@ -31,7 +31,7 @@ from ratings_spark.session import ship_package
 from ratings_spark.sources.text import flag_messages
 from ratings_spark.streaming import versions
 from ratings_spark.streaming.recents import (
-    CHUNK_BITS, OUTPUT_SCHEMA, RATED_OUTPUT_SCHEMA, RecentAndRated, RecentRatings)
+    CHUNK_BITS, LIST_IDS, LIST_KEY, OUTPUT_SCHEMA, RATED_OUTPUT_SCHEMA, RecentAndRated, RecentRatings)
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 EMPTY_RECS = "array<struct<mid:bigint,r:double>>"
@@ -55,8 +55,21 @@ class RatedInState:
         """(uid, chunk, mids): the history in rows of bounded length."""
         if self.history is None:
             return None
-        pairs = self.history.select(F.col("uid").cast("long").alias("uid"), F.col("mid").cast("long").alias("mid"))
-        return pairs.dropna().groupBy("uid", F.shiftright("mid", CHUNK_BITS).alias("chunk")) \
+        return self._pairs().groupBy("uid", F.shiftright("mid", CHUNK_BITS).alias("chunk")) \
+            .agg(F.collect_set("mid").alias("mids"))
+
+    def _pairs(self) -> DataFrame:
+        return self.history.select(F.col("uid").cast("long").alias("uid"), F.col("mid").cast("long").alias("mid")).dropna()
+
+    def entries(self) -> DataFrame | None:
+        """(uid, chunk, mids) as the state keeps them: each user's least ``LIST_IDS`` ids
+        in one row, as ids far apart would make a row each of ``chunks``, and the others
+        in chunks. One shuffle, by user."""
+        if self.history is None:
+            return None
+        place = F.dense_rank().over(Window.partitionBy("uid").orderBy("mid"))
+        chunk = F.when(F.col("_place") <= LIST_IDS, F.lit(LIST_KEY)).otherwise(F.shiftright("mid", CHUNK_BITS))
+        return self._pairs().withColumn("_place", place).groupBy("uid", chunk.alias("chunk")) \
             .agg(F.collect_set("mid").alias("mids"))
 
 
@@ -123,7 +136,7 @@ def with_recents(messages: DataFrame, n: int = RECENT_RATINGS_N,
         return by_user.transformWithState(
             statefulProcessor=RecentRatings(n), outputStructType=OUTPUT_SCHEMA,
             outputMode="Update", timeMode="None")
-    first = rated.chunks()
+    first = rated.entries()
     return by_user.transformWithState(
         statefulProcessor=RecentAndRated(n), outputStructType=RATED_OUTPUT_SCHEMA,
         outputMode="Update", timeMode="None",

@@ -118,3 +118,38 @@ def test_replayed_batch_overwrites_itself(spark):
     got = {r["mid"]: round(r["r"], 9) for r in recs.first()["recs"]}
     assert got == {9: round((0.9 * 4 + 0.8 * 3) / 2, 9)}   # one positive, one negative
     assert rows(spark.read.parquet(f"{base}/recents").select("uid", "rank")) == [(1, 1), (1, 2)]
+
+
+def test_first_ids_of_a_user_share_one_entry(monkeypatch):
+    monkeypatch.setattr(recents, "LIST_IDS", 5)
+    p = recents.RecentAndRated(3)
+    p.init(Handle())
+    p.handleInitialState((5,), Row(uid=5, chunk=recents.LIST_KEY, mids=[90_000, 7]), None)
+    say = lambda *mids: [r["rated"] for r in p.handleInputRows(
+        (5,), iter([Row(uid=5, mid=m, score=1.0, timestamp=k, msg_id=k) for k, m in enumerate(mids)]), None)
+        if r["rated"] is not None]
+    assert say(7, 90_000) == [[7, 90_000]] and p.rated.written == 1   # the fill alone
+    assert say(1, 50_000) == [[1, 7, 50_000, 90_000]]
+    assert sorted(say(2, 1, 50_001, 8)) == [[1, 2, 7, 50_000, 90_000], [8], [50_001]]
+    assert sorted(say(8, 9)) == [[1, 2, 7, 50_000, 90_000], [8, 9], [50_001]]
+    # A user without any, and one whose state has chunks alone.
+    other = recents.RecentAndRated(3)
+    other.init(Handle())
+    p = other
+    assert say(4, 70_000) == [[4, 70_000]]
+    p = recents.RecentAndRated(3)
+    p.init(Handle())
+    p.handleInitialState((5,), Row(uid=5, chunk=0, mids=[1]), None)
+    assert sorted(say(70_000, 2)) == [[1, 2], [70_000]]
+
+
+def test_history_entries(spark, monkeypatch):
+    h = spark.createDataFrame([(1, 5), (1, 5), (1, 4096), (1, -1), (1, 99_999), (2, 5), (None, 5), (2, None)],
+                              "uid int, mid int")
+    got = lambda: sorted((r["uid"], r["chunk"], sorted(r["mids"])) for r in RS.RatedInState(h).entries().collect())
+    assert got() == [(1, recents.LIST_KEY, [-1, 5, 4096, 99_999]), (2, recents.LIST_KEY, [5])]
+    monkeypatch.setattr(RS, "LIST_IDS", 2)
+    assert got() == [(1, recents.LIST_KEY, [-1, 5]), (1, 1, [4096]), (1, 24, [99_999]), (2, recents.LIST_KEY, [5])]
+    assert RS.RatedInState().entries() is None
+    plan = RS.RatedInState(h).entries()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
