@@ -137,12 +137,45 @@ def bucket_id_sets(df: DataFrame, keys: dict) -> dict:
     return {name: sorted(row[k]) for k, name in enumerate(keys)}
 
 
+# Bits of a sketch of keys, whatever their number (512 KB).
+SKETCH_BITS = 1 << 22
+
+
+def key_bit(col, bits: int = SKETCH_BITS):
+    """Bit of a key in a sketch, the same for an int and a bigint."""
+    return F.pmod(F.xxhash64(F.col(col).cast("string")), F.lit(bits))
+
+
+def key_sketch(df: DataFrame, columns: Sequence[str], bits: int = SKETCH_BITS) -> list[int]:
+    """The keys in ``columns`` of ``df`` as words of 64 bits, the bit of each key set:
+    ``bits`` bits in all, whatever the size of ``df``."""
+    found = df.select(F.explode(F.array_distinct(F.array(*[key_bit(c, bits) for c in columns]))).alias("bit"))
+    word = found.groupBy(F.shiftright("bit", 6).cast("int").alias("word")) \
+        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")).alias("set"))
+    words = [0] * -(-bits // 64)
+    for r in word.collect():
+        words[r["word"]] = r["set"]
+    return words
+
+
+def sketched(rows: DataFrame, key: str, words: Sequence[int]) -> DataFrame:
+    """The ``rows`` whose ``key`` can be among the keys of a sketch: all that are, and
+    of the others as small a share as the sketch has bits set. Rows are left out where
+    they are read, before anything is sent."""
+    table = rows.sparkSession.createDataFrame([(list(words),)], "words array<bigint>")
+    bit = key_bit(key, 64 * len(words))
+    word = F.get(table.scalar(), F.shiftright(bit, 6).cast("int"))
+    return rows.where(F.getbit(word, bit.bitwiseAND(F.lit(63)).cast("int")) == 1)
+
+
 def lookup(df: DataFrame, wanted: Sequence[tuple]) -> list[DataFrame]:
     """For each (tables, key columns of ``df``, columns to read): the rows of
-    the tables that can match, in one job over ``df``.
+    the tables that can match, in one job over ``df`` for the buckets and one for
+    the sketch of each (``sketched``).
 
     ``tables`` is a ``BucketedTable`` or a list of them (read together), of
-    which only the buckets of the keys in ``df`` are read, or a callable
+    which only the buckets of the keys in ``df`` are read and, as a bucket has many
+    other keys, of these only rows that the keys' sketch has; or a callable
     giving a DataFrame, which is returned whole (the joins that follow
     select from it)."""
     plans = []
@@ -156,10 +189,14 @@ def lookup(df: DataFrame, wanted: Sequence[tuple]) -> list[DataFrame]:
     ids = bucket_id_sets(df, asked)
     out = []
     for i, plan in enumerate(plans):
-        parts = []
+        parts, words = [], None
         for j, (table, layout, columns, select) in enumerate(plan):
             rows = table() if layout is None else table.read(
                 layout, sorted({x for c in columns for x in ids.get((i, j, c), [])}))
+            if rows is not None and layout is not None:
+                if words is None:
+                    words = key_sketch(df, columns)
+                rows = sketched(rows, table.key, words)
             if rows is not None:
                 parts.append(rows.select(*[F.col(c).cast(t).alias(c) for c, t in select]))
         empty = df.sparkSession.createDataFrame([], ", ".join(f"{c} {t}" for c, t in plan[0][3]))

@@ -93,8 +93,10 @@ def unseen_neighbours(triggers: DataFrame, sim_edges: DataFrame, rated: DataFram
     ``rated`` may repeat (uid, mid) pairs. They are de-duplicated first: the
     partial aggregate collapses copies map-side, and its hash partitioning on
     (uid, mid) is the one the anti join needs, while a pair repeated a
-    million times no longer reaches one join task a million times."""
-    pairs = rated.select("uid", "mid").distinct()
+    million times no longer reaches one join task a million times. Nulls, which match
+    nothing, are left out before it: the anti join would leave them out on its side
+    alone, and the two uses would then not share the shuffle."""
+    pairs = rated.select("uid", "mid").where("uid IS NOT NULL AND mid IS NOT NULL").distinct()
     c = candidate_pairs(triggers, sim_edges, pairs, n, threshold, salts)
     c = c.join(pairs, ["uid", "mid"], "left_anti")
     return top_k(c, ["uid"], [F.desc("sim"), F.asc("mid")], n).select("uid", "rank", "mid", "sim")

@@ -15,10 +15,14 @@ from ratings_spark.operators.topk import latest
 from ratings_spark.plans.catalogue import MESSAGE_ORDER_SQL, MESSAGES_SQL, RATINGS_SQL, query, r6, with_
 from ratings_spark.plans.realtime_queries import (
     RERANK_NOID_ORACLE, RERANK_ORACLE, RERANK_RATED_ORACLE, RERANK_SIM)
-from ratings_spark.session import materialize, shared_dir
+from ratings_spark.session import release_unused, shared_dir
 from ratings_spark.sources import adapters as A
 from ratings_spark.streaming import rerank_stream as RS
 
+# Items whose edges share a bucket of the similarity table.
+BUCKET_ITEMS = 2048
+
+
 def run_stream(spark: SparkSession, d: str, slices: int = 3, ids: bool = True,
                include_incoming: bool = True, rated_in_state: bool = False) -> str:
     """Feed the log in ``slices`` arrivals through the job; return its output
@@ -30,11 +34,16 @@ def run_stream(spark: SparkSession, d: str, slices: int = 3, ids: bool = True,
     # What the offline and load jobs leave behind: the similarity table and
     # the rated set, each stored partitioned by a hash bucket of its key.
     sim_path, rated_path = f"{base}/item_recs", f"{base}/rated"
-    edges = materialize(similarity.item_similarity(A.factors(spark, d), RERANK_SIM), "edges")
-    history.write_by_bucket(edges, sim_path, "mid")
+    # Edges grow with the square of the items, so they are written once, in buckets by
+    # the number of items: counting the edges would need another copy of them.
+    vectors = A.factors(spark, d)
+    history.write_by_bucket(similarity.item_similarity(vectors, RERANK_SIM), sim_path, "mid",
+                            max(history.MIN_BUCKETS, -(-vectors.count() // BUCKET_ITEMS)))
+    release_unused(spark)
     if not rated_in_state:
         history.write_by_bucket(history.distinct_pairs(A.ratings(spark, d)), rated_path, "uid",
                                 history.MIN_BUCKETS)
+        release_unused(spark)
     msgs = A.messages(spark, d)
     if not ids:
         msgs = latest(msgs, ["uid", "timestamp"], [F.desc("msg_id")])
@@ -64,6 +73,7 @@ def run_stream(spark: SparkSession, d: str, slices: int = 3, ids: bool = True,
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(f"stream failed: {q.exception()}")
+        release_unused(spark)
         lo = hi
     return out
 

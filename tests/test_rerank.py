@@ -4,6 +4,7 @@ import math
 
 from conftest import rows
 
+from ratings_spark.session import shared_dir
 from ratings_spark.operators import rerank
 
 
@@ -126,3 +127,24 @@ def test_edges_are_written_for_items_with_messages_only(spark, monkeypatch):
     for query in (Q.q_rerank_scores, Q.q_latest_recs):
         rows = {(r["uid"], r["mid"]): r["score"] for r in query(spark, "").collect()}
         assert rows == {(r["uid"], r["mid"]): round(r["score"], 6) for r in want.collect()}
+
+
+def test_rated_pairs_are_shuffled_once(spark):
+    """The count of a user's rated items and the anti join share one shuffle of the pairs,
+    without adaptive execution too, as in a stream's batches; nulls match nothing."""
+    pairs = spark.createDataFrame([(1, 5), (1, 5), (1, None), (None, 6), (2, 6)], "uid long, mid long")
+    pairs.write.parquet(path := shared_dir(spark, "rated-once"))
+    trig = spark.createDataFrame([(1, 4), (2, 4)], "uid long, mid long")
+    edges = spark.createDataFrame([(4, 5, 0.9), (4, 6, 0.8)], "mid long, other_mid long, sim double")
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        got = rerank.unseen_neighbours(trig, edges, spark.read.parquet(path), 20, 0.3)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "ReusedExchange" in plan and plan.count("FileScan parquet") == 1
+        assert rows(got, "uid", "mid") == [(1, 6), (2, 5)]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

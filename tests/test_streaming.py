@@ -244,3 +244,41 @@ def test_batches_collect_no_join_side_on_the_driver(spark, monkeypatch):
     assert len(plans) == 4 and all("TransformWithState" in x for x in plans[1::2])
     assert plans[0].count("SortMergeJoin") >= 4 and plans[3].count("SortMergeJoin") >= 1
     assert not any("Broadcast" in x for x in plans)
+
+
+def test_lookups_send_only_rows_of_the_batchs_keys(spark):
+    """A bucket holds many keys; those that the batch does not have are left out where
+    the table is read, int and bigint keys alike."""
+    base = shared_dir(spark, "sketch")
+    edges = spark.range(4000).selectExpr("id % 1000 AS mid", "id AS other_mid", "0.5D AS sim")
+    history.write_by_bucket(edges, f"{base}/edges", "mid", 2)
+    rated = spark.createDataFrame([(u, u + 1) for u in range(2000)], "uid int, mid int")
+    history.write_by_bucket(rated, f"{base}/rated", "uid", 2)
+    batch = spark.createDataFrame([(5, 7, 9), (1999, None, 7), (None, 11, None)], "uid long, mid long, trig_mid long")
+    found, seen = history.lookup(batch, [
+        (history.BucketedTable(spark, f"{base}/edges", "mid"), ["mid", "trig_mid"], RS.EDGES),
+        (history.BucketedTable(spark, f"{base}/rated", "uid"), ["uid"], RS.RATED)])
+    got = {r["mid"] for r in found.collect()}
+    assert {7, 9, 11} <= got and len(got) < 10 and found.where("mid = 7").count() == 4
+    got = {r["uid"] for r in seen.collect()}
+    assert {5, 1999} <= got and len(got) < 10
+    words = history.key_sketch(batch, ["mid"], 64)   # 64 bits: others pass, but never fewer
+    few = history.sketched(rated, "uid", words)
+    assert len(words) == 1 and {7, 11} <= {r["uid"] for r in few.collect()} and few.count() < 2000
+
+
+def test_edges_are_stored_once(spark, monkeypatch):
+    """The similarity table goes straight to its buckets, with no copy beside it."""
+    from conftest import SF_SMALL
+
+    from ratings_spark.plans import stream_queries
+    from ratings_spark.session import list_folder
+    made, wanted = [], stream_queries.shared_dir
+    monkeypatch.setattr(stream_queries, "shared_dir", lambda *a: made.append(wanted(*a)) or made[-1])
+    # The scratch folders of this run alone.
+    top = shared_dir(spark, "x").rsplit("/", 1)[0]
+    before = set(list_folder(spark, top))
+    stream_queries.run_stream(spark, SF_SMALL, slices=2)
+    new = set(list_folder(spark, top)) - before
+    assert f"{made[0]}".rsplit("/", 1)[1] in new and not any(x.startswith("edges-") for x in new)
+    assert spark.read.parquet(f"{made[0]}/item_recs").count() > 0
